@@ -18,6 +18,7 @@ def lineitem_nulls(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
+        (k * 10 + ln).alias("rowkey"),
         F.col("l_extendedprice").alias("price"),
         F.when(k % 7 != 0, F.col("l_quantity")).alias("qty"),
         F.when(k % 11 != 0, F.col("l_discount")).alias("disc"),
@@ -27,7 +28,7 @@ def lineitem_nulls(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-LINEITEM_NULLS = """(SELECT l_orderkey, l_linenumber, l_extendedprice AS price,
+LINEITEM_NULLS = """(SELECT l_orderkey, l_linenumber, l_orderkey * 10 + l_linenumber AS rowkey, l_extendedprice AS price,
   CASE WHEN l_orderkey % 7 <> 0 THEN l_quantity END AS qty,
   CASE WHEN l_orderkey % 11 <> 0 THEN l_discount END AS disc,
   CASE WHEN (l_orderkey + l_linenumber) % 20 = 0 THEN l_tax END AS ghost,

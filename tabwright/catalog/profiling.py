@@ -56,7 +56,7 @@ def c1(spark, sf):
 
 @query(
     "c2_missingness",
-    f"""WITH r AS ({stack('avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END)::DOUBLE AS null_rate', ['l_orderkey', 'l_linenumber', 'price', 'qty', 'disc', 'ghost', 'flag', 'status'], LINEITEM_NULLS)})
+    f"""WITH r AS ({stack('avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END)::DOUBLE AS null_rate', ['l_orderkey', 'l_linenumber', 'rowkey', 'price', 'qty', 'disc', 'ghost', 'flag', 'status'], LINEITEM_NULLS)})
     SELECT feature, round(null_rate, 9) AS null_rate, round((SELECT avg(null_rate) FROM r), 9) AS overall_rate FROM r ORDER BY null_rate DESC, feature LIMIT 10""",
 )
 def c2(spark, sf):

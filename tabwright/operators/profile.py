@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import ordering
-from ..functions.columns import agg_long, as_numbers, is_missing, melt, melt_text, numeric_cols, text_cols
+from ..functions.columns import agg_long, as_numbers, is_missing, melt, melt_text, null_safe_join, numeric_cols, text_cols
 
 
 def regime(df: DataFrame) -> DataFrame:
@@ -293,8 +293,6 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int, keys: Sequence[str]
     """``(keys..., feature, bin, n, lo, hi)``: non-empty equal-width bins over each column's own range."""
     long = melt(df, cols, keys)
     span = agg_long(df, cols, {"lo": F.min, "hi": F.max}, keys)
-    from ..functions.columns import null_safe_join
-
     joined = null_safe_join(long, F.broadcast(span) if not keys else span, [*keys, "feature"])
     binned = joined.withColumn("bin", equal_width_bin(F.col("value"), F.col("lo"), F.col("hi"), bins))
     return binned.groupBy(*keys, "feature", "bin").agg(F.count(F.lit(1)).alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
