@@ -250,3 +250,22 @@ def carry(
         .withColumn(out, F.coalesce("__near", "__far"))
         .drop("__near", "__far", "__bucket")
     )
+
+
+def dense_index(levels: DataFrame, column: str, name: str = "__ix") -> DataFrame:
+    """0-based position of each distinct value in sorted order, for any orderable type.
+
+    The values are range-partitioned and sorted once into a checkpoint, whose
+    partitions then stay put, so a position is the partition offset plus the
+    place inside the partition.
+    """
+    from ..session import cut_lineage
+
+    placed = cut_lineage(levels.select(column).repartitionByRange(column).sortWithinPartitions(column))
+    marked = placed.select(column, F.monotonically_increasing_id().alias("__id"))
+    part, place = F.shiftright("__id", 33), F.col("__id").bitwiseAND((1 << 33) - 1)
+    marked = marked.withColumn("__part", part)
+    sizes = marked.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    return marked.join(F.broadcast(offsets), "__part").select(column, (F.col("__off") + place).alias(name))

@@ -145,9 +145,9 @@ def knn(queries: DataFrame, donors: DataFrame, k: int, skip_self: bool = False)
         # A block holds at most BLOCK_ROWS donors; its queries are cut into parts by their id,
         # each part meeting a copy of the block, so that one crowded block is many tasks.
         load = rows.groupBy("cell", "block").agg(F.ceil(F.count(F.lit(1)) / (4 * BLOCK_ROWS)).cast("int").alias("parts"))
-        q = rows.join(load, ["cell", "block"]).withColumn("part", F.pmod(F.xxhash64("pid"), F.col("parts")).cast("int"))
+        q = rows.join(load, ["cell", "block"]).withColumn("part", F.pmod(F.xxhash64("pid"), F.col("parts")).cast("int")).drop("parts")
         d = sided.select("vec", "pid", "copies", "cell", "block").join(load, ["cell", "block"])
-        d = d.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        d = d.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
         keys = ["cell", "block", "part"]
         return q.groupBy(*keys).cogroup(d.groupBy(*keys)).applyInPandas(search, found_type)
 
