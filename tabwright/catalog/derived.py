@@ -64,3 +64,23 @@ def orders_twice(spark: SparkSession, sf: str) -> DataFrame:
 
 
 ORDERS_TWICE = "(SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderkey % 50 = 0)"
+
+
+def orders_nulls(spark: SparkSession, sf: str) -> DataFrame:
+    """orders with a unique rowkey and nulls: qty 1 in 7, disc 1 in 11, flag 1 in 13."""
+    k, d = F.col("o_orderkey"), F.col("o_orderdate")
+    return table(spark, sf, "orders").select(
+        k.alias("rowkey"),
+        F.col("o_totalprice").alias("price"),
+        F.when(k % 7 != 0, F.dayofmonth(d).cast("double")).alias("qty"),
+        F.when(k % 11 != 0, F.month(d) / 100).alias("disc"),
+        F.when(k % 13 != 0, F.col("o_orderpriority")).alias("flag"),
+        F.col("o_orderstatus").alias("status"),
+    )
+
+
+ORDERS_NULLS = """(SELECT o_orderkey AS rowkey, o_totalprice AS price,
+  CASE WHEN o_orderkey % 7 <> 0 THEN day(o_orderdate)::DOUBLE END AS qty,
+  CASE WHEN o_orderkey % 11 <> 0 THEN month(o_orderdate)::DOUBLE / 100 END AS disc,
+  CASE WHEN o_orderkey % 13 <> 0 THEN o_orderpriority END AS flag,
+  o_orderstatus AS status FROM orders)"""

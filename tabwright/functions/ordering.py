@@ -183,14 +183,17 @@ def quantiles(
             )
         ).alias("__t"),
     )
-    picks = [F.max(F.when(F.col("__t.slot") == s, F.col("__v"))).alias(f"__p{s}") for s in range(2 * len(qs))]
-    last = found.groupBy(*keys).agg(F.max("__all").alias("__all"), *picks)
-    values = []
-    for i, q in enumerate(qs):
-        pos = F.lit(float(q)) * (F.col("__all") - 1)
-        lo, hi = F.col(f"__p{2 * i}"), F.col(f"__p{2 * i + 1}")
-        values.append(lo + (hi - lo) * (pos - F.floor(pos)))
-    return last.select(*keys, F.array(*values).alias("q"))
+    last = found.groupBy(*keys).agg(
+        F.max("__all").alias("__all"), F.map_from_entries(F.collect_list(F.struct("__t.slot", "__v"))).alias("__m")
+    )
+    share = F.array(*[F.lit(float(q)) for q in qs])
+
+    def interpolate(q: Column, i: Column) -> Column:
+        pos = q * (F.col("__all") - 1)
+        low, high = F.element_at("__m", 2 * i), F.element_at("__m", 2 * i + 1)
+        return low + (high - low) * (pos - F.floor(pos))
+
+    return last.select(*keys, F.transform(share, interpolate).alias("q"))
 
 
 def row_window(

@@ -425,5 +425,6 @@ def missing_flags(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def simple_fill(df: DataFrame, word: str = "missing") -> DataFrame:
     """Median for numbers, one word for text."""
     texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
-    out = median_fill(df, numeric_cols(df)) if numeric_cols(df) else df
+    gaps = [r["feature"] for r in missingness(df, numeric_cols(df)).filter(F.col("null_rate") > 0).collect()] if numeric_cols(df) else []
+    out = median_fill(df, gaps) if gaps else df
     return constant_fill(out, texts, word)

@@ -86,20 +86,27 @@ def yeo_johnson(x: Column, lam: float) -> Column:
 
 def _likelihoods(df: DataFrame, jobs: Mapping[str, Sequence[float]], kind: str) -> dict[str, list[float]]:
     """Profile log likelihood of every candidate lambda of every column, one aggregate."""
-    fn = boxcox if kind == "boxcox" else yeo_johnson
-    data = as_numbers(df, list(jobs))
-    aggs = []
-    for i, (c, grid) in enumerate(jobs.items()):
-        x = F.col(f"`{c}`")
-        jac = F.ln(F.when(x > 0, x)) if kind == "boxcox" else F.signum(x) * F.log1p(F.abs(x))
-        aggs += [F.count(x).alias(f"n{i}"), F.sum(jac).alias(f"j{i}")]
-        aggs += [F.var_pop(fn(x, lam)).alias(f"v{i}_{k}") for k, lam in enumerate(grid)]
-    row = data.agg(*aggs).first()
-    out = {}
-    for i, (c, grid) in enumerate(jobs.items()):
-        n, j = row[f"n{i}"], row[f"j{i}"] or 0.0
-        vs = [row[f"v{i}_{k}"] for k in range(len(grid))]
-        out[c] = [(lam - 1) * j - n / 2 * math.log(v) if v and v > 0 and math.isfinite(v) else -math.inf for lam, v in zip(grid, vs)]
+    x, lam = F.col("x"), F.col("lam")
+    if kind == "boxcox":
+        good = F.when(x > 0, x)
+        jac, y = F.ln(good), F.when(lam == 0, F.ln(good)).otherwise((F.pow(good, lam) - 1) / F.when(lam != 0, lam))
+    else:
+        jac = F.signum(x) * F.log1p(F.abs(x))
+        up = F.when(lam == 0, F.log1p(x)).otherwise((F.pow(x + 1, lam) - 1) / F.when(lam != 0, lam))
+        down = F.when(lam == 2, -F.log1p(-x)).otherwise(-(F.pow(1 - x, 2 - lam) - 1) / F.when(lam != 2, 2 - lam))
+        y = F.when(x >= 0, up).otherwise(down)
+    # One narrow row per candidate keeps the generated code small; counts per
+    # distinct candidate are combined before the shuffle.
+    cells = [
+        F.struct(F.lit(c).alias("feature"), observed(df, c).alias("x"), F.array(*[F.lit(float(v)) for v in grid]).alias("grid")) for c, grid in jobs.items()
+    ]
+    rows = df.select(F.inline(F.array(*cells))).filter(x.isNotNull()).select("feature", "x", F.posexplode("grid").alias("k", "lam"))
+    sums = rows.groupBy("feature", "k").agg(F.count(x).alias("n"), F.sum(jac).alias("j"), F.var_pop(y).alias("v")).collect()
+    out = {c: [-math.inf] * len(grid) for c, grid in jobs.items()}
+    for r in sums:
+        v, at = r["v"], jobs[r["feature"]][r["k"]]
+        if v and v > 0 and math.isfinite(v):
+            out[r["feature"]][r["k"]] = (at - 1) * (r["j"] or 0.0) - r["n"] / 2 * math.log(v)
     return out
 
 
@@ -144,13 +151,19 @@ def _rank_map(x: Column, marks: Sequence[float]) -> Column:
     """Position of x among the landmarks as a share in [0, 1]; ties take the middle."""
     k = len(marks)
     bits = k.bit_length()
-    arr = F.lit(np.array(list(marks) + [math.inf] * (2**bits - 1 - k), dtype=float))
+    # One text literal, folded to an array once, instead of a thousand literal nodes.
+    padded = [repr(float(m)) for m in marks] + ["Infinity"] * (2**bits - 1 - k)
+    arr = F.split(F.lit(",".join(padded)), ",").cast("array<double>")
     steps = F.array(*[F.lit(2**i) for i in reversed(range(bits))])
     find = lambda ok: F.aggregate(steps, F.lit(0), lambda at, s: F.when(ok(F.get(arr, at + s - 1)), at + s).otherwise(at))
-    ends = F.array(find(lambda m: m < x), find(lambda m: m <= x))
-    lo, hi = F.get(ends, F.lit(0)), F.get(ends, F.lit(1))
-    left, right = F.get(arr, lo - 1), F.get(arr, lo)
-    inside = F.when(lo < hi, (lo + hi - 1) / 2).otherwise(lo - 1 + F.try_divide(x - left, right - left))
+    def place(at: Column) -> Column:
+        lo, hi = at["lo"], at["hi"]
+        left, right = F.get(arr, lo - 1), F.get(arr, lo)
+        return F.when(lo < hi, (lo + hi - 1) / 2).otherwise(lo - 1 + F.try_divide(x - left, right - left))
+
+    # The positions are bound once by transform; a plain reference would repeat both searches.
+    ends = F.struct(find(lambda m: m < x).alias("lo"), find(lambda m: m <= x).alias("hi"))
+    inside = F.get(F.transform(F.array(ends), place), F.lit(0))
     return F.when(x <= F.lit(float(marks[0])), 0.0).when(x >= F.lit(float(marks[-1])), 1.0).otherwise(inside / (k - 1))
 
 
@@ -173,21 +186,9 @@ def shape_scores(df: DataFrame, jobs: Mapping[str, Mapping[str, Column]]) -> Dat
 
     p is the Jarque-Bera p value from the same moments; a constant scores p 1, skew 0.
     """
-    cells = [(c, m, e) for c, ms in jobs.items() for m, e in ms.items()]
-    parts = []
-    for start in range(0, len(cells), 60):
-        chunk = cells[start : start + 60]
-        named = df.select(*[e.alias(f"e{i}") for i, (_, _, e) in enumerate(chunk)])
-        aggs = []
-        for i in range(len(chunk)):
-            e = F.col(f"e{i}")
-            aggs += [F.count(e).alias(f"n{i}"), F.skewness(e).alias(f"s{i}"), F.kurtosis(e).alias(f"k{i}")]
-        rows = [
-            F.struct(F.lit(c).alias("feature"), F.lit(m).alias("method"), F.col(f"n{i}").cast("double").alias("n"), F.col(f"s{i}").alias("s"), F.col(f"k{i}").alias("k"))
-            for i, (c, m, _) in enumerate(chunk)
-        ]
-        parts.append(named.agg(*aggs).select(F.inline(F.array(*rows))))
-    out = reduce(lambda a, b: a.unionByName(b), parts)
+    cells = [F.struct(F.lit(c).alias("feature"), F.lit(m).alias("method"), e.alias("e")) for c, ms in jobs.items() for m, e in ms.items()]
+    rows = df.select(F.inline(F.array(*cells)))
+    out = rows.groupBy("feature", "method").agg(F.count("e").cast("double").alias("n"), F.skewness("e").alias("s"), F.kurtosis("e").alias("k"))
     ok = F.col("s").isNotNull() & ~F.isnan("s")
     p = F.exp(-F.col("n") / 12 * (F.col("s") * F.col("s") + F.col("k") * F.col("k") / 4))
     return out.select("feature", "method", F.when(ok, F.abs("s")).otherwise(0.0).alias("skew"), F.when(ok, p).otherwise(1.0).alias("p"))
