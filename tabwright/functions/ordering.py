@@ -10,6 +10,7 @@ unique ``tie`` column cuts such a bucket further.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -121,14 +122,21 @@ def average_rank(df: DataFrame, value: str, keys: Sequence[str] = (), edge_keys:
     return cum.withColumn("__rank", F.col("__cum") - (F.col("__n") - 1) / 2).drop("__cum")
 
 
-def _targets(qs: Sequence[float], n: Column) -> Column:
+def number_array(values: Sequence[float]) -> Column:
+    """A long constant array from one text literal, which folds to a single constant."""
+    return F.split(F.lit(",".join("Infinity" if v == math.inf else repr(float(v)) for v in values)), ",").cast("array<double>")
+
+
+def _targets(qs: Column, n: Column) -> Column:
     """0-based lower and upper positions of each linear-interpolated quantile."""
-    items = []
-    for i, q in enumerate(qs):
-        pos = F.lit(float(q)) * (n - 1)
-        items.append(F.struct(F.lit(2 * i).alias("slot"), F.floor(pos).cast("double").alias("at")))
-        items.append(F.struct(F.lit(2 * i + 1).alias("slot"), F.ceil(pos).cast("double").alias("at")))
-    return F.array(*items)
+
+    def both(q: Column, i: Column) -> Column:
+        pos = q * (n - 1)
+        low = F.struct((2 * i).alias("slot"), F.floor(pos).cast("double").alias("at"))
+        high = F.struct((2 * i + 1).alias("slot"), F.ceil(pos).cast("double").alias("at"))
+        return F.array(low, high)
+
+    return F.flatten(F.transform(qs, both))
 
 
 def quantiles(
@@ -146,10 +154,12 @@ def quantiles(
     a sort of only those buckets that hold a wanted position.
     """
     data = df.select(*keys, F.col(value).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
+    share = number_array(qs)
     if method == "auto":
-        method = "memory" if data.count() <= IN_MEMORY_ROWS else "buckets"
+        # The built-in aggregate walks all its values once per wanted quantile.
+        method = "memory" if len(qs) <= 100 and data.count() <= IN_MEMORY_ROWS else "buckets"
     if method == "memory":
-        exact = F.percentile("__v", [float(q) for q in qs])
+        exact = F.percentile("__v", share)
         return data.groupBy(*keys).agg(exact.alias("q")) if keys else data.agg(exact.alias("q"))
 
     cut = with_bucket(data, "__v", edge_keys)
@@ -164,7 +174,7 @@ def quantiles(
     )
     wanted = placed.withColumn(
         "__hits",
-        F.filter(_targets(qs, F.col("__all")), lambda t: (t["at"] >= F.col("__off")) & (t["at"] < F.col("__off") + F.col("__n"))),
+        F.filter(_targets(share, F.col("__all")), lambda t: (t["at"] >= F.col("__off")) & (t["at"] < F.col("__off") + F.col("__n"))),
     ).filter(F.size("__hits") > 0).select(*keys, "__bucket", "__off", "__all", "__hits")
     if set(keys) <= set(edge_keys):
         wanted = F.broadcast(wanted)
@@ -186,7 +196,6 @@ def quantiles(
     last = found.groupBy(*keys).agg(
         F.max("__all").alias("__all"), F.map_from_entries(F.collect_list(F.struct("__t.slot", "__v"))).alias("__m")
     )
-    share = F.array(*[F.lit(float(q)) for q in qs])
 
     def interpolate(q: Column, i: Column) -> Column:
         pos = q * (F.col("__all") - 1)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import special
+from ..functions.ordering import number_array
 from ..functions.columns import agg_long, as_numbers, numeric_cols, observed
 from .profile import feature_quantiles
 
@@ -151,9 +152,7 @@ def _rank_map(x: Column, marks: Sequence[float]) -> Column:
     """Position of x among the landmarks as a share in [0, 1]; ties take the middle."""
     k = len(marks)
     bits = k.bit_length()
-    # One text literal, folded to an array once, instead of a thousand literal nodes.
-    padded = [repr(float(m)) for m in marks] + ["Infinity"] * (2**bits - 1 - k)
-    arr = F.split(F.lit(",".join(padded)), ",").cast("array<double>")
+    arr = number_array(list(marks) + [math.inf] * (2**bits - 1 - k))
     steps = F.array(*[F.lit(2**i) for i in reversed(range(bits))])
     find = lambda ok: F.aggregate(steps, F.lit(0), lambda at, s: F.when(ok(F.get(arr, at + s - 1)), at + s).otherwise(at))
     def place(at: Column) -> Column:
