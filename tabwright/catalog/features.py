@@ -16,12 +16,12 @@ def orders(spark, sf):
 
 @query(
     "i1_group_aggregates",
-    """SELECT o_orderkey, o_custkey, round(avg(o_totalprice) OVER w, 4) AS o_custkey_o_totalprice_mean, round(max(o_totalprice) OVER w, 4) AS o_custkey_o_totalprice_max,
+    """SELECT o_orderkey, o_custkey, round(sum(o_totalprice) OVER w, 2) AS o_custkey_o_totalprice_sum, round(max(o_totalprice) OVER w, 2) AS o_custkey_o_totalprice_max,
     count(o_totalprice) OVER w AS o_custkey_o_totalprice_count FROM orders WINDOW w AS (PARTITION BY o_custkey)""",
 )
 def i1(spark, sf):
-    d = C.group_aggregates(orders(spark, sf), {"o_custkey": {"o_totalprice": ["mean", "max", "count"]}})
-    return rounded(d.drop("o_totalprice", "o_orderpriority", "o_orderstatus"), 4)
+    d = C.group_aggregates(orders(spark, sf), {"o_custkey": {"o_totalprice": ["sum", "max", "count"]}})
+    return rounded(d.drop("o_totalprice", "o_orderpriority", "o_orderstatus"), 2)
 
 
 @query("i2_ratio", "SELECT l_orderkey, l_linenumber, round(l_extendedprice / nullif(l_discount, 0), 4) AS l_extendedprice_div_l_discount FROM lineitem")
@@ -90,11 +90,11 @@ def i9u(spark, sf):
     return rounded(C.rolling(ev, ["value"], 5, "ts", ["user_id"], tie="event_id").drop("ts", "value", "user_id"))
 
 
-@query("i10_custom", "SELECT l_orderkey, l_linenumber, round(l_extendedprice * (1 - l_discount) * (1 + l_tax), 4) AS charge FROM lineitem WHERE l_quantity > 10")
+@query("i10_custom", "SELECT l_orderkey, l_linenumber, round(l_extendedprice * (1 - l_discount) * (1 + l_tax), 6) AS charge FROM lineitem WHERE l_quantity > 10")
 def i10(spark, sf):
     steps = [
         lambda d: d.filter(F.col("l_quantity") > 10),
-        lambda d: C.custom_columns(d, {"charge": lambda f: F.round(f["l_extendedprice"] * (1 - f["l_discount"]) * (1 + f["l_tax"]), 4)}),
+        lambda d: C.custom_columns(d, {"charge": lambda f: F.round(f["l_extendedprice"] * (1 - f["l_discount"]) * (1 + f["l_tax"]), 6)}),
     ]
     return C.custom_steps(table(spark, sf, "lineitem"), steps).select("l_orderkey", "l_linenumber", "charge")
 
@@ -149,7 +149,7 @@ def _cols(fn, kind, n):
 
 @query(
     "j1_mixed_split",
-    f"""SELECT p_partkey, code, {_cols("a", "alpha", 3)}, {_cols("d", "digits", 3)}, {_cols("p", "punct", 4)} FROM (SELECT *, regexp_extract_all(code, '([A-Za-z]+)', 1) AS a,
+    f"""SELECT p_partkey, code, {_cols("a", "alpha", 3)}, {_cols("d", "digits", 3)}, {_cols("p", "punct", 5)} FROM (SELECT *, regexp_extract_all(code, '([A-Za-z]+)', 1) AS a,
     regexp_extract_all(code, '(\\d+)', 1) AS d, regexp_extract_all(code, '([^\\w\\s]+)', 1) AS p FROM {CODE})""",
 )
 def j1(spark, sf):

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,17 +56,33 @@ def cross(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     return df.withColumns(out)
 
 
-def minhash(df: DataFrame, text: str, permutations: int = 128, out: str | None = None) -> DataFrame:
+def minhash(df: DataFrame, text: str, permutations: int = 128, out: str | None = None, seed: int = 42) -> DataFrame:
     """Signature of ``permutations`` minima of seeded token hashes; a text without tokens gets NULL.
 
-    Row-local: the tokens of one text never leave their row.
+    Row-local: distinct tokens are hashed by Spark, the seeded minima are taken
+    on Arrow batches.
     """
     words = F.array_distinct(F.filter(F.split(F.lower(F.col(text)), r"\s+"), lambda w: w != ""))
-    base = F.transform(words, lambda w: F.xxhash64(w))
-    seeds = F.sequence(F.lit(1), F.lit(permutations))
-    named = df.withColumn("__h", base)
-    sig = F.transform(seeds, lambda s: F.array_min(F.transform("__h", lambda h: F.xxhash64(h, s))))
-    return named.withColumn(out or f"{text}_minhash", F.when(F.size("__h") > 0, sig)).drop("__h")
+    rng = np.random.default_rng(seed)
+    masks = rng.integers(1, 2**63, permutations, dtype=np.uint64)
+    factor = np.uint64(0x9E3779B97F4A7C15)
+
+    @F.pandas_udf("array<bigint>")
+    def signature(hashes: pd.Series) -> pd.Series:
+        def one(h):
+            if h is None or not len(h):
+                return None
+            low = np.full(permutations, np.iinfo(np.int64).max)
+            codes = np.asarray(h).astype(np.int64).view(np.uint64)
+            for s in range(0, len(codes), 4096):
+                mixed = (codes[s : s + 4096, None] ^ masks[None, :]) * factor
+                mixed ^= mixed >> np.uint64(29)
+                low = np.minimum(low, (mixed >> np.uint64(1)).astype(np.int64).min(axis=0))
+            return low
+
+        return hashes.map(one)
+
+    return df.withColumn(out or f"{text}_minhash", signature(F.transform(words, lambda w: F.xxhash64(w))))
 
 
 def frequency_count(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -49,10 +50,17 @@ def mixed_matches(df: DataFrame, c: str, html: bool = True) -> DataFrame:
     return df.withColumns({f"{c}_{k}": F.regexp_extract_all(text, F.lit(p), F.lit(1)) for k, p in MIXED.items()})
 
 
+def json_schema(df: DataFrame, c: str) -> T.StructType:
+    """Schema of JSON text merged over all rows, inferred by the JSON reader."""
+    session = df.sparkSession
+    lines = getattr(df.select(c)._jdf, "as")(session._jvm.org.apache.spark.sql.Encoders.STRING())
+    return T.StructType.fromJson(json.loads(session._jsparkSession.read().json(lines).schema().json()))
+
+
 def flatten_json(df: DataFrame, c: str, schema: T.StructType | str | None = None) -> DataFrame:
     """JSON text as ``<col>_<path>`` columns; give the schema, or it is merged over all rows."""
     if schema is None:
-        schema = df.agg(F.expr(f"schema_of_json_agg(`{c}`)")).first()[0]
+        schema = json_schema(df, c)
     rest = [x for x in df.columns if x != c]
     parsed = df.select(*rest, F.from_json(c, schema).alias("__json"))
     paths = _paths(parsed.schema["__json"].dataType)
