@@ -25,6 +25,8 @@ SKETCH_ACCURACY = 10_000
 # Up to this many rows the built-in exact percentile (one hash map of distinct
 # values in memory) is the cheaper plan; beyond it the bucketed one is used.
 IN_MEMORY_ROWS = 2_000_000
+# Up to this many quantiles are bracketed one by one.
+MAX_BRACKETS = 25
 # Rows per chunk of a row-window.
 CHUNK_ROWS = 200_000
 
@@ -34,16 +36,22 @@ def _edges(value: str) -> Column:
     return F.percentile_approx(value, cuts, SKETCH_ACCURACY)
 
 
-def _slot(edges: Column, value: Column) -> Column:
-    """Ordered bucket number: odd when the value is itself an edge."""
-    steps = F.array(*[F.lit(2**i) for i in reversed(range(EDGE_BITS))])
-    below = F.aggregate(
-        steps,
-        F.lit(0),
-        lambda at, step: F.when(F.get(edges, at + step - 1) < value, at + step).otherwise(at),
-    )
-    is_edge = F.transform(F.array(below), lambda at: at * 2 + F.coalesce((F.get(edges, at) == value).cast("int"), F.lit(0)))
-    return F.get(is_edge, F.lit(0))
+def _with_slot(df: DataFrame, edges: str, value: str, out: str) -> DataFrame:
+    """Ordered bucket number ``out``: odd when the value is itself an edge.
+
+    A search by fours: each projection makes three comparisons. That keeps the
+    generated methods small enough to be compiled to machine code.
+    """
+    v, e = F.col(value), F.col(edges)
+    at, step = F.lit(0), 2**EDGE_BITS
+    for level in range(EDGE_BITS // 2):
+        step //= 4
+        hits = [(F.get(e, at + (i * step - 1)) < v).cast("int") for i in (1, 2, 3)]
+        name = f"{out}_{level}"
+        df = df.withColumn(name, at + (hits[0] + hits[1] + hits[2]) * step)
+        at = F.col(name)
+    is_edge = F.coalesce((F.get(e, at) == v).cast("int"), F.lit(0))
+    return df.withColumn(out, at * 2 + is_edge).drop(*[f"{out}_{i}" for i in range(EDGE_BITS // 2)])
 
 
 def with_bucket(df: DataFrame, value: str, edge_keys: Sequence[str] = (), tie: str | None = None) -> DataFrame:
@@ -58,12 +66,12 @@ def with_bucket(df: DataFrame, value: str, edge_keys: Sequence[str] = (), tie: s
         out = null_safe_join(base, F.broadcast(edges), edge_keys)
     else:
         out = base.withColumn("__edges", base.agg(_edges(value)).scalar())
-    slot = _slot(F.col("__edges"), F.col(value))
+    out = _with_slot(out, "__edges", value, "__slot").drop("__edges")
     if tie is None:
-        return out.withColumn("__bucket", slot.cast("long")).drop("__edges")
-    out = out.withColumn("__slot", slot).withColumn("__ties", base.agg(_edges(tie)).scalar())
-    inner = F.when(F.col("__slot") % 2 == 1, _slot(F.col("__ties"), F.col(tie))).otherwise(0)
-    return out.withColumn("__bucket", (F.col("__slot") * 1024 + inner).cast("long")).drop("__edges", "__slot", "__ties")
+        return out.withColumn("__bucket", F.col("__slot").cast("long")).drop("__slot")
+    out = _with_slot(out.withColumn("__ties", base.agg(_edges(tie)).scalar()), "__ties", tie, "__inner")
+    inner = F.when(F.col("__slot") % 2 == 1, F.col("__inner")).otherwise(0)
+    return out.withColumn("__bucket", (F.col("__slot") * 1024 + inner).cast("long")).drop("__slot", "__ties", "__inner")
 
 
 def running(
@@ -149,19 +157,73 @@ def quantiles(
 ) -> DataFrame:
     """Exact linear-interpolated quantiles as ``(keys..., q array<double>)``.
 
-    ``auto`` counts the rows and takes the built-in aggregate when they fit in
-    one buffer. Otherwise three linear passes: sketch edges, bucket counts, and
-    a sort of only those buckets that hold a wanted position.
+    ``memory``: the built-in aggregate, for inputs whose counted rows fit one
+    buffer. ``brackets``: a mergeable sketch brackets every wanted position; one
+    pass counts rows between the brackets and keeps values only inside them.
+    ``buckets``: for many quantiles, ordered buckets of which only those holding
+    a wanted position are sorted.
     """
     data = df.select(*keys, F.col(value).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
-    share = number_array(qs)
     if method == "auto":
-        # The built-in aggregate walks all its values once per wanted quantile.
-        method = "memory" if len(qs) <= 100 and data.count() <= IN_MEMORY_ROWS else "buckets"
+        if len(qs) > MAX_BRACKETS:
+            method = "buckets"
+        else:
+            # The built-in aggregate walks all its values once per wanted quantile.
+            method = "memory" if data.count() <= IN_MEMORY_ROWS else "brackets"
     if method == "memory":
-        exact = F.percentile("__v", share)
+        exact = F.percentile("__v", number_array(qs))
         return data.groupBy(*keys).agg(exact.alias("q")) if keys else data.agg(exact.alias("q"))
+    if method == "brackets":
+        return _bracketed(data, qs, keys, edge_keys)
+    return _bucketed(data, qs, keys, edge_keys)
+
+
+def _bracketed(data: DataFrame, qs: Sequence[float], keys: Sequence[str], edge_keys: Sequence[str]) -> DataFrame:
+    order = sorted(set(float(q) for q in qs))
+    slack = 3.0 / SKETCH_ACCURACY
+    ends = [min(max(q + d, 0.0), 1.0) for q in order for d in (-slack, slack)]
+    marks = data.groupBy(*keys).agg(F.percentile_approx("__v", ends, SKETCH_ACCURACY).alias("__e"), F.count(F.lit(1)).cast("double").alias("__all"))
+    # The ends of the data belong to the outer brackets whatever the sketch says.
+    low, high = F.lit(float("-inf")), F.lit(float("inf"))
+    edge = [low if q <= 0.0 else high if q >= 1.0 else F.get("__e", F.lit(i)) for i, q in enumerate(ends)]
+    marks = marks.select(*keys, "__all", *[e.alias(f"__e{i}") for i, e in enumerate(edge)])
+    if not keys or set(keys) <= set(edge_keys):
+        marks = F.broadcast(marks)
+    one = F.lit(1)
+    joined = null_safe_join(data, marks, keys) if keys else data.withColumn("__k", one).join(marks.withColumn("__k", one), "__k").drop("__k")
+    v = F.col("__v")
+    inside = F.lit(False)
+    for i in range(len(order)):
+        inside = inside | ((v >= F.col(f"__e{2 * i}")) & (v <= F.col(f"__e{2 * i + 1}")))
+    # Rows outside every bracket only count, one group per gap; a gap's smallest value places it in order.
+    gap = sum(((v > F.col(f"__e{i}")).cast("int") for i in range(1, 2 * len(order))), (v > F.col("__e0")).cast("int"))
+    slim = joined.select(*keys, "__all", gap.alias("__gap"), F.when(inside, v).alias("__in"), v)
+    counts = slim.groupBy(*keys, "__gap", "__in").agg(F.count(one).cast("double").alias("__n"), F.min("__v").alias("__at"), F.max("__all").alias("__all"))
+    upto = Window.partitionBy(*keys).orderBy("__at").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.withColumn("__cum", F.sum("__n").over(upto)).filter(F.col("__in").isNotNull())
+    share = number_array(order)
+    hits = F.filter(_targets(share, F.col("__all")), lambda t: (t["at"] >= F.col("__cum") - F.col("__n")) & (t["at"] < F.col("__cum")))
+    found = ranked.select(*keys, F.col("__in").alias("__v"), "__all", F.explode(hits).alias("__t"))
+    return _interpolated(found, order, qs, keys)
+
+
+def _interpolated(found: DataFrame, order: Sequence[float], qs: Sequence[float], keys: Sequence[str]) -> DataFrame:
+    """Quantiles in the order of ``qs`` from values found at lower and upper positions of ``order``."""
+    last = found.groupBy(*keys).agg(F.max("__all").alias("__all"), F.map_from_entries(F.collect_list(F.struct("__t.slot", "__v"))).alias("__m"))
+
+    def at(q: Column, i: Column) -> Column:
+        pos = q * (F.col("__all") - 1)
+        low, high = F.element_at("__m", 2 * i), F.element_at("__m", 2 * i + 1)
+        return low + (high - low) * (pos - F.floor(pos))
+
+    out = last.select(*keys, F.transform(number_array(order), at).alias("q"))
+    if list(order) == [float(q) for q in qs]:
+        return out
+    return out.select(*keys, F.array(*[F.get("q", F.lit(list(order).index(float(q)))) for q in qs]).alias("q"))
 
+
+def _bucketed(data: DataFrame, qs: Sequence[float], keys: Sequence[str], edge_keys: Sequence[str]) -> DataFrame:
+    share = number_array(qs)
     cut = with_bucket(data, "__v", edge_keys)
     counts = cut.groupBy(*keys, "__bucket").agg(F.count(F.lit(1)).cast("double").alias("__n"))
     before = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -193,16 +255,7 @@ def quantiles(
             )
         ).alias("__t"),
     )
-    last = found.groupBy(*keys).agg(
-        F.max("__all").alias("__all"), F.map_from_entries(F.collect_list(F.struct("__t.slot", "__v"))).alias("__m")
-    )
-
-    def interpolate(q: Column, i: Column) -> Column:
-        pos = q * (F.col("__all") - 1)
-        low, high = F.element_at("__m", 2 * i), F.element_at("__m", 2 * i + 1)
-        return low + (high - low) * (pos - F.floor(pos))
-
-    return last.select(*keys, F.transform(share, interpolate).alias("q"))
+    return _interpolated(found, [float(q) for q in qs], qs, keys)
 
 
 def row_window(
