@@ -186,6 +186,9 @@ def _bracketed(data: DataFrame, qs: Sequence[float], keys: Sequence[str], edge_k
     # The ends of the data belong to the outer brackets whatever the sketch says.
     low, high = F.lit(float("-inf")), F.lit(float("inf"))
     edge = [low if q <= 0.0 else high if q >= 1.0 else F.get("__e", F.lit(i)) for i, q in enumerate(ends)]
+    # In a small group the slack is less than one position: keep all its values.
+    small = F.col("__all") < 20 * SKETCH_ACCURACY
+    edge = [F.when(small, low if i % 2 == 0 else high).otherwise(e) for i, e in enumerate(edge)]
     marks = marks.select(*keys, "__all", *[e.alias(f"__e{i}") for i, e in enumerate(edge)])
     if not keys or set(keys) <= set(edge_keys):
         marks = F.broadcast(marks)

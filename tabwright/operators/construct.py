@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ordering
 from ..functions.columns import null_safe_join, numeric_cols, observed
+from ..session import cut_lineage
 from .association import is_regression, mutual_information
 from .profile import target_correlations
 
@@ -156,7 +157,7 @@ def lags(df: DataFrame, c: str, steps: Sequence[int], order: str, keys: Sequence
     if backfill:
         for k in steps:
             name = f"{c}_lag{k}"
-            out = ordering.carry(out, name, order, "__filled", keys, tie, forward=False).drop(name).withColumnRenamed("__filled", name)
+            out = ordering.carry(cut_lineage(out), name, order, "__filled", keys, tie, forward=False).drop(name).withColumnRenamed("__filled", name)
     return out
 
 

@@ -229,9 +229,9 @@ def parametric_pit(df: DataFrame, c: str, cdf: Callable[[Column], Column]) -> Da
 
 def normal_scores(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``<col>_z``: normal quantile of the average rank over n + 1, complete rows."""
-    out = as_numbers(df, cols).dropna()
+    base = out = as_numbers(df, cols).dropna()
     for c in cols:
-        ranks = ordering.average_rank(out.select(F.col(f"`{c}`").alias("__x")), "__x")
+        ranks = ordering.average_rank(base.select(F.col(f"`{c}`").alias("__x")), "__x")
         z = special.norm_ppf_col(F.col("__rank") / (F.col("__cum__all") + 1))
         out = out.join(ranks.select(F.col("__x"), z.alias(f"{c}_z")), F.col(f"`{c}`") == F.col("__x")).drop("__x")
     return out

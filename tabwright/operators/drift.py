@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 
 from ..functions import ordering, special
 from ..functions.columns import as_numbers, hash_unit, melt, melt_text, numeric_cols, observed, text_cols
+from ..session import cut_lineage
 from .association import chi_square
 from .profile import feature_quantiles, histogram
 
@@ -302,11 +303,12 @@ def page_hinkley(df: DataFrame, value: str, order: str, tie: str | None = None,
     """Rows with the Page-Hinkley statistic in closed running form: ``(..., ph, drift)``.
 
     The running mean, the running sum of deviations and its running minimum are
-    prefix operations, each taken over ordered buckets.
+    prefix operations, each taken over ordered buckets. Lineage is cut between
+    them, as every prefix pass reads its input several times.
     """
-    sums = ordering.running(df, order, {"__s": F.col(value), "__c": F.lit(1)}, tie=tie).drop("__s__all", "__c__all")
+    sums = cut_lineage(ordering.running(df, order, {"__s": F.col(value), "__c": F.lit(1)}, tie=tie).drop("__s__all", "__c__all"))
     dev = sums.withColumn("__d", F.col(value) - F.col("__s") / F.col("__c") - delta)
-    total = ordering.running(dev.drop("__s"), order, {"__m": F.col("__d")}, tie=tie).drop("__m__all", "__d")
+    total = cut_lineage(ordering.running(dev.drop("__s"), order, {"__m": F.col("__d")}, tie=tie).drop("__m__all", "__d"))
     low = running_min(total, "__m", order, tie)
     out = low.withColumn("ph", F.col("__m") - F.least(F.lit(0.0), F.col("__low")))
     return out.withColumn("drift", F.col("ph") > threshold).drop("__m", "__low", "__c")
@@ -329,7 +331,7 @@ def ddm(df: DataFrame, error: str, order: str, tie: str | None = None, warn: flo
     The running error rate is a prefix sum; the best (p + s) so far is a running
     minimum that carries its own p and s along in a struct.
     """
-    sums = ordering.running(df, order, {"__e": F.col(error), "__n": F.lit(1)}, tie=tie).drop("__e__all", "__n__all")
+    sums = cut_lineage(ordering.running(df, order, {"__e": F.col(error), "__n": F.lit(1)}, tie=tie).drop("__e__all", "__n__all"))
     p = F.col("__e") / F.col("__n")
     rows = sums.withColumn("p", p).withColumn("s", F.sqrt(F.col("p") * (1 - F.col("p")) / F.col("__n")))
     best = F.when(F.col("__n") >= min_rows, F.struct((F.col("p") + F.col("s")).alias("ps"), F.col("p").alias("bp"), F.col("s").alias("bs")))
