@@ -55,42 +55,64 @@ def margins(idx: pd.Series, val: pd.Series, weights: np.ndarray) -> np.ndarray:
     return np.bincount(rows, vals * weights[cols], minlength=len(idx)) + weights[-1]
 
 
-def fit_logistic(sample: DataFrame, dim: int, rounds: int = 60, l2: float = 1e-4) -> np.ndarray:
+def minimized(cost, start: np.ndarray, rounds: int, memory: int = 10) -> np.ndarray:
+    """L-BFGS: ``cost`` gives value and gradient, at most ``rounds`` times; a step that does not lower the value enough is halved."""
+    x, (value, grad), pairs, calls = start, cost(start), [], 1
+    while calls < rounds and np.abs(grad).max() > 1e-7:
+        d, alphas = grad.copy(), []
+        for s, y in reversed(pairs):
+            alphas.append(s @ d / (s @ y))
+            d -= alphas[-1] * y
+        d *= pairs[-1][0] @ pairs[-1][1] / (pairs[-1][1] @ pairs[-1][1]) if pairs else 1.0
+        for (s, y), alpha in zip(pairs, reversed(alphas), strict=True):
+            d += (alpha - y @ d / (s @ y)) * s
+        step = 1.0
+        while calls < rounds:
+            after, calls = cost(x - step * d), calls + 1
+            if after[0] <= value - 1e-4 * step * (grad @ d):
+                break
+            step /= 2
+        else:
+            return x
+        s, y = -step * d, after[1] - grad
+        if s @ y > 1e-12:
+            pairs = [*pairs, (s, y)][-memory:]
+        x, (value, grad) = x + s, after
+    return x
+
+
+def fit_logistic(sample: DataFrame, dim: int, rounds: int = 30, l2: float = 1e-5) -> np.ndarray:
     """Weights (``dim`` and an intercept) of a logistic regression.
 
-    ``sample`` has ``idx array<int>``, ``val array<double>`` of unit length and a soft label ``y`` in [0, 1]; it is
-    bounded by its caller and best read from a table of a few files. Each round is one pass in which every
-    partition sums its gradient; the driver adds these vectors of ``dim + 1`` numbers and takes an accelerated step. Without rows all weights are zero.
+    ``sample`` has ``idx array<int>``, ``val array<double>`` of length 1 at most and a soft label ``y`` in [0, 1]; it is
+    bounded by its caller and best read from a table of a few files. Each of at most ``rounds`` passes has every partition sum its loss and
+    gradient; the driver adds these vectors of ``dim + 1`` numbers and takes a quasi-Newton step. Without rows all weights are zero.
     """
 
     def gradient(weights: np.ndarray):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            total, n = np.zeros(dim + 1), 0
+            total, n, loss = np.zeros(dim + 1), 0, 0.0
             for b in batches:
                 rows, cols, vals = _sparse(b.idx, b.val)
-                miss = 1 / (1 + np.exp(-np.clip(np.bincount(rows, vals * weights[cols], minlength=len(b)) + weights[-1], -30, 30))) - b.y.to_numpy()
+                z, y = np.bincount(rows, vals * weights[cols], minlength=len(b)) + weights[-1], b.y.to_numpy()
+                loss += float((np.logaddexp(0, z) - y * z).sum())
+                miss = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - y
                 total[:dim] += np.bincount(cols, vals * miss[rows], minlength=dim)
                 total[dim] += miss.sum()
                 n += len(b)
             if n:
-                yield pd.DataFrame({"n": [n], "g": [total.tobytes()]})
+                yield pd.DataFrame({"n": [n], "loss": [loss], "g": [total.tobytes()]})
 
         return run
 
-    w = look = np.zeros(dim + 1)
-    momentum = 1.0
-    for _ in range(rounds):
-        parts = sample.mapInPandas(gradient(look), "n long, g binary").collect()
-        n = sum(p.n for p in parts)
-        if not n:
-            break
-        g = np.sum(sorted((np.frombuffer(p.g) for p in parts), key=lambda v: v.tobytes()), axis=0) / n
-        g[:-1] += l2 * look[:-1]
-        nxt = look - 2.0 * g  # a unit row and an intercept: the curvature is at most 1/2
-        after = (1 + (1 + 4 * momentum**2) ** 0.5) / 2
-        look = nxt + (momentum - 1) / after * (nxt - w)
-        w, momentum = nxt, after
-    return w
+    def cost(weights: np.ndarray) -> tuple[float, np.ndarray]:
+        parts = sorted(sample.mapInPandas(gradient(weights), "n long, loss double, g binary").collect(), key=lambda p: bytes(p.g))
+        n = max(sum(p.n for p in parts), 1)
+        g = sum((np.frombuffer(p.g) for p in parts), np.zeros(dim + 1)) / n
+        bare = np.append(weights[:-1], 0)
+        return sum(p.loss for p in parts) / n + l2 / 2 * float(bare @ bare), g + l2 * bare
+
+    return minimized(cost, np.zeros(dim + 1), rounds)
 
 
 def bounded_sample(df: DataFrame, key: Column, bound: int, n: int) -> DataFrame:

@@ -44,7 +44,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 if len(seen) > FLUSH:
                     yield pd.DataFrame({"word": list(seen.keys()), "n": list(seen.values())})
                     seen = Counter()
-        yield pd.DataFrame({"word": list(seen.keys()), "n": list(seen.values())})
+        if seen:
+            yield pd.DataFrame({"word": list(seen.keys()), "n": list(seen.values())})
 
     return docs.filter("not __held").select("__text").mapInPandas(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
@@ -148,8 +149,9 @@ def train(encoded: DataFrame, states: int, rounds: int) -> tuple[np.ndarray, np.
         for b in batches:
             for c in b["__codes"]:
                 total += np.bincount(np.frombuffer(c, np.uint16), minlength=CLASSES)
-        seen = np.flatnonzero(total)
-        yield pd.DataFrame({"k": seen, "v": list(total[seen, None])})
+        if total.any():
+            seen = np.flatnonzero(total)
+            yield pd.DataFrame({"k": seen, "v": list(total[seen, None])})
 
     def added(run, width: int) -> dict[int, np.ndarray]:
         summed = source.mapInPandas(run, schema).groupBy("k").agg(*[F.sum(F.get("v", i)).alias(f"v{i}") for i in range(width)])
@@ -213,8 +215,9 @@ def score(docs: DataFrame, states: int = 6, rounds: int = 5, id_col: str = "doc_
                 for t in part["__text"]:
                     words = bytes(t).lower().split()
                     seen = Counter(words)
-                    for w in seen.keys() - classes.keys():
-                        classes[w] = rare_class(w)
+                    for w in seen:
+                        if w not in classes:
+                            classes[w] = rare_class(w)
                     codes = np.fromiter(map(classes.__getitem__, words), np.uint16, len(words))
                     if len(classes) > FLUSH:
                         classes = dict(own)

@@ -33,14 +33,14 @@ TEMPLATES = {
 }
 
 
-def normalized(text: Column) -> Column:
-    """Runs of a-z and 0-9 after lower-casing, one blank between; null counts as empty."""
-    return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[^a-z0-9]+", " "))
+def words(text: Column) -> Column:
+    """Runs of a-z and 0-9 after lower-casing; null has none."""
+    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), "[^a-z0-9]+", -1), lambda w: w != "")
 
 
-def bigrams(text: Column) -> Column:
-    """The distinct word bigrams of a normalised text."""
-    return let(F.split(text, " "), lambda w: F.array_distinct(F.when(F.size(w) > 1, F.transform(F.sequence(F.lit(1), F.size(w) - 1), lambda i: F.concat_ws(" ", F.get(w, i - 1), F.get(w, i)))).otherwise(F.array().cast("array<string>"))))
+def bigrams(tokens: Column) -> Column:
+    """The distinct word bigrams."""
+    return let(tokens, lambda w: F.array_distinct(F.when(F.size(w) > 1, F.transform(F.sequence(F.lit(1), F.size(w) - 1), lambda i: F.concat_ws(" ", F.get(w, i - 1), F.get(w, i)))).otherwise(F.array().cast("array<string>"))))
 
 
 def sizes(n: int, least: float) -> range:
@@ -52,21 +52,25 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, least: fl
     """Rows (id, ``line_no``, ``license``, ``template_no``, ``dice``) of every text unit that reaches ``least`` with a template.
 
     Units are all lines of the whole text (from 1) and, for texts of several lines, the whole text (line 0). A unit meets only
-    templates whose size admits ``least``: the templates are laid out by admissible bigram count and joined on the unit's
+    templates whose size admits ``least``: units with too few words or too many distinct ones for any template go first, and the templates are laid out by admissible bigram count and joined on the unit's
     count. That table is as long as the caller's templates, never as the data, so it is broadcast; the texts are not shuffled.
     Null and empty texts have no units with bigrams and give no row; repeated rows are scanned each; a template of one word or none is refused.
     """
     spark = docs.sparkSession
     notices = spark.createDataFrame([(name, i, t) for name, texts in templates.items() for i, t in enumerate(texts)], "license string, template_no long, wording string")
-    notices = notices.select("license", "template_no", bigrams(normalized(F.col("wording"))).alias("pattern")).collect()
+    notices = notices.select("license", "template_no", bigrams(words(F.col("wording"))).alias("pattern")).collect()
     if any(not r.pattern for r in notices):
         raise ValueError("a template needs two words at least")
     by_size = [(n, r.license, r.template_no, r.pattern) for r in notices for n in sizes(len(r.pattern), least)]
     table = spark.createDataFrame(by_size, "n int, license string, template_no long, pattern array<string>")
-    lines = F.split(F.coalesce(F.col("__text"), F.lit("")), "\n", -1)
-    units = let(lines, lambda x: F.when(F.size(x) > 1, F.concat(F.array(F.concat_ws("\n", x)), x)).otherwise(F.concat(F.array(F.lit("")), x)))
-    found = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).select("__id", F.posexplode(units).alias("line_no", "__unit"))
-    found = found.select("__id", F.col("line_no").cast("long").alias("line_no"), bigrams(normalized(F.col("__unit"))).alias("__b"))
-    found = found.select("__id", "line_no", "__b", F.size("__b").alias("n")).filter("n > 0").join(F.broadcast(table), "n")
+    fewest, most = min(r[0] for r in by_size), max(r[0] for r in by_size)
+    lines = F.transform(F.split(F.coalesce(F.col("__text"), F.lit("")), "\n", -1), words)
+    units = let(lines, lambda x: F.when(F.size(x) > 1, F.concat(F.array(F.flatten(x)), x)).otherwise(F.concat(F.array(F.array().cast("array<string>")), x)))
+    numbered = F.transform(units, lambda w, i: F.struct(i.cast("long").alias("line_no"), w.alias("w")))
+    # Bigrams are one fewer than words at most and one fewer than distinct words at least.
+    admissible = F.filter(numbered, lambda u: (F.size(u["w"]) > fewest) & (F.size(F.array_distinct(u["w"])) <= most + 1))
+    found = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).select("__id", F.explode(admissible).alias("u"))
+    found = found.select("__id", "u.line_no", bigrams(F.col("u.w")).alias("__b"))
+    found = found.select("__id", "line_no", "__b", F.size("__b").alias("n")).join(F.broadcast(table), "n")
     dice = 2.0 * F.size(F.array_intersect("__b", "pattern")) / (F.col("n") + F.size("pattern"))
     return found.select(F.col("__id").alias(id_col), "line_no", "license", "template_no", dice.alias("dice")).filter(F.col("dice") >= least)

@@ -9,16 +9,25 @@ from pyspark.sql import functions as F
 
 from .common import bounded_sample, let, saved
 
-BUCKETS = 1 << 14
+BUCKETS = 1 << 15
+STEM = 5
 
 
 def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", -1), lambda w: w != "")
 
 
-def buckets(tokens: Column) -> Column:
-    """The distinct hashed words of a text."""
-    return F.array_distinct(F.transform(tokens, lambda w: (F.crc32(w) % BUCKETS).cast("int")))
+def buckets(text: Column, tokens: Column) -> Column:
+    """The distinct hashed stems (first letters) of a text's words, and three of its traits in bins: repeated words, marks and capitals a word."""
+    n = F.greatest(F.size(tokens), F.lit(1))
+    traits = [
+        ("#distinct", 10 * F.size(F.array_distinct(tokens)) / n),
+        ("#marks", 10 * F.regexp_count(text, F.lit(r"[^\p{L}\p{N}\s.,;:?'\"()-]")) / n),
+        ("#capitals", 10 * F.regexp_count(text, F.lit(r"\p{Lu}{2}")) / n),
+    ]
+    binned = [F.crc32(F.concat(F.lit(name), F.least(F.lit(20), F.floor(F.coalesce(x, F.lit(0.0)))).cast("string"))) for name, x in traits]
+    hashed = F.concat(F.transform(tokens, lambda w: F.crc32(F.substring(w, 1, STEM))), F.array(*binned))
+    return F.array_distinct(F.transform(hashed, lambda h: (h % BUCKETS).cast("int")))
 
 
 def _numbers(values: list[float]) -> Column:
@@ -29,11 +38,11 @@ def _numbers(values: list[float]) -> Column:
 def fit_domains(labelled: DataFrame, domains: list[str], certain: float = 3.0) -> dict[str, list[float]]:
     """Weights of each domain: its log prior, then one for each bucket, from a bounded table (``__text``, ``domain``).
 
-    Naive Bayes on the presence of hashed words: a bucket's weight is the log ratio of its rate inside the domain to its rate outside, and 0 unless
+    Naive Bayes on the presence of hashed stems and traits: a bucket's weight is the log ratio of its rate inside the domain to its rate outside, and 0 unless
     ``certain`` standard errors from 0. A domain without labelled rows gets no evidence and a prior of half a document. Only the counts by domain and bucket, at most
     domains x ``BUCKETS`` rows, reach the driver.
     """
-    rows = saved(labelled.filter(F.col("domain").isin(domains)).select("domain", buckets(words(F.col("__text"))).alias("b")), "labelled")
+    rows = saved(labelled.filter(F.col("domain").isin(domains)).select("domain", let(words(F.col("__text")), lambda w: buckets(F.col("__text"), w)).alias("b")), "labelled")
     sizes = {r.domain: r.n for r in rows.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     counts = {(r.domain, r.b): r.n for r in rows.select("domain", F.explode("b").alias("b")).groupBy("domain", "b").agg(F.count("*").alias("n")).collect()}
     total, everywhere = sum(sizes.values()), {}
@@ -60,7 +69,7 @@ def membership(text: Column, model: dict[str, list[float]]) -> Column:
         return F.aggregate(found, F.lit(float(prior)), lambda acc, b: acc + F.get(weights, b))
 
     def scored(w: Column) -> Column:
-        logs = let(buckets(w), lambda bs: F.array(*[total(bs, prior, weights) for prior, weights in tables]))
+        logs = let(buckets(text, w), lambda bs: F.array(*[total(bs, prior, weights) for prior, weights in tables]))
         shares = let(logs, lambda z: let(F.transform(z, lambda x: F.exp(x - F.array_max(z))), lambda e: F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, v: a + v))))
         return F.struct(F.size(w).cast("long").alias("n_tokens"), shares.alias("p"))
 
@@ -91,29 +100,43 @@ def _solve(matrix: list[list[float]], right: list[float]) -> list[float]:
     return [rows[i][k] / rows[i][i] if rows[i][i] else 0.0 for i in range(k)]
 
 
-def fit_rates(members: DataFrame, targets: list[float] | None, shares: list[float], rounds: int = 30, tolerance: float = 1e-4) -> list[list[float]]:
+def fit_rates(members: DataFrame, targets: list[float] | None, shares: list[float], rounds: int = 40, tolerance: float = 1e-5) -> list[list[float]]:
     """Steps of projected-gradient least squares on (``n_tokens``, ``p``) so that expected domain token totals meet ``targets``.
 
-    Least squares in the metric of G = sum of n p p': there the gradient step of length one is r <- max(0, r - p . s) with G s = totals - targets, a
-    descent that needs no step search. A round is one aggregate of as many sums as there are domains; a rate is a fold over the steps so far,
-    so nothing is kept per document between rounds. Without ``targets`` they are ``shares`` of the total at which the domain of the largest share keeps its tokens.
+    Least squares in the metric of G = sum of n p p' over the documents whose rate is not 0: there the gradient step is r <- max(0, r - p . s) with
+    G s = totals - targets. A step that does not bring the totals nearer is halved and taken again. A round is one aggregate of as many sums as there are pairs of domains; a
+    rate is a fold over the steps so far, so nothing is kept per document between rounds. Without ``targets`` they are ``shares`` of the total at
+    which the domain of the largest share keeps its tokens. Ends when all gaps are within ``tolerance`` of all tokens.
     """
     k = len(shares)
-    g = members.agg(*[F.sum(F.col("n_tokens") * F.get("p", i) * F.get("p", j)).alias(f"g{i}_{j}") for i in range(k) for j in range(k)], *[F.sum(F.col("n_tokens") * F.get("p", i)).alias(f"t{i}") for i in range(k)]).first()
-    gram = [[g[f"g{i}_{j}"] or 0.0 for j in range(k)] for i in range(k)]
-    have = [g[f"t{i}"] or 0.0 for i in range(k)]
+
+    def totals(steps: list[list[float]]) -> tuple[list[float], list[list[float]]]:
+        rated = members.select("n_tokens", "p", rate_of(F.col("p"), steps).alias("r"))
+        live = F.when(F.col("r") > 0, F.col("n_tokens")).otherwise(0)
+        row = rated.agg(
+            *[F.sum(F.col("r") * F.col("n_tokens") * F.get("p", i)).alias(f"t{i}") for i in range(k)],
+            *[F.sum(live * F.get("p", i) * F.get("p", j)).alias(f"g{i}_{j}") for i in range(k) for j in range(k)],
+        ).first()
+        return [row[f"t{i}"] or 0.0 for i in range(k)], [[row[f"g{i}_{j}"] or 0.0 for j in range(k)] for i in range(k)]
+
+    have, gram = totals([])
+    size = max(sum(have), 1.0)
     if targets is None:
         main = max(range(k), key=lambda i: shares[i])
         targets = [s * have[main] / shares[main] for s in shares]
     steps: list[list[float]] = []
-    size = max(sum(have), 1.0)
+    gaps = [h - t for h, t in zip(have, targets, strict=True)]
+    step = _solve(gram, gaps)
     for _ in range(rounds):
-        gaps = [h - t for h, t in zip(have, targets, strict=True)]
         if max(map(abs, gaps), default=0.0) <= tolerance * size:
             break
-        steps.append(_solve(gram, gaps))
-        r = members.select("n_tokens", "p", rate_of(F.col("p"), steps).alias("r")).agg(*[F.sum(F.col("r") * F.col("n_tokens") * F.get("p", i)).alias(f"t{i}") for i in range(k)]).first()
-        have = [r[f"t{i}"] or 0.0 for i in range(k)]
+        have, fresh = totals([*steps, step])
+        after = [h - t for h, t in zip(have, targets, strict=True)]
+        if sum(x * x for x in after) < sum(x * x for x in gaps):
+            steps, gaps = [*steps, step], after
+            step = _solve(fresh, gaps)
+        else:
+            step = [x / 2 for x in step]
     return steps
 
 

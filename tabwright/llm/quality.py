@@ -14,12 +14,16 @@ from pyspark.sql import functions as F
 
 from .common import bounded_sample, fit_logistic, margins, saved
 
-DIM = 1 << 15
+#: Slots of the scorer, the last BINS of them for signals.
+DIM, BINS = 1 << 13, 1 << 10
 SYMBOLS = b"#$%&*!|~^=+<>{}[]\\@_"
 UPPERS = bytes(range(65, 91))
 LOWERS = bytes(range(97, 123))
+SPACES = b" \t\n\r\x0b\x0c"
+#: Letters by case, digits and marks; other bytes stay.
 SHAPE = bytes(65 if 65 <= c <= 90 else 48 if 48 <= c <= 57 else 97 if 97 <= c <= 122 or c >= 128 else c for c in range(256))
-MEMO = 200_000
+#: Every symbol as "#" and every space as a blank.
+MARKS = bytes(35 if c in SYMBOLS + b"!-?" else 32 if c in SPACES else c for c in range(256))
 
 #: Labellers: signal, smallest number of words, and the bounds of "bad" and "good"; between them the labeller abstains.
 LABELLERS = [
@@ -27,6 +31,7 @@ LABELLERS = [
     ("variety", 30, "<=", 0.45, ">=", 0.7),
     ("upper", 5, ">=", 0.5, "<=", 0.2),
     ("symbols", 5, ">=", 0.06, "<=", 0.01),
+    ("tails", 5, ">=", 0.1, "<=", 0.02),
     ("bars", 5, ">=", 0.15, "<=", 0.01),
     ("ends", 5, "<=", 0.05, ">=", 0.5),
     ("length", 1, ">=", 15.0, "<=", 9.0),
@@ -38,14 +43,15 @@ HOLDS = {">=": operator.ge, "<=": operator.le}
 def signals(text: bytes, words: list[bytes]) -> dict[str, float]:
     """Numbers about the whole text that labellers look at."""
     n = max(len(words), 1)
-    size = max(sum(map(len, words)), 1)
+    size = max(len(text.translate(None, SPACES)), 1)
     lower, upper = len(text) - len(text.translate(None, LOWERS)), len(text) - len(text.translate(None, UPPERS))
     lines = [x for x in text.split(b"\n") if x.strip()]
     return {
         "repeat": sum(map(operator.eq, words, words[1:])) / n,
-        "variety": len(set(zip(words, words[1:], strict=False))) / max(n - 1, 1),
+        "variety": len(set(zip(words, words[1:], strict=False))) / (n - 1) if n > 1 else 1.0,
         "upper": upper / max(upper + lower, 1),
         "symbols": (len(text) - len(text.translate(None, SYMBOLS))) / size,
+        "tails": (text + b" ").translate(MARKS).count(b"## ") / n,
         "bars": words.count(b"|") / n,
         "ends": sum(x.rstrip().endswith((b".", b"?", b"!", b'"', b":")) for x in lines) / max(len(lines), 1),
         "length": size / n,
@@ -58,17 +64,18 @@ def votes(found: dict[str, float], n: int) -> str:
     return "".join("-" if n < least else "0" if HOLDS[b](found[name], bad) else "1" if HOLDS[g](found[name], good) else "-" for name, least, b, bad, g, good in LABELLERS)
 
 
-def fit_labellers(patterns: dict[str, int], rounds: int = 50) -> tuple[float, np.ndarray]:
+def fit_labellers(patterns: dict[str, int], rounds: int = 30) -> tuple[float, np.ndarray]:
     """Share of good documents and ``[class, labeller, vote]`` probabilities from the counts of vote patterns.
 
     ``patterns`` has at most 3 to the power of the labellers' number entries, however many documents there are. The vote
-    abstain says nothing about the class. Starts from accuracies of 0.8; one document's worth of that start stays in as a prior.
+    abstain says nothing about the class. The start takes a labeller to fault 2 of 100 good documents and, as there are many kinds of bad ones, to
+    find 40 of 100 bad ones; one document's worth of that start stays in as a prior.
     """
     m = len(LABELLERS)
     keys = sorted(patterns)
     seen = np.array([[[v == "0", v == "1"] for v in k] for k in keys], float).reshape(len(keys), m, 2)
     counts = np.array([patterns[k] for k in keys], float)
-    prior, table = 0.8, np.tile(np.array([[[0.8, 0.2]], [[0.2, 0.8]]]), (1, m, 1))
+    prior, table = 0.8, np.tile(np.array([[[0.4, 0.6]], [[0.02, 0.98]]]), (1, m, 1))
     start = table.copy()
     for _ in range(rounds if keys else 0):
         good = counts * _posterior(seen, prior, table)
@@ -89,30 +96,29 @@ def posterior(pattern: str, prior: float, table: np.ndarray) -> float:
     return float(_posterior(np.array([[[v == "0", v == "1"] for v in pattern]], float), prior, table)[0])
 
 
-def features(words: list[bytes], found: dict[str, float], memo: dict) -> tuple[np.ndarray, np.ndarray]:
-    """A unit vector of hashed features: words, word shapes (roots of their shares) and the signals in tenths."""
-    counts = Counter(words)
-    total = np.zeros(0)
-    slots, shapes = [], []
-    for w in counts:
-        got = memo.get(w)
-        if got is None:
-            if len(memo) >= MEMO:
-                memo.clear()
-            s = w.translate(SHAPE)
-            got = memo[w] = (zlib.crc32(b"w" + w.lower()) % DIM, zlib.crc32(b"s" + s[:2] + s[-2:]) % DIM)
-        slots.append(got[0])
-        shapes.append(got[1])
-    total = np.fromiter(counts.values(), float, len(counts)) / max(len(words), 1)
-    parts = []
-    for hashed in (slots, shapes):
-        idx, at = np.unique(np.array(hashed, np.int64), return_inverse=True)
-        parts.append((idx, np.sqrt(np.bincount(at, total, minlength=len(idx))) if len(idx) else np.zeros(0)))
-    bins = np.array([zlib.crc32(f"b{k}{min(int(v * (10 if k != 'length' else 0.5)), 30)}".encode()) % DIM for k, v in found.items()], np.int64)
-    parts.append((bins, np.full(len(bins), 1 / np.sqrt(len(bins)))))
-    idx, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-    val = np.bincount(at, np.concatenate([p[1] for p in parts]), minlength=len(idx))
-    return idx, val / np.sqrt((val**2).sum())
+def hashed_grams(text: bytes, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+    """Slots from ``low`` up to ``high`` and the roots of their shares, for the hashed 4-grams of bytes of the whole text."""
+    raw = np.frombuffer(text, np.uint8)
+    if len(raw) < 4:
+        return np.zeros(0, np.int64), np.zeros(0)
+    counts = np.zeros(high - low, np.int64)
+    for at in range(0, len(raw) - 3, 1 << 16):  # a long text needs no more memory than a short one
+        piece = raw[at : at + (1 << 16) + 3].astype(np.uint32)
+        mixed = ((piece[:-3] * np.uint32(0x9E3779B1) + piece[1:-2]) * np.uint32(0x85EBCA77) + piece[2:-1]) * np.uint32(0xC2B2AE3D) + piece[3:]
+        counts += np.bincount(((mixed * np.uint32(0x27D4EB2F)) >> np.uint32(16)) % np.uint32(high - low), minlength=high - low)
+    slots = np.flatnonzero(counts)
+    return slots + low, np.sqrt(counts[slots] / (len(raw) - 3))
+
+
+def features(text: bytes, found: dict[str, float], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed features of length 1 at most: 4-grams of the text and of its letter shapes, and the signals in bins (none for a labeller that ``n`` words are too few for)."""
+    half = (DIM - BINS) // 2
+    binned = [f"{name}:{min(int(found[name] * (2 if name == 'length' else 20)), 30) if n >= least else 'none'}" for name, least, *_ in LABELLERS]
+    bins = np.unique([DIM - BINS + zlib.crc32(x.encode()) % BINS for x in binned]).astype(np.int64)
+    trust = np.sqrt(len(text) / (len(text) + 400)) / np.sqrt(11)  # the grams of a short text say little
+    grams = [hashed_grams(text, 0, half), hashed_grams(text.translate(SHAPE), half, 2 * half)]
+    val = [trust * g[1] for g in grams] + [np.full(len(bins), 3 / np.sqrt(11 * len(LABELLERS)))]
+    return np.concatenate([grams[0][0], grams[1][0], bins]), np.concatenate(val)
 
 
 def _texts(b: pd.DataFrame) -> Iterator[tuple[bytes, list[bytes]]]:
@@ -121,7 +127,7 @@ def _texts(b: pd.DataFrame) -> Iterator[tuple[bytes, list[bytes]]]:
         yield raw, raw.split()
 
 
-def classify(docs: DataFrame, train_rows: int = 20000, rounds: int = 60, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text", keep_columns: bool = False) -> DataFrame:
+def classify(docs: DataFrame, train_rows: int = 20000, rounds: int = 30, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text", keep_columns: bool = False) -> DataFrame:
     """Rows (id, votes, posterior, score, keep), or all columns of ``docs`` with ``__score`` and ``__keep``, one for each document.
 
     All documents are labelled and their vote patterns counted; expectation-maximisation on those counts gives the labellers' accuracies and each
@@ -136,26 +142,26 @@ def classify(docs: DataFrame, train_rows: int = 20000, rounds: int = 60, least:
         seen = Counter()
         for b in batches:
             seen.update(votes(signals(raw, words), len(words)) for raw, words in _texts(b) if words)
-        yield pd.DataFrame({"votes": list(seen.keys()), "n": list(seen.values())})
+        if seen:
+            yield pd.DataFrame({"votes": list(seen.keys()), "n": list(seen.values())})
 
     found = source.mapInPandas(count, "votes string, n long").groupBy("votes").agg(F.sum("n").alias("n")).collect()
     prior, table = fit_labellers({r.votes: r.n for r in found})
 
     def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo: dict = {}
         for b in batches:
             rows = []
             for raw, words in _texts(b):
                 if words:
                     s = signals(raw, words)
-                    rows.append((*features(words, s, memo), posterior(votes(s, len(words)), prior, table)))
-            yield pd.DataFrame(rows, columns=["idx", "val", "y"])
+                    rows.append((*features(raw, s, len(words)), posterior(votes(s, len(words)), prior, table)))
+            if rows:
+                yield pd.DataFrame(rows, columns=["idx", "val", "y"])
 
     few = bounded_sample(source, F.col("__text"), train_rows, sum(r.n for r in found)).repartition(8, F.xxhash64("__text"))
     weights = fit_logistic(saved(few.mapInPandas(train, "idx array<int>, val array<double>, y double"), "quality"), DIM, rounds)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo: dict = {}
         for b in batches:
             said, chance, z = [], [], []
             for raw, words in _texts(b):
@@ -163,7 +169,7 @@ def classify(docs: DataFrame, train_rows: int = 20000, rounds: int = 60, least:
                 said.append(votes(s, len(words)) if words else "-" * len(LABELLERS))
                 chance.append(posterior(said[-1], prior, table) if words else 0.0)
                 if words:
-                    idx, val = features(words, s, memo)
+                    idx, val = features(raw, s, len(words))
                     z.append(float(val @ weights[idx] + weights[-1]))
                 else:
                     z.append(-np.inf)

@@ -13,6 +13,7 @@ from xxhash import xxh64_intdigest
 from .common import saved
 
 LEAF, FAN = 32, 8
+ROWS = 255
 
 
 def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
@@ -24,12 +25,12 @@ def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
     if len(words) <= shingle:
         hashes = np.array([xxh64_intdigest(joined, seed)], np.uint64)
     else:
-        ends = np.cumsum([len(w) + 1 for w in words]) - 1
-        starts = [0, *(ends[:-shingle] + 1).tolist()]
-        hashes = np.fromiter((xxh64_intdigest(joined[s:e], seed) for s, e in zip(starts, ends[shingle - 1 :].tolist(), strict=True)), np.uint64, len(starts))
+        ends = (np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1).tolist()
+        starts = [0, *(e + 1 for e in ends[:-shingle])]
+        hashes = np.array([xxh64_intdigest(joined[s:e], seed) for s, e in zip(starts, ends[shingle - 1 :], strict=True)], np.uint64)
     ones = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 1 << 14):  # a long text needs no more memory than a short one
-        ones += np.unpackbits(hashes[at : at + (1 << 14)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    for at in range(0, len(hashes), ROWS):  # as many rows as a byte can count
+        ones += np.unpackbits(hashes[at : at + ROWS].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint8)
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
 
 

@@ -156,7 +156,8 @@ def nearest(table: DataFrame, every: int = 20, k: int = 20, factor: int = 64, tr
                 for q in qs:
                     query = stacked(pd.Series([q["v"]]))[0]
                     rows += [(q["id"], i, s) for s, i in search(tree, points, vectors, ids, query, q["id"], top, k, -(1 << 62))]
-                yield pd.DataFrame(rows, columns=["query_id", "id", "score"]).astype("int64")
+                if rows:
+                    yield pd.DataFrame(rows, columns=["query_id", "id", "score"])
 
     # One row a (block, tree): few rows with long cells, so each is its own task.
     met = asked.join(index, "tree").repartition(blocks * trees, "block", "tree").select("qs", "pages")

@@ -60,12 +60,12 @@ def _features(extra: str | None):
     return run
 
 
-def fit(labelled: DataFrame, rounds: int = 60) -> np.ndarray:
+def fit(labelled: DataFrame, rounds: int = 30) -> np.ndarray:
     """Weights from a small table ``host, path, y`` (1: allow). With no rows they are zero."""
     return fit_logistic(saved(labelled.select("host", "path", F.col("y").cast("double").alias("y")).mapInPandas(_features("y"), "idx array<int>, val array<double>, y double"), "urls"), DIM, rounds)
 
 
-def judge(pages: DataFrame, rules: list[tuple[str, str]], train_rows: int = 20000, id_col: str = "page_id", url_col: str = "url", rounds: int = 60) -> DataFrame:
+def judge(pages: DataFrame, rules: list[tuple[str, str]], train_rows: int = 20000, id_col: str = "page_id", url_col: str = "url", rounds: int = 30) -> DataFrame:
     """Rows (id, host, path, rule, verdict, score), one for each row of ``pages``.
 
     Urls that a rule decides form the labelled table: distinct (host, path) with the rule's verdict, of which about

@@ -126,7 +126,8 @@ def _records(spark: SparkSession, path: str, segmented: bool) -> DataFrame:
                     if len(rows) >= 256:
                         yield _frame(rows)
                         rows = []
-                yield _frame(rows)
+                if rows:
+                    yield _frame(rows)
 
     return spark.read.format("binaryFile").load(path).select("content").mapInPandas(read, RECORD)
 
@@ -172,6 +173,8 @@ def read_archives(spark: SparkSession, path: str, keep_payload: bool = True) ->
                         fault = "digest differs"
                 known = data is not None
                 rows += [(r.record_id, r.record_type, r.page_id, r.refers_to, stated, data if keep_payload else None, len(data) if known else None, hashlib.sha256(data).hexdigest() if known else None, fault)] * int(r.copies)
+            if not rows:
+                continue
             out = pd.DataFrame(rows, columns=[x.split()[0] for x in schema.split(", ")])
             yield out.assign(payload_bytes=out.payload_bytes.astype("Int64"))
 
