@@ -57,6 +57,14 @@ EVENTS_MIXED = """(SELECT event_id, ts, value,
   'same' AS fixed FROM events)"""
 
 
+def events_untimed(spark: SparkSession, sf: str) -> DataFrame:
+    """events whose time is unknown 1 in 17."""
+    return table(spark, sf, "events").withColumn("ts", F.when(F.col("event_id") % 17 != 0, F.col("ts")))
+
+
+EVENTS_UNTIMED = "(SELECT * REPLACE (CASE WHEN event_id % 17 <> 0 THEN ts END AS ts) FROM events)"
+
+
 def orders_twice(spark: SparkSession, sf: str) -> DataFrame:
     """orders with some rows repeated."""
     o = table(spark, sf, "orders")

@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import rounded
 from ..operators import association as A
+from ..operators import distributions as X
 from ..operators import drift as D
 from ..operators import hypothesis as H
+from ..operators import models as M
 from ..operators import profile as P
 from .profiling import hist_sql
 from .registry import query, table
@@ -151,6 +153,8 @@ def p14(spark, sf):
         entropy=A.entropy_nats(li, ["l_quantity", "l_linestatus"]),
         mi=A.mutual_information(li, "l_returnflag", ["l_quantity", "l_discount"]),
         intervals=H.normal_intervals(li, ["l_quantity", "l_discount", "l_tax"]),
+        fits=X.best_fit(li, ["l_quantity", "l_extendedprice"], ("norm", "expon", "lognorm")),
+        importance=M.tree_importance(li, ["l_quantity", "l_discount", "l_tax"], "l_returnflag"),
     )
 
 
@@ -200,7 +204,7 @@ def p18d(spark, sf):
 
 @query("p19_mmd")
 def p19(spark, sf):
-    return D.mmd(*sides(spark, sf), COLS, 64)
+    return D.mmd(*sides(spark, sf), COLS)
 
 
 @query("c15_column_tags")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import rounded
 from ..operators import construct as C
 from ..operators import split_columns as J
+from .derived import EVENTS_UNTIMED, events_untimed
 from .registry import query, table
 
 
@@ -72,21 +73,21 @@ def i8(spark, sf):
 
 @query(
     "i9_rolling",
-    """SELECT event_id, round(avg(value) OVER w, 6) AS value_roll7_mean, round(stddev_samp(value) OVER w, 6) AS value_roll7_std FROM events
-    WINDOW w AS (ORDER BY ts, event_id ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""",
+    f"""SELECT event_id, round(avg(value) OVER w, 6) AS value_roll7_mean, round(stddev_samp(value) OVER w, 6) AS value_roll7_std FROM {EVENTS_UNTIMED}
+    WINDOW w AS (ORDER BY ts NULLS FIRST, event_id ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""",
 )
 def i9(spark, sf):
-    ev = table(spark, sf, "events").select("event_id", "ts", "value")
+    ev = events_untimed(spark, sf).select("event_id", "ts", "value")
     return rounded(C.rolling(ev, ["value"], 7, "ts", tie="event_id").drop("ts", "value"))
 
 
 @query(
     "i9_rolling_by_user",
-    """SELECT event_id, round(avg(value) OVER w, 6) AS value_roll5_mean, round(stddev_samp(value) OVER w, 6) AS value_roll5_std FROM events
-    WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)""",
+    f"""SELECT event_id, round(avg(value) OVER w, 6) AS value_roll5_mean, round(stddev_samp(value) OVER w, 6) AS value_roll5_std FROM {EVENTS_UNTIMED}
+    WINDOW w AS (PARTITION BY user_id ORDER BY ts NULLS FIRST, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)""",
 )
 def i9u(spark, sf):
-    ev = table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
+    ev = events_untimed(spark, sf).select("event_id", "user_id", "ts", "value")
     return rounded(C.rolling(ev, ["value"], 5, "ts", ["user_id"], tie="event_id").drop("ts", "value", "user_id"))
 
 
@@ -112,20 +113,20 @@ def i11(spark, sf):
 
 @query(
     "i12_lag_backfill",
-    """WITH l AS (SELECT event_id, ts, lag(value, 1) OVER w AS a, lag(value, 3) OVER w AS b FROM events WINDOW w AS (ORDER BY ts, event_id))
-    SELECT event_id, coalesce(a, first_value(a IGNORE NULLS) OVER f) AS value_lag1, coalesce(b, first_value(b IGNORE NULLS) OVER f) AS value_lag3 FROM l WINDOW f AS (ORDER BY ts, event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)""",
+    f"""WITH l AS (SELECT event_id, ts, lag(value, 1) OVER w AS a, lag(value, 3) OVER w AS b FROM {EVENTS_UNTIMED} WINDOW w AS (ORDER BY ts NULLS FIRST, event_id))
+    SELECT event_id, coalesce(a, first_value(a IGNORE NULLS) OVER f) AS value_lag1, coalesce(b, first_value(b IGNORE NULLS) OVER f) AS value_lag3 FROM l WINDOW f AS (ORDER BY ts NULLS FIRST, event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)""",
 )
 def i12(spark, sf):
-    ev = table(spark, sf, "events").select("event_id", "ts", "value")
+    ev = events_untimed(spark, sf).select("event_id", "ts", "value")
     return C.lags(ev, "value", [1, 3], "ts", tie="event_id", backfill=True).select("event_id", "value_lag1", "value_lag3")
 
 
 @query(
     "i13_propagate",
-    "SELECT event_id, CAST(max(f) OVER (ORDER BY ts, event_id ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS INTEGER) AS promo_active FROM (SELECT *, CASE WHEN event_id % 40 = 0 THEN 1 ELSE 0 END AS f FROM events)",
+    f"SELECT event_id, CAST(max(f) OVER (ORDER BY ts NULLS FIRST, event_id ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS INTEGER) AS promo_active FROM (SELECT *, CASE WHEN event_id % 40 = 0 THEN 1 ELSE 0 END AS f FROM {EVENTS_UNTIMED})",
 )
 def i13(spark, sf):
-    ev = table(spark, sf, "events").select("event_id", "ts", (F.col("event_id") % 40 == 0).cast("int").alias("promo"))
+    ev = events_untimed(spark, sf).select("event_id", "ts", (F.col("event_id") % 40 == 0).cast("int").alias("promo"))
     return C.propagate(ev, "promo", 7, "ts", tie="event_id").select("event_id", "promo_active")
 
 
@@ -150,7 +151,7 @@ def _cols(fn, kind, n):
 @query(
     "j1_mixed_split",
     f"""SELECT p_partkey, code, {_cols("a", "alpha", 3)}, {_cols("d", "digits", 3)}, {_cols("p", "punct", 5)} FROM (SELECT *, regexp_extract_all(code, '([A-Za-z]+)', 1) AS a,
-    regexp_extract_all(code, '(\\d+)', 1) AS d, regexp_extract_all(code, '([^\\w\\s]+)', 1) AS p FROM {CODE})""",
+    regexp_extract_all(code, '(\\d+)', 1) AS d, regexp_extract_all(code, '([^A-Za-z0-9]+)', 1) AS p FROM {CODE})""",
 )
 def j1(spark, sf):
     return J.split_mixed(codes(spark, sf), "code")
@@ -174,7 +175,7 @@ def j3(spark, sf):
 @query("j4_flatten_xml", "SELECT p_partkey, p_brand AS doc_brand, CAST(p_size AS VARCHAR) AS doc_size FROM part")
 def j4(spark, sf):
     p = table(spark, sf, "part")
-    doc = F.concat(F.lit("<brand>x</brand><size>"), F.col("p_size").cast("string"), F.lit("</size><brand>"), "p_brand", F.lit("</brand>"))
+    doc = F.concat(F.lit("<brand id='1'>x</brand>\n<size unit='cm'>"), F.col("p_size").cast("string"), F.lit("</size><brand\nlang='en'>"), "p_brand", F.lit("</brand>"))
     return J.flatten_xml(p.select("p_partkey", doc.alias("doc")), "doc").drop("doc")
 
 

@@ -57,15 +57,34 @@ def e6(spark, sf):
     return I.random_fill(base(spark, sf).select("rowkey", "qty"), "qty", "rowkey")
 
 
-@query("e7_knn_fill")
+def _knn_sql(gone: str, seen: str) -> str:
+    """Five nearest donors by one column: equal donors merge, ties go to the smaller key."""
+    return f"""SELECT s_suppkey, sum(v * least(copies, 5 - before)) / sum(least(copies, 5 - before)) AS new FROM (
+      SELECT *, coalesce(sum(copies) OVER (PARTITION BY s_suppkey ORDER BY dist, pid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM (
+        SELECT q.s_suppkey, d.*, sqrt(pow(q.{seen} - d.x, 2)) AS dist FROM (SELECT * FROM s WHERE {gone} IS NULL AND {seen} IS NOT NULL) AS q,
+          (SELECT {seen} AS x, min(s_suppkey) AS pid, count(*) AS copies, avg({gone}) AS v FROM s WHERE {gone} IS NOT NULL AND {seen} IS NOT NULL GROUP BY 1) AS d))
+      WHERE before < 5 GROUP BY 1"""
+
+
+@query(
+    "e7_knn_fill",
+    f"""WITH s AS (SELECT s_suppkey, CASE WHEN s_suppkey % 5 <> 0 THEN CAST(s_nationkey AS DOUBLE) END AS s_nationkey, CASE WHEN s_suppkey % 7 <> 0 THEN s_acctbal END AS s_acctbal FROM supplier),
+    a AS ({_knn_sql("s_acctbal", "s_nationkey")}), n AS ({_knn_sql("s_nationkey", "s_acctbal")})
+    SELECT s.s_suppkey, round(coalesce(s.s_nationkey, n.new, (SELECT avg(s_nationkey) FROM s)), 6) AS s_nationkey, round(coalesce(s.s_acctbal, a.new, (SELECT avg(s_acctbal) FROM s)), 6) AS s_acctbal
+    FROM s LEFT JOIN a USING (s_suppkey) LEFT JOIN n USING (s_suppkey)""",
+)
 def e7(spark, sf):
-    s = table(spark, sf, "supplier").withColumn("s_acctbal", F.when(F.col("s_suppkey") % 7 != 0, F.col("s_acctbal")))
-    return I.knn_fill(s, ["s_nationkey", "s_acctbal"])
+    s = table(spark, sf, "supplier").select(
+        "s_suppkey",
+        F.when(F.col("s_suppkey") % 5 != 0, F.col("s_nationkey").cast("double")).alias("s_nationkey"),
+        F.when(F.col("s_suppkey") % 7 != 0, F.col("s_acctbal")).alias("s_acctbal"),
+    )
+    return rounded(I.knn_fill(s, ["s_nationkey", "s_acctbal"], "s_suppkey"))
 
 
 @query("e8_mice_fill")
 def e8(spark, sf):
-    return I.mice_fill(base(spark, sf).select("rowkey", *NUM), NUM, "rowkey", rounds=3)
+    return I.mice_fill(base(spark, sf).select("rowkey", *NUM), NUM, "rowkey")
 
 
 def _score_sql(method, filled, c="qty"):
@@ -135,6 +154,14 @@ def e16(spark, sf):
     return I.apply_plan(d, I.fit_plan(d, "rowkey"), "rowkey", donors=d)
 
 
+@query("e16_model_plan")
+def e16m(spark, sf):
+    s = table(spark, sf, "supplier").select("s_suppkey", F.col("s_nationkey").cast("double").alias("nation"), F.when(F.col("s_suppkey") % 7 != 0, F.col("s_acctbal")).alias("balance"))
+    old, new = s.filter("s_suppkey % 4 <> 0"), s.filter("s_suppkey % 4 = 0")
+    plan = I.fit_plan(old, "s_suppkey", numeric_methods=("mean", "median", "random", "knn", "mice"))
+    return I.apply_plan(new, plan, "s_suppkey", donors=old)
+
+
 @query("e17_missing_flags", f"SELECT rowkey, qty, flag, CAST(qty IS NULL AS INTEGER) AS qty_missing_flag, CAST(flag IS NULL AS INTEGER) AS flag_missing_flag FROM {LN}")
 def e17(spark, sf):
     return I.missing_flags(base(spark, sf).select("rowkey", "qty", "flag"), ["qty", "flag"])

@@ -21,13 +21,12 @@ def li(spark, sf):
     return table(spark, sf, "lineitem")
 
 
-def flat(spark, sf, n=8):
-    """The first components of each embedding as columns."""
+def flat(spark, sf):
+    """The components of each embedding as columns."""
     e = table(spark, sf, "embeddings")
-    return e.select("vec_id", "label", *[F.get("embedding", F.lit(i)).cast("double").alias(f"e{i}") for i in range(n)])
+    return e.select("vec_id", "label", *[F.get("embedding", F.lit(i)).cast("double").alias(f"e{i}") for i in range(64)])
 
 
-E8 = [f"e{i}" for i in range(8)]
 E64 = [f"e{i}" for i in range(64)]
 
 
@@ -38,7 +37,7 @@ def d18(spark, sf):
 
 @query("d18_family_scores")
 def d18f(spark, sf):
-    return X.fit_families(table(spark, sf, "orders"), ["o_totalprice"], X.SHORT_FAMILIES)
+    return X.fit_families(table(spark, sf, "orders"), ["o_totalprice"])
 
 
 @query(
@@ -84,7 +83,7 @@ def d26(spark, sf):
 
 @query("d27_kmeans_elbow")
 def d27(spark, sf):
-    return R.kmeans_elbow(table(spark, sf, "customer"), ["c_acctbal", "c_nationkey"], (2, 4, 6))
+    return R.kmeans_elbow(table(spark, sf, "customer"), ["c_acctbal", "c_nationkey"], range(2, 11))
 
 
 QQ = ", ".join(str((i + 0.5) / 50) for i in range(50))
@@ -104,7 +103,7 @@ UCOLS = ["o_totalprice", "o_custkey", "doy"]
 
 @query("d32_permutation_importance")
 def d32(spark, sf):
-    return M.permutation_importance(urgent(spark, sf), UCOLS, "y", "o_orderkey", repeats=2)
+    return M.permutation_importance(urgent(spark, sf), UCOLS, "y", "o_orderkey")
 
 
 @query("k1_mi_filter", f"SELECT feature, mi AS score FROM ({mi_all(MEASURES, 'l_returnflag', 'lineitem')}) WHERE mi > 0")
@@ -136,22 +135,22 @@ def k5(spark, sf):
 
 @query("k6_permutation_filter")
 def k6(spark, sf):
-    return S.importance_filter(M.permutation_importance(urgent(spark, sf), UCOLS, "y", "o_orderkey", repeats=1, family="decision_tree"))
+    return S.importance_filter(M.permutation_importance(urgent(spark, sf), UCOLS, "y", "o_orderkey"))
 
 
 @query("k7_sparse_filter")
 def k7(spark, sf):
-    return S.sparse_filter(urgent(spark, sf), UCOLS, "y", folds=2, regs=(0.01, 0.1))
+    return S.sparse_filter(urgent(spark, sf), UCOLS, "y")
 
 
 @query("k8_recursive_elimination")
 def k8(spark, sf):
-    return spark.createDataFrame([(c,) for c in S.recursive_elimination(urgent(spark, sf), UCOLS, "y", 2, family="decision_tree")], "feature string")
+    return spark.createDataFrame([(c,) for c in S.recursive_elimination(urgent(spark, sf), UCOLS, "y", 2)], "feature string")
 
 
 @query("k9_sequential_selection")
 def k9(spark, sf):
-    return spark.createDataFrame([(c,) for c in S.sequential_selection(urgent(spark, sf), UCOLS, "y", 1, folds=2)], "feature string")
+    return spark.createDataFrame([(c,) for c in S.sequential_selection(urgent(spark, sf), UCOLS, "y", 2)], "feature string")
 
 
 @query("k10_vote")
@@ -169,20 +168,20 @@ def k11(spark, sf):
 
 @query("k12_pca")
 def k12(spark, sf):
-    d = flat(spark, sf, 64)
+    d = flat(spark, sf)
     return R.pca(d, E64).transform(d, ["vec_id"])
 
 
 @query("k13_svd")
 def k13(spark, sf):
     d = flat(spark, sf)
-    return R.truncated_svd(d, E8, 3).transform(d, ["vec_id"])
+    return R.truncated_svd(d, E64, 3).transform(d, ["vec_id"])
 
 
 @query("k14_discriminant")
 def k14(spark, sf):
     d = flat(spark, sf)
-    return R.discriminant(d, E8, "label").transform(d, ["vec_id", "label"])
+    return R.discriminant(d, E64, "label").transform(d, ["vec_id", "label"])
 
 
 @query("k15_pls")
@@ -193,13 +192,13 @@ def k15(spark, sf):
 
 @query("k16_nmf")
 def k16(spark, sf):
-    d = flat(spark, sf).select("vec_id", *[F.abs(c).alias(c) for c in E8])
-    return R.nmf(d, E8, "vec_id", 3, 5)[2]
+    d = flat(spark, sf).select("vec_id", *[F.abs(c).alias(c) for c in E64])
+    return R.nmf(d, E64, "vec_id", 3, 5)[2]
 
 
 @query("k17_random_projection")
 def k17(spark, sf):
-    d = flat(spark, sf, 64)
+    d = flat(spark, sf)
     return R.random_projection(d, E64, 5).transform(d, ["vec_id"])
 
 
@@ -212,7 +211,7 @@ def k18(spark, sf):
 def k19(spark, sf):
     d = flat(spark, sf)
     rows = []
-    for p in (R.pca(d, E8), R.truncated_svd(d, E8, 3), R.random_projection(d, E8, 3)):
+    for p in (R.pca(d, E64), R.truncated_svd(d, E64, 3), R.random_projection(d, E64, 3)):
         rows.append((p.technique, "reconstruction_error", R.reconstruction_error(d, p)))
         if p.explained is not None:
             rows.append((p.technique, "explained_variance", p.explained))
@@ -222,7 +221,7 @@ def k19(spark, sf):
 @query("k20_project_new")
 def k20(spark, sf):
     d = flat(spark, sf)
-    return R.pca(d.filter("vec_id % 10 < 8"), E8).transform(d, ["vec_id", "label"])
+    return R.pca(d.filter("vec_id % 10 < 8"), E64).transform(d, ["vec_id", "label"])
 
 
 @query("o1_training")
@@ -239,7 +238,7 @@ def o1m(spark, sf):
 
 @query("o2_search")
 def o2(spark, sf):
-    return M.search(urgent(spark, sf), UCOLS, "y", "decision_tree", {"maxDepth": [2, 4], "minInstancesPerNode": [1, 10]}, folds=2)[1]
+    return M.search(urgent(spark, sf), UCOLS, "y", "decision_tree", {"maxDepth": [2, 4], "minInstancesPerNode": [1, 10]})[1]
 
 
 @query("o3_trials")
@@ -265,7 +264,7 @@ def o4s(spark, sf):
 
 @query("o5_stacking")
 def o5(spark, sf):
-    return M.stack(urgent(spark, sf), UCOLS, "y", "o_orderkey", ("logistic", "decision_tree"), 2).groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
+    return M.stack(urgent(spark, sf), UCOLS, "y", "o_orderkey", ("logistic", "decision_tree")).groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("o5_residual_blend")

@@ -145,8 +145,8 @@ def parts(spark, sf):
 @query(
     "h1_route_encoders",
     " UNION ALL ".join(
-        f"""SELECT '{c}' AS feature, round(r, 9) AS distinct_share, CASE WHEN r <= 0.05 THEN 'onehot' WHEN r <= 0.5 THEN 'frequency' ELSE 'suggest_target' END AS linear,
-    CASE WHEN r <= 0.05 THEN 'onehot' WHEN r <= 0.2 THEN 'ordinal' WHEN r <= 0.5 THEN 'frequency' ELSE 'suggest_target' END AS tree FROM (SELECT count(DISTINCT {c}) / count(*) AS r FROM part)"""
+        f"""SELECT '{c}' AS feature, d AS n_levels, round(r, 9) AS distinct_share, CASE WHEN r <= 0.05 THEN 'onehot' WHEN r <= 0.5 THEN 'frequency' ELSE 'suggest_target' END AS linear,
+    CASE WHEN r <= 0.05 THEN 'onehot' WHEN r <= 0.2 THEN 'ordinal' WHEN r <= 0.5 THEN 'frequency' ELSE 'suggest_target' END AS tree FROM (SELECT count(DISTINCT {c}) AS d, count(DISTINCT {c}) / count(*) AS r FROM part)"""
         for c in ["p_name", "p_brand", "p_type"]
     ),
 )
@@ -172,7 +172,8 @@ def h4(spark, sf):
 @query("h5_variants")
 def h5(spark, sf):
     frames = E.encode_variants(parts(spark, sf).drop("p_name"))
-    return frames["tree"]
+    wide = [frame.select("p_partkey", F.lit(name).alias("family"), F.to_json(F.struct(*[c for c in frame.columns if c != "p_partkey"])).alias("row")) for name, frame in frames.items()]
+    return wide[0].unionByName(wide[1]).unionByName(wide[2])
 
 
 @query("h6_hashing", "SELECT p_partkey, CAST(CAST(concat('0x', substr(md5(p_type), 1, 8)) AS BIGINT) % 16 AS INTEGER) AS bucket FROM part")
@@ -340,4 +341,4 @@ def h24(spark, sf):
 
 @query("h25_text_vectors")
 def h25(spark, sf):
-    return E.text_vectors(table(spark, sf, "documents").select("doc_id", "text"), "text", "tfidf", 1 << 14).drop("text")
+    return E.text_vectors(table(spark, sf, "documents").select("doc_id", "text"), "text").drop("text")

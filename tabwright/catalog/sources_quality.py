@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -10,6 +9,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import rounded
 from ..operators import quality as Q
+from ..session import local_folder
 from ..sources import readers, schema, sinks
 from .derived import EVENTS_MIXED, LINEITEM_NULLS, ORDERS_TWICE, events_mixed, lineitem_nulls, orders_twice
 from .registry import query, table
@@ -17,7 +17,7 @@ from .registry import query, table
 
 def scratch(spark) -> str:
     """A fresh folder in the shared checkpoint folder, or a local one where none is named."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tabwright-out-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or local_folder(spark, "tabwright-out-")
     return f"{base}/out-{uuid.uuid4().hex}"
 
 
@@ -40,8 +40,9 @@ def a1_csv(spark, sf):
 
 @query("a3_json_flatten", "SELECT event_id, user_id, CAST(json_extract(props, '$.k') AS BIGINT) AS \"props.k\" FROM events")
 def a3(spark, sf):
-    ev = table(spark, sf, "events").select("event_id", "user_id", F.from_json("props", "k bigint").alias("props"))
-    return readers.flatten(ev)
+    out = scratch(spark)
+    table(spark, sf, "events").select("event_id", "user_id", F.from_json("props", "k bigint").alias("props")).write.json(out)
+    return readers.read_json_payload(spark, out)
 
 
 @query("a5_commented_tsv", "SELECT p_brand, count(*) AS n, round(sum(p_retailprice), 2) AS price FROM part GROUP BY 1")
@@ -49,10 +50,12 @@ def a5(spark, sf):
     out = scratch(spark) + "/matrix.tsv"
     part = table(spark, sf, "part").select("p_partkey", "p_brand", "p_retailprice")
     lines = part.select(F.concat_ws("\t", *part.columns).alias("value"))
-    remarks = lines.limit(1).select(F.lit("!a remark").alias("value"))
-    lines.unionByName(remarks).write.text(out)
+    heads = [F.lit("!a remark").alias("value"), F.lit("#another").alias("value"), F.lit("\t".join(part.columns)).alias("value")]
+    for head in heads:
+        lines = lines.unionByName(part.limit(1).select(head))
+    lines.write.text(out)
     named = T.StructType([T.StructField("p_partkey", T.LongType()), T.StructField("p_brand", T.StringType()), T.StructField("p_retailprice", T.DoubleType())])
-    back = spark.read.option("sep", "\t").option("comment", "!").schema(named).csv(out)
+    back = readers.read_commented_tsv(spark, out, schema=named)
     return back.groupBy("p_brand").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("p_retailprice"), 2).alias("price"))
 
 
@@ -82,9 +85,14 @@ def a8(spark, sf):
     return out.groupBy(F.coalesce("reject_reason", F.lit("accepted")).alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
 
 
-DIGEST = """SELECT count(*) AS n_rows, substr(lpad(to_hex(bit_xor(CAST(concat('0x', substr(sha256(concat_ws('|',
-  CAST(c_custkey AS VARCHAR), c_name, CAST(c_nationkey AS VARCHAR), CAST(c_acctbal AS VARCHAR), c_mktsegment)), 1, 15)) AS BIGINT))), 15, '0'), 1, 12) AS digest
-  FROM customer"""
+def _digest_sql(source: str) -> str:
+    texts = [f"CAST({c} AS VARCHAR)" for c in ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")]
+    cells = " || ".join(f"coalesce(CAST(length({t}) AS VARCHAR) || ':' || {t}, 'n')" for t in texts)
+    sums = [f"lpad(to_hex(CAST(sum(CAST(CAST('0x' || substr(d, {start}, 15) AS BIGINT) AS HUGEINT)) % {1 << 60} AS BIGINT)), 15, '0')" for start in (1, 16)]
+    return f"SELECT count(*) AS n_rows, lower({' || '.join(sums)}) AS digest FROM (SELECT sha256({cells}) AS d FROM {source})"
+
+
+DIGEST = _digest_sql("customer")
 
 
 @query("a9_manifest", f"SELECT n_rows, 5 AS n_cols, 42 AS seed, lower(digest) AS digest FROM ({DIGEST})")
@@ -106,6 +114,22 @@ def b2(spark, sf):
     return Q.audit_checksum(table(spark, sf, "customer"))
 
 
+@query("b2_checksum_doubled", _digest_sql("(SELECT * FROM customer UNION ALL SELECT * FROM customer)"))
+def b2d(spark, sf):
+    c = table(spark, sf, "customer")
+    return Q.audit_checksum(c.unionByName(c))
+
+
+@query(
+    "b3_delimiter_cells",
+    """SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT p_brand, p_partkey % 2 FROM part)) AS duplicate_rows FROM part""",
+)
+def b3d(spark, sf):
+    even = F.col("p_partkey") % 2 == 0
+    a = F.when(even, F.concat("p_brand", F.lit("|b"))).otherwise(F.col("p_brand"))
+    return Q.duplicate_rows(table(spark, sf, "part").select(a.alias("a"), F.when(even, "c").otherwise("b|c").alias("b")))
+
+
 @query("b3_duplicate_rows", f"SELECT (count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {ORDERS_TWICE}))) AS duplicate_rows FROM {ORDERS_TWICE}")
 def b3(spark, sf):
     return Q.duplicate_rows(orders_twice(spark, sf))

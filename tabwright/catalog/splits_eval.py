@@ -129,11 +129,10 @@ def n1(spark, sf):
     return rounded(L.high_correlation(leaky(spark, sf), "o_totalprice", ["twin", "o_custkey", "is_f"]))
 
 
-@query("n2_constant_groups", f"SELECT 'word' AS feature, word AS value, count(*) AS n FROM {LEAK} GROUP BY word UNION ALL SELECT 'is_f', CAST(is_f AS VARCHAR), count(*) FROM {LEAK} WHERE is_f = 1 GROUP BY is_f")
+@query("n2_constant_groups", f"SELECT 'word' AS feature, word AS value, count(*) AS n FROM {LEAK} GROUP BY word UNION ALL SELECT 'is_f', CAST(is_f AS VARCHAR), count(*) FROM {LEAK} GROUP BY is_f HAVING count(DISTINCT o_orderstatus = 'F') = 1")
 def n2(spark, sf):
     d = leaky(spark, sf).withColumn("y", F.col("o_orderstatus") == "F")
-    out = L.constant_groups(d, "y", ["word", "is_f", "o_totalprice", "o_orderpriority"])
-    return out.filter(~((F.col("feature") == "is_f") & (F.col("value") == "0")))
+    return L.constant_groups(d, "y", ["word", "is_f", "o_totalprice", "o_orderpriority"])
 
 
 def auc_sql(c, y, source):

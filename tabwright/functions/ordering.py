@@ -49,22 +49,22 @@ def _slot(edges: Column, value: Column) -> Column:
 
 
 def with_bucket(df: DataFrame, value: str, edge_keys: Sequence[str] = (), tie: str | None = None) -> DataFrame:
-    """Add ``__bucket``: an integer that orders rows coarsely by ``value`` (then ``tie``).
+    """Add ``__bucket``: an integer that orders rows coarsely by ``value`` (then ``tie``); rows without a value come first, in buckets of their own.
 
     ``edge_keys`` must have few distinct values (feature names, sources): the
     table of edges is broadcast and holds one array for each of them.
     """
-    base = df.filter(F.col(value).isNotNull())
+    base = df
     if edge_keys:
         edges = base.groupBy(*edge_keys).agg(_edges(value).alias("__edges"))
         out = null_safe_join(base, F.broadcast(edges), edge_keys)
     else:
         out = base.withColumn("__edges", base.agg(_edges(value)).scalar())
-    slot = _slot(F.col("__edges"), F.col(value))
+    slot = F.when(F.col(value).isNull(), -1).otherwise(_slot(F.col("__edges"), F.col(value)))
     if tie is None:
         return out.withColumn("__bucket", slot.cast("long")).drop("__edges")
     out = out.withColumn("__slot", slot).withColumn("__ties", base.agg(_edges(tie)).scalar())
-    inner = F.when(F.col("__slot") % 2 == 1, _slot(F.col("__ties"), F.col(tie))).otherwise(0)
+    inner = F.when((F.col("__slot") % 2 == 1) | F.col(value).isNull(), _slot(F.col("__ties"), F.col(tie))).otherwise(0)
     return out.withColumn("__bucket", (F.col("__slot") * 1024 + inner).cast("long")).drop("__edges", "__slot", "__ties")
 
 

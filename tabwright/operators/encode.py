@@ -26,7 +26,10 @@ MAX_ONEHOT_LEVELS = 5000
 
 
 def route_encoders(df: DataFrame, cols: Sequence[str] | None = None, onehot: float = ONEHOT_SHARE, ordinal: float = ORDINAL_SHARE, frequency: float = FREQUENCY_SHARE) -> DataFrame:
-    """``(feature, distinct_share, linear, tree)``: the encoder per model family; nulls count as a level."""
+    """``(feature, n_levels, distinct_share, linear, tree)``: the encoder per model family; nulls count as a level.
+
+    A small share can still be many levels: beyond ``MAX_ONEHOT_LEVELS`` columns, one-hot gives way to frequency.
+    """
     names = list(cols or text_cols(df))
     n = F.col("n")
     one = df.agg(
@@ -34,11 +37,11 @@ def route_encoders(df: DataFrame, cols: Sequence[str] | None = None, onehot: flo
         *[F.count_distinct(F.col(f"`{c}`")).alias(f"d{i}") for i, c in enumerate(names)],
         *[F.max(is_missing(df, c).cast("int")).alias(f"z{i}") for i, c in enumerate(names)],
     )
-    rows = [F.struct(F.lit(c).alias("feature"), ((F.col(f"d{i}") + F.col(f"z{i}")) / n).alias("distinct_share")) for i, c in enumerate(names)]
-    share = F.col("distinct_share")
-    tree = F.when(share <= onehot, "onehot").when(share <= ordinal, "ordinal").when(share <= frequency, "frequency").otherwise("suggest_target")
-    linear = F.when(share <= onehot, "onehot").when(share <= frequency, "frequency").otherwise("suggest_target")
-    return one.select(F.inline(F.array(*rows))).select("feature", "distinct_share", linear.alias("linear"), tree.alias("tree"))
+    rows = [F.struct(F.lit(c).alias("feature"), (F.col(f"d{i}") + F.col(f"z{i}")).alias("n_levels"), ((F.col(f"d{i}") + F.col(f"z{i}")) / n).alias("distinct_share")) for i, c in enumerate(names)]
+    share, many = F.col("distinct_share"), F.col("n_levels") > MAX_ONEHOT_LEVELS
+    tree = F.when((share <= onehot) & many, "frequency").when(share <= onehot, "onehot").when(share <= ordinal, "ordinal").when(share <= frequency, "frequency").otherwise("suggest_target")
+    linear = F.when((share <= onehot) & ~many, "onehot").when(share <= frequency, "frequency").otherwise("suggest_target")
+    return one.select(F.inline(F.array(*rows))).select("feature", "n_levels", "distinct_share", linear.alias("linear"), tree.alias("tree"))
 
 
 def levels_of(df: DataFrame, c: str, limit: int = MAX_ONEHOT_LEVELS) -> list:

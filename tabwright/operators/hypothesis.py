@@ -78,13 +78,11 @@ def bootstrap_ci(df: DataFrame, cols: Sequence[str] | None = None, n_iter: int =
             for feature, part in pdf.groupby("feature"):
                 v, n = part["value"].to_numpy(), part["n"].to_numpy()
                 acc = total.setdefault(feature, np.zeros((2, n_iter)))
-                for s in range(0, len(v), 512):
-                    words = np.ascontiguousarray(v[s : s + 512]).view(np.uint64)
-                    mixed = int(np.bitwise_xor.reduce(words * np.uint64(0x9E3779B97F4A7C15)))
-                    rng = np.random.default_rng([seed, code[feature], mixed])
-                    w = rng.poisson(np.repeat(n[s : s + 512, None], n_iter, axis=1))
-                    acc[0] += w.sum(axis=0)
-                    acc[1] += (w * v[s : s + 512, None]).sum(axis=0)
+                for value, times in zip(v, n, strict=True):  # seeded by the value, so no partitioning changes the draws
+                    rng = np.random.default_rng([seed, code[feature], int(np.float64(value).view(np.uint64))])
+                    w = rng.poisson(times, n_iter)
+                    acc[0] += w
+                    acc[1] += w * value
         for feature, acc in total.items():
             yield pd.DataFrame({"feature": feature, "b": np.arange(n_iter), "w": acc[0], "wx": acc[1]})
 

@@ -20,16 +20,16 @@ from pyspark.sql import types as T
 from ..functions import ordering, special
 from ..functions.columns import agg_long, as_numbers, hash_unit, is_missing, numeric_cols, observed
 from ..session import cut_lineage
+from . import neighbors
 from .profile import feature_quantiles, missingness
 from .drift import ks_two_sample
 
-# Fill marks, cutoffs and the size limit of the neighbour fill.
+# Fill marks and cutoffs.
 MISSING, RARE = "__MISSING__", "__RARE__"
 ALPHA = 0.05
 MAX_NULL_SHARE = 0.90
 RARE_SHARE = 0.01
 MIN_VARIANCE_RATIO, MAX_COVARIANCE_CHANGE = 0.5, 0.2
-NEIGHBOUR_LIMIT = 5000
 
 
 def null_patterns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -172,49 +172,48 @@ def random_fill(df: DataFrame, c: str, key: str, seed: int = 42, donors: DataFra
     known = base.filter(~is_missing(base, c)).select(F.col(key).alias("__k"), F.col(f"`{c}`").alias("__donor"))
     numbered = ordering.row_index(known, "__k", None).select("__rn", "__donor")
     n = known.agg(F.count(F.lit(1))).scalar()
-    want = F.when(is_missing(df, c), F.floor(hash_unit(key, seed=seed) * n).cast("long") + 1)
-    joined = df.withColumn("__want", want).join(numbered, F.col("__want") == F.col("__rn"), "left")
-    value = F.when(F.col("__want").isNull(), F.col(f"`{c}`")).otherwise(F.coalesce("__donor", F.lit(empty).cast(df.schema[c].dataType)))
-    return joined.withColumn(c, value).drop("__want", "__rn", "__donor")
+    gone = is_missing(df, c)
+    wanting = df.filter(gone).withColumn("__want", F.floor(hash_unit(key, seed=seed) * n).cast("long") + 1)
+    value = F.coalesce("__donor", F.lit(empty).cast(df.schema[c].dataType))
+    drawn = wanting.join(numbered, F.col("__want") == F.col("__rn"), "left").withColumn(c, value)
+    return df.filter(~gone).unionByName(drawn.select(*df.columns))
 
 
-def knn_fill(df: DataFrame, cols: Sequence[str], k: int = 5, max_rows: int = NEIGHBOUR_LIMIT) -> DataFrame:
-    """Mean of the ``k`` nearest donors by NaN-aware Euclidean distance.
+def knn_fill(df: DataFrame, cols: Sequence[str], key: str, k: int = 5, donors: DataFrame | None = None) -> DataFrame:
+    """Mean of the ``k`` nearest donors by Euclidean distance over the columns that the row knows.
 
-    That distance ignores the coordinates missing on either side, so it is no
-    metric and cannot be pruned; the fill is therefore defined for small tables
-    only. The size is checked, and a larger table gets the mean fill.
+    One definition at any size: for each pattern of missing columns the donors of a column are the rows that know it and all columns the
+    pattern knows, so the distance is a metric and the neighbour search can prune. Equal donor vectors are one point with the mean of their
+    values; ties go to the smaller key. A row that knows nothing, or finds no donor, takes the column mean. Integer ``key``.
     """
     names = list(cols)
-    data = as_numbers(df, names)
-    if len(names) > max_rows or data.limit(max_rows + 1).count() > max_rows:
-        return mean_fill(df, names)
-    donors = data.toPandas().to_numpy(dtype=float)
-    means = np.array([np.nanmean(donors[:, j]) if np.isfinite(donors[:, j]).any() else 0.0 for j in range(len(names))])
-    schema = T.StructType([*[f for f in df.schema if f.name not in names], *[T.StructField(c, T.DoubleType()) for c in names]])
-    ready = df.select(*[f.name for f in schema if f.name not in names], *[observed(df, c).alias(c) for c in names])
-    seen_d = np.isfinite(donors)
-    filled_d = np.where(seen_d, donors, 0.0)
-
-    def fill(batches):
-        for pdf in batches:
-            x = pdf[names].to_numpy(dtype=float)
-            for r in np.flatnonzero(~np.isfinite(x).all(axis=1)):
-                row, seen = x[r], np.isfinite(x[r])
-                both = seen_d & seen
-                shared = both.sum(axis=1)
-                d2 = np.where(both, (filled_d - np.where(seen, row, 0.0)) ** 2, 0.0).sum(axis=1)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    dist = np.where(shared > 0, d2 * len(names) / shared, np.inf)
-                new = row.copy()
-                for j in np.flatnonzero(~seen):
-                    usable = np.flatnonzero(seen_d[:, j] & np.isfinite(dist))
-                    near = usable[np.argsort(dist[usable], kind="stable")[:k]]
-                    new[j] = donors[near, j].mean() if len(near) else means[j]
-                x[r] = new
-            yield pdf.assign(**{c: x[:, j] for j, c in enumerate(names)})
-
-    return ready.mapInPandas(fill, schema).select(*df.columns)
+    base = donors if donors is not None else df
+    means = column_means(base, names)
+    flags = [is_missing(df, c) for c in names]
+    patterns = [tuple(r) for r in df.select(*[f.alias(f"m{i}") for i, f in enumerate(flags)]).distinct().collect()]
+    numbers = df.withColumns({c: observed(df, c) for c in names})
+    out = None
+    for pattern in patterns:
+        here = F.lit(True)
+        for f, gone in zip(flags, pattern):
+            here = here & (f if gone else ~f)
+        part = numbers.filter(here)
+        seen = [c for c, gone in zip(names, pattern) if not gone]
+        for c in (c for c, gone in zip(names, pattern) if gone):
+            if seen:
+                asked = neighbors.points(part, seen, key)
+                known = as_numbers(base, [*seen, c], [F.col(key).alias("__key")]).dropna()
+                vec = F.array(*[F.col(f"`{o}`") + 0.0 for o in seen]).alias("vec")
+                given = cut_lineage(known.groupBy(vec).agg(F.min("__key").alias("pid"), F.count(F.lit(1)).alias("copies"), F.avg(f"`{c}`").alias("__value")))
+                near = neighbors.knn(asked, given.select("vec", "pid", "copies"), k)
+                found = near.join(given.select(F.col("pid").alias("did"), "__value"), "did").groupBy("qid").agg((F.sum(F.col("weight") * F.col("__value")) / F.sum("weight")).alias("__new"))
+                found = asked.join(found, asked["pid"] == found["qid"]).select(F.col("vec").alias("__vec"), "__new")
+                mine = F.array(*[F.col(f"`{o}`") + 0.0 for o in seen])
+                part = part.withColumn("__at", mine).join(found, F.col("__at") == F.col("__vec"), "left").withColumn(c, F.coalesce("__new", F.lit(means.get(c)))).drop("__at", "__vec", "__new")
+            else:
+                part = part.withColumn(c, F.lit(means.get(c)).cast("double"))
+        out = part if out is None else out.unionByName(part)
+    return (out if out is not None else numbers).select(*df.columns)
 
 
 def mice_fill(df: DataFrame, cols: Sequence[str], key: str, rounds: int = 10, seed: int = 42, ridge: float = 1e-6) -> DataFrame:
@@ -363,7 +362,8 @@ def fit_plan(
     """Plan table ``(feature, kind, strategy, number, text)`` for every column except the key.
 
     Columns above the null limit are dropped; numeric columns get the best scored
-    candidate; text columns have rare levels collapsed, then the best strategy.
+    candidate of ``numeric_methods`` (``knn`` and ``mice`` too, when named); text
+    columns have rare levels collapsed, then the best strategy.
     """
     names = [c for c in (cols or df.columns) if c != key]
     rates = {r["feature"]: r["null_rate"] for r in missingness(df, names).collect()}
@@ -373,6 +373,11 @@ def fit_plan(
     frame = df.select(key, *live)
     gaps = [c for c in nums if rates[c] > 0]
     means, medians = (column_means(frame, gaps), column_medians(frame, gaps)) if gaps else ({}, {})
+    models = {}
+    if gaps and "knn" in numeric_methods:
+        models["knn"] = cut_lineage(knn_fill(frame, nums, key))
+    if gaps and "mice" in numeric_methods:
+        models["mice"] = mice_fill(frame, nums, key, seed=seed)
     for c in gaps:
         made = {}
         if "mean" in numeric_methods:
@@ -381,6 +386,7 @@ def fit_plan(
             made["median"] = fill_values(frame, {c: medians[c]})
         if "random" in numeric_methods:
             made["random"] = random_fill(frame, c, key, seed)
+        made |= {m: f for m, f in models.items()}
         method = choose_candidate(candidate_scores(frame, c, made, nums)).first()[0]
         rows.append((c, "numeric", method, medians[c] if method == "median" else means[c], None))
     rows += [(c, "numeric", "none", None, None) for c in nums if rates[c] == 0]
@@ -398,7 +404,7 @@ def fit_plan(
 
 
 def apply_plan(df: DataFrame, plan: DataFrame, key: str, donors: DataFrame | None = None, seed: int = 42) -> DataFrame:
-    """The stored drops and fills on any frame; drawing strategies need the training rows as ``donors``."""
+    """The stored drops and fills on any frame; drawing and model strategies need the training rows as ``donors``."""
     steps = [r for r in plan.collect()]
     out = df.drop(*[r["feature"] for r in steps if r["strategy"] == "drop"])
     have = set(out.columns)
@@ -412,6 +418,19 @@ def apply_plan(df: DataFrame, plan: DataFrame, key: str, donors: DataFrame | Non
                 donors = donors.withColumn(r["feature"], fix)
     fixed = {r["feature"]: r["number"] if r["kind"] == "numeric" else r["text"] for r in steps if r["strategy"] in ("mean", "median", "fallback_mean", "mode", "constant")}
     out = fill_values(out, {c: v for c, v in fixed.items() if c in have})
+    nums = [r["feature"] for r in steps if r["kind"] == "numeric" and r["feature"] in have]
+    for method in ("knn", "mice"):
+        mine = [r["feature"] for r in steps if r["strategy"] == method and r["feature"] in have]
+        if mine and method == "knn":
+            filled = knn_fill(df.select(key, *nums), nums, key, donors=donors)
+        elif mine:  # the chain is run over the donors and the new rows together; only the new rows are taken
+            both = df.select(key, *nums).withColumn("__new", F.lit(1))
+            if donors is not None:
+                both = both.unionByName(donors.join(df.select(key), key, "left_anti").select(key, *nums).withColumn("__new", F.lit(0)))
+            filled = mice_fill(both, nums, key, seed=seed).filter("__new = 1")
+        if mine:
+            got = filled.select(F.col(key).alias("__key"), *[F.col(f"`{c}`").alias(f"__f_{c}") for c in mine])
+            out = out.join(got, F.col(key) == F.col("__key")).withColumns({c: F.col(f"__f_{c}") for c in mine}).drop("__key", *[f"__f_{c}" for c in mine])
     for r in steps:
         if r["strategy"] == "random" and r["feature"] in have:
             out = random_fill(out, r["feature"], key, seed, donors, 0.0 if r["kind"] == "numeric" else MISSING)

@@ -1,7 +1,7 @@
 """Exact k nearest neighbours without comparing all pairs.
 
 Equal vectors are merged first (a group of copies is one weighted point). Donors
-are cut into cells around sampled pivots. A query first searches its own cell,
+are cut into cells around sampled pivots, as many as half the root of their number. A query first searches its own cell,
 which bounds its k-th distance; it then visits only the cells that can hold
 something closer: no point of cell j is nearer than d(q, p_j) - radius_j. Cells
 are cut into blocks of bounded size and the block results are merged.
@@ -21,7 +21,6 @@ from pyspark.sql.window import Window
 from ..functions.columns import as_numbers
 from ..session import cut_lineage
 
-MAX_PIVOTS = 2048
 BLOCK_ROWS = 4096
 
 
@@ -85,7 +84,7 @@ def knn(queries: DataFrame, donors: DataFrame, k: int, skip_self: bool = False)
     n = donors.count()
     if n == 0:
         return donors.sparkSession.createDataFrame([], "qid long, did long, dist double, weight long")
-    p = int(min(MAX_PIVOTS, max(1, math.ceil(math.sqrt(n) / 2))))
+    p = max(1, math.ceil(math.sqrt(n) / 2))
     sample = donors.orderBy(F.xxhash64("pid")).limit(p).select("vec").toPandas()
     pivots = _mat(sample["vec"])
 

@@ -26,7 +26,7 @@ LOW_PCT, HIGH_PCT = 0.01, 0.99
 MULTI_CI = 0.975
 CONTAMINATION = 0.01
 MAX_FLAGGED = 0.05
-LOF_ROWS, LOF_COLS, LOF_NEIGHBOURS = 2000, 50, 20
+LOF_NEIGHBOURS = 20
 GAUSS_SKEW, GAUSS_KURT, GAUSS_SHARE, ROWS_PER_COLUMN = 1.0, 5.0, 0.60, 5
 VOTES = 3
 RULES = ("iqr", "zscore", "modz", "tukey", "percentile")
@@ -287,12 +287,12 @@ def isolation_outliers(df: DataFrame, cols: Sequence[str], key: str, contaminati
     return scored.withColumn("is_outlier", F.col("score") > cut)
 
 
-def multivariate_outliers(df: DataFrame, cols: Sequence[str], key: str) -> tuple[str, DataFrame]:
+def multivariate_outliers(df: DataFrame, cols: Sequence[str], key: str, local: bool = False) -> tuple[str, DataFrame]:
     """The detector that fits the data's shape, as ``(method, (key, is_outlier))``.
 
     More columns than rows: forest. Enough rows and near-Gaussian columns:
-    Mahalanobis, with the robust covariance if it flags too many. Small tables:
-    local factor. A detector flagging more than 5% gives way to the forest.
+    Mahalanobis, with the robust covariance if it flags too many. Else, if the
+    caller asks for it by ``local``, the local factor. A detector flagging more than 5% gives way to the forest.
     """
     names = list(cols)
     full = as_numbers(df, names, [key]).dropna()
@@ -310,16 +310,16 @@ def multivariate_outliers(df: DataFrame, cols: Sequence[str], key: str) -> tuple
                 out = robust_mahalanobis(full, names)
             if share(out) <= MAX_FLAGGED:
                 return "mahalanobis", out.select(key, "is_outlier")
-        if n < LOF_ROWS and p < LOF_COLS:
+        if local:
             out = local_outliers(full, names, key)
             if share(out) <= MAX_FLAGGED:
                 return "lof", out.select(key, "is_outlier")
     return "isolation", isolation_outliers(full, names, key).select(key, "is_outlier")
 
 
-def full_votes(df: DataFrame, cols: Sequence[str], key: str, threshold: int = VOTES) -> DataFrame:
+def full_votes(df: DataFrame, cols: Sequence[str], key: str, threshold: int = VOTES, local: bool = False) -> DataFrame:
     """Rule votes plus the vote of the chosen multivariate detector."""
-    _, multi = multivariate_outliers(df, cols, key)
+    _, multi = multivariate_outliers(df, cols, key, local)
     joined = df.join(multi.withColumnRenamed("is_outlier", "__multi"), key, "left")
     return votes(joined, fit_fences(df, cols), "any", threshold, F.coalesce("__multi", F.lit(False))).drop("__multi")
 

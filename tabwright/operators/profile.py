@@ -13,6 +13,11 @@ from ..functions import ordering
 from ..functions.columns import agg_long, as_numbers, is_missing, melt, melt_text, null_safe_join, numeric_cols, text_cols
 
 
+def _ranked(df: DataFrame, order: Sequence, top: int | None) -> DataFrame:
+    """All rows, or the first ``top`` in ``order`` when the caller asks for a top list."""
+    return df if top is None else df.orderBy(*order).limit(top)
+
+
 def regime(df: DataFrame) -> DataFrame:
     """Rows, columns, their ratio as text and which of the two is larger."""
     p = len(df.columns)
@@ -34,11 +39,11 @@ def missingness(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     )
 
 
-def missingness_report(df: DataFrame, top: int = 10) -> DataFrame:
-    """The ``top`` columns by null rate and, beside them, the mean over all columns."""
+def missingness_report(df: DataFrame, top: int | None = None) -> DataFrame:
+    """Columns with their null rates (the ``top`` by rate, if given) and, beside them, the mean over all columns."""
     rates = missingness(df)
     overall = rates.agg(F.avg("null_rate").alias("overall_rate"))
-    return rates.orderBy(F.desc("null_rate"), "feature").limit(top).withColumn("overall_rate", overall.scalar())
+    return _ranked(rates, [F.desc("null_rate"), "feature"], top).withColumn("overall_rate", overall.scalar())
 
 
 def type_counts(df: DataFrame) -> DataFrame:
@@ -57,17 +62,17 @@ def corrected_kurtosis(c: Column) -> Column:
     return F.when(n >= 4, F.try_divide((n - 1) * ((n + 1) * F.kurtosis(c) + 6), (n - 2) * (n - 3)))
 
 
-def skew_report(df: DataFrame, top: int = 10) -> DataFrame:
+def skew_report(df: DataFrame, top: int | None = None) -> DataFrame:
     out = agg_long(df, numeric_cols(df), {"skew": corrected_skew})
-    return out.orderBy(F.desc("skew"), "feature").limit(top)
+    return _ranked(out, [F.desc("skew"), "feature"], top)
 
 
-def cardinality(df: DataFrame, top: int = 10, cols: Sequence[str] | None = None) -> DataFrame:
+def cardinality(df: DataFrame, top: int | None = None, cols: Sequence[str] | None = None) -> DataFrame:
     """Exact distinct values of text columns, nulls aside."""
     cells = melt_text(df, list(cols or text_cols(df))).filter(F.col("value").isNotNull())
     levels = cells.groupBy("feature", "value").agg(F.lit(1).alias("one"))
     out = levels.groupBy("feature").agg(F.count(F.lit(1)).alias("n_distinct"))
-    return out.orderBy(F.desc("n_distinct"), "feature").limit(top)
+    return _ranked(out, [F.desc("n_distinct"), "feature"], top)
 
 
 def feature_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float]) -> DataFrame:
@@ -84,14 +89,15 @@ def fences(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> dict[str, tupl
     return out
 
 
-def iqr_outlier_counts(df: DataFrame, top: int = 10, max_cols: int = 50, k: float = 1.5) -> DataFrame:
-    names = numeric_cols(df)[:max_cols]
+def iqr_outlier_counts(df: DataFrame, top: int | None = None, cols: Sequence[str] | None = None, k: float = 1.5) -> DataFrame:
+    """``(feature, n_outliers)`` of every numeric column."""
+    names = list(cols or numeric_cols(df))
     cut = fences(df, names, k)
     data = as_numbers(df, names)
     flags = {c: (F.col(f"`{c}`") < cut[c][0]) | (F.col(f"`{c}`") > cut[c][1]) for c in names if c in cut}
     one = data.agg(*[F.count_if(f).alias(f"o{i}") for i, f in enumerate(flags.values())])
     rows = [F.struct(F.lit(c).alias("feature"), F.col(f"o{i}").alias("n_outliers")) for i, c in enumerate(flags)]
-    return one.select(F.inline(F.array(*rows))).orderBy(F.desc("n_outliers"), "feature").limit(top)
+    return _ranked(one.select(F.inline(F.array(*rows))), [F.desc("n_outliers"), "feature"], top)
 
 
 def pearson_pairs(df: DataFrame, cols: Sequence[str], threshold: float = 0.0) -> DataFrame:
@@ -116,9 +122,10 @@ def pearson_pairs(df: DataFrame, cols: Sequence[str], threshold: float = 0.0) ->
     return out.filter(F.abs("corr") > threshold) if threshold > 0 else out
 
 
-def collinear_pairs(df: DataFrame, threshold: float = 0.9, max_cols: int = 200, top: int = 10) -> DataFrame:
-    pairs = pearson_pairs(df, numeric_cols(df)[:max_cols], threshold)
-    return pairs.select("a", "b", F.abs("corr").alias("corr")).orderBy(F.desc("corr"), "a", "b").limit(top)
+def collinear_pairs(df: DataFrame, threshold: float = 0.9, cols: Sequence[str] | None = None, top: int | None = None) -> DataFrame:
+    """``(a, b, corr)`` of every pair of numeric columns beyond ``threshold``."""
+    pairs = pearson_pairs(df, list(cols or numeric_cols(df)), threshold)
+    return _ranked(pairs.select("a", "b", F.abs("corr").alias("corr")), [F.desc("corr"), "a", "b"], top)
 
 
 def cross_products(df: DataFrame, cols: Sequence[str], weight: Column | None = None) -> tuple[np.ndarray, float]:
@@ -150,12 +157,12 @@ def raw_moments(df: DataFrame, cols: Sequence[str]) -> tuple[np.ndarray, np.ndar
     return means[1:] + d, m[1:, 1:] - n * np.outer(d, d), n
 
 
-def vif(df: DataFrame, cols: Sequence[str] | None = None, max_cols: int = 20, intercept: bool = False, top: int = 10) -> DataFrame:
+def vif(df: DataFrame, cols: Sequence[str] | None = None, intercept: bool = False, top: int | None = None) -> DataFrame:
     """Variance inflation: the regressions behind it all come from one k x k matrix.
 
     Without an intercept R2 is uncentred, as in a regression through the origin.
     """
-    names = list(cols or numeric_cols(df))[:max_cols]
+    names = list(cols or numeric_cols(df))
     mean, centred, n = raw_moments(df, names)
     gram = centred if intercept else centred + n * np.outer(mean, mean)
     d = np.sqrt(np.diag(gram))

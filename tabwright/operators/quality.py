@@ -40,15 +40,17 @@ def mask_pii(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 
 def _row_digest(df: DataFrame) -> Column:
-    cells = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\x00")) for c in df.columns]
-    return F.sha2(F.concat_ws("|", *cells), 256)
+    """SHA-256 of all cells, each with its length before it, so that no two different rows read alike."""
+    texts = [F.col(f"`{c}`").cast("string") for c in df.columns]
+    return F.sha2(F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("n")) for t in texts]), 256)
 
 
 def audit_checksum(df: DataFrame) -> DataFrame:
-    """Rows and an order-free content digest: XOR of a slice of each row's SHA-256."""
-    bits = F.conv(F.substring(_row_digest(df), 1, 15), 16, 10).cast("long")
-    total = df.select(bits.alias("b")).agg(F.count(F.lit(1)).alias("n_rows"), F.bit_xor("b").alias("x"))
-    return total.select("n_rows", F.lower(F.lpad(F.hex("x"), 15, "0")).substr(1, 12).alias("digest"))
+    """Rows and an order-free content digest: sums modulo 2^60 of two slices of each row's SHA-256, so that doubled rows count."""
+    halves = [F.conv(F.substring("d", start, 15), 16, 10).cast("decimal(20,0)") for start in (1, 16)]
+    sums = [F.coalesce(F.sum(h), F.lit(0)) % F.lit(1 << 60) for h in halves]
+    total = df.select(_row_digest(df).alias("d")).agg(F.count(F.lit(1)).alias("n_rows"), *[s.cast("long").alias(f"s{i}") for i, s in enumerate(sums)])
+    return total.select("n_rows", F.concat(*[F.lower(F.lpad(F.hex(c), 15, "0")) for c in ("s0", "s1")]).alias("digest"))
 
 
 def duplicate_rows(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:

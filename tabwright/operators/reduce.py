@@ -165,8 +165,13 @@ def random_projection(df: DataFrame, cols: Sequence[str], k: int, seed: int = 42
 
 
 def nmf(df: DataFrame, cols: Sequence[str], key: str, k: int = 5, iterations: int = 10, seed: int = 42) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Row factors, column factors and ``(frobenius_error)`` of a non-negative factorization of (row, column, value)."""
-    long = as_numbers(df, cols, [F.col(key).cast("int").alias("row")]).select("row", F.posexplode(F.array(*[F.col(f"`{c}`") for c in cols])).alias("col", "value")).dropna()
+    """Row factors, column factors and ``(frobenius_error)`` of a non-negative factorization of (row, column, value).
+
+    The factorization numbers rows by 32-bit integers, so a key outside that range is refused.
+    """
+    fits = F.col(key).between(-(1 << 31), (1 << 31) - 1)
+    row = F.when(F.col(key).isNull() | fits, F.col(key)).otherwise(F.raise_error(F.lit("row keys must fit 32 bits; number the rows first")))
+    long = as_numbers(df, cols, [row.cast("int").alias("row")]).select("row", F.posexplode(F.array(*[F.col(f"`{c}`") for c in cols])).alias("col", "value")).dropna()
     model = ALS(rank=k, maxIter=iterations, regParam=1e-3, nonnegative=True, userCol="row", itemCol="col", ratingCol="value", seed=seed).fit(long)
     err = model.transform(long).agg(F.sqrt(F.sum(F.pow(F.col("value") - F.col("prediction"), 2))).alias("frobenius_error"))
     return model.userFactors, model.itemFactors, err

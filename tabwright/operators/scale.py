@@ -166,10 +166,8 @@ def _rank_map(x: Column, marks: Sequence[float]) -> Column:
     return F.when(x <= F.lit(float(marks[0])), 0.0).when(x >= F.lit(float(marks[-1])), 1.0).otherwise(inside / (k - 1))
 
 
-def quantile_transform(df: DataFrame, cols: Sequence[str], output: str = "normal", marks: Mapping[str, Sequence[float]] | None = None, min_rows: int = 100) -> DataFrame:
-    """Rank map onto a uniform or normal shape; tables below ``min_rows`` are left alone."""
-    if marks is None and df.limit(min_rows).count() < min_rows:
-        return df
+def quantile_transform(df: DataFrame, cols: Sequence[str], output: str = "normal", marks: Mapping[str, Sequence[float]] | None = None) -> DataFrame:
+    """Rank map onto a uniform or normal shape."""
     fitted = dict(marks) if marks else landmarks(df, cols)
     out = {}
     for c in cols:
@@ -255,7 +253,7 @@ def extra_choice(df: DataFrame, cols: Sequence[str], alpha: float = ALPHA_SIMPLE
 
 
 def mode_switch(df: DataFrame, cols: Sequence[str], cells: int = CELL_SWITCH) -> str:
-    """``enhanced`` below ``cells`` rows x columns, else ``simple``."""
+    """A report only: ``enhanced`` below ``cells`` rows x columns, else ``simple``; no fit is steered by it."""
     limit = math.ceil(cells / max(len(cols), 1))
     return "enhanced" if df.select(*cols[:1]).limit(limit).count() * len(cols) < cells else "simple"
 
@@ -271,7 +269,7 @@ def global_plan(df: DataFrame, cols: Sequence[str], share: float = GLOBAL_SHARE)
     return best.withColumn("use_global", F.col("pass_share") >= share)
 
 
-def fit_plan(df: DataFrame, cols: Sequence[str] | None = None, mode: str | None = None) -> DataFrame:
+def fit_plan(df: DataFrame, cols: Sequence[str] | None = None, mode: str = "enhanced") -> DataFrame:
     """Plan table ``(feature, pre, extra, lambda, landmarks, center, scale, p, skew)``.
 
     Simple mode: one scaler for all plus the best extra transform per column.
@@ -279,7 +277,6 @@ def fit_plan(df: DataFrame, cols: Sequence[str] | None = None, mode: str | None
     transform, then standardization. All parameters are stored.
     """
     names = list(cols or numeric_cols(df))
-    mode = mode or mode_switch(df, names)
     pre = {c: "none" for c in names}
     if mode == "enhanced":
         pre |= {r["feature"]: r["method"] for r in best_pre(df, names).collect()}

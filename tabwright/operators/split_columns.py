@@ -14,9 +14,9 @@ from .association import is_regression, mutual_information
 from .profile import target_correlations
 
 # The patterns of the mixed split and of the extractors.
-MIXED = {"alpha": r"([A-Za-z]+)", "digits": r"(\d+)", "punct": r"([^\w\s]+)"}
+MIXED = {"alpha": r"([A-Za-z]+)", "digits": r"(\d+)", "punct": r"([^A-Za-z0-9]+)"}
 HTML_TAG = r"<[^>]+>"
-XML_PAIR = r"<(\w+)>(.*?)</\1>"
+XML_PAIR = r"(?s)<(\w+)[^>]*>(.*?)</\1>"
 IPV4 = r"\b(\d{1,3}(?:\.\d{1,3}){3})\b"
 HEX_COLOUR = r"#([0-9a-fA-F]{6}|[0-9a-fA-F]{3})\b"
 
@@ -75,7 +75,7 @@ def _paths(kind: T.StructType, head: tuple[str, ...] = ()) -> list[tuple[str, ..
 
 
 def xml_map(c: Column) -> Column:
-    """Tag to text of every ``<t>..</t>`` pair; the last one wins."""
+    """Tag to text of every ``<t ..>..</t>`` pair, also over several lines; the last one wins."""
     tags = F.regexp_extract_all(c, F.lit(XML_PAIR), F.lit(1))
     texts = F.regexp_extract_all(c, F.lit(XML_PAIR), F.lit(2))
     return F.aggregate(

@@ -26,14 +26,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     return spark
 
 
+def local_folder(spark: SparkSession, prefix: str) -> str:
+    """A scratch folder of this machine, which only a local session may use."""
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix=prefix)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint of ``df``.
 
     The folder is the shared one named in ``spark.checkpoint.dir``; a scratch
-    folder is used only when the session names none (tests).
+    folder is used only by a local session that names none (tests).
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="tabwright-ckpt-"))
+        sc.setCheckpointDir(shared or local_folder(df.sparkSession, "tabwright-ckpt-"))
     return df.checkpoint(eager=True)

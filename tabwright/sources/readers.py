@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from pathlib import PurePosixPath
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -77,8 +78,13 @@ def flatten(df: DataFrame, sep: str = ".", prefix: str = "") -> DataFrame:
     return df.select(*walk(df.schema, []))
 
 
-def read_commented_tsv(spark: SparkSession, path: str, comment: str = "!", schema: T.StructType | None = None) -> DataFrame:
-    """A tab-separated matrix whose leading remark lines start with ``comment``."""
-    reader = spark.read.option("sep", "\t").option("header", True).option("comment", comment)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return reader.csv(path)
+def read_commented_tsv(spark: SparkSession, path: str, comments: Sequence[str] = ("!", "#"), schema: T.StructType | None = None) -> DataFrame:
+    """A tab-separated matrix with a header; lines that start with one of ``comments`` are remarks."""
+    lines = spark.read.text(path)
+    for mark in comments:
+        lines = lines.filter(~F.col("value").startswith(mark))
+    if schema is not None:  # the header is the line that holds the column names
+        named = "\t".join(schema.names)
+        return lines.filter(F.col("value") != named).select(F.from_csv("value", schema.simpleString()[7:-1].replace(":", " "), {"sep": "\t"}).alias("r")).select("r.*")
+    texts = getattr(lines._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    return DataFrame(spark._jsparkSession.read().option("sep", "\t").option("header", True).option("inferSchema", True).csv(texts), spark)

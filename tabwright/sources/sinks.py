@@ -32,13 +32,13 @@ def write_report(report: DataFrame, path: str, kind: str = "json", mode: str = "
         raise ValueError(f"unknown report format: {kind}")
 
 
-def render_html(sections: Mapping[str, DataFrame], title: str = "Data health report", limit: int = 1000) -> str:
-    """Report tables as one page; each is an aggregate, shown up to ``limit`` lines."""
+def render_html(sections: Mapping[str, DataFrame], title: str = "Data health report") -> str:
+    """Report tables, which are aggregates, as one page with all their lines."""
     parts = [f"<html><head><title>{html.escape(title)}</title></head><body><h1>{html.escape(title)}</h1>"]
     for name, report in sections.items():
         head = "".join(f"<th>{html.escape(c)}</th>" for c in report.columns)
         lines = (
-            "<tr>" + "".join(f"<td>{html.escape(str(v))}</td>" for v in row) + "</tr>" for row in report.take(limit)
+            "<tr>" + "".join(f"<td>{html.escape(str(v))}</td>" for v in row) + "</tr>" for row in report.toLocalIterator()
         )
         parts.append(f"<h2>{html.escape(name)}</h2><table><tr>{head}</tr>{''.join(lines)}</table>")
     return "".join([*parts, "</body></html>"])
