@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
+from ..session import cut_lineage
 from .columns import null_safe_join
 
 # 2**8 - 1 sketch edges make up to 511 ordered buckets.
@@ -115,7 +116,8 @@ def value_counts(df: DataFrame, value: str, keys: Sequence[str] = (), weight: Co
 
 def cumulative_counts(df: DataFrame, value: str, keys: Sequence[str] = (), edge_keys: Sequence[str] = ()) -> DataFrame:
     """``(keys..., value, __n, __cum, __cum__all)``: counts up to and including each value."""
-    return running(value_counts(df, value, keys), value, {"__cum": F.col("__n")}, keys, edge_keys)
+    counted = cut_lineage(value_counts(df, value, keys))  # read by the edges, the buckets and their totals
+    return running(counted, value, {"__cum": F.col("__n")}, keys, edge_keys)
 
 
 def average_rank(df: DataFrame, value: str, keys: Sequence[str] = (), edge_keys: Sequence[str] = ()) -> DataFrame:
@@ -196,8 +198,12 @@ def _bracketed(data: DataFrame, qs: Sequence[float], keys: Sequence[str], edge_k
     gap = sum(((v > F.col(f"__e{i}")).cast("int") for i in range(1, 2 * len(order))), (v > F.col("__e0")).cast("int"))
     slim = joined.select(*keys, "__all", gap.alias("__gap"), F.when(inside, v).alias("__in"), v)
     counts = slim.groupBy(*keys, "__gap", "__in").agg(F.count(one).cast("double").alias("__n"), F.min("__v").alias("__at"), F.max("__all").alias("__all"))
-    upto = Window.partitionBy(*keys).orderBy("__at").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.withColumn("__cum", F.sum("__n").over(upto)).filter(F.col("__in").isNotNull())
+    # Gaps are few and in value order, so a group is ranked gap by gap, shifted by the totals of the gaps before.
+    before = Window.partitionBy(*keys).orderBy("__gap").rowsBetween(Window.unboundedPreceding, -1)
+    totals = counts.groupBy(*keys, "__gap").agg(F.sum("__n").alias("__t"))
+    shift = totals.select(*keys, "__gap", F.coalesce(F.sum("__t").over(before), F.lit(0.0)).alias("__off"))
+    upto = Window.partitionBy(*keys, "__gap").orderBy("__at").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = null_safe_join(counts, shift, [*keys, "__gap"]).withColumn("__cum", F.col("__off") + F.sum("__n").over(upto)).filter(F.col("__in").isNotNull())
     share = number_array(order)
     hits = F.filter(_targets(share, F.col("__all")), lambda t: (t["at"] >= F.col("__cum") - F.col("__n")) & (t["at"] < F.col("__cum")))
     found = ranked.select(*keys, F.col("__in").alias("__v"), "__all", F.explode(hits).alias("__t"))
@@ -321,8 +327,6 @@ def dense_index(levels: DataFrame, column: str, name: str = "__ix") -> DataFrame
     partitions then stay put, so a position is the partition offset plus the
     place inside the partition.
     """
-    from ..session import cut_lineage
-
     placed = cut_lineage(levels.select(column).repartitionByRange(column).sortWithinPartitions(column))
     marked = placed.select(column, F.monotonically_increasing_id().alias("__id"))
     part, place = F.shiftright("__id", 33), F.col("__id").bitwiseAND((1 << 33) - 1)

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions import ordering, special
 from ..functions.columns import agg_long, as_numbers, melt, melt_text, numeric_cols, observed, text_cols, xlogx
+from ..session import cut_lineage
 from .profile import equal_width_bin, feature_quantiles, histogram, target_correlations
 
 REGRESSION_DISTINCT = 20
@@ -120,7 +121,7 @@ def spearman(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """
     parts = []
     for x, y in pairs:
-        cells = _cells(df, x, y)
+        cells = cut_lineage(_cells(df, x, y))
         rx = ordering.running(cells.groupBy("x").agg(F.sum("n").alias("n")), "x", {"c": F.col("n")})
         ry = ordering.running(cells.groupBy("y").agg(F.sum("n").alias("n")), "y", {"c": F.col("n")})
         mid = (F.col("c__all") + 1) / 2

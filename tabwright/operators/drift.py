@@ -37,7 +37,7 @@ def _cdf_steps(long: DataFrame, value: str, side: str, keys: Sequence[str]) -> D
     counts = long.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(
         F.count_if(s == 0).cast("double").alias("__a"), F.count_if(s == 1).cast("double").alias("__b")
     )
-    cum = ordering.running(counts, value, {"__ca": F.col("__a"), "__cb": F.col("__b")}, keys, keys)
+    cum = ordering.running(cut_lineage(counts), value, {"__ca": F.col("__a"), "__cb": F.col("__b")}, keys, keys)
     return cum.select(
         *keys,
         value,
@@ -62,7 +62,7 @@ def wasserstein(long: DataFrame, value: str, side: str, keys: Sequence[str]) ->
     Inside an ordered bucket the next value is a lead; the gap between buckets is
     closed from the bucket borders, so no global sort is needed.
     """
-    steps = _cdf_steps(long, value, side, keys)
+    steps = cut_lineage(_cdf_steps(long, value, side, keys))
     cut = ordering.with_bucket(steps, value, keys)
     w = Window.partitionBy(*keys, "__bucket").orderBy(value)
     gap = F.abs(F.col("f") - F.col("g"))

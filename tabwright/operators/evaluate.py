@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ordering
 from ..functions.columns import null_safe_join
+from ..session import cut_lineage
 
 
 def confusion(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -86,7 +87,7 @@ def roc_points(df: DataFrame, label: str, score: str, keys: Sequence[str] = ())
     counts = df.filter(F.col(score).isNotNull() & y.isNotNull()).groupBy(*keys, (-F.col(score)).alias("__neg")).agg(
         F.sum((y == 1).cast("double")).alias("__p"), F.sum((y != 1).cast("double")).alias("__q")
     )
-    cum = ordering.running(counts, "__neg", {"tp": F.col("__p"), "fp": F.col("__q")}, keys, keys)
+    cum = ordering.running(cut_lineage(counts), "__neg", {"tp": F.col("__p"), "fp": F.col("__q")}, keys, keys)
     return cum.select(
         *keys,
         (-F.col("__neg")).alias("threshold"),
@@ -104,7 +105,7 @@ def auc(df: DataFrame, label: str, score: str, keys: Sequence[str] = ()) -> Data
     counts = df.filter(F.col(score).isNotNull() & y.isNotNull()).groupBy(*keys, F.col(score).alias("__s")).agg(
         F.sum((y == 1).cast("double")).alias("__p"), F.count(F.lit(1)).cast("double").alias("__n")
     )
-    cum = ordering.running(counts, "__s", {"__c": F.col("__n")}, keys, keys)
+    cum = ordering.running(cut_lineage(counts), "__s", {"__c": F.col("__n")}, keys, keys)
     rank = F.col("__c") - (F.col("__n") - 1) / 2
     out = cum.groupBy(*keys).agg(F.sum(F.col("__p") * rank).alias("r"), F.sum("__p").alias("p"), F.sum("__n").alias("n"))
     return out.select(*keys, F.try_divide(F.col("r") - F.col("p") * (F.col("p") + 1) / 2, F.col("p") * (F.col("n") - F.col("p"))).alias("auc"))
@@ -114,7 +115,7 @@ def average_precision(df: DataFrame, label: str, score: str) -> DataFrame:
     """Area under the precision-recall steps: each distinct score adds its recall gain times precision."""
     y = F.col(label)
     counts = df.filter(F.col(score).isNotNull()).groupBy((-F.col(score)).alias("__neg")).agg(F.sum((y == 1).cast("double")).alias("__p"), F.count(F.lit(1)).cast("double").alias("__n"))
-    cum = ordering.running(counts, "__neg", {"tp": F.col("__p"), "all": F.col("__n")})
+    cum = ordering.running(cut_lineage(counts), "__neg", {"tp": F.col("__p"), "all": F.col("__n")})
     return cum.agg((F.sum(F.col("__p") * F.col("tp") / F.col("all")) / F.max("tp__all")).alias("average_precision"))
 
 

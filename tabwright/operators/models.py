@@ -15,7 +15,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
@@ -86,8 +86,9 @@ def train(df: DataFrame, numeric: Sequence[str], target: str, family: str = "ran
 
 
 def score(df: DataFrame, model: PipelineModel, numeric: Sequence[str]) -> DataFrame:
-    """Batch scoring; class models add the probability of class 1 as ``score``."""
-    out = model.transform(doubles(df, numeric))
+    """Batch scoring; class models add the probability of class 1 as ``score``. Rows need no label."""
+    unlabelled = lambda s: isinstance(s, StringIndexerModel) and s.getOutputCol() == "label" and s.getInputCol() not in df.columns
+    out = PipelineModel([s for s in model.stages if not unlabelled(s)]).transform(doubles(df, numeric))
     if "probability" in out.columns:
         out = out.withColumn("score", F.get(vector_to_array("probability"), F.lit(1)))
     drop = [c for c in out.columns if c.startswith("__") or c in ("features", "rawPrediction", "probability")]
