@@ -32,6 +32,16 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 256) -> None:
+    """Hand long texts to Python in Arrow batches of at most ``rows`` rows, so that a task holds few of them at a time.
+
+    A setting of the session, lowered only if it is larger.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, rows)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, all else kept."""
     return F.translate(text, UPPER, UPPER.lower())
@@ -116,7 +126,7 @@ def fit_logistic(sample: DataFrame, dim: int, rounds: int = 30, l2: float = 1e-5
 
 
 def bounded_sample(df: DataFrame, key: Column, bound: int, n: int) -> DataFrame:
-    """About ``bound`` of the ``n`` rows, chosen by a hash of ``key``; all of them if there are no more."""
+    """About ``bound`` of the ``n`` rows, chosen by a hash of ``key``, which must be unique; all of them if there are no more."""
     if n <= bound:
         return df
     return df.filter(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 30)) < int(bound / n * (1 << 30)))

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, fit_logistic, margins, saved
+from .common import fit_logistic, saved, small_batches
 
 #: Slots of the scorer, the last BINS of them for signals.
 DIM, BINS = 1 << 13, 1 << 10
@@ -131,10 +131,11 @@ def classify(docs: DataFrame, train_rows: int = 20000, rounds: int = 30, least:
     """Rows (id, votes, posterior, score, keep), or all columns of ``docs`` with ``__score`` and ``__keep``, one for each document.
 
     All documents are labelled and their vote patterns counted; expectation-maximisation on those counts gives the labellers' accuracies and each
-    pattern's posterior. About ``train_rows`` documents, chosen by a hash of the text (all, if there are no more), train
+    pattern's posterior. About ``train_rows`` documents, sampled evenly (all, if there are no more), train
     the linear scorer on posteriors as soft labels; every document is scored over its whole text. ``keep``: score of ``least`` or more.
     A null, empty or blank text has score and posterior 0 and is not kept; repeated rows are judged each, alike.
     """
+    small_batches(docs.sparkSession)
     text = F.col(text_col).cast("binary")
     source = docs.select(text.alias("__text"))
 
@@ -158,7 +159,8 @@ def classify(docs: DataFrame, train_rows: int = 20000, rounds: int = 30, least:
             if rows:
                 yield pd.DataFrame(rows, columns=["idx", "val", "y"])
 
-    few = bounded_sample(source, F.col("__text"), train_rows, sum(r.n for r in found)).repartition(8, F.xxhash64("__text"))
+    share = train_rows / max(sum(r.n for r in found), 1)
+    few = (source if share >= 1 else source.sample(share, seed=7)).repartition(8)
     weights = fit_logistic(saved(few.mapInPandas(train, "idx array<int>, val array<double>, y double"), "quality"), DIM, rounds)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

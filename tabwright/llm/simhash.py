@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import saved
+from .common import saved, small_batches
 
 LEAF, FAN = 32, 8
 ROWS = 255
@@ -36,6 +36,7 @@ def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """Rows (``__id``, ``fp`` long: the 64 bits as a signed number), one for each document; a null text is empty."""
+    small_batches(docs.sparkSession)
     kind = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import saved, small_batches
 
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 RECORD = "record_id string, record_type string, origin_id string, segment long, total long, page_id string, refers_to string, digest string, block binary"
@@ -94,6 +94,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     for null. Blocks over ``segment_bytes`` are cut into continuation records. A record's id is a digest of the row's id, url
     and payload, so a repeated task writes the same bytes and a repeated row repeats its records. A row without id revisits like any other.
     """
+    small_batches(pages.sparkSession)
     payload = F.coalesce(F.col("__html").cast("binary"), F.lit("").cast("binary"))
     rows = pages.select(F.col(id_col).alias("__page"), F.col(url_col).cast("string").alias("url"), F.col(html_col).alias("__html"))
     rows = rows.withColumn("digest", F.sha2(payload, 256)).withColumn("size", F.octet_length(payload))
@@ -105,8 +106,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for at in range(0, len(b), 256):
-                yield pd.DataFrame({"record": [r for row in b[at : at + 256].itertuples() for r in records_of(row, segment_bytes)]})
+            yield pd.DataFrame({"record": [r for row in b.itertuples() for r in records_of(row, segment_bytes)]})
 
     # The text writer ends each value with the record's last line feed.
     lines = rows.mapInPandas(build, "record binary").select(F.expr("substring(record, 1, octet_length(record) - 1)").cast("string").alias("value"))
