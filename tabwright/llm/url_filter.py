@@ -78,7 +78,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], train_rows: int = 2000
     labelled = ruled.filter("__rule is not null").select("host", "path", (F.col("__rule.verdict") == "allow").cast("double").alias("y")).distinct()
     labelled = saved(labelled, "labelled")
     few = bounded_sample(labelled, F.concat_ws("/", "host", "path"), train_rows, labelled.count())
-    weights = fit(few.repartition(8, "host", "path"), rounds)
+    weights = fit(few.repartition(8), rounds)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
