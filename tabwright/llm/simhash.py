@@ -16,11 +16,21 @@ LEAF, FAN = 32, 8
 ROWS = 255
 
 
-def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
-    """64 bits: bit b is set if over half of the text's shingle hashes have it; zero without words."""
+def remixed(hashes: np.ndarray, k: int) -> np.ndarray:
+    """The ``k``-th further hash of each hash, by a bit mixer; number 0 is the hash itself."""
+    if not k:
+        return hashes
+    h = hashes + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64))
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def fingerprint(text: bytes, shingle: int = 3, prints: int = 1, seed: int = 42) -> np.ndarray:
+    """``prints`` numbers of 64 bits: bit b is set if over half of the text's shingle hashes have it; zero without words."""
     words = text.lower().split()
     if not words:
-        return 0
+        return np.zeros(prints, np.uint64)
     joined = b" ".join(words)
     if len(words) <= shingle:
         hashes = np.array([xxh64_intdigest(joined, seed)], np.uint64)
@@ -28,23 +38,26 @@ def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
         ends = (np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1).tolist()
         starts = [0, *(e + 1 for e in ends[:-shingle])]
         hashes = np.array([xxh64_intdigest(joined[s:e], seed) for s, e in zip(starts, ends[shingle - 1 :], strict=True)], np.uint64)
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), ROWS):  # as many rows as a byte can count
-        ones += np.unpackbits(hashes[at : at + ROWS].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint8)
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
+    out = np.empty(prints, np.uint64)
+    for k in range(prints):
+        ones = np.zeros(64, np.int64)
+        for at in range(0, len(hashes), ROWS):  # as many rows as a byte can count
+            piece = remixed(hashes[at : at + ROWS], k)
+            ones += np.unpackbits(piece.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint8)
+        out[k] = np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0]
+    return out
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """Rows (``__id``, ``fp`` long: the 64 bits as a signed number), one for each document; a null text is empty."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, prints: int = 1) -> DataFrame:
+    """Rows (``__id``, ``fps`` array of long: each 64 bits as a signed number), one for each document; a null text is empty."""
     small_batches(docs.sparkSession)
     kind = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            fp = np.array([fingerprint(bytes(t), shingle) if t is not None else 0 for t in b["__text"]], np.uint64)
-            yield pd.DataFrame({"__id": b["__id"], "fp": fp.view(np.int64)})
+            yield pd.DataFrame({"__id": b["__id"], "fps": [fingerprint(b"" if t is None else bytes(t), shingle, prints).view(np.int64) for t in b["__text"]]})
 
-    return docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("binary").alias("__text")).mapInPandas(run, f"__id {kind}, fp long")
+    return docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("binary").alias("__text")).mapInPandas(run, f"__id {kind}, fps array<long>")
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -116,17 +129,17 @@ def components(codes: np.ndarray, radius: int) -> np.ndarray:
     return out
 
 
-def chains(codes: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links that hold each component of ``codes`` together: every code to the next of its component, so that no code has more than two."""
-    label = components(codes, radius)
-    signed = codes.view(np.int64)
-    order = np.lexsort((signed, label))
-    same = label[order][1:] == label[order][:-1]
-    return signed[order][:-1][same], signed[order][1:][same]
+def chains(codes: np.ndarray, nodes: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links that hold each component together: every node to the next of its component, so that no node has more than two."""
+    distinct, at = np.unique(codes, return_inverse=True)
+    label = components(distinct, radius)[at]
+    order = np.lexsort((nodes, label))
+    same = (label[order][1:] == label[order][:-1]) & (nodes[order][1:] != nodes[order][:-1])
+    return nodes[order][:-1][same], nodes[order][1:][same]
 
 
-def links(distinct: DataFrame, radius: int = 3, unit: int = 4096) -> DataFrame:
-    """Links (``a``, ``b``) that connect every component of the distinct ``fp``.
+def links(nodes: DataFrame, radius: int = 3, unit: int = 4096) -> DataFrame:
+    """Links (``a``, ``b``) that connect the components of (``node``, ``fps``): nodes link if a fingerprint of both is within ``radius`` bits.
 
     Two fingerprints within ``radius`` agree in one of ``radius + 1`` blocks of bits, so each goes once to the run of each of its blocks'
     values; a run, whose fingerprints share that block, is searched by the index of ``components``. A run of
@@ -135,30 +148,32 @@ def links(distinct: DataFrame, radius: int = 3, unit: int = 4096) -> DataFrame:
     """
     width = 64 // (radius + 1)
     spans = [(i, 64 if i == radius else width * (i + 1), width * i) for i in range(radius + 1)]
-    keys = F.array(*[F.struct(F.lit(i).alias("block"), F.shiftrightunsigned(F.shiftleft("fp", 64 - hi), 64 - hi + lo).alias("value")) for i, hi, lo in spans])
-    runs = distinct.select("fp", F.explode(keys).alias("k")).select("fp", "k.block", "k.value")
+    each = nodes.select("node", F.posexplode("fps").alias("print", "fp"))
+    keys = F.array(*[F.struct((F.col("print") * 64 + i).alias("block"), F.shiftrightunsigned(F.shiftleft("fp", 64 - hi), 64 - hi + lo).alias("value")) for i, hi, lo in spans])
+    runs = each.select("node", "fp", F.explode(keys).alias("k")).select("node", "fp", "k.block", "k.value")
     large = runs.groupBy("block", "value").agg(F.count("*").alias("n")).filter(F.col("n") > unit).select("block", "value", F.ceil(F.col("n") / unit).alias("parts"))
     runs = runs.join(large, ["block", "value"], "left")
-    part = F.pmod(F.xxhash64("fp"), F.col("parts"))
+    part = F.pmod(F.xxhash64("node"), F.col("parts"))
     pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda other: F.least(part, other) * F.col("parts") + F.greatest(part, other))
-    units = runs.select("fp", "block", "value", F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(-1).cast("long"))).otherwise(pairs)).alias("pair"))
+    units = runs.select("node", "fp", "block", "value", F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(-1).cast("long"))).otherwise(pairs)).alias("pair"))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
         for b in batches:
             b = b if rest is None else pd.concat([rest, b], ignore_index=True)
-            same = (b[["block", "value", "pair"]].to_numpy()[1:] == b[["block", "value", "pair"]].to_numpy()[:-1]).all(axis=1)
-            cuts = np.flatnonzero(~same) + 1
+            keys = b[["block", "value", "pair"]].to_numpy()
+            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
             last = cuts[-1] if len(cuts) else 0
-            yield found(b.fp.to_numpy()[:last], cuts[:-1])
+            yield found(b[:last], cuts[:-1])
             rest = b[last:]
         if rest is not None and len(rest):
-            yield found(rest.fp.to_numpy(), np.array([], int))
+            yield found(rest, np.array([], int))
 
-    def found(fp: np.ndarray, cuts: np.ndarray) -> pd.DataFrame:
+    def found(b: pd.DataFrame, cuts: np.ndarray) -> pd.DataFrame:
+        fp, node = b.fp.to_numpy(), b.node.to_numpy()
         edges = np.concatenate([[0], cuts, [len(fp)]]).astype(int)
         many = np.flatnonzero(np.diff(edges) > 1)
-        got = [chains(np.ascontiguousarray(fp[edges[i] : edges[i + 1]]).view(np.uint64), radius) for i in many]
+        got = [chains(np.ascontiguousarray(fp[edges[i] : edges[i + 1]]).view(np.uint64), node[edges[i] : edges[i + 1]], radius) for i in many]
         return pd.DataFrame({"a": np.concatenate([np.zeros(0, np.int64), *(g[0] for g in got)]), "b": np.concatenate([np.zeros(0, np.int64), *(g[1] for g in got)])})
 
     dealt = units.repartition("block", "value", "pair").sortWithinPartitions("block", "value", "pair")
@@ -189,13 +204,16 @@ def spread(edges: DataFrame) -> DataFrame:
 
 
 def grouped(prints: DataFrame, key: str, radius: int) -> DataFrame:
-    """Rows (``fp``, ``least``, ``first``) for each fingerprint of ``prints``: the smallest ``key`` with it and the smallest that it reaches; null keys come last."""
-    nodes = saved(prints.groupBy("fp").agg(F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"))).alias("least")), "nodes")
-    roots = spread(links(nodes.select("fp"), radius)).select(F.col("node").alias("fp"), "root")
-    linked = saved(nodes.join(roots, "fp"), "linked")
+    """Rows (``fps``, ``first``) for each list of fingerprints: the smallest ``key`` that it reaches; null keys come last.
+
+    A node is the fingerprint, or of several a hash of 64 bits.
+    """
+    node = F.when(F.size("fps") == 1, F.get("fps", 0)).otherwise(F.xxhash64("fps"))
+    nodes = saved(prints.groupBy("fps").agg(F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"))).alias("least")).withColumn("node", node), "nodes")
+    linked = saved(nodes.select("node", "least").join(spread(links(nodes.select("node", "fps"), radius)), "node"), "linked")
     smallest = linked.groupBy("root").agg(F.min("least").alias("first"))
-    found = linked.join(smallest, "root").select("fp", "first")
-    return saved(nodes.join(found, "fp", "left").select("fp", F.col("least.key").alias("least"), F.coalesce("first", "least")["key"].alias("first")), "groups")
+    found = linked.join(smallest, "root").select("node", "first")
+    return saved(nodes.join(found, "node", "left").select("fps", F.coalesce("first", "least")["key"].alias("first")), "groups")
 
 
 def near_duplicates(docs: DataFrame, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -206,15 +224,19 @@ def near_duplicates(docs: DataFrame, radius: int = 3, id_col: str = "doc_id", te
     repeated rows are each returned; an empty table gives no rows.
     """
     prints = saved(fingerprints(docs, id_col, text_col), "fingerprints")
-    named = grouped(prints, "__id", radius).select("fp", F.col("first").alias("component_id"))
-    return prints.join(named, "fp").select(F.col("__id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    named = grouped(prints, "__id", radius).select("fps", F.col("first").alias("component_id"))
+    return prints.join(named, "fps").select(F.col("__id").alias(id_col), F.lower(F.lpad(F.hex(F.get("fps", 0)), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def deduplicated(docs: DataFrame, radius: int = 3, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each component: that of the smallest id, and of several such rows one; a component without any id keeps a row too."""
+def deduplicated(docs: DataFrame, radius: int = 7, prints: int = 4, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id, and of several such rows one; a component without any id keeps a row too.
+
+    Texts whose five-word shingles agree to 0.8 differ in up to a tenth of the bits of a fingerprint, so a link here is ``radius`` or fewer
+    differing bits in any of ``prints`` fingerprints of independent hashes; links carry over. Null and empty texts are one group.
+    """
     text = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     keyed = docs.select(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), text.alias("t")).alias("__key"), F.col(text_col).alias("__text"))
-    prints = saved(fingerprints(keyed, "__key", "__text", shingle), "fingerprints")
-    kept = grouped(prints, "__id", radius).select(F.col("first.id").alias("__i"), F.col("first.t").alias("__t")).distinct()
+    found = saved(fingerprints(keyed, "__key", "__text", shingle, prints), "fingerprints")
+    kept = grouped(found, "__id", radius).select(F.col("first.id").alias("__i"), F.col("first.t").alias("__t")).distinct()
     rows = docs.withColumns({"__h": text}).join(kept, F.col(id_col).eqNullSafe(F.col("__i")) & (F.col("__h") == F.col("__t")))
     return rows.dropDuplicates(["__i", "__t"]).select(*[docs[c] for c in docs.columns])

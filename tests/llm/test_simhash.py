@@ -79,7 +79,8 @@ def test_large_runs_are_dealt_out(spark):
     for c in list(codes)[:200]:
         codes.add(c ^ (1 << int(rng.integers(0, 30))) ^ (1 << int(rng.integers(0, 30))))
     codes = sorted(codes)
-    df = spark.createDataFrame([(int(np.uint64(c).view(np.int64)),) for c in codes], "fp long")
+    signed = [int(np.uint64(c).view(np.int64)) for c in codes]
+    df = spark.createDataFrame([(c, [c]) for c in signed], "node long, fps array<long>")
     want = brute_components(list(enumerate(codes)))
     for unit in (64, 4096):
         found = {r.node: r.root for r in simhash.spread(simhash.links(df, 3, unit)).collect()}
@@ -97,3 +98,16 @@ def test_deduplicated_keeps_one_of_each_group(spark, docs_of):
     rows = [(3, text), (2, text), (2, text), (9, "quite another text of its own with some words"), (None, None), (5, ""), (None, "a text without any number at all in it")]
     got = sorted(((r.doc_id, r.text) for r in simhash.deduplicated(docs_of(rows, ", fp long, least int")).collect()), key=str)
     assert got == sorted([(2, text), (9, rows[3][1]), (5, ""), (None, rows[6][1])], key=str)
+
+
+def test_edited_copies_are_one_group(spark, sf):
+    """Of pairs of different texts whose five-word shingles agree to 0.8 (found by brute force) nearly all are one group."""
+    docs = spark.read.parquet(f"{sf.replace('0.001', '0.01')}/documents.parquet").dropDuplicates(["text"])
+    texts = {r.doc_id: r.text.lower().split() for r in docs.collect()}
+    sets = {i: {tuple(w[j : j + 5]) for j in range(max(len(w) - 4, 1))} for i, w in texts.items()}
+    ids = sorted(sets)
+    near = [(a, b) for k, a in enumerate(ids) for b in ids[k + 1 :] if 0.8 <= len(sets[a]) / len(sets[b]) <= 1.25 and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    kept = {r.doc_id for r in simhash.deduplicated(docs).collect()}
+    assert near and sum(not (a in kept and b in kept) for a, b in near) >= 0.95 * len(near)
+    shared = {i for i in ids if all(len(sets[i] & sets[j]) < 0.3 * len(sets[i] | sets[j]) for j in ids if j != i)}
+    assert shared <= kept
