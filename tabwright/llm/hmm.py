@@ -12,15 +12,17 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import saved, small_batches
 
 #: Classes: at most FREQUENT words of their own, RARE hashed ones for all other words, and one for the end.
 FREQUENT, RARE = 4096, 4095
 CLASSES = FREQUENT + RARE + 1
 END = CLASSES - 1
-#: Words with a larger share than 1 / LOOKUP of all tokens, so at most LOOKUP of them, go to every task; the rest are counted by a join.
+#: At most so many of the most frequent words go to every task; the rest are counted by a join.
 LOOKUP = 1 << 17
-BUFFER = 1 << 21
+BUFFER = 5 << 19
+LENGTHS = (512, 4096)
+SCALED = 8
 FLUSH = 300_000
 
 
@@ -50,79 +52,106 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.filter("not __held").select("__text").mapInPandas(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
+def frequent_from(counts: DataFrame) -> int:
+    """The least count from which on there are at most ``LOOKUP`` words, by bins of equal ratio (a few thousand, whatever the corpus)."""
+    bins = counts.groupBy(F.floor(F.log2("c") * 64).alias("b")).agg(F.count("*").alias("n"), F.min("c").alias("c")).orderBy(F.desc("b")).collect()
+    least, words = (bins[0].c + 1 if bins else 1), 0
+    for r in bins:
+        words += r.n
+        if words > LOOKUP:
+            break
+        least = r.c
+    return least
+
+
 class Layout:
-    """Texts as class codes, laid out by step so that one operation moves all texts of a batch on by a token."""
+    """Texts as class codes, laid out by step so that one operation moves all texts of a batch on by a token.
+
+    State weights are scaled back to sum 1 every ``SCALED`` steps, long before they could underflow.
+    """
 
     def __init__(self, codes: list[np.ndarray]):
         lengths = np.array([len(c) for c in codes])
         self.order = np.argsort(-lengths, kind="stable")
         lengths = lengths[self.order]
-        self.steps = int(lengths[0])
-        self.active = np.searchsorted(-lengths, -np.arange(1, self.steps + 1), side="right")
+        self.active = np.searchsorted(-lengths, -np.arange(1, lengths[0] + 1), side="right")
         self.starts = np.concatenate([[0], np.cumsum(self.active)])
-        flat = np.concatenate([codes[i] for i in self.order])
-        step = np.concatenate([np.arange(n) for n in lengths])
-        row = np.repeat(np.arange(len(lengths)), lengths)
-        self.codes = np.empty(len(flat), np.int64)
-        self.codes[self.starts[step] + row] = flat
-
-    def forward(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray, keep: bool) -> tuple[np.ndarray, np.ndarray | None, np.ndarray | None]:
-        """Natural log-likelihood of each text (in the order given); with ``keep`` also the scaled state shares and the scales."""
-        seen = emit[self.codes]
-        scale = np.empty(len(self.codes))
-        state = np.broadcast_to(start, (self.active[0], len(start)))
-        for t in range(self.steps):
-            lo, hi = self.starts[t], self.starts[t + 1]
-            now = (state if t == 0 else state[: hi - lo] @ move) * seen[lo:hi]
-            total = now.sum(axis=1)
-            now /= total[:, None]
-            scale[lo:hi] = total
-            seen[lo:hi] = now
+        self.codes = np.empty(self.starts[-1], np.uint16)
+        firsts = self.starts[:-1]
+        for row, i in enumerate(self.order):
+            self.codes[firsts[: lengths[row]] + row] = codes[i]
+        self.last = firsts[lengths - 1] + np.arange(len(lengths))
+
+    def forward(self, start: np.ndarray, move: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+        """Natural log-likelihood of each row; ``seen``, the emissions of all tokens, becomes the scaled state weights. Also the scales of scaled steps."""
+        like, scales, ones = np.zeros(self.active[0]), {}, np.ones(len(start))
+        state = seen[: self.active[0]]
+        state *= start
+        for t in range(1, len(self.active)):
+            now = seen[self.starts[t] : self.starts[t + 1]]
+            now *= state[: len(now)] @ move
+            if t % SCALED == 0:
+                scales[t] = total = now @ ones
+                now /= total[:, None]
+                like[: len(now)] += np.log(total)
             state = now
-        logs = np.log(scale)
-        row = np.concatenate([np.arange(n) for n in self.active])
-        out = np.empty(self.active[0])
-        out[self.order] = np.bincount(row, logs, minlength=self.active[0])
-        return (out, seen, scale) if keep else (out, None, None)
+        like += np.log(seen[self.last] @ ones)
+        return like, scales
+
+    def likelihoods(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray) -> np.ndarray:
+        """Natural log-likelihood of each text, in the order given."""
+        out = np.empty(len(self.order))
+        out[self.order] = self.forward(start, move, emit[self.codes])[0]
+        return out
 
     def expected(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
         """Log-likelihood and expected counts of first states, moves, and states by class."""
-        logs, alpha, scale = self.forward(start, move, emit, True)
-        k = len(start)
+        seen = emit[self.codes]
+        shares = seen.copy()
+        like, scales = self.forward(start, move, shares)
+        k, back = len(start), np.ascontiguousarray(move.T)
         moves = np.zeros((k, k))
-        later = np.ones((self.active[-1], k))
-        shares = alpha  # becomes the posterior, from the last step to the first
-        for t in range(self.steps - 1, 0, -1):
+        ends = np.repeat(1 / shares[self.last].sum(axis=1)[:, None], k, axis=1)
+        later = ends[: self.active[-1]]
+        for t in range(len(self.active) - 1, 0, -1):
             lo, hi, before = self.starts[t], self.starts[t + 1], self.starts[t - 1]
-            front = emit[self.codes[lo:hi]] * later / scale[lo:hi, None]
-            moves += alpha[before : before + hi - lo].T @ front
+            front = seen[lo:hi]
+            front *= later
+            if t in scales:
+                front /= scales[t][:, None]
+            moves += shares[before : before + hi - lo].T @ front
             shares[lo:hi] *= later
-            nxt = np.ones((lo - before, k))
-            nxt[: hi - lo] = front @ move.T
-            later = nxt
+            later = front @ back
+            if lo - before > hi - lo:
+                later = np.concatenate([later, ends[hi - lo : lo - before]])
         shares[: self.active[0]] *= later
         by_class = np.stack([np.bincount(self.codes, shares[:, j], minlength=CLASSES) for j in range(k)], axis=1)
-        return float(logs.sum()), shares[: self.active[0]].sum(axis=0), moves * move, by_class
+        return float(like.sum()), shares[: self.active[0]].sum(axis=0), moves * move, by_class
 
 
 def _buffers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Frames of about ``BUFFER`` tokens, or of one longer text."""
-    held, size = [], 0
+    """Frames of about ``BUFFER`` tokens, or of one longer text, whose texts are of like length."""
+    pools: dict[int, tuple[list, int]] = {}
     for b in batches:
-        sizes = b["__n"].to_numpy()
-        start = 0
-        for at, n in enumerate(sizes):
-            if size and size + n > BUFFER:
-                yield pd.concat([*held, b[start:at]], ignore_index=True)
-                held, size, start = [], 0, at
-            size += n
-        held.append(b[start:])
-    if size:
-        yield pd.concat(held, ignore_index=True)
+        kinds = np.searchsorted(LENGTHS, b["__n"].to_numpy())
+        for kind in np.unique(kinds):
+            part = b[kinds == kind]
+            while len(part):
+                held, size = pools.get(kind, ([], 0))
+                fits = max(int(np.searchsorted(np.cumsum(part["__n"].to_numpy()), BUFFER - size, side="right")), 0 if held else 1)
+                if fits:
+                    pools[kind] = ([*held, part[:fits]], size + int(part["__n"][:fits].sum()))
+                    part = part[fits:]
+                else:
+                    yield pd.concat(held, ignore_index=True)
+                    pools[kind] = ([], 0)
+    for held, _ in pools.values():
+        if held:
+            yield pd.concat(held, ignore_index=True)
 
 
 def _codes(frame: pd.DataFrame) -> list[np.ndarray]:
-    return [np.frombuffer(c, np.uint16).astype(np.int64) for c in frame["__codes"]]
+    return [np.frombuffer(c, np.uint16) for c in frame["__codes"]]
 
 
 def start_model(states: int, totals: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -134,8 +163,8 @@ def start_model(states: int, totals: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.full(states, 1 / states), move, emit / emit.sum(axis=0)
 
 
-def train(encoded: DataFrame, states: int, rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[float]]:
-    """Baum-Welch over all training rows of ``encoded``.
+def train(encoded: DataFrame, totals: np.ndarray, states: int, rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[float]]:
+    """Baum-Welch over all training rows of ``encoded``, whose tokens by class are ``totals``.
 
     Each round every task sums the expected counts of its texts; Spark adds them by class (``CLASSES`` rows of ``states``
     numbers, whatever the corpus), and the driver normalises them with half a count added. Returns first states, moves, emissions
@@ -144,22 +173,6 @@ def train(encoded: DataFrame, states: int, rounds: int) -> tuple[np.ndarray, np.
     source = encoded.filter("not __held").select("__n", "__codes")
     schema = "k long, v array<double>"
 
-    def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(CLASSES)
-        for b in batches:
-            for c in b["__codes"]:
-                total += np.bincount(np.frombuffer(c, np.uint16), minlength=CLASSES)
-        if total.any():
-            seen = np.flatnonzero(total)
-            yield pd.DataFrame({"k": seen, "v": list(total[seen, None])})
-
-    def added(run, width: int) -> dict[int, np.ndarray]:
-        summed = source.mapInPandas(run, schema).groupBy("k").agg(*[F.sum(F.get("v", i)).alias(f"v{i}") for i in range(width)])
-        return {r[0]: np.array(r[1:], float) for r in summed.collect()}
-
-    totals = np.zeros(CLASSES)
-    for k, v in added(tally, 1).items():
-        totals[k] = v[0]
     start, move, emit = start_model(states, totals)
     likelihoods: list[float] = []
     for _ in range(rounds if totals.any() else 0):
@@ -175,7 +188,8 @@ def train(encoded: DataFrame, states: int, rounds: int) -> tuple[np.ndarray, np.
             rows += [(-1 - states, first), (-2 - states, np.full(states, like))]
             yield pd.DataFrame(rows, columns=["k", "v"])
 
-        got = added(expect, states)
+        summed = source.mapInPandas(expect, schema).groupBy("k").agg(*[F.sum(F.get("v", i)).alias(f"v{i}") for i in range(states)])
+        got = {r[0]: np.array(r[1:], float) for r in summed.collect()}
         likelihoods.append(float(got[-2 - states][0]))
         start = got[-1 - states] + 0.5
         move = np.stack([got[-1 - i] for i in range(states)]) + 0.5
@@ -194,13 +208,15 @@ def score(docs: DataFrame, states: int = 6, rounds: int = 5, id_col: str = "doc_
     that of the start.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(F.col(id_col).alias("__id"), held_out(F.col(id_col)).alias("__held"), F.coalesce(F.col(text_col).cast("binary"), F.lit("").cast("binary")).alias("__text"))
     kind = dict(docs.dtypes)[id_col]
     counts = saved(word_counts(rows), "word-counts")
     ends = rows.filter("not __held").count()
     words = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     n, v = (words.n or 0) + ends, words.v + (1 if ends else 0)
-    known = {bytes(r.word): r.c for r in counts.filter(F.col("c") * LOOKUP > n).collect()}  # fewer than LOOKUP by construction
+    least = frequent_from(counts)
+    known = {bytes(r.word): r.c for r in counts.filter(F.col("c") >= least).collect()}
     own = {w: i for i, w in enumerate(sorted(w for w, c in known.items() if c * FREQUENT > n))}
     lookup = spark.sparkContext.broadcast((known, own))
     end_log = math.log10(ends + 1)
@@ -210,47 +226,58 @@ def score(docs: DataFrame, states: int = 6, rounds: int = 5, id_col: str = "doc_
         classes = dict(own)
         logs = {w: math.log10(c + 1) for w, c in known.items()}
         for b in batches:
-            for at in range(0, len(b), 512):
-                part, out = b[at : at + 512], []
-                for t in part["__text"]:
-                    words = bytes(t).lower().split()
-                    seen = Counter(words)
-                    for w in seen:
-                        if w not in classes:
-                            classes[w] = rare_class(w)
-                    codes = np.fromiter(map(classes.__getitem__, words), np.uint16, len(words))
-                    if len(classes) > FLUSH:
-                        classes = dict(own)
-                    near = [w for w in seen if w in logs]
-                    far = [w for w in seen if w not in logs]
-                    out.append((len(words) + 1, codes.tobytes() + np.uint16(END).tobytes(), end_log + sum(seen[w] * logs[w] for w in near), sum(seen[w] for w in near) + (1 if ends else 0), far, [seen[w] for w in far]))
-                frame = pd.DataFrame(out, columns=["__n", "__codes", "__sum", "__known", "__far", "__times"])
-                yield pd.concat([part[["__id", "__held"]].reset_index(drop=True), frame], axis=1)
+            out = []
+            for t in b["__text"]:
+                words = bytes(t).lower().split()
+                seen = Counter(words)
+                for w in seen:
+                    if w not in classes:
+                        classes[w] = rare_class(w)
+                codes = np.fromiter(map(classes.__getitem__, words), np.uint16, len(words))
+                if len(classes) > FLUSH:
+                    classes = dict(own)
+                total, far, times = end_log, [], []
+                for w, t in seen.items():
+                    log = logs.get(w)
+                    if log is None:
+                        far.append(w)
+                        times.append(t)
+                    else:
+                        total += t * log
+                near = len(words) - sum(times)
+                out.append((len(words) + 1, codes.tobytes() + np.uint16(END).tobytes(), total, near + (1 if ends else 0), far, times))
+            frame = pd.DataFrame(out, columns=["__n", "__codes", "__sum", "__known", "__far", "__times"])
+            yield pd.concat([b[["__id", "__held"]], frame], axis=1)
 
     schema = f"__id {kind}, __held boolean, __n long, __codes binary, __sum double, __known long, __far array<binary>, __times array<int>"
     encoded = saved(rows.mapInPandas(encode, schema).withColumn("__row", F.monotonically_increasing_id()), "encoded")
     far = encoded.select("__row", F.explode(F.arrays_zip("__far", "__times")).alias("x")).select("__row", F.col("x.__far").alias("word"), F.col("x.__times").alias("times"))
-    rest = counts.filter(F.col("c") * LOOKUP <= n)
+    rest = counts.filter(F.col("c") < least)
     sums = far.join(rest, "word").groupBy("__row").agg(F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("far_sum"), F.sum("times").alias("far_known"))
 
     shared = np.ones(CLASSES)  # what a class shares out: 1 for unknown words and c + 1 of each word
-    grouped = counts.withColumn("k", F.lit(FREQUENT) + F.crc32("word") % RARE).groupBy("k").agg(F.sum(F.col("c") + 1).alias("s"))
+    totals = np.zeros(CLASSES)
+    grouped = counts.withColumn("k", F.lit(FREQUENT) + F.crc32("word") % RARE).groupBy("k").agg(F.sum(F.col("c") + 1).alias("s"), F.sum("c").alias("c"))
     for r in grouped.collect():
         shared[r.k] += r.s
-    for w in own:
+        totals[r.k] += r.c
+    for w, i in own.items():
         shared[rare_class(w)] -= known[w] + 1
+        totals[rare_class(w)] -= known[w]
+        totals[i] = known[w]
+    totals[END] = ends
     own_sum = {i: math.log10(known[w] + 1) for w, i in own.items()}
     inside = -np.log10(shared)
     inside[:FREQUENT] = 0
     for i, x in own_sum.items():
         inside[i] = -x  # a frequent word is its class; its log count is in the sum already
     inside[END] = -end_log
-    start, move, emit, _ = train(encoded, states, rounds)
+    start, move, emit, _ = train(encoded, totals, states, rounds)
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in _buffers(batches):
             codes = _codes(frame)
-            logs = Layout(codes).forward(start, move, emit, False)[0] / math.log(10)
+            logs = Layout(codes).likelihoods(start, move, emit) / math.log(10)
             within = np.array([inside[c].sum() for c in codes])
             yield frame[["__row", "__id", "__held", "__n", "__sum", "__known"]].assign(model=logs + within)
 

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tabwright.llm import hmm
@@ -18,8 +19,8 @@ def small_model(states=3, seed=4):
 def test_forward_against_all_paths():
     start, move, emit = small_model()
     rng = np.random.default_rng(1)
-    texts = [rng.integers(0, hmm.CLASSES, n) for n in (1, 5, 3, 3, 6, 1)]
-    got = hmm.Layout(texts).forward(start, move, emit, False)[0]
+    texts = [rng.integers(0, hmm.CLASSES, n) for n in (1, 5, 3, 3, 10, 1, 8, 9)]
+    got = hmm.Layout(texts).likelihoods(start, move, emit)
     for codes, log in zip(texts, got, strict=True):
         total = 0.0
         for path in itertools.product(range(3), repeat=len(codes)):
@@ -33,7 +34,7 @@ def test_forward_against_all_paths():
 def test_expected_counts_against_all_paths():
     start, move, emit = small_model(2, 9)
     rng = np.random.default_rng(2)
-    texts = [rng.integers(0, 50, n) for n in (4, 1, 6, 2)]
+    texts = [rng.integers(0, 50, n) for n in (4, 1, 6, 2, 11, 9, 8)]
     like, first, moves, by_class = hmm.Layout(texts).expected(start, move, emit)
     want_first, want_moves, want_class, want_like = np.zeros(2), np.zeros((2, 2)), np.zeros((hmm.CLASSES, 2)), 0.0
     for codes in texts:
@@ -57,6 +58,15 @@ def test_expected_counts_against_all_paths():
     np.testing.assert_allclose(by_class, want_class, atol=1e-9)
 
 
+def test_buffers_keep_every_row_once(monkeypatch):
+    monkeypatch.setattr(hmm, "BUFFER", 1000)
+    rng = np.random.default_rng(3)
+    rows = pd.DataFrame({"__n": rng.choice([3, 200, 600, 900, 5000], 300), "at": np.arange(300)})
+    parts = list(hmm._buffers(iter([rows[:7], rows[7:150], rows[150:]])))
+    assert sorted(pd.concat(parts)["at"]) == list(range(300))
+    assert all(p["__n"].sum() <= 1000 or len(p) == 1 for p in parts)
+
+
 def base_scores(rows):
     out, held = {}, {}
     words = {i: (t or "").encode().lower().split() for i, t in rows}
@@ -85,7 +95,8 @@ def test_documents(spark, sf):
 def test_likelihood_rises_round_by_round(spark, sf):
     df = spark.read.parquet(f"{sf}/documents.parquet")
     rows = [(int(r.doc_id), False, bytearray(np.array([zlib.crc32(w.encode()) % hmm.CLASSES for w in r.text.split()] + [hmm.END], np.uint16).tobytes()), len(r.text.split()) + 1) for r in df.collect()]
-    logs = hmm.train(spark.createDataFrame(rows, "__id long, __held boolean, __codes binary, __n long"), 3, 6)[3]
+    totals = np.bincount(np.concatenate([np.frombuffer(r[2], np.uint16) for r in rows]), minlength=hmm.CLASSES).astype(float)
+    logs = hmm.train(spark.createDataFrame(rows, "__id long, __held boolean, __codes binary, __n long"), totals, 3, 6)[3]
     assert all(b > a for a, b in zip(logs[1:], logs[2:], strict=False))  # half a count is added, so the first round may differ
 
 
