@@ -46,7 +46,14 @@ def i4(spark, sf):
     return o.drop("o_custkey", "o_totalprice", "o_orderpriority", "o_orderstatus")
 
 
-@query("i5_minhash")
+_PERMUTATIONS = ", ".join(f"{{'a': {a}::BIGINT, 'b': {b}::BIGINT}}" for a, b in C.minhash_permutations())
+
+
+@query(
+    "i5_minhash",
+    f"""SELECT doc_id, CASE WHEN len(codes) > 0 THEN list_transform([{_PERMUTATIONS}], lambda p: list_min(list_transform(codes, lambda c: (p.a * c + p.b) % {C.MINHASH_PRIME}))) END AS text_minhash
+    FROM (SELECT doc_id, list_transform(list_distinct(list_filter(string_split_regex(lower(text), '\\s+'), lambda w: w <> '')), lambda w: CAST('0x' || substr(md5(w), 1, 8) AS BIGINT)) AS codes FROM documents)""",
+)
 def i5(spark, sf):
     return C.minhash(table(spark, sf, "documents").select("doc_id", "text"), "text").drop("text")
 

@@ -108,6 +108,10 @@ def theils_u(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return info.select(F.inline(both))
 
 
+# Classes that may become columns of one table.
+MAX_CLASSES = 5000
+
+
 def _cells(df: DataFrame, x: str, y: str) -> DataFrame:
     data = df.select(observed(df, x).alias("x"), observed(df, y).alias("y")).dropna()
     return data.groupBy("x", "y").agg(F.count(F.lit(1)).cast("double").alias("n"))
@@ -305,7 +309,9 @@ def dependency_scores(df: DataFrame, target: str, cols: Sequence[str] | None = N
 def conditional_table(df: DataFrame, cat: str, target: str, classes: Sequence[str] | None = None) -> DataFrame:
     """P(target | category) with one column per class and ``__count``; classes must be few."""
     known = df.select(cat, F.col(target).cast("string").alias("__t")).filter(F.col(cat).isNotNull() & F.col("__t").isNotNull())
-    levels = list(classes) if classes else sorted(r[0] for r in known.select("__t").distinct().collect())
+    levels = list(classes) if classes else sorted(r[0] for r in known.select("__t").distinct().limit(MAX_CLASSES + 1).collect())
+    if len(levels) > MAX_CLASSES:
+        raise ValueError(f"{target} has more than {MAX_CLASSES} classes: name the ones you want")
     per = known.groupBy(cat).agg(*[F.count_if(F.col("__t") == v).alias(f"__c{i}") for i, v in enumerate(levels)], F.count(F.lit(1)).alias("__count"))
     return per.select(cat, *[(F.col(f"__c{i}") / F.col("__count")).alias(v) for i, v in enumerate(levels)], "__count")
 

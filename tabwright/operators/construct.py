@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +26,10 @@ AGGREGATES: dict[str, Callable[[Column], Column]] = {
 }
 
 
+# A prime just above 2^32: products of a factor and a code stay inside 64 bits.
+MINHASH_PRIME = 4294967311
+
+
 def group_aggregates(df: DataFrame, spec: Mapping[str, Mapping[str, Sequence[str]]]) -> DataFrame:
     """``{key: {column: [functions]}}`` as ``<key>_<column>_<function>``, joined back on the key.
 
@@ -57,33 +60,21 @@ def cross(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     return df.withColumns(out)
 
 
-def minhash(df: DataFrame, text: str, permutations: int = 128, out: str | None = None, seed: int = 42) -> DataFrame:
-    """Signature of ``permutations`` minima of seeded token hashes; a text without tokens gets NULL.
+def minhash_permutations(permutations: int = 128, seed: int = 42) -> list[tuple[int, int]]:
+    """Factor and shift of each permutation c -> (factor * c + shift) modulo ``MINHASH_PRIME``."""
+    rng = np.random.default_rng(seed)
+    return list(zip(rng.integers(1, 2**31, permutations).tolist(), rng.integers(0, 2**31, permutations).tolist()))
 
-    Row-local: distinct tokens are hashed by Spark, the seeded minima are taken
-    on Arrow batches.
-    """
+
+def minhash(df: DataFrame, text: str, permutations: int = 128, out: str | None = None, seed: int = 42) -> DataFrame:
+    """Signature of ``permutations`` minima of permuted token codes (32 bits of MD5); a text without tokens gets NULL."""
     words = F.array_distinct(F.filter(F.split(F.lower(F.col(text)), r"\s+"), lambda w: w != ""))
-    rng = np.random.default_rng(seed)
-    masks = rng.integers(1, 2**63, permutations, dtype=np.uint64)
-    factor = np.uint64(0x9E3779B97F4A7C15)
-
-    @F.pandas_udf("array<bigint>")
-    def signature(hashes: pd.Series) -> pd.Series:
-        def one(h):
-            if h is None or not len(h):
-                return None
-            low = np.full(permutations, np.iinfo(np.int64).max)
-            codes = np.asarray(h).astype(np.int64).view(np.uint64)
-            for s in range(0, len(codes), 4096):
-                mixed = (codes[s : s + 4096, None] ^ masks[None, :]) * factor
-                mixed ^= mixed >> np.uint64(29)
-                low = np.minimum(low, (mixed >> np.uint64(1)).astype(np.int64).min(axis=0))
-            return low
-
-        return hashes.map(one)
-
-    return df.withColumn(out or f"{text}_minhash", signature(F.transform(words, lambda w: F.xxhash64(w))))
+    codes = F.transform(words, lambda w: F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long"))
+    factors, shifts = (ordering.number_array(list(v)).cast("array<bigint>") for v in zip(*minhash_permutations(permutations, seed)))
+    minima = lambda c: F.zip_with(factors, shifts, lambda a, b: F.array_min(F.transform(c, lambda x: (a * x + b) % MINHASH_PRIME)))
+    # The codes are bound once by transform; a plain reference would repeat them for every permutation.
+    signature = F.get(F.transform(F.array(codes), lambda c: F.when(F.size(c) > 0, minima(c))), F.lit(0))
+    return df.withColumn(out or f"{text}_minhash", signature)
 
 
 def frequency_count(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -17,6 +17,7 @@ from .profile import target_correlations
 MIXED = {"alpha": r"([A-Za-z]+)", "digits": r"(\d+)", "punct": r"([^A-Za-z0-9]+)"}
 HTML_TAG = r"<[^>]+>"
 XML_PAIR = r"(?s)<(\w+)[^>]*>(.*?)</\1>"
+MAX_LABELS = 5000
 IPV4 = r"\b(\d{1,3}(?:\.\d{1,3}){3})\b"
 HEX_COLOUR = r"#([0-9a-fA-F]{6}|[0-9a-fA-F]{3})\b"
 
@@ -31,6 +32,14 @@ def _spread(df: DataFrame, items: Column, prefix: str, width: int | None, missin
     return staged.withColumns(cells).drop("__items") if cells else staged.drop("__items")
 
 
+def _few(found: DataFrame, limit: int = MAX_LABELS) -> list[str]:
+    """Sorted distinct values that become columns; more than ``limit`` are refused."""
+    rows = found.distinct().limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} values would become columns: name the ones you want")
+    return sorted(r[0] for r in rows)
+
+
 def strip_html(c: Column) -> Column:
     return F.regexp_replace(c, HTML_TAG, "")
 
@@ -89,7 +98,7 @@ def flatten_xml(df: DataFrame, c: str, tags: Sequence[str] | None = None) -> Dat
     """``<col>_<tag>`` columns; the tags are collected when not given."""
     staged = df.withColumn("__xml", xml_map(F.col(c)))
     if tags is None:
-        tags = sorted(r[0] for r in staged.select(F.explode(F.map_keys("__xml"))).distinct().collect())
+        tags = _few(staged.select(F.explode(F.map_keys("__xml")).alias("x")))
     return staged.withColumns({f"{c}_{t}": F.col("__xml")[t] for t in tags}).drop("__xml")
 
 
@@ -102,7 +111,7 @@ def multi_label(df: DataFrame, c: str, delimiter: str, labels: Sequence[str] | N
     """``<col>_lbl_<x>`` 0/1 for every label."""
     parts = F.split(F.col(c), "\\Q" + delimiter + "\\E")
     if labels is None:
-        labels = sorted(r[0] for r in df.select(F.explode(parts)).distinct().collect() if r[0])
+        labels = _few(df.select(F.explode(parts).alias("x")).filter("x <> ''"))
     staged = df.withColumn("__parts", parts)
     return staged.withColumns({f"{c}_lbl_{x}": F.coalesce(F.array_contains("__parts", x).cast("int"), F.lit(0)) for x in labels}).drop("__parts")
 
