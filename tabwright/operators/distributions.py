@@ -180,12 +180,16 @@ def fit_families(df: DataFrame, cols: Sequence[str], families: Sequence[str] = F
 
 
 def best_fit(df: DataFrame, cols: Sequence[str], families: Sequence[str] = FAMILIES, min_rows: int = 50) -> DataFrame:
-    """The family with the smallest AIC per column, with its KS distance, p value and Anderson-Darling statistic."""
+    """The family with the smallest AIC per column, with its KS distance, p value and Anderson-Darling statistic.
+
+    A column with fewer than ``min_rows`` values, or that no family admits, has a row of NULLs.
+    """
     fits = fit_families(df, cols, families, min_rows).collect()
     parts = []
     for c in cols:
         mine = [r for r in fits if r["feature"] == c]
         if not mine:
+            parts.append(df.sparkSession.createDataFrame([(c, None, None, None, None, None, None)], "feature string, family string, parameters array<double>, aic double, ks double, ks_p double, anderson double"))
             continue
         r = min(mine, key=lambda t: t["aic"])
         fam, par = r["family"], list(r["parameters"])

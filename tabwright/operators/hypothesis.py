@@ -57,7 +57,7 @@ def normal_intervals(df: DataFrame, cols: Sequence[str] | None = None, level: fl
 
 
 def bootstrap_ci(df: DataFrame, cols: Sequence[str] | None = None, n_iter: int = 1000, level: float = 0.95, min_rows: int = 30, seed: int = 42) -> DataFrame:
-    """Percentile bootstrap of mean and median per column with at least ``min_rows`` values.
+    """Percentile bootstrap of mean and median per column; NULL for a column with fewer than ``min_rows`` values.
 
     Mean: a value seen c times gets a Poisson(c) weight in each resample, drawn
     per distinct value inside the tasks, so only ``n_iter`` sums per task are
@@ -68,8 +68,10 @@ def bootstrap_ci(df: DataFrame, cols: Sequence[str] | None = None, n_iter: int =
     names = list(cols or numeric_cols(df))
     counts = melt(df, names).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
     sizes = {r["feature"]: r["n"] for r in counts.groupBy("feature").agg(F.sum("n").alias("n")).collect() if r["n"] >= min_rows}
+    few = [(c, None, None, None, None) for c in names if c not in sizes]
+    short = df.sparkSession.createDataFrame(few, "feature string, mean_lower double, mean_upper double, median_lower double, median_upper double")
     if not sizes:
-        return df.sparkSession.createDataFrame([], "feature string, mean_lower double, mean_upper double, median_lower double, median_upper double")
+        return short
     code = {c: i for i, c in enumerate(names)}
 
     def weights(batches):
@@ -111,7 +113,7 @@ def bootstrap_ci(df: DataFrame, cols: Sequence[str] | None = None, n_iter: int =
     high = {c: qs.index(p[1]) for c, p in rows}
     at = lambda where: F.create_map(*[F.lit(x) for kv in where.items() for x in kv])[F.col("feature")]
     medians = table.select("feature", F.get("q", at(low)).alias("median_lower"), F.get("q", at(high)).alias("median_upper"))
-    return means.join(medians, "feature")
+    return means.join(medians, "feature").unionByName(short)
 
 
 def _skew_z(g1: float, n: float) -> float:
