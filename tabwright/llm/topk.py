@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from .common import saved
 
-PAGE = 64
 LIMIT = 1 << 27
 
 
@@ -37,38 +36,49 @@ class Node:
 
     def __init__(self, centre: np.ndarray):
         self.centre, self.rows, self.children, self.to_centre, self.radius = centre, None, None, None, 0.0
+        self.centres = self.radii = None
 
 
-def build(points: np.ndarray, rows: np.ndarray, centre: np.ndarray | None = None) -> Node:
-    """The M-tree of ``points[rows]``: pages of at most ``PAGE`` entries, split about far-apart centres."""
+def build(points: np.ndarray, rows: np.ndarray, page: int, centre: np.ndarray | None = None) -> Node:
+    """The M-tree of ``points[rows]``: pages of at most ``page`` entries, split about centres among their rows."""
     node = Node(points[rows].mean(axis=0) if centre is None else centre)
     away = apart(points[rows], node.centre)
     node.radius = float(away.max())
-    if len(rows) <= PAGE:
+    if len(rows) <= page:
         order = np.argsort(away, kind="stable")
         node.rows, node.to_centre = rows[order], away[order]
         return node
-    chosen = [int(rows[np.argmax(away)])]
-    nearest = apart(points[rows], points[chosen[0]])
-    owner = np.zeros(len(rows), int)
-    for _ in range(min(15, len(rows) // PAGE)):
-        if not nearest.max():
-            break
-        chosen.append(int(rows[np.argmax(nearest)]))
-        d = apart(points[rows], points[chosen[-1]])
-        owner[d < nearest] = len(chosen) - 1
-        nearest = np.minimum(nearest, d)
+    # Centres at even steps of the distance order are as spread as the page itself; a row goes to the nearest.
+    order = rows[np.argsort(away, kind="stable")]
+    many = min(16, -(-len(rows) // page))
+    chosen = [int(order[i * len(order) // many + len(order) // (2 * many)]) for i in range(many)]
+    owner = np.argmin(np.stack([apart(points[rows], points[c]) for c in chosen]), axis=0)
     if len(chosen) == 1 or np.bincount(owner).max() == len(rows):  # equal points: pages by position
-        parts = [rows[i : i + max(PAGE, -(-len(rows) // 16))] for i in range(0, len(rows), max(PAGE, -(-len(rows) // 16)))]
+        parts = [rows[i : i + max(page, -(-len(rows) // 16))] for i in range(0, len(rows), max(page, -(-len(rows) // 16)))]
     else:
         parts = [rows[owner == j] for j in range(len(chosen)) if (owner == j).any()]
-    node.children = [build(points, p) for p in parts]
-    node.to_centre = apart(np.stack([c.centre for c in node.children]), node.centre)
+    node.children = [build(points, p, page) for p in parts]
+    node.centres, node.radii = np.stack([c.centre for c in node.children]), np.array([c.radius for c in node.children])
+    node.to_centre = apart(node.centres, node.centre)
     return node
 
 
-def search(node: Node, points: np.ndarray, whole: np.ndarray, ids: np.ndarray, query: np.ndarray, own: int, top: float, k: int, floor: int) -> list[tuple[int, int]]:
-    """The best ``k`` (score, id) of a tree for a query, ties to the smaller id; scores under ``floor`` need not be found.
+def packed(node: Node) -> np.ndarray:
+    """The order of the rows by leaf; the leaves are renumbered to it, so that a leaf's rows lie side by side."""
+    order, at, stack = [], 0, [node]
+    while stack:
+        page = stack.pop()
+        if page.rows is None:
+            stack += page.children
+        else:
+            order.append(page.rows)
+            page.rows = np.arange(at, at + len(page.rows))
+            at += len(page.rows)
+    return np.concatenate(order)
+
+
+def search(node: Node, whole: np.ndarray, ids: np.ndarray, query: np.ndarray, own: int, top: float, k: int, floor: int) -> list[tuple[int, int]]:
+    """The best ``k`` (score, id) of a packed tree for a query, ties to the smaller id; scores under ``floor`` need not be found.
 
     Best first by the least distance that a page's radius allows. Before a distance is computed, the stored distance to the page's centre bounds it from
     below by the triangle inequality. A bound is turned into the largest score it allows and drops an entry only when that is under the k-th score.
@@ -88,32 +98,40 @@ def search(node: Node, points: np.ndarray, whole: np.ndarray, ids: np.ndarray, q
         need = best[0][0] if len(best) == k else floor
         if -bound < need:
             break
-        worth = most(np.abs(d - page.to_centre) - (0.0 if page.rows is not None else np.array([c.radius for c in page.children]))) >= need
+        worth = most(np.abs(d - page.to_centre) - (0.0 if page.rows is not None else page.radii)) >= need
         if page.rows is not None:
-            rows = page.rows[worth]
-            rows = rows[ids[rows] != own]
-            scores = whole[rows] @ query
-            if len(best) == k:
-                rows, scores = rows[scores >= best[0][0]], scores[scores >= best[0][0]]
+            if not worth.any():
+                continue
+            if 2 * np.count_nonzero(worth) < len(worth):
+                rows = page.rows[worth]
+                scores = whole[rows] @ query
+            else:
+                rows = page.rows
+                scores = whole[rows[0] : rows[-1] + 1] @ query
+            keep = (scores >= (best[0][0] if len(best) == k else floor)) & (ids[rows] != own)
+            rows, scores = rows[keep], scores[keep]
+            if len(rows) > 2 * k:  # only the page's own best can matter
+                order = np.lexsort((ids[rows], -scores))[:k]
+                rows, scores = rows[order], scores[order]
             for s, i in zip(scores.tolist(), ids[rows].tolist(), strict=True):
                 if len(best) < k:
                     heapq.heappush(best, (s, -i))
                 elif (s, -i) > best[0]:
                     heapq.heapreplace(best, (s, -i))
         else:
-            for j in np.flatnonzero(worth):
-                child = page.children[j]
-                dc = float(np.sqrt(((q - child.centre) ** 2).sum()))
-                if (b := most(dc - child.radius)) >= need:
+            away = apart(page.centres[worth], q)
+            bounds = most(away - page.radii[worth])
+            for j, b, dc in zip(np.flatnonzero(worth).tolist(), bounds.tolist(), away.tolist(), strict=True):
+                if b >= need:
                     tick += 1
-                    heapq.heappush(heap, (-b, tick, dc, child))
+                    heapq.heappush(heap, (-b, tick, dc, page.children[j]))
     return [(s, -i) for s, i in best]
 
 
-def nearest(table: DataFrame, every: int = 20, k: int = 20, factor: int = 64, tree_rows: int = 8192, block: int = 1024, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def nearest(table: DataFrame, every: int = 20, k: int = 20, factor: int = 64, tree_rows: int = 8192, page: int = 512, block: int = 1024, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """Rows (query_id, rank, id, score): for each row whose id is divisible by ``every`` its ``k`` largest integer inner products with all other rows.
 
-    All vectors, hashed evenly into trees of about ``tree_rows``, are indexed: one M-tree a task, stored in the shared folder as rows of
+    All vectors, hashed evenly into trees of about ``tree_rows`` with pages of ``page``, are indexed: one M-tree a task, stored in the shared folder as rows of
     pages with covering radii and distances to their parents. Queries, in blocks of ``block``, meet every tree; a tree answers each by best-first search with its own top ``k``,
     and the answers of all trees are ranked by query. Ties go to the smaller id. Null vectors and those with null or non-finite components take no part, nor do null ids; repeated
     rows (id and vector) count once; rows that share a query's id are its own; shorter vectors are filled with zeros. Components over 2^27 after scaling are refused.
@@ -126,6 +144,7 @@ def nearest(table: DataFrame, every: int = 20, k: int = 20, factor: int = 64, tr
         raise ValueError("components are too large for integer products")
     trees = max(1, -(-facts.n // tree_rows))
     dims, top = int(facts.dims or 0), float(facts.top or 0.0)
+    exact = np.float64 if top < 1 << 53 else np.int64  # products of whole numbers are exact in doubles up to 2^53
 
     def stacked(vectors: pd.Series) -> np.ndarray:
         out = np.zeros((len(vectors), dims), np.int64)
@@ -136,7 +155,9 @@ def nearest(table: DataFrame, every: int = 20, k: int = 20, factor: int = 64, tr
     def grow(group: pd.DataFrame) -> pd.DataFrame:
         ids, vectors = group["id"].to_numpy(), stacked(group["v"])
         points = raised(vectors.astype(float), top)
-        tree = pickle.dumps((build(points, np.arange(len(ids))), vectors, ids), protocol=5)
+        root = build(points, np.arange(len(ids)), page)
+        order = packed(root)
+        tree = pickle.dumps((root, vectors[order], ids[order]), protocol=5)
         return pd.DataFrame({"tree": [group["tree"].iloc[0]], "pages": [tree]})
 
     dealt = whole.withColumn("tree", F.pmod(F.xxhash64("id", "v"), F.lit(trees)).cast("int"))
@@ -151,11 +172,11 @@ def nearest(table: DataFrame, every: int = 20, k: int = 20, factor: int = 64, tr
         for b in batches:
             for qs, pages in zip(b["qs"], b["pages"], strict=True):
                 tree, vectors, ids = pickle.loads(bytes(pages))
-                points = raised(vectors.astype(float), top)
+                vectors = vectors.astype(exact)
                 rows = []
                 for q in qs:
-                    query = stacked(pd.Series([q["v"]]))[0]
-                    rows += [(q["id"], i, s) for s, i in search(tree, points, vectors, ids, query, q["id"], top, k, -(1 << 62))]
+                    query = stacked(pd.Series([q["v"]]))[0].astype(exact)
+                    rows += [(q["id"], i, int(s)) for s, i in search(tree, vectors, ids, query, q["id"], top, k, -(1 << 62))]
                 if rows:
                     yield pd.DataFrame(rows, columns=["query_id", "id", "score"])
 

@@ -24,7 +24,7 @@ def test_embeddings_in_several_trees(spark, sf):
     df = spark.read.parquet(f"{sf}/embeddings.parquet")
     want = brute([(r.vec_id, r.embedding) for r in df.collect()])
     assert found(df) == want
-    assert found(df, tree_rows=100, block=7) == want
+    assert found(df, tree_rows=200, page=16, block=7) == want
 
 
 def test_corner_cases(spark):
@@ -34,7 +34,7 @@ def test_corner_cases(spark):
     rows += [(0, [1.0, float("nan"), 0.0, 0.0]), (20, None), (500, [float("inf")] * 4), (None, [1.0] * 4), (501, [1.0, None, 0.0, 0.0]), (502, [1.0]), (502, [1.0]), (503, [])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("rank", F.lit(1)).withColumn("score", F.lit("x"))
     assert found(df) == brute(rows)
-    assert found(df, tree_rows=70, block=3) == brute(rows)
+    assert found(df, tree_rows=150, page=8, block=3) == brute(rows)
     assert found(df.limit(0)) == []
     assert found(spark.createDataFrame([(20, [1.0])], "vec_id long, embedding array<float>")) == []
 
@@ -42,12 +42,12 @@ def test_corner_cases(spark):
 def test_tree_holds_its_bounds():
     rng = np.random.default_rng(2)
     points = np.vstack([rng.normal(size=(900, 6)), np.zeros((300, 6))])
-    root = topk.build(points, np.arange(len(points)))
+    root = topk.build(points, np.arange(len(points)), 64)
     seen = []
 
     def walk(node):
         if node.rows is not None:
-            assert len(node.rows) <= topk.PAGE
+            assert len(node.rows) <= 64
             d = topk.apart(points[node.rows], node.centre)
             np.testing.assert_allclose(d, node.to_centre)
             seen.extend(node.rows.tolist())
