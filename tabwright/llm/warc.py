@@ -87,7 +87,7 @@ def _id(text: Column) -> Column:
 
 
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least: int = 100, segment_bytes: int = 1 << 15, per_file: int = 4096) -> None:
-    """Write one logical record per row of ``pages`` as WARC files below ``path``.
+    """Write one logical record per row of ``pages`` as gzip WARC files below ``path``.
 
     Among rows with equal payloads of ``least`` bytes or more, that with the smallest id is a response and the others revisit it
     (copies that share the smallest id too are responses); all shorter ones are responses. Payload: the html in UTF-8, empty
@@ -100,7 +100,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     rows = rows.withColumn("digest", F.sha2(payload, 256)).withColumn("size", F.octet_length(payload))
     rows = rows.withColumn("record_id", _id(F.concat_ws("|", F.coalesce(F.col("__page").cast("string"), F.lit("null")), "digest", F.coalesce("url", F.lit("null")))))
     firsts = rows.filter(F.col("size") >= least).groupBy("digest").agg(F.min(F.struct(F.col("__page").isNull(), "__page", "record_id")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("digest", "first")
-    rows = rows.join(firsts, "digest", "left")
+    rows = rows.join(saved(firsts, "first-payloads"), "digest", "left")  # few repeats are broadcast, and the pages then not shuffled
     later = F.when(~F.col("__page").eqNullSafe(F.col("first.__page")), F.col("first.record_id"))
     rows = rows.select("record_id", "url", F.col("__page").cast("string").alias("page_id"), "digest", later.alias("refers_to"), F.when(later.isNull(), payload).alias("payload"))
 
@@ -110,7 +110,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
 
     # The text writer ends each value with the record's last line feed.
     lines = rows.mapInPandas(build, "record binary").select(F.expr("substring(record, 1, octet_length(record) - 1)").cast("string").alias("value"))
-    lines.write.option("lineSep", "\n").option("maxRecordsPerFile", per_file).text(path)
+    lines.write.option("lineSep", "\n").option("maxRecordsPerFile", per_file).option("compression", "gzip").text(path)
 
 
 def _records(spark: SparkSession, path: str, segmented: bool) -> DataFrame:
