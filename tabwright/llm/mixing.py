@@ -11,6 +11,8 @@ from .common import bounded_sample, let, saved
 
 BUCKETS = 1 << 15
 STEM = 5
+#: Log ratios nearer to 0 are left out: they tell long documents from short ones, not domains apart.
+LEAST_RATIO = math.log(4)
 
 
 def words(text: Column) -> Column:
@@ -39,7 +41,7 @@ def fit_domains(labelled: DataFrame, domains: list[str], certain: float = 3.0) -
     """Weights of each domain: its log prior, then one for each bucket, from a bounded table (``__text``, ``domain``).
 
     Naive Bayes on the presence of hashed stems and traits: a bucket's weight is the log ratio of its rate inside the domain to its rate outside, and 0 unless
-    ``certain`` standard errors from 0. A domain without labelled rows gets no evidence and a prior of half a document. Only the counts by domain and bucket, at most
+    ``certain`` standard errors, and ``LEAST_RATIO``, from 0. A domain without labelled rows gets no evidence and a prior of half a document. Only the counts by domain and bucket, at most
     domains x ``BUCKETS`` rows, reach the driver.
     """
     rows = saved(labelled.filter(F.col("domain").isin(domains)).select("domain", let(words(F.col("__text")), lambda w: buckets(F.col("__text"), w)).alias("b")), "labelled")
@@ -55,7 +57,7 @@ def fit_domains(labelled: DataFrame, domains: list[str], certain: float = 3.0) -
         for b, all_n in everywhere.items() if 0 < n < total else ():
             inside, outside = counts.get((d, b), 0) + 0.5, all_n - counts.get((d, b), 0) + 0.5
             ratio = math.log(inside / (n + 1)) - math.log(outside / (total - n + 1))
-            if abs(ratio) > certain * math.sqrt(1 / inside + 1 / outside):
+            if abs(ratio) > max(LEAST_RATIO, certain * math.sqrt(1 / inside + 1 / outside)):
                 weights[b] = ratio
         out[d] = [math.log((n + 0.5) / (total + 0.5 * len(domains)))] + weights
     return out
@@ -100,15 +102,14 @@ def _solve(matrix: list[list[float]], right: list[float]) -> list[float]:
     return [rows[i][k] / rows[i][i] if rows[i][i] else 0.0 for i in range(k)]
 
 
-def fit_rates(members: DataFrame, targets: list[float] | None, shares: list[float], rounds: int = 40, tolerance: float = 1e-5) -> list[list[float]]:
+def fit_rates(members: DataFrame, targets: list[float], rounds: int = 40, tolerance: float = 1e-5) -> list[list[float]]:
     """Steps of projected-gradient least squares on (``n_tokens``, ``p``) so that expected domain token totals meet ``targets``.
 
     Least squares in the metric of G = sum of n p p' over the documents whose rate is not 0: there the gradient step is r <- max(0, r - p . s) with
     G s = totals - targets. A step that does not bring the totals nearer is halved and taken again. A round is one aggregate of as many sums as there are pairs of domains; a
-    rate is a fold over the steps so far, so nothing is kept per document between rounds. Without ``targets`` they are ``shares`` of the total at
-    which the domain of the largest share keeps its tokens. Ends when all gaps are within ``tolerance`` of all tokens.
+    rate is a fold over the steps so far, so nothing is kept per document between rounds. Ends when all gaps are within ``tolerance`` of all tokens.
     """
-    k = len(shares)
+    k = len(targets)
 
     def totals(steps: list[list[float]]) -> tuple[list[float], list[list[float]]]:
         rated = members.select("n_tokens", "p", rate_of(F.col("p"), steps).alias("r"))
@@ -121,9 +122,6 @@ def fit_rates(members: DataFrame, targets: list[float] | None, shares: list[floa
 
     have, gram = totals([])
     size = max(sum(have), 1.0)
-    if targets is None:
-        main = max(range(k), key=lambda i: shares[i])
-        targets = [s * have[main] / shares[main] for s in shares]
     steps: list[list[float]] = []
     gaps = [h - t for h, t in zip(have, targets, strict=True)]
     step = _solve(gram, gaps)
@@ -165,7 +163,7 @@ def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], train
     members = saved(docs.select(F.col(id_col).alias("__id"), membership(F.col(text_col), model).alias("m")).select("__id", "m.n_tokens", "m.p"), "members")
     size = total if total is not None else (members.agg(F.sum("n_tokens")).first()[0] or 0)
     whole = sum(targets.values())
-    steps = fit_rates(members, [size * w / whole for w in targets.values()], list(targets.values()))
+    steps = fit_rates(members, [size * w / whole for w in targets.values()])
     return members.select(F.col("__id").alias(id_col), "n_tokens", *[F.get("p", i).alias(f"p_{d}") for i, d in enumerate(domains)], rate_of(F.col("p"), steps).alias("rate"))
 
 
@@ -173,12 +171,25 @@ def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], train
     """``docs`` drawn by their rates: each row stays with probability of its rate, at most 1, by a hash of its id and text.
 
     The targets' total is that at which the domain of the largest share keeps its tokens, so its documents stay and surplus
-    domains thin out; a domain short of its target is kept whole, not repeated. Repeated rows fall or stay together.
+    domains thin out: a document that belongs to that domain by half or more is kept, others by their rate. A domain short of its target is not fitted and so kept, not repeated; without a surplus all rows stay. Repeated rows fall or stay together.
     """
     domains = list(targets)
     model = fit_model(docs, labelled, domains, train_rows, id_col, text_col)
     member = membership(F.col(text_col), model)
     members = saved(docs.select(member.alias("m")).select("m.n_tokens", "m.p"), "members")
-    steps = fit_rates(members, None, [w / sum(targets.values()) for w in targets.values()])
+    shares = list(targets.values())
+    found = members.agg(*[F.sum(F.col("n_tokens") * F.get("p", i)).alias(f"t{i}") for i in range(len(shares))]).first()
+    have = [x or 0.0 for x in found]
+    main = max(range(len(shares)), key=lambda i: shares[i])
+    wanted = [s * have[main] / shares[main] for s in shares]
+    fitted = [main, *(i for i in range(len(shares)) if i != main and have[i] > wanted[i])]
+    if len(fitted) == 1:
+        return docs
+
+    def part(p: Column) -> Column:
+        return F.array(*[F.get(p, i) for i in fitted])
+
+    steps = fit_rates(members.select("n_tokens", part(F.col("p")).alias("p")), [wanted[i] for i in fitted])
     draw = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col), F.lit("mix")), F.lit(1 << 30)) / float(1 << 30)
-    return docs.withColumn("__rate", rate_of(member["p"], steps)).filter(draw < F.col("__rate")).drop("__rate")
+    chosen = F.struct(rate_of(part(member["p"]), steps).alias("rate"), F.get(member["p"], main).alias("main"))
+    return docs.withColumn("__c", chosen).filter((F.col("__c.main") >= 0.5) | (draw < F.col("__c.rate"))).drop("__c")

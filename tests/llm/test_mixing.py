@@ -46,7 +46,7 @@ def test_rates_against_local_least_squares(spark):
     df = spark.createDataFrame(rows, "id long, n_tokens long, p array<double>")
     size = sum(r[1] for r in rows)
     targets = [0.05 * size, 0.05 * size, 0.9 * size]
-    steps = mixing.fit_rates(df, targets, [1.0, 1.0, 1.0])
+    steps = mixing.fit_rates(df, targets)
     got = {r.id: r.r for r in df.select("id", mixing.rate_of(F.col("p"), steps).alias("r")).collect()}
     rate = dict.fromkeys(got, 1.0)
     for s in steps:
