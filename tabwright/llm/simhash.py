@@ -26,18 +26,24 @@ def remixed(hashes: np.ndarray, k: int) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def fingerprint(text: bytes, shingle: int = 3, prints: int = 1, seed: int = 42) -> np.ndarray:
-    """``prints`` numbers of 64 bits: bit b is set if over half of the text's shingle hashes have it; zero without words."""
+def shingle_hashes(text: bytes, shingle: int, seed: int = 42) -> np.ndarray:
+    """Hashes of the runs of ``shingle`` words, of the whole text if it has no more words; none without words."""
     words = text.lower().split()
     if not words:
-        return np.zeros(prints, np.uint64)
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     if len(words) <= shingle:
-        hashes = np.array([xxh64_intdigest(joined, seed)], np.uint64)
-    else:
-        ends = (np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1).tolist()
-        starts = [0, *(e + 1 for e in ends[:-shingle])]
-        hashes = np.array([xxh64_intdigest(joined[s:e], seed) for s, e in zip(starts, ends[shingle - 1 :], strict=True)], np.uint64)
+        return np.array([xxh64_intdigest(joined, seed)], np.uint64)
+    ends = (np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1).tolist()
+    starts = [0, *(e + 1 for e in ends[:-shingle])]
+    return np.array([xxh64_intdigest(joined[s:e], seed) for s, e in zip(starts, ends[shingle - 1 :], strict=True)], np.uint64)
+
+
+def fingerprint(text: bytes, shingle: int = 3, prints: int = 1, seed: int = 42) -> np.ndarray:
+    """``prints`` numbers of 64 bits: bit b is set if over half of the text's shingle hashes have it; zero without words."""
+    hashes = shingle_hashes(text, shingle, seed)
+    if not len(hashes):
+        return np.zeros(prints, np.uint64)
     out = np.empty(prints, np.uint64)
     for k in range(prints):
         ones = np.zeros(64, np.int64)
@@ -228,15 +234,112 @@ def near_duplicates(docs: DataFrame, radius: int = 3, id_col: str = "doc_id", te
     return prints.join(named, "fps").select(F.col("__id").alias(id_col), F.lower(F.lpad(F.hex(F.get("fps", 0)), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def deduplicated(docs: DataFrame, radius: int = 7, prints: int = 4, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def similar(sets: list[np.ndarray], least: float) -> np.ndarray:
+    """Component number of each set (of distinct hashes) under links of Jaccard ``least`` or more.
+
+    A search over the links: each set reached is compared with all that are not reached yet, so a group of near copies costs about one pass over it.
+    """
+    sizes = np.array([len(x) for x in sets], np.int64)
+    ids = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_inverse=True)[1]
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    mark = np.zeros(len(ids) + 1, bool)
+    label = np.full(len(sets), -1)
+    left = np.argsort(sizes, kind="stable")
+    held, first = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def compact() -> None:
+        nonlocal held, first
+        held = np.concatenate([np.zeros(0, np.int64), *(ids[starts[i] : starts[i + 1]] for i in left)])
+        first = np.concatenate([[0], np.cumsum(sizes[left])])
+
+    compact()
+    for seed in np.argsort(sizes, kind="stable"):
+        if label[seed] >= 0:
+            continue
+        label[seed], queue = seed, [seed]
+        while queue:
+            i = queue.pop()
+            lo = np.searchsorted(sizes[left], np.ceil(least * sizes[i] - 1e-9))
+            hi = np.searchsorted(sizes[left], np.floor(sizes[i] / least + 1e-9), side="right")
+            some = left[lo:hi]
+            own = ids[starts[i] : starts[i + 1]]
+            mark[own] = True
+            running = np.concatenate([[0], np.cumsum(mark[held[first[lo] : first[hi]]])])
+            cuts = first[lo : hi + 1] - first[lo]
+            both = running[cuts[1:]] - running[cuts[:-1]]
+            mark[own] = False
+            near = some[(both >= least * (sizes[some] + sizes[i] - both) - 1e-9) & (label[some] < 0)]
+            label[near] = seed
+            queue += near.tolist()
+            if 2 * (label[left] < 0).sum() <= len(left):
+                left = left[label[left] < 0]
+                compact()
+    return label
+
+
+def verified(members: DataFrame, least: float, unit: int = 1 << 21) -> DataFrame:
+    """Links (``a``, ``b``) of Jaccard ``least`` or more that hold together the components of (``node``, ``family``, ``shingles``) inside each family.
+
+    All pairs of a family are compared on their whole shingle sets. A family of more than ``unit`` shingles is dealt into parts at random and each pair of
+    parts is one search, so that a task holds about 2 x ``unit`` shingles however large the family is.
+    """
+    large = members.groupBy("family").agg(F.sum(F.size("shingles")).alias("n")).filter(F.col("n") > unit).select("family", F.ceil(F.col("n") / unit).alias("parts"))
+    part = F.pmod(F.xxhash64("node", F.lit("part")), F.col("parts"))
+    pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda other: F.least(part, other) * F.col("parts") + F.greatest(part, other))
+    units = members.join(large, "family", "left")
+    units = units.select("family", F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(-1).cast("long"))).otherwise(pairs)).alias("pair"), "node", "shingles")
+
+    def chained(rows: list[tuple[int, np.ndarray]]) -> list[tuple[int, int]]:
+        label = similar([np.asarray(x, np.int64).view(np.uint64) for _, x in rows], least)
+        return [(rows[i][0], rows[k][0]) for i, k in enumerate(label) if i != k]
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, rows = None, []
+        for b in batches:
+            out = []
+            for family, pair, node, shingles in zip(b.family, b.pair, b.node, b.shingles, strict=True):
+                if at != (family, pair):
+                    out += chained(rows) if len(rows) > 1 else []
+                    at, rows = (family, pair), []
+                rows.append((node, shingles))
+            yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+        if len(rows) > 1:
+            yield pd.DataFrame(chained(rows), columns=["a", "b"], dtype="int64")
+
+    dealt = units.repartition("family", "pair").sortWithinPartitions("family", "pair")
+    return dealt.mapInPandas(search, "a long, b long").distinct()
+
+
+def deduplicated(docs: DataFrame, radius: int = 7, prints: int = 4, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", least: float = 0.8, width: int = 5) -> DataFrame:
     """``docs`` with one row of each component: that of the smallest id, and of several such rows one; a component without any id keeps a row too.
 
-    Texts whose five-word shingles agree to 0.8 differ in up to a tenth of the bits of a fingerprint, so a link here is ``radius`` or fewer
-    differing bits in any of ``prints`` fingerprints of independent hashes; links carry over. Null and empty texts are one group.
+    Texts link if the Jaccard similarity of their distinct ``width``-word shingles is ``least`` or more; links carry over. Fingerprints only say where to look: texts
+    that reach each other by ``radius`` or fewer differing bits in any of ``prints`` fingerprints are a family, and inside a family every pair is compared
+    exactly, one text standing for all of its shingle set. Null and empty texts are one group.
     """
+    small_batches(docs.sparkSession)
     text = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    keyed = docs.select(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), text.alias("t")).alias("__key"), F.col(text_col).alias("__text"))
-    found = saved(fingerprints(keyed, "__key", "__text", shingle, prints), "fingerprints")
-    kept = grouped(found, "__id", radius).select(F.col("first.id").alias("__i"), F.col("first.t").alias("__t")).distinct()
+    keyed = docs.select(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), text.alias("t")).alias("__key"), F.col(text_col).cast("binary").alias("__text"))
+
+    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            texts = [b"" if t is None else bytes(t) for t in b["__text"]]
+            nodes = [xxh64_intdigest(np.unique(shingle_hashes(t, width)).tobytes(), 42) for t in texts]
+            yield pd.DataFrame({"none": b["none"], "id": b["id"], "t": b["t"], "node": np.array(nodes, np.uint64).view(np.int64), "fps": [fingerprint(t, shingle, prints).view(np.int64) for t in texts]})
+
+    def shingled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"node": b["node"], "family": b["family"], "shingles": [np.unique(shingle_hashes(b"" if t is None else bytes(t), width)).view(np.int64) for t in b["__text"]]})
+
+    flat = f"none boolean, id {dict(docs.dtypes)[id_col]}, t long"
+    found = keyed.select("__key.*", "__text").mapInPandas(hashed, f"{flat}, node long, fps array<long>")
+    nodes = saved(found.groupBy("node").agg(F.min(F.struct("none", "id", "t")).alias("least"), F.min("fps").alias("fps")), "nodes")
+    families = spread(links(nodes.select("node", "fps"), radius)).select("node", F.col("root").alias("family"))
+    wanted = saved(nodes.join(families, "node").select("node", "family", F.col("least.none").alias("none"), F.col("least.id").alias("__i"), F.col("least.t").alias("t")), "families")
+    same = keyed.select("__key.*", "__text").join(wanted.withColumnsRenamed({"none": "__n", "t": "__t"}), (F.col("t") == F.col("__t")) & F.col("id").eqNullSafe(F.col("__i")))
+    members = saved(same.dropDuplicates(["node"]).select("node", "family", "__text").mapInPandas(shingled, "node long, family long, shingles array<long>"), "shingles")
+    roots = spread(verified(members, least))
+    labelled = saved(nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "labelled")
+    kept = labelled.groupBy("root").agg(F.min("least").alias("first")).select(F.col("first.id").alias("__i"), F.col("first.t").alias("__t"))
     rows = docs.withColumns({"__h": text}).join(kept, F.col(id_col).eqNullSafe(F.col("__i")) & (F.col("__h") == F.col("__t")))
     return rows.dropDuplicates(["__i", "__t"]).select(*[docs[c] for c in docs.columns])

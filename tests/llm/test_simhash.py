@@ -111,3 +111,42 @@ def test_edited_copies_are_one_group(spark, sf):
     assert near and sum(not (a in kept and b in kept) for a, b in near) >= 0.95 * len(near)
     shared = {i for i in ids if all(len(sets[i] & sets[j]) < 0.3 * len(sets[i] | sets[j]) for j in ids if j != i)}
     assert shared <= kept
+
+
+def test_less_similar_texts_stay(spark, docs_of):
+    """Texts of five-word similarity 0.5 to 0.79 stay, those of 0.8 and more go, however near their fingerprints are; a family may be dealt into parts."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 9)))
+    rows, sets, stays, goes = [], {}, 0, 0
+    for g in range(30):
+        base = [word() for _ in range(300)]
+        edited = list(base)
+        for at in range(7, 7 + 15 * (2 + g % 8), 15):
+            edited[at] = word()
+        for i, w in ((2 * g, base), (2 * g + 1, edited)):
+            rows.append((i, " ".join(w)))
+            sets[i] = {tuple(w[j : j + 5]) for j in range(len(w) - 4)}
+    kept = {r.doc_id for r in simhash.deduplicated(docs_of(rows), radius=12).collect()}
+    for g in range(30):
+        a, b = sets[2 * g], sets[2 * g + 1]
+        share = len(a & b) / len(a | b)
+        assert 2 * g in kept and (2 * g + 1 in kept) == (share < 0.8)
+        stays, goes = stays + (0.5 <= share < 0.8), goes + (share >= 0.8)
+    assert stays > 5 and goes > 5
+
+
+def test_verified_links_against_all_pairs(spark):
+    rng = random.Random(9)
+    bases = [rng.sample(range(1 << 40), 60) for _ in range(8)]
+    sets = [sorted(set(rng.choice(bases)[rng.randint(0, 9) :]) | {rng.randrange(1 << 40) for _ in range(rng.randint(0, 9))}) for _ in range(150)]
+    root = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if len(set(a) & set(sets[j])) >= 0.8 * len(set(a) | set(sets[j])):
+                old, new = root[i], root[j]
+                root = [new if r == old else r for r in root]
+    df = spark.createDataFrame([(i, 0, x) for i, x in enumerate(sets)], "node long, family long, shingles array<long>")
+    for unit in (1000, 1 << 21):
+        label = {r.node: r.root for r in simhash.spread(simhash.verified(df, 0.8, unit)).collect()}
+        got = [label.get(i, i) for i in range(len(sets))]
+        assert len(set(zip(got, root, strict=True))) == len(set(root)) == len(set(got))
