@@ -3,33 +3,36 @@
 from __future__ import annotations
 
 import math
+import warnings
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, let, saved
+from .common import bounded_sample, let, minimized, saved
 
 BUCKETS = 1 << 15
 STEM = 5
-#: Log ratios nearer to 0 are left out: they tell long documents from short ones, not domains apart.
-LEAST_RATIO = math.log(4)
 
 
 def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", -1), lambda w: w != "")
 
 
-def buckets(text: Column, tokens: Column) -> Column:
-    """The distinct hashed stems (first letters) of a text's words, and three of its traits in bins: repeated words, marks and capitals a word."""
+def stems(tokens: Column) -> Column:
+    """The hashed stem (first letters) of each word."""
+    return F.transform(tokens, lambda w: (F.crc32(F.substring(w, 1, STEM)) % BUCKETS).cast("int"))
+
+
+def traits(text: Column, tokens: Column) -> Column:
+    """Hashes of three traits in bins that do not follow from the length: variety of the words (log distinct to log all), marks and capitals a word."""
     n = F.greatest(F.size(tokens), F.lit(1))
-    traits = [
-        ("#distinct", 10 * F.size(F.array_distinct(tokens)) / n),
+    values = [
+        ("#variety", 20 * F.log(F.greatest(F.size(F.array_distinct(tokens)), F.lit(1)).cast("double")) / F.log(F.greatest(n, F.lit(2)).cast("double"))),
         ("#marks", 10 * F.regexp_count(text, F.lit(r"[^\p{L}\p{N}\s.,;:?'\"()-]")) / n),
         ("#capitals", 10 * F.regexp_count(text, F.lit(r"\p{Lu}{2}")) / n),
     ]
-    binned = [F.crc32(F.concat(F.lit(name), F.least(F.lit(20), F.floor(F.coalesce(x, F.lit(0.0)))).cast("string"))) for name, x in traits]
-    hashed = F.concat(F.transform(tokens, lambda w: F.crc32(F.substring(w, 1, STEM))), F.array(*binned))
-    return F.array_distinct(F.transform(hashed, lambda h: (h % BUCKETS).cast("int")))
+    return F.array(*[(F.crc32(F.concat(F.lit(name), F.least(F.lit(20), F.floor(F.coalesce(x, F.lit(0.0)))).cast("string"))) % BUCKETS).cast("int") for name, x in values])
 
 
 def _numbers(values: list[float]) -> Column:
@@ -37,41 +40,80 @@ def _numbers(values: list[float]) -> Column:
     return F.split(F.lit(",".join("0" if not v else f"{v:.4f}" for v in values)), ",").cast("array<double>")
 
 
-def fit_domains(labelled: DataFrame, domains: list[str], certain: float = 3.0) -> dict[str, list[float]]:
-    """Weights of each domain: its log prior, then one for each bucket, from a bounded table (``__text``, ``domain``).
-
-    Naive Bayes on the presence of hashed stems and traits: a bucket's weight is the log ratio of its rate inside the domain to its rate outside, and 0 unless
-    ``certain`` standard errors, and ``LEAST_RATIO``, from 0. A domain without labelled rows gets no evidence and a prior of half a document. Only the counts by domain and bucket, at most
-    domains x ``BUCKETS`` rows, reach the driver.
-    """
-    rows = saved(labelled.filter(F.col("domain").isin(domains)).select("domain", let(words(F.col("__text")), lambda w: buckets(F.col("__text"), w)).alias("b")), "labelled")
-    sizes = {r.domain: r.n for r in rows.groupBy("domain").agg(F.count("*").alias("n")).collect()}
-    counts = {(r.domain, r.b): r.n for r in rows.select("domain", F.explode("b").alias("b")).groupBy("domain", "b").agg(F.count("*").alias("n")).collect()}
-    total, everywhere = sum(sizes.values()), {}
-    for (_, b), n in counts.items():
+def _ratios(counts: dict[tuple[str, int], int], domains: list[str], certain: float) -> list[list[float]]:
+    """For each domain and bucket the log ratio of the bucket's share of all mentions inside the domain to that outside, 0 within ``certain`` standard errors."""
+    inside, everywhere = dict.fromkeys(domains, 0), {}
+    for (d, b), n in counts.items():
+        inside[d] += n
         everywhere[b] = everywhere.get(b, 0) + n
-    out = {}
+    whole, out = sum(inside.values()), []
     for d in domains:
-        n = sizes.get(d, 0)
         weights = [0.0] * BUCKETS
-        for b, all_n in everywhere.items() if 0 < n < total else ():
-            inside, outside = counts.get((d, b), 0) + 0.5, all_n - counts.get((d, b), 0) + 0.5
-            ratio = math.log(inside / (n + 1)) - math.log(outside / (total - n + 1))
-            if abs(ratio) > max(LEAST_RATIO, certain * math.sqrt(1 / inside + 1 / outside)):
+        for b, all_n in everywhere.items() if 0 < inside[d] < whole else ():
+            own, others = counts.get((d, b), 0) + 0.5, all_n - counts.get((d, b), 0) + 0.5
+            ratio = math.log(own / (inside[d] + 1)) - math.log(others / (whole - inside[d] + 1))
+            if abs(ratio) > certain * math.sqrt(1 / own + 1 / others):
                 weights[b] = ratio
-        out[d] = [math.log((n + 0.5) / (total + 0.5 * len(domains)))] + weights
+        out.append(weights)
     return out
 
 
-def membership(text: Column, model: dict[str, list[float]]) -> Column:
-    """Struct (``n_tokens``, ``p`` array in the order of ``model``): words of the whole text and domain posteriors."""
-    tables = [(w[0], _numbers(w[1:])) for w in model.values()]
+def evidence(found: Column, kinds: Column, ratios: list[list[float]]) -> Column:
+    """Array of each domain's mean log ratio over all words (their buckets ``found``), then over the traits ``kinds``; neither grows with the text's length."""
+
+    def mean(bs: Column, weights: Column) -> Column:
+        return F.aggregate(bs, F.lit(0.0), lambda acc, b: acc + F.get(weights, b)) / F.greatest(F.size(bs), F.lit(1))
+
+    tables = [_numbers(w) for w in ratios]
+    return F.array(*[mean(bs, t) for bs in (found, kinds) for t in tables])
+
+
+def fit_softmax(x: np.ndarray, y: np.ndarray, k: int, rounds: int = 200, l2: float = 1e-4) -> np.ndarray:
+    """Rows of weights and an intercept for each of ``k`` classes, from a few numbers a row; the log priors without evidence."""
+    counts = np.bincount(y, minlength=k)
+    prior = np.log((counts + 0.5) / (counts.sum() + 0.5 * k))
+    if not len(x):
+        return np.column_stack([np.zeros((k, x.shape[1])), prior])
+    scale = np.where(x.std(axis=0) > 1e-9, x.std(axis=0), np.inf)
+    rows, hot = np.column_stack([x / scale, np.ones(len(x))]), np.eye(k)[y]
 
-    def total(found: Column, prior: float, weights: Column) -> Column:
-        return F.aggregate(found, F.lit(float(prior)), lambda acc, b: acc + F.get(weights, b))
+    def cost(flat: np.ndarray) -> tuple[float, np.ndarray]:
+        w = flat.reshape(k, -1)
+        z = rows @ w.T + prior
+        z -= z.max(axis=1, keepdims=True)
+        logs = z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+        return -(hot * logs).sum() / len(rows) + l2 / 2 * float((w**2).sum()), ((np.exp(logs) - hot).T @ rows / len(rows) + l2 * w).ravel()
+
+    w = minimized(cost, np.zeros(k * rows.shape[1]), rounds).reshape(k, -1)
+    return np.column_stack([w[:, :-1] / scale, w[:, -1] + prior])
+
+
+def fit_domains(labelled: DataFrame, domains: list[str], certain: float = 3.0) -> tuple[list[list[float]], list[list[float]]]:
+    """Bucket log ratios of each domain, and a softmax on the mean evidence, from a bounded table (``__text``, ``domain``).
+
+    The ratios are of shares of mentions (a text mentions a bucket once), which long and short texts of a domain have in common. The softmax is fitted on evidence
+    that each half of the table, by a hash of the text, has under the ratios of the other half, so its slopes are those of unseen texts. At most 2 x
+    domains x ``BUCKETS`` counts and, for each labelled row, two numbers a domain reach the driver.
+    """
+    half = F.pmod(F.xxhash64("__text", F.lit("half")), F.lit(2)).cast("int")
+    rows = saved(labelled.filter(F.col("domain").isin(domains)).select("domain", half.alias("half"), let(words(F.col("__text")), lambda w: F.struct(stems(w).alias("b"), traits(F.col("__text"), w).alias("kinds"))).alias("f")).select("domain", "half", "f.*"), "labelled")
+    halves = [{}, {}]
+    for r in rows.select("domain", "half", F.explode(F.array_distinct(F.concat("b", "kinds"))).alias("b")).groupBy("domain", "half", "b").agg(F.count("*").alias("n")).collect():
+        halves[r.half][r.domain, r.b] = r.n
+    means = [evidence(F.col("b"), F.col("kinds"), _ratios(counts, domains, certain)) for counts in halves]
+    seen = sorted(rows.select("domain", F.when(F.col("half") == 0, means[1]).otherwise(means[0]).alias("x")).collect())
+    x, y = np.array([r.x for r in seen], float).reshape(-1, 2 * len(domains)), np.array([domains.index(r.domain) for r in seen], np.int64)
+    both = {key: halves[0].get(key, 0) + halves[1].get(key, 0) for key in halves[0] | halves[1]}
+    return _ratios(both, domains, certain), fit_softmax(x, y, len(domains)).tolist()
+
+
+def membership(text: Column, model: tuple[list[list[float]], list[list[float]]]) -> Column:
+    """Struct (``n_tokens``, ``p`` array in the order of the model's domains): words of the whole text and domain posteriors."""
+    ratios, lines = model
 
     def scored(w: Column) -> Column:
-        logs = let(buckets(text, w), lambda bs: F.array(*[total(bs, prior, weights) for prior, weights in tables]))
+        means = let(stems(w), lambda bs: evidence(bs, traits(text, w), ratios))
+        logs = let(means, lambda m: F.array(*[sum((F.get(m, i) * float(v) for i, v in enumerate(line[:-1])), F.lit(float(line[-1]))) for line in lines]))
         shares = let(logs, lambda z: let(F.transform(z, lambda x: F.exp(x - F.array_max(z))), lambda e: F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, v: a + v))))
         return F.struct(F.size(w).cast("long").alias("n_tokens"), shares.alias("p"))
 
@@ -107,7 +149,8 @@ def fit_rates(members: DataFrame, targets: list[float], rounds: int = 40, tolera
 
     Least squares in the metric of G = sum of n p p' over the documents whose rate is not 0: there the gradient step is r <- max(0, r - p . s) with
     G s = totals - targets. A step that does not bring the totals nearer is halved and taken again. A round is one aggregate of as many sums as there are pairs of domains; a
-    rate is a fold over the steps so far, so nothing is kept per document between rounds. Ends when all gaps are within ``tolerance`` of all tokens.
+    rate is a fold over the steps so far, so nothing is kept per document between rounds. Ends when all gaps are within ``tolerance`` of all tokens; a
+    warning tells the gap that stays if the rounds end first.
     """
     k = len(targets)
 
@@ -135,9 +178,68 @@ def fit_rates(members: DataFrame, targets: list[float], rounds: int = 40, tolera
             step = _solve(fresh, gaps)
         else:
             step = [x / 2 for x in step]
+    _report(gaps, tolerance * size, size)
     return steps
 
 
+def _report(gaps: list[float], most: float, size: float) -> None:
+    worst = max(map(abs, gaps), default=0.0)
+    if worst > most:
+        warnings.warn(f"domain totals miss their targets by up to {worst / size:.3%} of all tokens", stacklevel=3)
+
+
+def fit_thinning(members: DataFrame, shares: list[float], rounds: int = 40, tolerance: float = 1e-4) -> list[float]:
+    """Steps s >= 0 so that with rates max(0, 1 - p . s), never above 1, no domain but the largest has more than its share of the tokens that are kept.
+
+    Newton steps on the surpluses sum of r n (p - share), as parts of what is kept: a domain without surplus has s = 0. A step that does not lower them is halved. Each round is one
+    aggregate. A warning tells the surplus that stays, as when every document has more of a domain than its share.
+    """
+    k, main = len(shares), max(range(len(shares)), key=lambda i: shares[i])
+
+    def surplus(s: list[float]) -> tuple[list[float], np.ndarray]:
+        rated = members.select("n_tokens", "p", rate_of(F.col("p"), [s]).alias("r"))
+        live = F.when(F.col("r") > 0, F.col("n_tokens")).otherwise(0)
+        over = [F.get("p", i) - shares[i] for i in range(k)]
+        row = rated.agg(
+            *[F.sum(F.col("r") * F.col("n_tokens") * over[i]).alias(f"t{i}") for i in range(k)],
+            *[F.sum(live * over[i] * F.get("p", j)).alias(f"g{i}_{j}") for i in range(k) for j in range(k)],
+            F.sum(F.col("r") * F.col("n_tokens")).alias("kept"),
+            F.sum("n_tokens").alias("n"),
+        ).first()
+        if row.n and not row.kept:
+            return [math.inf] * k, np.zeros((k, k))
+        kept = row.kept or 1.0
+        gaps = [(row[f"t{i}"] or 0.0) / kept for i in range(k)]
+        gaps[main] = 0.0
+        return gaps, np.array([[(row[f"g{i}_{j}"] or 0.0) / kept for j in range(k)] for i in range(k)])
+
+    def missed(s: list[float], gaps: list[float]) -> list[float]:
+        return [g if x > 0 else max(g, 0.0) for x, g in zip(s, gaps, strict=True)]
+
+    def newton(s: list[float], gaps: list[float], slopes: np.ndarray) -> list[float]:
+        live = [i for i in range(k) if i != main and (s[i] > 0 or gaps[i] > 0)]
+        step = [0.0] * k
+        for i, x in zip(live, np.linalg.lstsq(slopes[np.ix_(live, live)], np.array([gaps[i] for i in live]), rcond=None)[0], strict=True):
+            step[i] = float(x)
+        return step
+
+    s = [0.0] * k
+    gaps, slopes = surplus(s)
+    step = newton(s, gaps, slopes)
+    for _ in range(rounds):
+        if max(map(abs, missed(s, gaps))) <= tolerance:
+            break
+        onward = [max(0.0, x + d) for x, d in zip(s, step, strict=True)]
+        after, fresh = surplus(onward)
+        if sum(x * x for x in missed(onward, after)) < sum(x * x for x in missed(s, gaps)):
+            s, gaps = onward, after
+            step = newton(s, gaps, fresh)
+        else:
+            step = [x / 2 for x in step]
+    _report(missed(s, gaps), tolerance, 1.0)
+    return s
+
+
 def label_domains(labels: DataFrame) -> DataFrame:
     """(doc_id, domain) of a label table: toxic, else junk or clean by quality. Rows without id or quality are left out; an id with several labels takes the worst."""
     rank = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 2)
@@ -145,7 +247,7 @@ def label_domains(labels: DataFrame) -> DataFrame:
     return worst.select("doc_id", F.element_at(F.array(F.lit("toxic"), F.lit("junk"), F.lit("clean")), F.col("r") + 1).alias("domain"))
 
 
-def fit_model(docs: DataFrame, labelled: DataFrame, domains: list[str], train_rows: int = 20000, id_col: str = "doc_id", text_col: str = "text") -> dict[str, list[float]]:
+def fit_model(docs: DataFrame, labelled: DataFrame, domains: list[str], train_rows: int = 20000, id_col: str = "doc_id", text_col: str = "text") -> tuple[list[list[float]], list[list[float]]]:
     """The domain classifier from about ``train_rows`` labelled documents (id, ``domain``), chosen by a hash of the id; all, if there are no more."""
     few = bounded_sample(labelled, F.col(id_col), train_rows, labelled.count()).select(F.col(id_col).alias("__id"), "domain")
     texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
@@ -170,26 +272,15 @@ def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], train
 def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], train_rows: int = 20000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` drawn by their rates: each row stays with probability of its rate, at most 1, by a hash of its id and text.
 
-    The targets' total is that at which the domain of the largest share keeps its tokens, so its documents stay and surplus
-    domains thin out: a document that belongs to that domain by half or more is kept, others by their rate. A domain short of its target is not fitted and so kept, not repeated; without a surplus all rows stay. Repeated rows fall or stay together.
+    ``targets`` are shares of the tokens that stay. A domain above its share thins out by the membership-weighted rates of ``fit_thinning``, which are applied
+    as they are; nothing is repeated, so a domain short of its share leaves that room to the largest. Without a surplus all rows stay. Repeated rows fall or stay together.
     """
-    domains = list(targets)
-    model = fit_model(docs, labelled, domains, train_rows, id_col, text_col)
+    model = fit_model(docs, labelled, list(targets), train_rows, id_col, text_col)
     member = membership(F.col(text_col), model)
     members = saved(docs.select(member.alias("m")).select("m.n_tokens", "m.p"), "members")
-    shares = list(targets.values())
-    found = members.agg(*[F.sum(F.col("n_tokens") * F.get("p", i)).alias(f"t{i}") for i in range(len(shares))]).first()
-    have = [x or 0.0 for x in found]
-    main = max(range(len(shares)), key=lambda i: shares[i])
-    wanted = [s * have[main] / shares[main] for s in shares]
-    fitted = [main, *(i for i in range(len(shares)) if i != main and have[i] > wanted[i])]
-    if len(fitted) == 1:
+    whole = sum(targets.values())
+    steps = fit_thinning(members, [w / whole for w in targets.values()])
+    if not any(steps):
         return docs
-
-    def part(p: Column) -> Column:
-        return F.array(*[F.get(p, i) for i in fitted])
-
-    steps = fit_rates(members.select("n_tokens", part(F.col("p")).alias("p")), [wanted[i] for i in fitted])
     draw = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col), F.lit("mix")), F.lit(1 << 30)) / float(1 << 30)
-    chosen = F.struct(rate_of(part(member["p"]), steps).alias("rate"), F.get(member["p"], main).alias("main"))
-    return docs.withColumn("__c", chosen).filter((F.col("__c.main") >= 0.5) | (draw < F.col("__c.rate"))).drop("__c")
+    return docs.withColumn("__r", rate_of(member["p"], [steps])).filter(draw < F.col("__r")).drop("__r")
