@@ -9,6 +9,20 @@ from .common import shared_folder
 
 #: Longest rule first; hosts with their paths.
 URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
+#: Names of ordinary and unwanted sites, each labelled under every domain, language and kind of path, so that only the name tells them apart.
+ORDINARY_NAMES = """adventure anderson asterion author barton bestand bewitch bird blethers bookshop breadth brother camera
+casing castle cathedral center chapter charity cheese chemistry city community cooking country culture daily earth east edition family farming father
+feather fetch forest freedom garden gather general gentle harbour hand health heritage history holiday hotel house island kitchen lantern
+leather letter library lighthouse market mathematics meadow mother mountain museum nature neither news nation northern notion option orchestra other painting
+park pharmacy pillar playground position post press publisher radio reader ribble river school science serenade shelter sheath
+stable station story street student teacher teaching tension theatre theory thesaurus thing thistle thought thread tithe together town travel
+trial university valley village water weather whether window winter wither world writer tionary tionary-st hither-the thethe thther ationer""".split()
+UNWANTED_NAMES = """casino casino-win bigcasino casino-royal casino-spin win-casino win-cash win-big slots-win slots free-slots jackpot jackpot-win poker poker-win
+roulette bets bets-now free-bets best-bets bet-win sports-bets cheap-pills pills pills-online buy-pills diet-pills cheap-meds meds-now viagra cheap-viagra
+cheap-replica replica-watch cheap-loans payday-loans fast-loans free-money free-cash adult adult-x adult-cam adult-chat adult-video xxx xxx-video xxx-cam porn
+porn-tube free-porn sex sex-chat sexcam hot-cam live-cam escort nude-pics spam spam-farm spam-links link-farm linkfarm click-farm clickbait ads ads-track
+ads-click adserver ad-tracker track-ads tracker popup-ads malware malware-site free-crack crack-keygen warez warez-free torrent-crack phishing phish-login
+login-verify scam crypto-scam fake-prize prize-win lottery-win""".split()
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
 SLOTS = 4099
 #: Shares of tokens by domain of the label table.
@@ -32,8 +46,19 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"))
 
 
+def labelled_urls(spark: SparkSession) -> DataFrame:
+    """The fixed labelled table (host, path, allow)."""
+    rows = []
+    for names, allow in ((ORDINARY_NAMES, 1), (UNWANTED_NAMES, 0)):
+        shapes = [(sub, end, lang) for sub in ("", "www.", "m.", "blog.") for end in ("example.com", "example.org", "example.net", "com") for lang in ("de", "en", "es", "fr", "it")]
+        for i, (sub, end, lang) in enumerate(shapes):
+            number = 37 * i % 9973
+            rows += [(f"{sub}{name}.{end}", f"/{lang}/{number + 101 * k % 9001}{('', '/', '.html')[(i + k) % 3]}", allow) for k, name in enumerate(names) if (i + k) % 4 == 0]
+    return spark.createDataFrame(rows, "host string, path string, allow int")
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES, labelled_urls(spark))
 
 
 def op5_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:

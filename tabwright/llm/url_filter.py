@@ -65,20 +65,21 @@ def fit(labelled: DataFrame, rounds: int = 30) -> np.ndarray:
     return fit_logistic(saved(labelled.select("host", "path", F.col("y").cast("double").alias("y")).mapInPandas(_features("y"), "idx array<int>, val array<double>, y double"), "urls"), DIM, rounds)
 
 
-def judge(pages: DataFrame, rules: list[tuple[str, str]], train_rows: int = 20000, id_col: str = "page_id", url_col: str = "url", rounds: int = 30) -> DataFrame:
+def judge(pages: DataFrame, rules: list[tuple[str, str]], labelled: DataFrame | None = None, train_rows: int = 20000, id_col: str = "page_id", url_col: str = "url", rounds: int = 30) -> DataFrame:
     """Rows (id, host, path, rule, verdict, score), one for each row of ``pages``.
 
-    Urls that a rule decides form the labelled table: distinct (host, path) with the rule's verdict, of which about
-    ``train_rows`` are taken by hash when there are more. The model is trained on those, scores every url (``score`` is
-    the probability of allow) and decides the rest: allow from 0.5. A null url or one without ``://`` has empty host and path
-    and is judged by the model like any other; repeated rows are judged each; without labelled rows the score is 0.5.
+    ``labelled`` (``host``, ``path``, ``allow``) trains the model, distinct rows of it, of which about ``train_rows`` are taken by hash when there are
+    more; rules teach it nothing, they override it. The model scores every url (``score`` is the probability of allow) and decides those
+    without a rule: allow from 0.5. A null url or one without ``://`` has empty host and path
+    and is judged by the model like any other; repeated rows are judged each; without a labelled table the score is 0.5.
     """
     parts = pages.select(F.col(id_col).alias("__id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
     ruled = parts.withColumn("__rule", by_rules(F.col("host"), F.col("path"), rules))
-    labelled = ruled.filter("__rule is not null").select("host", "path", (F.col("__rule.verdict") == "allow").cast("double").alias("y")).distinct()
-    labelled = saved(labelled, "labelled")
-    few = bounded_sample(labelled, F.concat_ws("/", "host", "path"), train_rows, labelled.count())
-    weights = fit(few.repartition(8), rounds)
+    weights = np.zeros(DIM + 1)
+    if labelled is not None:
+        table = saved(labelled.select(ascii_lower(F.col("host")).alias("host"), "path", F.col("allow").cast("double").alias("y")).dropna().distinct(), "labelled")
+        few = bounded_sample(table, F.concat_ws("/", "host", "path", F.col("y").cast("string")), train_rows, table.count())
+        weights = fit(few.repartition(8), rounds)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

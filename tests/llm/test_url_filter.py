@@ -3,7 +3,7 @@ import re
 from pyspark.sql import functions as F
 
 from tabwright.llm import url_filter
-from tabwright.llm.queries import URL_RULES
+from tabwright.llm.queries import ORDINARY_NAMES, UNWANTED_NAMES, URL_RULES, labelled_urls
 
 
 def parts(url):
@@ -54,3 +54,16 @@ def test_corner_cases(spark):
     assert url_filter.judge(df.limit(0), URL_RULES).collect() == []
     none = url_filter.judge(spark.createDataFrame([(1, "http://unruled.net/")], "page_id long, url string"), URL_RULES).collect()
     assert none[0].score == 0.5 and none[0].verdict == "allow"
+
+
+def test_language_does_not_decide(spark):
+    """Held-out ordinary urls are allowed and unwanted ones blocked in every language; a rule still overrides the model."""
+    ordinary = ["thndth.example.net", "m.thering.example.net", "blog.riverside.example.com", "www.gardener.example.com", "bakery.example.net", "www.tionther.example.com"]
+    unwanted = ["casino-wins.example.com", "m.cheaper-pills.example.net", "best-free-bets.example.com", "www.adult-xx.example.net", "my-spam-farms.example.net", "big-ads-tracker.example.com"]
+    assert not {h.removeprefix("www.").removeprefix("m.").removeprefix("blog.").split(".")[0] for h in ordinary + unwanted} & {*ORDINARY_NAMES, *UNWANTED_NAMES}
+    urls = [(i, f"https://{h}/{lang}/{7 * i}.html") for i, (h, lang) in enumerate((h, lang) for h in ordinary + unwanted for lang in ("en", "es", "it", "nl", "pl"))]
+    rules = [("casino-wins.example.com/pl/", "allow"), ("bakery.example.net/nl/", "block")]
+    got = url_filter.judge(spark.createDataFrame(urls, "page_id long, url string"), rules, labelled_urls(spark)).collect()
+    assert sum(r.rule is not None for r in got) == 2
+    wrong = [(r.host, r.path, r.score) for r in got if r.verdict != (dict(rules)[r.rule] if r.rule else "allow" if r.host in ordinary else "block")]
+    assert len(wrong) <= 1, wrong
