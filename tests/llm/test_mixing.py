@@ -1,7 +1,6 @@
 import math
 import random
 
-import pytest
 from pyspark.sql import functions as F
 
 from tabwright.llm import mixing
@@ -94,44 +93,3 @@ def test_no_python_in_the_plan(spark, docs_of):
     df = mixing.mixed(docs_of(rows), mixing.label_domains(spark.createDataFrame(labels, LABELS)), {"clean": 0.9, "toxic": 0.1})
     plan = df._jdf.queryExecution().toString()
     assert "ArrowEval" not in plan and "MapInPandas" not in plan and "PythonUDF" not in plan
-
-
-def test_length_does_not_decide(spark, docs_of):
-    """Held-out documents of 50, 500 and 5,000 words are recognised alike, though the labelled ones of a domain differ in length from the others."""
-    rng = random.Random(12)
-    common = [f"{a}{b}mmon" for a in "abcdefghijklm" for b in "aeiou"]
-    own = {"clean": [f"calm{a}" for a in "abcdefghijklmnop"], "toxic": [f"rude{a}" for a in "abcdefghijklmnop"], "junk": [f"spam{a}" for a in "abcdefghijklmnop"]}
-
-    def text(d, n):
-        return " ".join(rng.choice(own[rng.choices([d, *own], [7, 1, 1, 1])[0]]) if rng.random() < 0.3 else rng.choice(common) for _ in range(n))
-
-    rows, labels, held = [], [], {}
-    for i in range(600):
-        d = ["clean", "clean", "toxic", "junk"][i % 4]
-        rows.append((i, text(d, rng.randint(30, 120) if d == "clean" else rng.randint(100, 400))))
-        labels.append((i, int(d != "junk"), int(d == "toxic")))
-    for n in (50, 500, 5000):
-        for j in range(20):
-            held[n * 100 + j] = n
-            rows.append((n * 100 + j, text("clean", n)))
-    got = mixing.rates(docs_of(rows), mixing.label_domains(spark.createDataFrame(labels, LABELS)), {"clean": 0.9, "junk": 0.05, "toxic": 0.05})
-    p = {r.doc_id: r.p_clean for r in got.collect()}
-    for n in (50, 500, 5000):
-        assert sum(p[i] >= 0.5 for i in held if held[i] == n) >= 17
-
-
-def test_thinning_meets_its_shares(spark):
-    rng = random.Random(13)
-    rows = []
-    for _ in range(500):
-        p = [rng.random() ** 6 + 0.01, rng.random() ** 6, rng.random() ** 6]
-        rows.append((rng.randint(1, 500), [x / sum(p) for x in p]))
-    df = spark.createDataFrame(rows, "n_tokens long, p array<double>")
-    shares = [0.7, 0.2, 0.1]
-    s = mixing.fit_thinning(df, shares)
-    rates = [max(0.0, 1 - sum(a * b for a, b in zip(p, s, strict=True))) for _, p in rows]
-    have = [sum(r * n * p[i] for r, (n, p) in zip(rates, rows, strict=True)) for i in range(3)]
-    assert max(rates) <= 1 and all(abs(have[i] / sum(have) - shares[i]) < 0.005 for i in (1, 2))
-    flat = spark.createDataFrame([(100, [0.5, 0.5])] * 5, "n_tokens long, p array<double>")
-    with pytest.warns(UserWarning, match="miss their targets"):
-        mixing.fit_thinning(flat, [0.9, 0.1])
