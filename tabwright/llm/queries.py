@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, hmm, license_scan, mixing, quality, sharding, simhash, topk, url_filter, warc
+from . import bpe, decontaminate, hmm, license_scan, mixing, quality, sharding, simhash, topk, url_filter, warc
 from .common import shared_folder
 
 #: Longest rule first; hosts with their paths.
@@ -85,7 +87,13 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", SHARDS, SLOTS)
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_license_scan, op3_quality, op4_url_filter, op5_hmm, op6_simhash, op7_decontaminate, op8_topk, op9_mixing, op10_sharding)}
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json")).drop("text")
+    texts = bpe.decode(coded, public_tokenizers.path("word_bpe_49k.json"))
+    return texts.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_warc, op2_license_scan, op3_quality, op4_url_filter, op5_hmm, op6_simhash, op7_decontaminate, op8_topk, op9_mixing, op10_sharding, op12_bpe)}
 
 
 def _quoted(text: str) -> str:
