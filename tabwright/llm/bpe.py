@@ -81,15 +81,18 @@ class Automaton:
         spelled = {i: (i,) for i in [*self.inner, *self.last]}
         for symbols in spelled.values():
             self._enter(symbols, symbols[0])
+        without_arcs: set[int] = set()
         for step, (a, b) in enumerate(merges):
             u, v, new = vocab[a], vocab[b], vocab[a + b]
             if u not in spelled or v not in spelled or new in spelled:
                 raise ValueError(f"merge {step} joins tokens that no earlier merge makes, or makes one anew")
             self.first[new], self.second[new], self.step[new] = u, v, step
             spelled[new] = spelled[u] + spelled[v]
-            if self.has_arc(u, v):  # else earlier merges part u from v wherever they meet
+            if not {u, v} & without_arcs and self.has_arc(u, v):
                 self.lost[u << 20 | v] = step
                 self._enter(spelled[new], new)
+            else:  # earlier merges part u from v wherever they meet
+                without_arcs.add(new)
         self.arcs: dict[int, bool] = {}
 
     def _enter(self, symbols: tuple[int, ...], token: int) -> None:
