@@ -45,9 +45,10 @@ ASCII_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\s0-9a-z]+"
 SMALL_FORMS = _small_forms()
 ODD_CAPITALS = re.compile("[" + "".join(map(chr, SMALL_FORMS)) + "]")
 #: Pieces that a task keeps with their ids, and known transitions; both start anew when full.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 19
 LONGEST_REMEMBERED = 64
 NEVER = 1 << 30
+SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
 def byte_signs() -> list[str]:
@@ -123,20 +124,20 @@ class Automaton:
         key = last << 20 | token
         known = self.arcs.get(key)
         if known is None:
-            if len(self.arcs) >= 4 * REMEMBERED:
+            if len(self.arcs) >= REMEMBERED:
                 self.arcs.clear()
             known = self.arcs[key] = self.has_arc(last, token)
         return known
 
     def _starting(self, symbols: list[int], at: int) -> list[tuple[int, int]]:
         """(end, token) of the tokens that spell the symbols from ``at`` on, the longest last."""
-        found, node = [], 0
+        found, node, goto, accepts = [], 0, self.goto, self.accepts
         for i in range(at, len(symbols)):
-            node = self.goto.get(node << 20 | symbols[i])
+            node = goto.get(node << 20 | symbols[i])
             if node is None:
                 break
-            if self.accepts[node] >= 0:
-                found.append((i + 1, self.accepts[node]))
+            if accepts[node] >= 0:
+                found.append((i + 1, accepts[node]))
         return found
 
     def piece(self, text: bytes) -> list[int]:
@@ -164,6 +165,22 @@ class Automaton:
         return path
 
 
+class Remembered(dict):
+    """What ``made`` gives for texts; short ones are kept, up to ``REMEMBERED`` of them."""
+
+    def __init__(self, made):
+        super().__init__()
+        self.made = made
+
+    def __missing__(self, text: str) -> bytes:
+        ids = self.made(text)
+        if len(text) <= LONGEST_REMEMBERED:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[text] = ids
+        return ids
+
+
 class Tokenizer:
     """A vocabulary file's automaton with its special tokens, which are found in the raw text."""
 
@@ -177,28 +194,28 @@ class Tokenizer:
         self.labels = self.automaton.labels + [""] * (max(special.values(), default=-1) + 1 - len(self.automaton.labels))
         for label, i in special.items():
             self.labels[i] = label
+        self.spelled = np.array([label != "" for label in self.labels] + [False])
         self.special = {label: np.uint32(i).astype("<u4").tobytes() for label, i in special.items()}
         self.parts = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
         self.pieces, self.ascii_pieces = regex.compile(PIECES), re.compile(ASCII_PIECES, re.ASCII)
-        self.known: dict[str, bytes] = {}
+        self.known, self.stretches = Remembered(self._ids), Remembered(self._stretch)
 
     def _ids(self, piece: str) -> bytes:
-        ids = self.known.get(piece)
-        if ids is None:
-            ids = np.array(self.automaton.piece(piece.encode()), "<u4").tobytes()
-            if len(piece) <= LONGEST_REMEMBERED:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[piece] = ids
-        return ids
+        return np.array(self.automaton.piece(piece.encode()), "<u4").tobytes()
 
     def _plain(self, text: str) -> bytes:
+        """No piece goes over white space, and neither does normalization, so stretches between white space are known by their raw form."""
+        if SEPARATORS.search(text):  # white space to Python alone
+            return self._stretch(text)
+        return b"".join(map(self.stretches.__getitem__, text.split()))
+
+    def _stretch(self, text: str) -> bytes:
         if text.isascii():
-            return b"".join(map(self._ids, self.ascii_pieces.findall(text.lower())))
+            return b"".join(map(self.known.__getitem__, self.ascii_pieces.findall(text.lower())))
         text = unicodedata.normalize("NFC", text)
         if ODD_CAPITALS.search(text):
             text = text.translate(SMALL_FORMS)
-        return b"".join(map(self._ids, self.pieces.findall(text.lower())))
+        return b"".join(map(self.known.__getitem__, self.pieces.findall(text.lower())))
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
@@ -208,8 +225,8 @@ class Tokenizer:
 
     def decode(self, ids: bytes) -> str:
         """The labels of the ids' arcs, a space between them; ids without a label give nothing."""
-        size, labels = len(self.labels), self.labels
-        return " ".join([labels[i] for i in np.frombuffer(ids, "<u4").tolist() if i < size and labels[i]])
+        codes = np.frombuffer(ids, "<u4")
+        return " ".join(map(self.labels.__getitem__, codes[self.spelled[np.minimum(codes, len(self.labels))]].tolist()))
 
 
 def _beside(df: DataFrame, source: str, made: dict[str, str], run) -> DataFrame:
