@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, hmm, license_scan, mixing, quality, sharding, simhash, topk, url_filter, warc
+from . import bpe, decontaminate, hmm, lexical, license_scan, mixing, negatives, quality, sharding, simhash, topk, url_filter, warc
 from .common import shared_folder
 
 #: Longest rule first; hosts with their paths.
@@ -87,13 +87,22 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", SHARDS, SLOTS)
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json")).drop("text")
     texts = bpe.decode(coded, public_tokenizers.path("word_bpe_49k.json"))
     return texts.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_license_scan, op3_quality, op4_url_filter, op5_hmm, op6_simhash, op7_decontaminate, op8_topk, op9_mixing, op10_sharding, op12_bpe)}
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return negatives.mined(vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))))
+
+
+QUERIES = {f.__name__: f for f in (op1_warc, op2_license_scan, op3_quality, op4_url_filter, op5_hmm, op6_simhash, op7_decontaminate, op8_topk, op9_mixing, op10_sharding, op11_lexical, op12_bpe, op13_negatives)}
 
 
 def _quoted(text: str) -> str:
@@ -102,6 +111,7 @@ def _quoted(text: str) -> str:
 
 _NORMAL = r"trim(regexp_replace(lower({0}), '[^a-z0-9]+', ' ', 'g'))"
 _BIGRAMS = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
+_TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 _SHINGLES = r"""SELECT DISTINCT {key}, unnest(list_transform(range(1, len(w) - 3), lambda i: w[i] || ' ' || w[i+1] || ' ' || w[i+2] || ' ' || w[i+3] || ' ' || w[i+4])) AS s
 FROM (SELECT {key}, list_filter(string_split_regex(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w FROM {table} WHERE text IS NOT NULL)"""
 
@@ -136,4 +146,21 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 WITH slots AS (SELECT {sharding.lookup_table(SHARDS, SLOTS)} AS t),
 placed AS (SELECT doc_id, CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15)) AS BIGINT) % {SLOTS} AS slot FROM documents)
 SELECT doc_id, slot, 'shard-' || lpad(CAST(t[slot + 1] AS VARCHAR), 3, '0') AS shard FROM placed, slots""",
+    "op11_lexical": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents WHERE text IS NOT NULL),
+f AS (SELECT r, doc_id, len(w) AS n, w FROM d WHERE len(w) > 0), s AS (SELECT count(*) AS docs, sum(n)::BIGINT AS length FROM f),
+tf AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, n, unnest(w) AS term FROM f) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term), q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark WHERE text IS NOT NULL),
+scored AS (SELECT item_id, r, doc_id, sum(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // length))))::BIGINT AS score
+           FROM q JOIN tf USING (term) JOIN df USING (term), s GROUP BY item_id, r, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 10""",
+    "op13_negatives": """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_inner_product(a.e, c.e) AS BIGINT) AS score FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+      FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10""",
 }
