@@ -42,6 +42,14 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
         spark.conf.set(name, rows)
 
 
+def free_name(df: DataFrame, wish: str) -> str:
+    """``wish``, with underscores before it until no column of ``df`` has that name."""
+    taken = {c.lower() for c in df.columns}
+    while wish.lower() in taken:
+        wish = "_" + wish
+    return wish
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, all else kept."""
     return F.translate(text, UPPER, UPPER.lower())
