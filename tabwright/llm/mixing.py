@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, let, saved
+from .common import bounded_sample, free_name, let, saved
 
 BUCKETS = 1 << 15
 STEM = 5
@@ -175,8 +175,10 @@ def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], train
     """
     domains = list(targets)
     model = fit_model(docs, labelled, domains, train_rows, id_col, text_col)
-    member = membership(F.col(text_col), model)
-    members = saved(docs.select(member.alias("m")).select("m.n_tokens", "m.p"), "members")
+    # Stored before it is used: the fold over the steps would repeat the work on the text.
+    name = free_name(docs, "membership")
+    scored = saved(docs.withColumn(name, membership(F.col(text_col), model)), "members")
+    members = scored.select(f"{name}.n_tokens", f"{name}.p")
     shares = list(targets.values())
     found = members.agg(*[F.sum(F.col("n_tokens") * F.get("p", i)).alias(f"t{i}") for i in range(len(shares))]).first()
     have = [x or 0.0 for x in found]
@@ -191,5 +193,5 @@ def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], train
 
     steps = fit_rates(members.select("n_tokens", part(F.col("p")).alias("p")), [wanted[i] for i in fitted])
     draw = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col), F.lit("mix")), F.lit(1 << 30)) / float(1 << 30)
-    chosen = F.struct(rate_of(part(member["p"]), steps).alias("rate"), F.get(member["p"], main).alias("main"))
-    return docs.withColumn("__c", chosen).filter((F.col("__c.main") >= 0.5) | (draw < F.col("__c.rate"))).drop("__c")
+    p = F.col(name)["p"]
+    return scored.filter((F.get(p, main) >= 0.5) | (draw < rate_of(part(p), steps))).drop(name)
