@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fit_logistic, saved, small_batches
+from .common import fit_logistic, free_name, saved, small_batches
 
 #: Slots of the scorer, the last BINS of them for signals.
 DIM, BINS = 1 << 13, 1 << 10
@@ -128,7 +128,7 @@ def _texts(b: pd.DataFrame) -> Iterator[tuple[bytes, list[bytes]]]:
 
 
 def classify(docs: DataFrame, train_rows: int = 20000, rounds: int = 30, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text", keep_columns: bool = False) -> DataFrame:
-    """Rows (id, votes, posterior, score, keep), or all columns of ``docs`` with ``__score`` and ``__keep``, one for each document.
+    """Rows (id, votes, posterior, score, keep), or all columns of ``docs`` with ``score`` and ``keep`` (by free names, last), one for each document.
 
     All documents are labelled and their vote patterns counted; expectation-maximisation on those counts gives the labellers' accuracies and each
     pattern's posterior. About ``train_rows`` documents, sampled evenly (all, if there are no more), train
@@ -181,9 +181,16 @@ def classify(docs: DataFrame, train_rows: int = 20000, rounds: int = 30, least:
 
     kept = docs.columns if keep_columns else [id_col]
     kinds = dict(docs.dtypes)
-    wide = docs.select(*kept, text.alias("__text"))
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in kept) + ", __votes string, __posterior double, __score double, __keep boolean"
+    # By number on the way, so that no name of the table can clash.
+    wide = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)], text.alias("__text"))
+    schema = ", ".join(f"c{i} {kinds[c]}" for i, c in enumerate(kept)) + ", __votes string, __posterior double, __score double, __keep boolean"
     out = wide.mapInPandas(score, schema)
     if keep_columns:
-        return out.drop("__votes", "__posterior")
-    return out.select(id_col, F.col("__votes").alias("votes"), F.col("__posterior").alias("posterior"), F.col("__score").alias("score"), F.col("__keep").alias("keep"))
+        return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], F.col("__score").alias(free_name(docs, "score")), F.col("__keep").alias(free_name(docs, "keep")))
+    return out.select(F.col("c0").alias(id_col), F.col("__votes").alias("votes"), F.col("__posterior").alias("posterior"), F.col("__score").alias("score"), F.col("__keep").alias("keep"))
+
+
+def kept(docs: DataFrame, **settings) -> DataFrame:
+    """The rows of ``docs`` that the classifier keeps, with all their columns."""
+    judged = classify(docs, keep_columns=True, **settings)
+    return judged.filter(F.col(f"`{judged.columns[-1]}`")).select(*[f"`{c}`" for c in docs.columns])

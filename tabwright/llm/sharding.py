@@ -7,6 +7,8 @@ import hashlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import free_name
+
 
 def is_prime(n: int) -> bool:
     return n > 1 and all(n % d for d in range(2, int(n**0.5) + 1))
@@ -55,10 +57,11 @@ def place(df: DataFrame, key: str, shards: list[str], slots: int = 4099, slot_co
     with the names of the new ones are replaced. An empty table stays empty.
     """
     table = lookup_table(shards, slots)
-    lookup = df.sparkSession.createDataFrame([(s, shards[i]) for s, i in enumerate(table)], "__slot long, __shard string")
-    kept = [c for c in df.columns if c not in (slot_col, shard_col)]
-    placed = df.select(*kept, slot_of(df[key], slots).alias("__slot")).join(F.broadcast(lookup), "__slot")
-    return placed.select(*kept, F.col("__slot").alias(slot_col), F.col("__shard").alias(shard_col))
+    slot, shard = free_name(df, "slot_"), free_name(df, "shard_")
+    lookup = df.sparkSession.createDataFrame([(s, shards[i]) for s, i in enumerate(table)], f"{slot} long, {shard} string")
+    kept = [f"`{c}`" for c in df.columns if c.lower() not in (slot_col.lower(), shard_col.lower())]
+    placed = df.select(*kept, slot_of(df[key], slots).alias(slot)).join(F.broadcast(lookup), slot)
+    return placed.select(*kept, F.col(slot).alias(slot_col), F.col(shard).alias(shard_col))
 
 
 def write_shards(placed: DataFrame, path: str, files: int = 8, shard_col: str = "shard") -> None:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import saved, small_batches
+from .common import free_name, saved, small_batches
 
 LEAF, FAN = 32, 8
 ROWS = 255
@@ -340,6 +340,7 @@ def deduplicated(docs: DataFrame, radius: int = 7, prints: int = 4, shingle: int
     members = saved(same.dropDuplicates(["node"]).select("node", "family", "__text").mapInPandas(shingled, "node long, family long, shingles array<long>"), "shingles")
     roots = spread(verified(members, least))
     labelled = saved(nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "labelled")
-    kept = labelled.groupBy("root").agg(F.min("least").alias("first")).select(F.col("first.id").alias("__i"), F.col("first.t").alias("__t"))
-    rows = docs.withColumns({"__h": text}).join(kept, F.col(id_col).eqNullSafe(F.col("__i")) & (F.col("__h") == F.col("__t")))
-    return rows.dropDuplicates(["__i", "__t"]).select(*[docs[c] for c in docs.columns])
+    h, first_id, first_text = (free_name(docs, x) for x in ("h_", "id_", "t_"))
+    kept = labelled.groupBy("root").agg(F.min("least").alias("first")).select(F.col("first.id").alias(first_id), F.col("first.t").alias(first_text))
+    rows = docs.withColumns({h: text}).join(kept, F.col(id_col).eqNullSafe(F.col(first_id)) & (F.col(h) == F.col(first_text)))
+    return rows.dropDuplicates([first_id, first_text]).select(*[docs[f"`{c}`"] for c in docs.columns])
