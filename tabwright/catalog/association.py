@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import ordering
 from ..functions.columns import rounded
 from ..operators import association as A
 from ..operators import hypothesis as H
@@ -73,6 +74,26 @@ def d6(spark, sf):
     return rounded(A.kendall(table(spark, sf, "part"), "p_size", "p_retailprice"), 9)
 
 
+@query(
+    "d6_kendall_three_levels",
+    """WITH t AS (SELECT CAST(o_custkey AS DOUBLE) AS x, o_totalprice AS y FROM orders),
+    s AS (SELECT sum(sign(a.x - b.x) * sign(a.y - b.y)) AS s, sum(abs(sign(a.x - b.x))) AS px, sum(abs(sign(a.y - b.y))) AS py FROM t AS a, t AS b)
+    SELECT 'o_custkey' AS a, 'o_totalprice' AS b, round(s / sqrt(px * py), 9) AS tau FROM s""",
+)
+def d6_levels(spark, sf):
+    return rounded(A.kendall(table(spark, sf, "orders"), "o_custkey", "o_totalprice", bits=5), 9)
+
+
+@query(
+    "d20_ecdf_two_levels",
+    """WITH c AS (SELECT o_totalprice AS value, count(*) AS n FROM orders GROUP BY 1)
+    SELECT value, n, CAST(sum(n) OVER (ORDER BY value) AS BIGINT) AS upto, CAST(sum(n) OVER () AS BIGINT) AS whole FROM c""",
+)
+def d20_levels(spark, sf):
+    out = ordering.cumulative_counts(table(spark, sf, "orders"), "o_totalprice", levels=2)
+    return out.select(F.col("o_totalprice").alias("value"), *[F.col(c).cast("long").alias(a) for c, a in (("__n", "n"), ("__cum", "upto"), ("__cum__all", "whole"))])
+
+
 @query(
     "d7_target_corr_test",
     f"""SELECT feature, 'point_biserial' AS method, round(r, 6) AS corr, round(r * sqrt((n - 2) / (1 - r * r)), 5) AS t FROM ({stack("corr({c}, CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) AS r, count(*) AS n", MEASURES, 'lineitem')})""",

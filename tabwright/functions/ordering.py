@@ -28,6 +28,8 @@ SKETCH_ACCURACY = 10_000
 IN_MEMORY_ROWS = 2_000_000
 # Up to this many quantiles are bracketed one by one.
 MAX_BRACKETS = 25
+# Up to this many rows a bucket one level of edges is enough.
+BUCKET_ROWS = 200_000
 # Rows per chunk of a row-window.
 CHUNK_ROWS = 200_000
 
@@ -49,24 +51,40 @@ def _slot(edges: Column, value: Column) -> Column:
     return F.get(is_edge, F.lit(0))
 
 
-def with_bucket(df: DataFrame, value: str, edge_keys: Sequence[str] = (), tie: str | None = None) -> DataFrame:
+def with_bucket(df: DataFrame, value: str, edge_keys: Sequence[str] = (), tie: str | None = None, levels: int | None = None) -> DataFrame:
     """Add ``__bucket``: an integer that orders rows coarsely by ``value`` (then ``tie``); rows without a value come first, in buckets of their own.
 
+    One level of edges makes up to 511 buckets. With two, every bucket has edges of its own, found in one more pass, and there are up
+    to 261,121; a value with a bucket of its own is cut by ``tie`` there. ``levels`` of None takes
+    two where 511 buckets would hold over ``BUCKET_ROWS`` rows each, counted by the pass that finds the edges.
     ``edge_keys`` must have few distinct values (feature names, sources): the
-    table of edges is broadcast and holds one array for each of them.
+    table of edges is broadcast and holds one array (with two levels 512) for each of them.
     """
-    base = df
-    if edge_keys:
-        edges = base.groupBy(*edge_keys).agg(_edges(value).alias("__edges"))
-        out = null_safe_join(base, F.broadcast(edges), edge_keys)
-    else:
-        out = base.withColumn("__edges", base.agg(_edges(value)).scalar())
+    out, levels = _cut(df, value, edge_keys, tie, levels)
+    return out
+
+
+def _cut(df: DataFrame, value: str, edge_keys: Sequence[str], tie: str | None, levels: int | None) -> tuple[DataFrame, int]:
+    found = cut_lineage(df.groupBy(*edge_keys).agg(_edges(value).alias("__edges"), F.count(F.lit(1)).alias("__rows")))
+    if levels is None:
+        many = 2 ** (EDGE_BITS + 1) - 1
+        levels = 2 if (found.agg(F.max("__rows")).first()[0] or 0) > many * BUCKET_ROWS else 1
+    edges = found.drop("__rows")
+    out = null_safe_join(df, F.broadcast(edges), edge_keys) if edge_keys else df.withColumn("__edges", edges.scalar())
     slot = F.when(F.col(value).isNull(), -1).otherwise(_slot(F.col("__edges"), F.col(value)))
-    if tie is None:
-        return out.withColumn("__bucket", slot.cast("long")).drop("__edges")
-    out = out.withColumn("__slot", slot).withColumn("__ties", base.agg(_edges(tie)).scalar())
-    inner = F.when((F.col("__slot") % 2 == 1) | F.col(value).isNull(), _slot(F.col("__ties"), F.col(tie))).otherwise(0)
-    return out.withColumn("__bucket", (F.col("__slot") * 1024 + inner).cast("long")).drop("__edges", "__slot", "__ties")
+    if levels == 1 and tie is None:
+        return out.withColumn("__bucket", slot.cast("long")).drop("__edges"), 1
+    out = out.withColumn("__slot", slot).drop("__edges")
+    alone = (F.col("__slot") % 2 == 1) | F.col(value).isNull()
+    if levels == 1:
+        out = out.withColumn("__ties", df.agg(_edges(tie)).scalar())
+        inner = F.when(alone, _slot(F.col("__ties"), F.col(tie))).otherwise(0)
+        return out.withColumn("__bucket", (F.col("__slot") * 1024 + inner).cast("long")).drop("__slot", "__ties"), 1
+    place = [*edge_keys, "__slot"]
+    finer = out.groupBy(*place).agg(_edges(value).alias("__finer"), *([_edges(tie).alias("__ties")] if tie else []))
+    out = null_safe_join(out, F.broadcast(cut_lineage(finer)), place)
+    inner = F.when(alone, _slot(F.col("__ties"), F.col(tie)) if tie else F.lit(0)).otherwise(_slot(F.col("__finer"), F.col(value)))
+    return out.withColumn("__bucket", (F.col("__slot") * 1024 + inner).cast("long")).drop("__slot", "__finer", "__ties"), 2
 
 
 def running(
@@ -76,13 +94,15 @@ def running(
     keys: Sequence[str] = (),
     edge_keys: Sequence[str] = (),
     tie: str | None = None,
+    levels: int | None = None,
 ) -> DataFrame:
     """Inclusive running sums of ``sums`` in ``value`` order inside each key group.
 
     Rows tied on ``value`` are told apart by ``tie``; without it the values must
     be distinct inside a group. ``<name>__all`` holds the group total.
     """
-    cut = with_bucket(df, value, edge_keys, tie).withColumns({f"__m_{n}": c.cast("double") for n, c in sums.items()})
+    cut, levels = _cut(df, value, edge_keys, tie, levels)
+    cut = cut.withColumns({f"__m_{n}": c.cast("double") for n, c in sums.items()})
     totals = cut.groupBy(*keys, "__bucket").agg(*[F.sum(f"__m_{n}").alias(f"__t_{n}") for n in sums])
     before = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
@@ -92,7 +112,7 @@ def running(
         *[F.coalesce(F.sum(f"__t_{n}").over(before), F.lit(0.0)).alias(f"__o_{n}") for n in sums],
         *[F.sum(f"__t_{n}").over(whole).alias(f"{n}__all") for n in sums],
     )
-    if set(keys) <= set(edge_keys):
+    if levels == 1 and set(keys) <= set(edge_keys):
         offsets = F.broadcast(offsets)
     joined = null_safe_join(cut, offsets, [*keys, "__bucket"])
     order = [F.col(value)] + ([F.col(tie)] if tie else [])
@@ -102,9 +122,9 @@ def running(
     )
 
 
-def row_index(df: DataFrame, order: str, tie: str | None, keys: Sequence[str] = (), name: str = "__rn") -> DataFrame:
+def row_index(df: DataFrame, order: str, tie: str | None, keys: Sequence[str] = (), name: str = "__rn", levels: int | None = None) -> DataFrame:
     """1-based position in ``order`` (ties by the unique ``tie``), and ``<name>__all`` rows per group."""
-    out = running(df, order, {name: F.lit(1)}, keys, tie=tie)
+    out = running(df, order, {name: F.lit(1)}, keys, tie=tie, levels=levels)
     return out.withColumns({name: F.col(name).cast("long"), f"{name}__all": F.col(f"{name}__all").cast("long")})
 
 
@@ -114,10 +134,10 @@ def value_counts(df: DataFrame, value: str, keys: Sequence[str] = (), weight: Co
     return df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(n.cast("double").alias("__n"))
 
 
-def cumulative_counts(df: DataFrame, value: str, keys: Sequence[str] = (), edge_keys: Sequence[str] = ()) -> DataFrame:
+def cumulative_counts(df: DataFrame, value: str, keys: Sequence[str] = (), edge_keys: Sequence[str] = (), levels: int | None = None) -> DataFrame:
     """``(keys..., value, __n, __cum, __cum__all)``: counts up to and including each value."""
     counted = cut_lineage(value_counts(df, value, keys))  # read by the edges, the buckets and their totals
-    return running(counted, value, {"__cum": F.col("__n")}, keys, edge_keys)
+    return running(counted, value, {"__cum": F.col("__n")}, keys, edge_keys, levels=levels)
 
 
 def average_rank(df: DataFrame, value: str, keys: Sequence[str] = (), edge_keys: Sequence[str] = ()) -> DataFrame:
@@ -299,9 +319,10 @@ def carry(
     keys: Sequence[str] = (),
     tie: str | None = None,
     forward: bool = True,
+    levels: int | None = None,
 ) -> DataFrame:
     """Nearest non-null value at or before (``forward``) or at or after each row."""
-    cut = with_bucket(df, order, tie=tie)
+    cut = with_bucket(df, order, tie=tie, levels=levels)
     cols = [F.col(order)] + ([F.col(tie)] if tie else [])
     if not forward:
         cols = [c.desc() for c in cols]

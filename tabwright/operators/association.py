@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..functions import ordering, special
 from ..functions.columns import agg_long, as_numbers, melt, melt_text, numeric_cols, observed, text_cols, xlogx
@@ -120,94 +121,103 @@ def _cells(df: DataFrame, x: str, y: str) -> DataFrame:
 def spearman(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """``(a, b, rho)``: correlation of average ranks over pairwise complete rows.
 
-    Ranks come from counts per distinct value, equal pairs are combined first, and
-    the mean rank is known in advance, so only sums are left.
+    All pairs go together: equal value pairs are combined first, both sides of every
+    pair are ranked in one run over counts per distinct value, and the mean rank
+    is known in advance, so only sums are left.
     """
+    known = {c: observed(df, c) for pair in pairs for c in pair}
+    rows = [F.struct(F.lit(i).alias("pair"), known[a].alias("x"), known[b].alias("y")) for i, (a, b) in enumerate(pairs)]
+    long = df.select(F.inline(F.array(*rows))).filter(F.col("x").isNotNull() & F.col("y").isNotNull())
+    cells = cut_lineage(long.groupBy("pair", "x", "y").agg(F.count(F.lit(1)).cast("double").alias("n")))
+    sides = cells.select("pair", F.inline(F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("value"), "n") for s in ("x", "y")])))
+    counts = cut_lineage(sides.groupBy("pair", "side", "value").agg(F.sum("n").alias("n")))
+    keys = ["pair", "side"]
+    run = ordering.running(counts, "value", {"c": F.col("n")}, keys, keys)
+    ranks = cut_lineage(run.select(*keys, "value", (F.col("c") - (F.col("n") - 1) / 2 - (F.col("c__all") + 1) / 2).alias("rank")))
+    of = lambda s: ranks.filter(F.col("side") == s).select("pair", F.col("value").alias(s), F.col("rank").alias(f"r{s}"))
+    full = cells.join(of("x"), ["pair", "x"]).join(of("y"), ["pair", "y"])
+    n = F.col("n")
+    sums = full.groupBy("pair").agg(*[F.sum(n * F.col(f"r{a}") * F.col(f"r{b}")).alias(a + b) for a, b in ("xy", "xx", "yy")])
+    names = df.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "pair int, a string, b string")
+    return F.broadcast(names).join(sums, "pair", "left").select("a", "b", F.try_divide(F.col("xy"), F.sqrt(F.col("xx") * F.col("yy"))).alias("rho"))
+
+
+def _discordance(group: np.ndarray, x: np.ndarray, y: np.ndarray, w: np.ndarray, bits: int) -> float:
+    """Weighted concordant minus discordant pairs inside each group of cells with digits x and y under 2^bits; ties count nothing.
+
+    Two cells of different x part at the highest bit in which their x differ: bit by bit,
+    the cells with 1 look up the cells with 0 of the same higher bits and smaller or larger y.
+    """
+    score, base = 0.0, 1 << bits
+    for bit in range(bits):
+        part = group * base + (x >> (bit + 1))
+        order = np.argsort(part * base + y, kind="stable")
+        part, place, weight, one = part[order], (part * base + y)[order], w[order], (x[order] >> bit) & 1 == 1
+        zeros = np.concatenate([[0.0], np.cumsum(np.where(one, 0.0, weight))])
+        at = lambda v, side="left": zeros[np.searchsorted(place, v, side)]
+        below = at(place[one]) - at(part[one] * base)
+        above = at((part[one] + 1) * base) - at(place[one], "right")
+        score += float(np.sum(weight[one] * (below - above)))
+    return score
+
+
+def kendall(df: DataFrame, x: str, y: str, bits: int = 8) -> DataFrame:
+    """``(a, b, tau)``: tau-b by levels, without comparing all pairs and without a group that grows.
+
+    Equal (x, y) pairs are combined, and both values become positions among the
+    distinct ones, read as digits of ``bits`` bits. Two rows part on each axis at one digit;
+    so for every pair of levels the rows are summed by their digits at these levels inside groups of
+    equal higher digits, and each group is a grid of at most 4^bits cells, whatever the input.
+    There are as many levels on an axis as its number of distinct values has digits.
+    """
+    cells = cut_lineage(_cells(df, x, y))
+    placed, tops = cells, {}
+    for c in ("x", "y"):
+        index = ordering.dense_index(cells.select(c).distinct(), c, f"i{c}")
+        tops[c] = -(-max(int(index.agg(F.max(f"i{c}")).first()[0] or 0), 1).bit_length() // bits)
+        placed = placed.join(index, c)
+    placed = cut_lineage(placed.select("ix", "iy", "n"))
+    mask = (1 << bits) - 1
+
+    def score(batches):
+        held, names = None, ["gx", "gy"]
+        for b in batches:
+            b = b if held is None else pd.concat([held, b], ignore_index=True)
+            last = (b[names] == b[names].iloc[-1]).all(axis=1) if len(b) else pd.Series([], dtype=bool)
+            held, b = b[last], b[~last]
+            if len(b):
+                yield pd.DataFrame({"s": [_grids(b, bits)]})
+        if held is not None and len(held):
+            yield pd.DataFrame({"s": [_grids(held, bits)]})
+
     parts = []
-    for x, y in pairs:
-        cells = cut_lineage(_cells(df, x, y))
-        rx = ordering.running(cells.groupBy("x").agg(F.sum("n").alias("n")), "x", {"c": F.col("n")})
-        ry = ordering.running(cells.groupBy("y").agg(F.sum("n").alias("n")), "y", {"c": F.col("n")})
-        mid = (F.col("c__all") + 1) / 2
-        rank = F.col("c") - (F.col("n") - 1) / 2 - mid
-        full = cells.join(rx.select("x", rank.alias("rx")), "x").join(ry.select("y", rank.alias("ry")), "y")
-        n = F.col("n")
-        one = full.agg(
-            F.sum(n * F.col("rx") * F.col("ry")).alias("xy"), F.sum(n * F.col("rx") * F.col("rx")).alias("xx"), F.sum(n * F.col("ry") * F.col("ry")).alias("yy")
-        )
-        parts.append(one.select(F.lit(x).alias("a"), F.lit(y).alias("b"), F.try_divide(F.col("xy"), F.sqrt(F.col("xx") * F.col("yy"))).alias("rho")))
-    out = parts[0]
+    for lx in range(tops["x"]):
+        for ly in range(tops["y"]):
+            sx, sy = bits * lx, bits * ly
+            digits = [
+                F.shiftright("ix", sx + bits).alias("gx"), F.shiftright("iy", sy + bits).alias("gy"),
+                F.shiftright("ix", sx).bitwiseAND(mask).alias("dx"), F.shiftright("iy", sy).bitwiseAND(mask).alias("dy"),
+            ]
+            grid = placed.groupBy(*digits).agg(F.sum("n").alias("n"))
+            group = Window.partitionBy("gx", "gy")
+            differs = [F.min(c).over(group) < F.max(c).over(group) for c in ("dx", "dy")]
+            # The window leaves each group in one piece; most groups of the low levels are single cells and go here.
+            mixed = grid.withColumn("__mixed", differs[0] & differs[1]).filter("__mixed").drop("__mixed")
+            parts.append(mixed.mapInPandas(score, "s double"))
+    scores = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def _concordance(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> float:
-    """Weighted concordant minus discordant pairs, ties counting nothing, by bottom-up merging."""
-    order = np.lexsort((y, x))
-    xs = np.unique(x[order], return_inverse=True)[1]
-    ys = np.unique(y[order], return_inverse=True)[1].astype(np.int64)
-    w = w[order]
-    m = len(w)
-    big = int(ys.max()) + 2 if m else 1
-    score = 0.0
-    width = 1
-    at = np.arange(m)
-    while width < m:
-        block = at // (2 * width)
-        left = (at // width) % 2 == 0
-        lkey = block[left] * big + ys[left]
-        so = np.argsort(lkey, kind="stable")
-        lkey, cum = lkey[so], np.concatenate([[0.0], np.cumsum(w[left][so])])
-        rb = block[~left] * big
-        start, end = np.searchsorted(lkey, rb), np.searchsorted(lkey, rb + big)
-        below, upto = np.searchsorted(lkey, rb + ys[~left]), np.searchsorted(lkey, rb + ys[~left], "right")
-        score += float(np.sum(w[~left] * ((cum[below] - cum[start]) - (cum[end] - cum[upto]))))
-        width *= 2
-    tied = pd.DataFrame({"x": xs, "y": ys, "w": w})
-    same_xy = tied.groupby(["x", "y"])["w"].sum()
-    per_x = same_xy.groupby(level=0).sum().to_numpy()
-    return score - float((np.sum(per_x**2) - np.sum(same_xy.to_numpy() ** 2)) / 2)
-
-
-def kendall(df: DataFrame, x: str, y: str) -> DataFrame:
-    """``(a, b, tau)``: tau-b without comparing all pairs.
-
-    Equal (x, y) pairs are combined, both axes are cut into ordered buckets, and
-    pairs in different buckets on both axes follow from the bucket grid. Pairs
-    sharing an x bucket, and pairs sharing only a y bucket, are counted inside
-    that bucket by merging.
-    """
-    cells = _cells(df, x, y)
-    cut = ordering.with_bucket(cells, "x").withColumnRenamed("__bucket", "bx")
-    cut = ordering.with_bucket(cut, "y").withColumnRenamed("__bucket", "by")
-
-    def same_x(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"s": [_concordance(pdf["x"].to_numpy(), pdf["y"].to_numpy(), pdf["n"].to_numpy())]})
-
-    def same_y(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"s": [_concordance(pdf["bx"].to_numpy(), pdf["y"].to_numpy(), pdf["n"].to_numpy())]})
-
-    # An odd bucket holds one value only: all its pairs are tied on that axis.
-    sx = cut.filter(F.col("bx") % 2 == 0).select("bx", "x", "y", "n").groupBy("bx").applyInPandas(same_x, "s double")
-    inner = cut.filter(F.col("by") % 2 == 0).groupBy("by", "bx", "y").agg(F.sum("n").alias("n"))
-    sy = inner.groupBy("by").applyInPandas(same_y, "s double")
-    grid = cut.groupBy("bx", "by").agg(F.sum("n").alias("n"))
-
-    def grid_score(batches):
-        frames = list(batches)
-        if frames:
-            g = pd.concat(frames)
-            yield pd.DataFrame({"s": [_concordance(g["bx"].to_numpy(), g["by"].to_numpy(), g["n"].to_numpy())]})
-
-    # At most 511 x 511 grid cells, whatever the input size.
-    sg = grid.coalesce(1).mapInPandas(grid_score, "s double")
-    score = sx.unionByName(sy).unionByName(sg).agg(F.coalesce(F.sum("s"), F.lit(0.0)).alias("score"))
+        scores = scores.unionByName(p)
+    total = scores.agg(F.coalesce(F.sum("s"), F.lit(0.0)).alias("score"))
     ties = lambda c: cells.groupBy(c).agg(F.sum("n").alias("n")).agg(F.sum(F.col("n") * (F.col("n") - 1) / 2)).scalar()
     n = cells.agg(F.sum("n")).scalar()
     pairs = n * (n - 1) / 2
     tau = F.try_divide(F.col("score"), F.sqrt((pairs - ties("x")) * (pairs - ties("y"))))
-    return score.select(F.lit(x).alias("a"), F.lit(y).alias("b"), tau.alias("tau"))
+    return total.select(F.lit(x).alias("a"), F.lit(y).alias("b"), tau.alias("tau"))
+
+
+def _grids(cells: pd.DataFrame, bits: int) -> float:
+    edge = (cells[["gx", "gy"]].diff() != 0).any(axis=1)
+    return _discordance(edge.cumsum().to_numpy(np.int64), cells["dx"].to_numpy(np.int64), cells["dy"].to_numpy(np.int64), cells["n"].to_numpy(), bits)
 
 
 def target_correlation_tests(df: DataFrame, target: str, cols: Sequence[str] | None = None) -> DataFrame:

@@ -64,4 +64,17 @@ def test_kendall_with_ties(spark):
     df = spark.createDataFrame(pd.DataFrame({"x": x, "y": y}))
     s = np.sign(x[:, None] - x[None]) * np.sign(y[:, None] - y[None])
     want = s.sum() / np.sqrt(np.abs(np.sign(x[:, None] - x[None])).sum() * np.abs(np.sign(y[:, None] - y[None])).sum())
-    assert np.isclose(association.kendall(df, "x", "y").first()["tau"], want)
+    for bits in (8, 3, 1):  # one, two or three, and six or more levels
+        assert np.isclose(association.kendall(df, "x", "y", bits).first()["tau"], want)
+
+
+def test_kendall_batches_end_inside_a_grid(spark):
+    rng = np.random.default_rng(6)
+    df = spark.createDataFrame(pd.DataFrame({"x": rng.integers(0, 900, 4000).astype(float), "y": np.where(rng.uniform(size=4000) < 0.35, 5.0, rng.integers(0, 900, 4000))}))
+    want = association.kendall(df, "x", "y", 10).first()["tau"]  # one level
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert np.isclose(association.kendall(df, "x", "y", 4).first()["tau"], want, rtol=1e-12)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)

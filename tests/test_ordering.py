@@ -65,3 +65,31 @@ def test_dense_index(data, spark):
     pdf, df = data
     got = {r["v"]: r["__ix"] for r in ordering.dense_index(df.select("v").distinct(), "v").collect()}
     assert got == {v: i for i, v in enumerate(sorted(pdf["v"].unique()))}
+
+
+@pytest.mark.parametrize("keys", [[], ["k"]])
+def test_two_levels_of_buckets(spark, keys):
+    """Over 10,000 buckets, with a hot value, missing values and ties, against pandas."""
+    rng = np.random.default_rng(3)
+    n = 60_000
+    v = np.where(rng.uniform(size=n) < 0.35, 7.0, rng.normal(0, 10, n))
+    v[rng.uniform(size=n) < 0.02] = np.nan
+    pdf = pd.DataFrame({"id": np.arange(n), "k": rng.choice(["a", "b"], n, p=[0.9, 0.1]), "v": v, "w": rng.integers(0, 9, n).astype(float)})
+    df = spark.createDataFrame(pdf).withColumn("v", F.when(~F.isnan("v"), F.col("v")))
+    cut = ordering.with_bucket(df, "v", keys, "id", levels=2)
+    assert cut.select("__bucket").distinct().count() > 10_000
+    got = ordering.running(df, "v", {"s": F.col("w")}, keys, keys, "id", levels=2).toPandas().set_index("id").sort_index()
+    order = pdf.sort_values(["v", "id"], na_position="first")
+    want = (order.groupby("k")["w"].cumsum() if keys else order["w"].cumsum()).sort_index()
+    assert np.allclose(got["s"], want)
+    assert np.allclose(got["s__all"], pdf.groupby("k")["w"].transform("sum") if keys else pdf["w"].sum())
+
+
+def test_levels_follow_the_rows(spark, monkeypatch):
+    df = spark.range(4000).select(F.col("id").cast("double").alias("v"))
+    assert ordering.with_bucket(df, "v").agg(F.max("__bucket")).first()[0] < 511
+    monkeypatch.setattr(ordering, "BUCKET_ROWS", 5)
+    assert ordering.with_bucket(df, "v").select("__bucket").distinct().count() > 3000
+    assert ordering.row_index(df, "v", None).filter(F.col("__rn") != F.col("v") + 1).count() == 0
+    found = ordering.carry(df.withColumn("x", F.when(F.col("v") % 100 == 0, F.col("v"))), "x", "v", "y")
+    assert found.filter(F.col("y") != F.floor(F.col("v") / 100) * 100).count() == 0
