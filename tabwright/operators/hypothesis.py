@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 import math
 from collections.abc import Sequence
 
@@ -11,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import ordering, special
+from ..functions import gram, ordering, special
 from ..functions.columns import agg_long, as_numbers, melt, numeric_cols, observed
 from .profile import raw_moments
 
@@ -148,20 +147,12 @@ def mardia(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Multivariate skewness and kurtosis with p values.
 
     With whitened rows z, b1 is the squared norm of the mean third-moment tensor
-    and b2 the mean of |z|^4, so one aggregate replaces the n x n form.
+    and b2 the mean of |z|^4, so one pass of sums replaces the n x n form.
     """
     mean, centred, n = raw_moments(df, cols)
     p = len(cols)
     white = np.linalg.inv(np.linalg.cholesky(centred / n))
-    data = as_numbers(df, cols).dropna()
-    shifted = [F.col(f"`{c}`") - float(m) for c, m in zip(cols, mean)]
-    z = data.select(*[sum((float(white[i, j]) * shifted[j] for j in range(i + 1)), F.lit(0.0)).alias(f"z{i}") for i in range(p)])
-    trip = [(i, j, k) for i in range(p) for j in range(i, p) for k in range(j, p)]
-    times = {t: len(set(itertools.permutations(t))) for t in trip}
-    norm2 = sum((F.col(f"z{i}") * F.col(f"z{i}") for i in range(p)), F.lit(0.0))
-    row = z.agg(*[F.avg(F.col(f"z{i}") * F.col(f"z{j}") * F.col(f"z{k}")) for i, j, k in trip], F.avg(norm2 * norm2)).first()
-    b1 = float(sum(times[t] * row[i] ** 2 for i, t in enumerate(trip)))
-    b2 = float(row[len(trip)])
+    b1, b2 = gram.third_moments(df, cols, mean, white)
     stat = n * b1 / 6
     dof = p * (p + 1) * (p + 2) / 6
     zk = (b2 - p * (p + 2)) / math.sqrt(8 * p * (p + 2) / n)

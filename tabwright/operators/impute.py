@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import ordering, special
+from ..functions import gram, ordering, special
 from ..functions.columns import agg_long, as_numbers, hash_unit, is_missing, numeric_cols, observed
 from ..session import cut_lineage
 from . import neighbors
@@ -49,6 +49,7 @@ def mechanism(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     n = patterns.agg(F.sum("weight")).first()[0] or 0.0
     gone = patterns.agg(*[F.sum((1 - F.col(f"n{i}")) * F.col("weight")) for i in range(len(names))]).first()
     rows = []
+    together = gram.weighted_products(patterns.select(F.array(*[f"n{i}" for i in range(len(names))], "weight").alias("x")), len(names))
     for i, c in enumerate(names):
         share = (gone[i] or 0.0) / n if n else 0.0
         others = [j for j in range(len(names)) if j != i]
@@ -60,12 +61,7 @@ def mechanism(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
             continue
         design = patterns.select((1 - F.col(f"n{i}")).alias("label"), array_to_vector(F.array(*[F.col(f"n{j}") for j in others])).alias("features"), "weight")
         model = LogisticRegression(weightCol="weight", regParam=1.0 / n, standardization=False, maxIter=100).fit(design)
-        pairs = [(a, b) for a in range(len(others)) for b in range(a, len(others))]
-        cells = patterns.agg(*[F.sum(F.col(f"n{others[a]}") * F.col(f"n{others[b]}") * F.col("weight")) for a, b in pairs]).first()
-        xtx = np.zeros((len(others), len(others)))
-        for (a, b), v in zip(pairs, cells):
-            xtx[a, b] = xtx[b, a] = v
-        inv = np.linalg.inv(xtx + 1e-6 * np.eye(len(others)))
+        inv = np.linalg.inv(together[np.ix_(others, others)] + 1e-6 * np.eye(len(others)))
         ps = []
         for coef, var in zip(model.coefficients.toArray(), np.diag(inv)):
             ps.append(1.0 if var <= 0 else 2 * (1 - special.norm_cdf(abs(coef / math.sqrt(var)))))
@@ -87,13 +83,8 @@ def little_test(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     if len(names) < 2:
         return spark.createDataFrame([(None, None, None, "too_few_nas")], schema)
     data = as_numbers(df, names)
-    pairs = [(a, b) for a in range(len(names)) for b in range(a, len(names))]
-    mu_row = data.agg(*[F.avg(f"`{c}`") for c in names]).first()
-    cov_row = data.agg(*[F.covar_samp(f"`{names[a]}`", f"`{names[b]}`") for a, b in pairs]).first()
-    mu = np.array([v or 0.0 for v in mu_row])
-    cov = np.zeros((len(names), len(names)))
-    for (a, b), v in zip(pairs, cov_row):
-        cov[a, b] = cov[b, a] = v or 0.0
+    both = gram.Pairwise(df, names)
+    mu, cov = both.shift, np.nan_to_num(both.covariance())
     pattern = F.concat(*[F.when(F.col(f"`{c}`").isNotNull(), "1").otherwise("0") for c in names])
     groups = data.groupBy(pattern.alias("pattern")).agg(F.count(F.lit(1)).alias("n"), F.array(*[F.avg(f"`{c}`") for c in names]).alias("m"))
 
@@ -219,7 +210,7 @@ def knn_fill(df: DataFrame, cols: Sequence[str], key: str, k: int = 5, donors: D
 def mice_fill(df: DataFrame, cols: Sequence[str], key: str, rounds: int = 10, seed: int = 42, ridge: float = 1e-6) -> DataFrame:
     """Chained equations: each column in turn is redrawn from a ridge regression on the others.
 
-    One step is one aggregate (normal equations over the rows where the column
+    One step is one sum of products (normal equations over the rows where the column
     was observed) and one projection; lineage is cut after every round. Noise
     comes from the row key, so retries repeat the same draw.
     """
@@ -235,13 +226,9 @@ def mice_fill(df: DataFrame, cols: Sequence[str], key: str, rounds: int = 10, se
         for i, c in enumerate(todo):
             others = [o for o in names if o != c]
             xs = [F.lit(1.0)] + [F.col(f"`{o}`") - F.lit(means.get(o, 0.0)) for o in others]
-            y = F.col(f"`{c}`") - F.lit(means[c])
-            cells = [(a, b) for a in range(len(xs)) for b in range(a, len(xs))]
-            row = work.filter(~F.col(f"__gone_{i}")).agg(*[F.sum(xs[a] * xs[b]) for a, b in cells], *[F.sum(x * y) for x in xs], F.sum(y * y)).first()
-            g = np.zeros((len(xs), len(xs)))
-            for (a, b), v in zip(cells, row):
-                g[a, b] = g[b, a] = v
-            xy, yy = np.array(row[len(cells) : len(cells) + len(xs)]), row[-1]
+            at = np.array([means.get(o, 0.0) for o in others] + [means[c]])
+            whole, _ = gram.complete_products(work.filter(~F.col(f"__gone_{i}")), [*others, c], at)
+            g, xy, yy = whole[:-1, :-1], whole[:-1, -1], whole[-1, -1]
             scale = np.where(np.diag(g) > 0, np.diag(g), 1.0)
             inv = np.linalg.inv(g + np.diag(ridge * scale))
             beta = inv @ xy

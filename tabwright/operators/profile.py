@@ -5,13 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import ordering
+from ..functions import gram, ordering
 from ..functions.columns import agg_long, as_numbers, is_missing, melt, melt_text, null_safe_join, numeric_cols, text_cols
 
+# Up to this many column pairs go as expressions of one aggregate; more would outgrow generated code.
+MAX_PAIRS = 200
+
 
 def _ranked(df: DataFrame, order: Sequence, top: int | None) -> DataFrame:
     """All rows, or the first ``top`` in ``order`` when the caller asks for a top list."""
@@ -101,24 +105,21 @@ def iqr_outlier_counts(df: DataFrame, top: int | None = None, cols: Sequence[str
 
 
 def pearson_pairs(df: DataFrame, cols: Sequence[str], threshold: float = 0.0) -> DataFrame:
-    """``(a, b, corr)`` over pairwise complete rows: every pair in one aggregate.
-
-    Beyond a few dozen columns the pair list outgrows one generated class, so
-    the pairs are split over several aggregates of the same scan.
-    """
+    """``(a, b, corr)`` over pairwise complete rows: few pairs in one aggregate, many from blocked products in two passes over the rows."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 :]]
+    if len(pairs) > MAX_PAIRS:
+        corr = gram.Pairwise(df, cols).correlation()
+        at = np.argwhere(np.triu(~np.isnan(corr) & (np.abs(corr) > threshold if threshold > 0 else True), 1))
+        names = np.array(list(cols), dtype=object)
+        found = pd.DataFrame({"a": names[at[:, 0]], "b": names[at[:, 1]], "corr": corr[at[:, 0], at[:, 1]]})
+        return df.sparkSession.createDataFrame(found, "a string, b string, corr double")
     data = as_numbers(df, cols)
-    parts = []
-    for start in range(0, len(pairs), 200):
-        chunk = pairs[start : start + 200]
-        both = lambda x, y: (F.when(F.col(f"`{y}`").isNotNull(), F.col(f"`{x}`")), F.when(F.col(f"`{x}`").isNotNull(), F.col(f"`{y}`")))
-        one = data.agg(*[F.corr(*both(a, b)).alias(f"c{i}") for i, (a, b) in enumerate(chunk)])
-        rows = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{i}").alias("corr")) for i, (a, b) in enumerate(chunk)]
-        parts.append(one.select(F.inline(F.array(*rows))))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    out = out.filter(F.col("corr").isNotNull() & ~F.isnan("corr"))
+    both = lambda x, y: (F.when(F.col(f"`{y}`").isNotNull(), F.col(f"`{x}`")), F.when(F.col(f"`{x}`").isNotNull(), F.col(f"`{y}`")))
+    one = data.agg(*[F.corr(*both(a, b)).alias(f"c{i}") for i, (a, b) in enumerate(pairs)], F.lit(0))
+    rows = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{i}").alias("corr")) for i, (a, b) in enumerate(pairs)]
+    if not rows:
+        return df.sparkSession.createDataFrame([], "a string, b string, corr double")
+    out = one.select(F.inline(F.array(*rows))).filter(F.col("corr").isNotNull() & ~F.isnan("corr"))
     return out.filter(F.abs("corr") > threshold) if threshold > 0 else out
 
 
@@ -128,25 +129,25 @@ def collinear_pairs(df: DataFrame, threshold: float = 0.9, cols: Sequence[str] |
     return _ranked(pairs.select("a", "b", F.abs("corr").alias("corr")), [F.desc("corr"), "a", "b"], top)
 
 
-def cross_products(df: DataFrame, cols: Sequence[str], weight: Column | None = None) -> tuple[np.ndarray, float]:
-    """X'X of ``[1, cols]`` over complete rows, a (k+1) square matrix, and the row count.
+def cross_products(df: DataFrame, cols: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """X'X of ``[1, cols]`` over complete rows, a (k+1) square matrix, and the shifts.
 
     Shifted by the column means first, so that large offsets do not cost digits;
-    the matrix is returned for the shifted columns.
+    the matrix is returned for the shifted columns. A few columns take one aggregate,
+    many go by blocked products.
     """
+    k = len(cols) + 1
+    cells = [(i, j) for i in range(k) for j in range(i, k)]
+    if len(cells) > MAX_PAIRS:
+        return gram.complete_products(df, cols)
     data = as_numbers(df, cols).dropna()
     shift = data.agg(*[F.avg(f"`{c}`") for c in cols]).first()
     xs = [F.lit(1.0)] + [F.col(f"`{c}`") - F.lit(m if m is not None else 0.0) for c, m in zip(cols, shift)]
-    k = len(xs)
-    cells = [(i, j) for i in range(k) for j in range(i, k)]
     m = np.zeros((k, k))
-    for start in range(0, len(cells), 300):
-        chunk = cells[start : start + 300]
-        row = data.agg(*[F.sum(xs[i] * xs[j]).alias(f"s{i}_{j}") for i, j in chunk]).first()
-        for (i, j), v in zip(chunk, row):
-            m[i, j] = m[j, i] = v or 0.0
-    means = np.array([0.0] + [s or 0.0 for s in shift])
-    return m, means
+    row = data.agg(*[F.sum(xs[i] * xs[j]).alias(f"s{i}_{j}") for i, j in cells]).first()
+    for (i, j), v in zip(cells, row):
+        m[i, j] = m[j, i] = v or 0.0
+    return m, np.array([0.0] + [s or 0.0 for s in shift])
 
 
 def raw_moments(df: DataFrame, cols: Sequence[str]) -> tuple[np.ndarray, np.ndarray, float]:
