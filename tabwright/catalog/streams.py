@@ -54,17 +54,41 @@ def p21(spark, sf):
     return result.select(F.to_date("window_start").cast("string").alias("day"), "n", F.round("psi", 9).alias("psi"))
 
 
-@query("p18_stream_detector")
-def p18s(spark, sf):
+OVER = "OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)"
+
+
+def detected(spark, sf, detector):
+    """A detector by user on the landed events, every row with its statistic."""
     out = scratch(spark)
-    rows = ingest.decode(ingest.json_lines_source(spark, landed(spark, sf)), EVENT)
-    ingest.run_available(detectors.page_hinkley(rows, "user_id", "ts", "value"), out + "/data", out + "/ckpt")
-    return spark.read.parquet(out + "/data").groupBy("drift").agg(F.count(F.lit(1)).alias("n"))
+    rows = ingest.decode(ingest.json_lines_source(spark, landed(spark, sf, repeats=False)), EVENT)
+    ingest.run_available(detector(rows.withColumn("error", (F.col("value") > 20).cast("int"))), out + "/data", out + "/ckpt")
+    return spark.read.parquet(out + "/data")
+
+
+@query(
+    "p18_stream_detector",
+    f"""WITH a AS (SELECT *, sum(value) {OVER} / count(*) {OVER} AS mean FROM events WHERE value IS NOT NULL AND ts IS NOT NULL), b AS (SELECT *, sum(value - mean - 0.005) {OVER} AS m FROM a),
+    c AS (SELECT *, m - least(0, min(m) {OVER}) AS stat FROM b)
+    SELECT event_id, user_id, value, round(stat, 6) AS statistic, stat > 50 AS drift FROM c""",
+)
+def p18s(spark, sf):
+    out = detected(spark, sf, lambda rows: detectors.page_hinkley(rows, "user_id", "ts", "value", tie="event_id"))
+    return out.select("event_id", "user_id", "value", F.round("statistic", 6).alias("statistic"), "drift")
+
+
+@query(
+    "p18_stream_ddm",
+    f"""WITH e AS (SELECT *, CASE WHEN value > 20 THEN 1 ELSE 0 END AS error FROM events WHERE value IS NOT NULL AND ts IS NOT NULL),
+    a AS (SELECT *, count(*) {OVER} AS n, sum(error) {OVER} / count(*) {OVER} AS p FROM e), b AS (SELECT *, p + sqrt(p * (1 - p) / n) AS ps, sqrt(p * (1 - p) / n) AS s FROM a),
+    c AS (SELECT *, min(CASE WHEN n >= 5 THEN {{'ps': ps, 'n': n, 'p': p, 's': s}} END) {OVER} AS best FROM b)
+    SELECT event_id, user_id, round(ps, 9) AS statistic, coalesce(ps > best.p + 3 * best.s, false) AS drift FROM c""",
+)
+def p18d(spark, sf):
+    out = detected(spark, sf, lambda rows: detectors.ddm(rows, "user_id", "ts", "error", min_rows=5, tie="event_id"))
+    return out.select("event_id", "user_id", F.round("statistic", 9).alias("statistic"), "drift")
 
 
 @query("p18_stream_adaptive_window")
 def p18a(spark, sf):
-    out = scratch(spark)
-    rows = ingest.decode(ingest.json_lines_source(spark, landed(spark, sf)), EVENT)
-    ingest.run_available(detectors.adaptive_window(rows, "user_id", "ts", "value"), out + "/data", out + "/ckpt")
-    return spark.read.parquet(out + "/data").groupBy("drift").agg(F.count(F.lit(1)).alias("n"))
+    out = detected(spark, sf, lambda rows: detectors.adaptive_window(rows, "user_id", "ts", "value", tie="event_id"))
+    return out.select("event_id", "user_id", "value", F.col("statistic").cast("long").alias("window"), "drift")
