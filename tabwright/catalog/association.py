@@ -219,6 +219,27 @@ def d16(spark, sf):
     return H.bootstrap_ci(table(spark, sf, "customer"), ["c_acctbal"], n_iter=1000)
 
 
+WHOLE = 1 << 64
+
+
+@query(
+    "d16_bootstrap_mean",
+    f"""WITH v AS (SELECT c_acctbal AS x, count(*) AS n, CAST('0x' || substr(md5('42|0|' || CAST(c_acctbal AS VARCHAR)), 1, 15) AS UBIGINT) AS key FROM customer WHERE c_acctbal IS NOT NULL GROUP BY 1),
+    a AS (SELECT x, n, b, ((key::UHUGEINT + (b + 1)::UHUGEINT * {0x9E3779B97F4A7C15}) % {WHOLE})::UBIGINT AS z FROM v CROSS JOIN range(200) AS r(b)),
+    c AS (SELECT x, n, b, ((xor(z, z // {1 << 30})::UHUGEINT * {0xBF58476D1CE4E5B9}) % {WHOLE})::UBIGINT AS z FROM a),
+    d AS (SELECT x, n, b, ((xor(z, z // {1 << 27})::UHUGEINT * {0x94D049BB133111EB}) % {WHOLE})::UBIGINT AS z FROM c),
+    e AS (SELECT x, n, b, (xor(z, z // {1 << 31}) // 2048)::DOUBLE / {float(1 << 53)} AS u FROM d),
+    t AS (SELECT n, k, sum(exp(-n + k * ln(n) - lgamma(k + 1))) OVER (PARTITION BY n ORDER BY k) AS upto FROM (SELECT DISTINCT n FROM v) CROSS JOIN range(60) AS r(k)),
+    p AS (SELECT n, list(upto ORDER BY k) AS steps FROM t GROUP BY n),
+    w AS (SELECT b, x, len(list_filter(steps, lambda s: s < u)) AS w FROM e JOIN p USING (n)),
+    m AS (SELECT b, sum(w * x) / sum(w) AS m FROM w GROUP BY b)
+    SELECT 'c_acctbal' AS feature, round(quantile_cont(m, 0.025), 6) AS mean_lower, round(quantile_cont(m, 0.975), 6) AS mean_upper FROM m""",
+)
+def d16_mean(spark, sf):
+    found = H.bootstrap_ci(table(spark, sf, "customer"), ["c_acctbal"], n_iter=200)
+    return found.select("feature", F.round("mean_lower", 6).alias("mean_lower"), F.round("mean_upper", 6).alias("mean_upper"))
+
+
 G1 = "(skewness({c}) * (count({c}) - 2) / sqrt(count({c}) * (count({c}) - 1.0)))"
 
 

@@ -55,11 +55,40 @@ def normal_intervals(df: DataFrame, cols: Sequence[str] | None = None, level: fl
     return out.select("feature", (F.col("m") - z * F.col("s")).alias("lower"), (F.col("m") + z * F.col("s")).alias("upper"))
 
 
+# Random numbers held at a time.
+DRAWS = 1 << 20
+
+
+def uniforms(keys: np.ndarray, draws: int) -> np.ndarray:
+    """Uniform numbers in [0, 1) for each key and draw: the mixed sum of the key and a multiple of a fixed odd number."""
+    with np.errstate(over="ignore"):
+        z = keys.astype(np.uint64)[:, None] + np.arange(1, draws + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return ((z ^ (z >> np.uint64(31))) >> np.uint64(11)) / float(1 << 53)
+
+
+def poisson_weights(keys: np.ndarray, means: np.ndarray, draws: int) -> np.ndarray:
+    """Poisson draws (key, draw) by the inverse of the distribution function, tabled once for each distinct mean over the span that doubles tell from 0 and 1."""
+    out = np.empty((len(keys), draws))
+    u = uniforms(keys, draws)
+    for mean in np.unique(means):
+        reach = 10 * math.sqrt(mean) + 40
+        low = max(0, math.floor(mean - reach))
+        k = np.arange(low, math.ceil(mean + reach) + 1)
+        steps = np.log(mean) - np.log(np.maximum(k[1:], 1))
+        logs = np.concatenate([[0.0], np.cumsum(steps)])
+        share = np.exp(logs + low * math.log(mean) - mean - math.lgamma(low + 1))
+        at = means == mean
+        out[at] = low + np.searchsorted(np.cumsum(share), u[at], "left")
+    return out
+
+
 def bootstrap_ci(df: DataFrame, cols: Sequence[str] | None = None, n_iter: int = 1000, level: float = 0.95, min_rows: int = 30, seed: int = 42) -> DataFrame:
     """Percentile bootstrap of mean and median per column; NULL for a column with fewer than ``min_rows`` values.
 
-    Mean: a value seen c times gets a Poisson(c) weight in each resample, drawn
-    per distinct value inside the tasks, so only ``n_iter`` sums per task are
+    Mean: a value seen c times gets a Poisson(c) weight in each resample, which is a
+    function of the value and the resample's number, so only ``n_iter`` sums per task are
     shuffled. Median: the middle order statistic of a resample is the data
     quantile at a Beta-distributed rank, so its resamples are ``n_iter`` exact
     quantiles and need no resampled data at all.
@@ -77,17 +106,18 @@ def bootstrap_ci(df: DataFrame, cols: Sequence[str] | None = None, n_iter: int =
         total: dict[str, np.ndarray] = {}
         for pdf in batches:
             for feature, part in pdf.groupby("feature"):
-                v, n = part["value"].to_numpy(), part["n"].to_numpy()
                 acc = total.setdefault(feature, np.zeros((2, n_iter)))
-                for value, times in zip(v, n, strict=True):  # seeded by the value, so no partitioning changes the draws
-                    rng = np.random.default_rng([seed, code[feature], int(np.float64(value).view(np.uint64))])
-                    w = rng.poisson(times, n_iter)
-                    acc[0] += w
-                    acc[1] += w * value
+                for start in range(0, len(part), max(1, DRAWS // n_iter)):
+                    rows = part.iloc[start : start + max(1, DRAWS // n_iter)]
+                    w = poisson_weights(rows["key"].to_numpy(np.uint64), rows["n"].to_numpy(np.int64), n_iter)
+                    acc += np.stack([w.sum(axis=0), rows["value"].to_numpy() @ w])
         for feature, acc in total.items():
             yield pd.DataFrame({"feature": feature, "b": np.arange(n_iter), "w": acc[0], "wx": acc[1]})
 
-    wanted = counts.filter(F.col("feature").isin(*sizes))
+    # Draws are numbered hashes of the value's text, so no partitioning changes them.
+    codes = F.create_map(*[F.lit(x) for c, i in code.items() for x in (c, str(i))])[F.col("feature")]
+    text = F.concat_ws("|", F.lit(str(seed)), codes, F.col("value").cast("string"))
+    wanted = counts.filter(F.col("feature").isin(*sizes)).withColumn("key", F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long"))
     sums = wanted.mapInPandas(weights, "feature string, b long, w double, wx double").groupBy("feature", "b").agg(
         F.try_divide(F.sum("wx"), F.sum("w")).alias("m")
     )

@@ -95,3 +95,13 @@ def test_as_wide_as_the_largest_report(spark, sf):
     assert {(f"g{a}", f"g{b}") for a, b in at} == set(zip(found["a"], found["b"]))
     place = found["a"].str[1:].astype(int), found["b"].str[1:].astype(int)
     np.testing.assert_allclose(found["corr"], corr[place], atol=1e-8)
+
+
+def test_poisson_weights_have_the_distribution():
+    keys = np.arange(200, dtype=np.uint64) * np.uint64(0x1234567)
+    for mean in (1, 3, 50, 40_000):
+        w = hypothesis.poisson_weights(keys, np.full(200, mean), 500)
+        assert abs(w.mean() / mean - 1) < 6 / np.sqrt(mean * w.size) and abs(w.var() / mean - 1) < 0.05
+        assert w.min() >= 0 and (w == np.rint(w)).all()
+    both = hypothesis.poisson_weights(keys, np.where(np.arange(200) % 2 == 0, 1, 7), 40)
+    np.testing.assert_array_equal(both[::2], hypothesis.poisson_weights(keys[::2], np.ones(100), 40))
