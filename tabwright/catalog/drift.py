@@ -153,7 +153,7 @@ def p14(spark, sf):
         entropy=A.entropy_nats(li, ["l_quantity", "l_linestatus"]),
         mi=A.mutual_information(li, "l_returnflag", ["l_quantity", "l_discount"]),
         intervals=H.normal_intervals(li, ["l_quantity", "l_discount", "l_tax"]),
-        fits=X.best_fit(li, ["l_quantity", "l_extendedprice"], ("norm", "expon", "lognorm")),
+        fits=X.best_fit(li, ["l_quantity", "l_extendedprice"]),
         importance=M.tree_importance(li, ["l_quantity", "l_discount", "l_tax"], "l_returnflag"),
     )
 

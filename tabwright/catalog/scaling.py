@@ -341,4 +341,7 @@ def h24(spark, sf):
 
 @query("h25_text_vectors")
 def h25(spark, sf):
-    return E.text_vectors(table(spark, sf, "documents").select("doc_id", "text"), "text").drop("text")
+    """All three kinds, by kind: hashed counts, counts over a vocabulary, and TF-IDF."""
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    made = [E.text_vectors(d, "text", kind).select("doc_id", F.lit(kind).alias("kind"), "text_vec") for kind in ("hash", "count", "tfidf")]
+    return made[0].unionByName(made[1]).unionByName(made[2])

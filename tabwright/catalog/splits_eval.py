@@ -219,15 +219,22 @@ def o7(spark, sf):
     return m.select(F.round("mae", 3).alias("mae"), F.round(F.col("mse") / 1e6, 3).alias("mse"), F.round("rmse", 3).alias("rmse"), F.round("r2", 9).alias("r2"), F.round("mape", 9).alias("mape"))
 
 
+def _metric_rows(*names):
+    made = ", ".join(f"{{'metric': '{n}', 'model': {n}_model, 'baseline': {n}_base}}" for n in names)
+    return f"SELECT r.metric AS metric, round(r.model, 3) AS model, round(r.baseline, 3) AS baseline, round(r.model - r.baseline, 3) AS delta FROM (SELECT unnest([{made}]) AS r FROM w)"
+
+
 @query(
     "o8_improvement",
-    f"""WITH b AS (SELECT avg(price) AS m FROM {PRED}), v AS (SELECT avg(abs(price - est)) AS a, avg(abs(price - m)) AS c FROM {PRED}, b)
-    SELECT 'mae' AS metric, round(a, 3) AS model, round(c, 3) AS baseline, round(a - c, 3) AS delta FROM v""",
+    f"""WITH b AS (SELECT avg(price) AS m FROM {PRED}), v AS (SELECT avg(abs(price - est)) AS mae_model, avg(abs(price - m)) AS mae_base, avg(pow(price - est, 2)) AS mse_model, avg(pow(price - m, 2)) AS mse_base,
+    var_pop(price) AS v, avg(abs(price - est) / abs(price)) AS mape_model, avg(abs(price - m) / abs(price)) AS mape_base FROM {PRED}, b),
+    w AS (SELECT *, sqrt(mse_model) AS rmse_model, sqrt(mse_base) AS rmse_base, 1 - mse_model / v AS r2_model, 1 - mse_base / v AS r2_base FROM v)
+    {_metric_rows("mae", "mse", "rmse", "r2", "mape")}""",
 )
 def o8(spark, sf):
     d = scored(spark, sf)
     d = d.withColumn("base", d.agg(F.avg("price")).scalar())
-    return rounded(V.improvement(d, "price", "est", "base").filter("metric = 'mae'"), 3)
+    return rounded(rounded(V.improvement(d, "price", "est", "base"), 3).select("metric", *[(F.col(c) + 0.0).alias(c) for c in ("model", "baseline", "delta")]), 3)
 
 
 @query(
@@ -291,11 +298,16 @@ def o12g(spark, sf):
     return rounded(V.group_rates(scored(spark, sf), "grp", "y", "yhat"), 9)
 
 
-@query("o14_promotion_gate", f"SELECT avg((y = yhat)::INT) >= 0.9 AS promote FROM {PRED}")
+@query(
+    "o14_promotion_gate",
+    f"""WITH a AS (SELECT avg((y = yhat)::INT) AS acc FROM {PRED}), r AS (SELECT list_filter([CASE WHEN acc < 0.9 THEN 'train accuracy below limit' END, CASE WHEN acc < 0.9 THEN 'test accuracy below limit' END,
+    'check failed: fresh', CASE WHEN 1 - acc > 0.1 THEN 'train accuracy dropped' END, CASE WHEN 1 - acc > 0.05 THEN 'test accuracy dropped' END], lambda x: x IS NOT NULL) AS reasons FROM a)
+    SELECT len(reasons) = 0 AS promote, reasons FROM r""",
+)
 def o14(spark, sf):
     d = scored(spark, sf)
     acc = d.agg(F.avg((F.col("y") == F.col("yhat")).cast("double"))).first()[0]
-    return V.promotion_gate({"train": acc, "test": acc}, {"no_duplicates": True}, spark).select("promote")
+    return V.promotion_gate({"train": acc, "test": acc}, {"no_duplicates": True, "fresh": False}, spark, {"train": 1.0, "test": 1.0})
 
 
 @query("o16_align_schema", f"SELECT p AS p, price AS price, 7.5::DOUBLE AS absent FROM {PRED}")

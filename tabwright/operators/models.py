@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
+import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -123,6 +127,69 @@ def search(df: DataFrame, numeric: Sequence[str], target: str, family: str, grid
     return fit.bestModel, df.sparkSession.createDataFrame(rows, "family string, params string, score double")
 
 
+def draw_trials(spaces: Mapping[str, Mapping[str, tuple]], trials: int, seed: int = 42) -> list[tuple[str, dict]]:
+    """``(family, params)`` of each trial; a trial's draw depends on the seed and its number alone.
+
+    A parameter is ``("uniform", low, high)``, ``("log", low, high)`` (uniform in the logarithm), ``("int", low, high)``
+    with both ends, or ``("choice", values)``.
+    """
+    out = []
+    families = sorted(spaces)
+    for trial in range(trials):
+        rng = np.random.default_rng([seed, trial])
+        family = families[int(rng.integers(len(families)))]
+        params = {}
+        for name, (kind, *range_) in spaces[family].items():
+            if kind == "uniform":
+                params[name] = float(rng.uniform(*range_))
+            elif kind == "log":
+                params[name] = float(np.exp(rng.uniform(*np.log(range_))))
+            elif kind == "int":
+                params[name] = int(rng.integers(range_[0], range_[1] + 1))
+            elif kind == "choice":
+                params[name] = range_[0][int(rng.integers(len(range_[0])))]
+            else:
+                raise ValueError(f"unknown kind of parameter {kind}")
+        out.append((family, params))
+    return out
+
+
+def random_search(
+    train_df: DataFrame, valid: DataFrame, numeric: Sequence[str], target: str, spaces: Mapping[str, Mapping[str, tuple]], trials: int = 20,
+    store: str | None = None, task: str = "class", parallelism: int = 4, seed: int = 42,
+) -> tuple[PipelineModel, DataFrame]:
+    """Random search over families and their parameters: the model refitted on train and validation rows, and the trials.
+
+    Every trial is fitted on ``train_df`` and judged on ``valid`` (accuracy or R2); ``parallelism`` trials run at a time as
+    Spark jobs. Preparation is fitted on the training rows alone for the trials, and on both parts for the refit. The trial table ``(trial, family, params,
+    score, chosen)`` is written to ``store`` if given; of equal scores the first trial wins.
+    """
+    label = lambda d: doubles(d, numeric) if task == "class" else doubles(d, numeric).withColumn("label", F.col(target).cast("double"))
+    judge = MulticlassClassificationEvaluator(metricName="accuracy") if task == "class" else RegressionEvaluator(metricName="r2")
+    steps = Pipeline(stages=stages(numeric, (), target if task == "class" else None)).fit(label(train_df))
+    ready, held = (cut_lineage(steps.transform(label(d)).select("features", "label")) for d in (train_df, valid))
+    drawn = draw_trials(spaces, trials, seed)
+
+    def made(family: str, params: dict):
+        model = estimator(family, task, len(numeric))
+        return model.copy({model.getParam(n): v for n, v in params.items()})
+
+    def judged(trial: tuple[str, dict]) -> float:
+        return float(judge.evaluate(made(*trial).fit(ready).transform(held)))
+
+    with ThreadPool(parallelism) as pool:
+        scores = pool.map(inheritable_thread_target(train_df.sparkSession)(judged), drawn)
+    best = max(range(trials), key=lambda i: (scores[i], -i))
+    rows = [(i, family, json.dumps(params, sort_keys=True), s, i == best) for i, ((family, params), s) in enumerate(zip(drawn, scores, strict=True))]
+    table = train_df.sparkSession.createDataFrame(rows, "trial int, family string, params string, score double, chosen boolean")
+    if store is not None:
+        table.write.parquet(store)
+        table = train_df.sparkSession.read.parquet(store)
+    both = train_df.unionByName(valid)
+    final = Pipeline(stages=[*stages(numeric, (), target if task == "class" else None), made(*drawn[best])]).fit(label(both))
+    return final, table
+
+
 def coefficient_ranking(model, names: Sequence[str], spark) -> DataFrame:
     """Non-zero coefficients of a linear model by absolute value."""
     rows = [(n, float(c)) for n, c in zip(names, model.coefficients.toArray()) if c != 0.0]
@@ -176,7 +243,10 @@ def permutation_importance(df: DataFrame, cols: Sequence[str], target: str, key:
 
 
 def stack(df: DataFrame, cols: Sequence[str], target: str, key: str, families: Sequence[str] = ("logistic", "random_forest"), folds: int = 3, seed: int = 42) -> DataFrame:
-    """``(key, label, prediction, score)`` of a logistic meta model on out-of-fold base scores plus the features."""
+    """``(key, label, prediction, score)`` of a logistic meta model on out-of-fold base scores plus the features.
+
+    The meta model too is fitted once a fold, on the other folds, so no row is scored by a model that saw its label.
+    """
     data = vectors(df, cols, target, keep=[key]).withColumn("fold", F.floor(hash_unit(key, seed=seed) * folds).cast("int"))
     data = cut_lineage(data)
     meta = data
@@ -189,7 +259,10 @@ def stack(df: DataFrame, cols: Sequence[str], target: str, key: str, families: S
         meta = meta.join(parts, key)
     wide = VectorAssembler(inputCols=["features", *[f"__p_{f}" for f in families]], outputCol="__meta").transform(meta)
     wide = cut_lineage(wide)
-    final = LogisticRegression(featuresCol="__meta").fit(wide).transform(wide)
+    final = None
+    for k in range(folds):
+        out = LogisticRegression(featuresCol="__meta").fit(wide.filter(F.col("fold") != k)).transform(wide.filter(F.col("fold") == k))
+        final = out if final is None else final.unionByName(out)
     return final.select(key, "label", "prediction", F.get(vector_to_array("probability"), F.lit(1)).alias("score"))
 
 

@@ -6,13 +6,14 @@ p x p matrix that Spark aggregates, then one dot product per row and component.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.recommendation import ALS
 from pyspark.mllib.linalg.distributed import RowMatrix
@@ -21,8 +22,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.columns import as_numbers
+from ..functions.columns import as_numbers, hash_unit
 from ..functions.ordering import number_array
+from ..session import cut_lineage
+from . import models
 from .profile import raw_moments
 
 # Variance target, gates and vote weights.
@@ -203,6 +206,26 @@ def reconstruction_error(df: DataFrame, proj: Projection) -> float:
     return float(np.trace(r.T @ c @ r) / len(proj.cols))
 
 
+def cv_score(df: DataFrame, fit: Callable[[DataFrame], Projection], target: str, key: str, folds: int = 3, family: str = "logistic", task: str = "class", seed: int = 42) -> float:
+    """Mean held-out score of a model on the projection; reducer and model are fitted anew on the other folds of each fold.
+
+    The folds are drawn from the row key, so all techniques meet the same rows.
+    """
+    cut = cut_lineage(df.withColumn("__fold", F.floor(hash_unit(key, seed=seed) * folds).cast("int")))
+    judge = MulticlassClassificationEvaluator(metricName="accuracy") if task == "class" else RegressionEvaluator(metricName="r2")
+    total = 0.0
+    for k in range(folds):
+        known, held = cut.filter(F.col("__fold") != k).drop("__fold"), cut.filter(F.col("__fold") == k).drop("__fold")
+        proj = fit(known)
+        reduced = [proj.transform(d.withColumn("__y", F.col(target)), ["__y"]) for d in (known, held)]
+        names = [c for c in reduced[0].columns if c != "__y"]
+        steps = models.stages(names, (), "__y" if task == "class" else None)
+        ready = [d if task == "class" else d.withColumn("label", F.col("__y").cast("double")) for d in reduced]
+        fitted = Pipeline(stages=[*steps, models.estimator(family, task)]).fit(ready[0])
+        total += float(judge.evaluate(fitted.transform(ready[1])))
+    return total / folds
+
+
 def borda(scores: DataFrame) -> DataFrame:
     """``(technique, points)`` from ``(technique, metric, value)``: best value gets most points.
 
