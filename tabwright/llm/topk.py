@@ -8,18 +8,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import saved
+from .negatives import LEAST, MOST, Best, scaled, stacked
 
-LIMIT = 1 << 27
-
-
-def scaled(vector: Column, factor: int) -> Column:
-    """floor(factor * x) of each component as double; null for a null vector or one with a null or non-finite component."""
-    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return F.when(vector.isNotNull() & ~bad, F.transform(vector, lambda x: F.floor(factor * x.cast("double")).cast("long")))
+#: Squared lengths up to which products are exact as 64-bit integers, and up to which as doubles.
+LONG, EXACT = float(1 << 62), float(1 << 52)
+#: Trees whose centres go to every task at a time.
+CENTRES = 4096
 
 
 def raised(vectors: np.ndarray, top: float) -> np.ndarray:
@@ -31,6 +29,11 @@ def apart(points: np.ndarray, centre: np.ndarray) -> np.ndarray:
     return np.sqrt(((points - centre) ** 2).sum(axis=1))
 
 
+def most(distance, length, top: float):
+    """The largest inner product that a distance to a raised point allows a query of the squared length ``length``, and a little more for rounding."""
+    return (length + top - np.maximum(distance, 0) ** 2) / 2 + 1e-7 * (length + top) + 1e-6
+
+
 class Node:
     """A page of an M-tree: ``rows`` of a leaf or ``children``; for each entry the distance to the page's centre."""
 
@@ -86,19 +89,14 @@ def search(node: Node, whole: np.ndarray, ids: np.ndarray, query: np.ndarray, ow
     best: list[tuple[int, int]] = []
     q = np.append(query.astype(float), 0.0)
     length = float((q**2).sum())
-    slack = 1e-7 * (length + top) + 1e-6
-
-    def most(distance):
-        return (length + top - np.maximum(distance, 0) ** 2) / 2 + slack
-
     d = float(np.sqrt(((q - node.centre) ** 2).sum()))
-    heap, tick = [(-most(d - node.radius), 0, d, node)], 0
+    heap, tick = [(-most(d - node.radius, length, top), 0, d, node)], 0
     while heap:
         bound, _, d, page = heapq.heappop(heap)
         need = best[0][0] if len(best) == k else floor
         if -bound < need:
             break
-        worth = most(np.abs(d - page.to_centre) - (0.0 if page.rows is not None else page.radii)) >= need
+        worth = most(np.abs(d - page.to_centre) - (0.0 if page.rows is not None else page.radii), length, top) >= need
         if page.rows is not None:
             if not worth.any():
                 continue
@@ -120,7 +118,7 @@ def search(node: Node, whole: np.ndarray, ids: np.ndarray, query: np.ndarray, ow
                     heapq.heapreplace(best, (s, -i))
         else:
             away = apart(page.centres[worth], q)
-            bounds = most(away - page.radii[worth])
+            bounds = most(away - page.radii[worth], length, top)
             for j, b, dc in zip(np.flatnonzero(worth).tolist(), bounds.tolist(), away.tolist(), strict=True):
                 if b >= need:
                     tick += 1
@@ -128,61 +126,137 @@ def search(node: Node, whole: np.ndarray, ids: np.ndarray, query: np.ndarray, ow
     return [(s, -i) for s, i in best]
 
 
-def nearest(table: DataFrame, every: int = 20, k: int = 20, factor: int = 64, tree_rows: int = 8192, page: int = 512, block: int = 1024, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """Rows (query_id, rank, id, score): for each row whose id is divisible by ``every`` its ``k`` largest integer inner products with all other rows.
+def long_pairs(rows: DataFrame, every: int, k: int, block: int) -> list[DataFrame]:
+    """Tables (row, query_id, id, score): each task's best among the pairs with a vector too long for 64-bit products, by whole numbers of any size.
+
+    Queries go to the tasks in blocks of ``block``; scores beyond 64 bits are held at their limits.
+    """
+    asked = rows.filter(F.col("id") % every == 0)
+    blocks, parts = max(1, -(-asked.count() // block)), []
+    for number in range(blocks):
+        mine = asked.filter(F.pmod(F.xxhash64("row"), F.lit(blocks)) == number).collect()
+        shared = rows.sparkSession.sparkContext.broadcast([(r.row, r.id, r.plain, [int(x) for x in r.v]) for r in mine])
+
+        def meet(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            best = [Best(k) for _ in shared.value]
+            for b in batches:
+                vectors, ids, plain = [[int(x) for x in v] for v in b["v"]], b["id"].to_numpy(np.int64), b["plain"].to_numpy(bool)
+                for (_, own, short, q), found in zip(shared.value, best, strict=True):
+                    some = np.flatnonzero((ids != own) & ~(plain & short))
+                    scores = [min(max(sum(x * y for x, y in zip(q, vectors[i], strict=False)), LEAST), MOST) for i in some]
+                    found.add(np.array(scores, np.int64), ids[some])
+            out = [(row, own, i, s) for (row, own, _, _), found in zip(shared.value, best, strict=True) for i, s in zip(found.ids.tolist(), found.scores.tolist(), strict=True)]
+            yield pd.DataFrame(out, columns=["row", "query_id", "id", "score"])
+
+        parts.append(saved(rows.select("id", "v", "plain").mapInPandas(meet, "row long, query_id long, id long, score long"), "long-pairs"))
+        shared.unpersist()
+    return parts
+
+
+def nearest(
+    table: DataFrame, every: int = 20, k: int = 20, factor: int = 64, tree_rows: int = 8192, page: int = 512, block: int = 1024, pivots: int = 256,
+    id_col: str = "vec_id", vector_col: str = "embedding",
+) -> DataFrame:
+    """Rows (query_id, rank, id, score): for each row whose id is divisible by ``every`` its ``k`` largest integer inner products with the rows of other ids.
+
+    All vectors are indexed: each goes to the nearest of at most ``pivots`` rows (chosen by a hash), and a pivot's cell becomes one M-tree, or several if it has more than ``tree_rows``
+    rows, so copies that fill a cell are many trees too. A tree is stored in the shared folder with its pages' covering radii and their entries' distances to their centres. A query first
+    searches the tree of its own row; its k-th score there is the bar for all others, and it goes on only to those trees whose covering radius can reach the bar. In a tree,
+    queries come in groups of about ``block`` and are answered by best-first search.
 
-    All vectors, hashed evenly into trees of about ``tree_rows`` with pages of ``page``, are indexed: one M-tree a task, stored in the shared folder as rows of
-    pages with covering radii and distances to their parents. Queries, in blocks of ``block``, meet every tree; a tree answers each by best-first search with its own top ``k``,
-    and the answers of all trees are ranked by query. Ties go to the smaller id. Null vectors and those with null or non-finite components take no part, nor do null ids; repeated
-    rows (id and vector) count once; rows that share a query's id are its own; shorter vectors are filled with zeros. Components over 2^27 after scaling are refused.
+    Ties go to the smaller id. Null vectors and those with null or non-finite components take no part, nor do null ids; repeated rows count each, as candidates and as queries;
+    rows that share a query's id are its own; shorter vectors are filled with zeros. Vectors longer than 2^31 after scaling are no part of the trees: their products are taken one by one in whole
+    numbers, and those beyond 64 bits are held at their limits. Extra columns are not looked at; an empty table gives no rows.
     """
-    whole = table.select(F.col(id_col).cast("long").alias("id"), scaled(F.col(vector_col), factor).alias("v")).filter("id is not null and v is not null").distinct()
-    whole = saved(whole, "vectors")
-    facts = whole.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("dims"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x)).alias("top"), F.max(F.aggregate("v", F.lit(0).cast("long"), lambda a, x: F.greatest(a, F.abs(x)))).alias("most")).first()
-    kind = dict(table.dtypes)[id_col]
-    if (facts.most or 0) > LIMIT:
-        raise ValueError("components are too large for integer products")
-    trees = max(1, -(-facts.n // tree_rows))
-    dims, top = int(facts.dims or 0), float(facts.top or 0.0)
-    exact = np.float64 if top < 1 << 53 else np.int64  # products of whole numbers are exact in doubles up to 2^53
-
-    def stacked(vectors: pd.Series) -> np.ndarray:
-        out = np.zeros((len(vectors), dims), np.int64)
-        for i, v in enumerate(vectors):
-            out[i, : len(v)] = v
-        return out
+    spark, kind = table.sparkSession, dict(table.dtypes)[id_col]
+    known = table.select(F.col(id_col).cast("long").alias("id"), scaled(F.col(vector_col), factor).alias("v")).dropna()
+    known = known.withColumn("plain", F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x) <= LONG)
+    facts = known.agg(F.count_if("plain").alias("n"), F.count_if(~F.col("plain")).alias("others"), F.max(F.size("v")).alias("dims")).first()
+    dims, cells = int(facts.dims or 0), max(1, min(pivots, -(-facts.n // tree_rows)))
+    if cells > 1:
+        chosen = known.filter("plain").select("v", F.xxhash64("id", "v").alias("h"), "id").orderBy("h", "id").limit(cells).collect()
+        shared = spark.sparkContext.broadcast(stacked([r.v for r in chosen], dims))
+
+        def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                away = np.full(len(b), np.inf)
+                cell, points = np.zeros(len(b), np.int64), stacked(b["v"].tolist(), dims)
+                for j, pivot in enumerate(shared.value):
+                    d = ((points - pivot) ** 2).sum(axis=1)
+                    cell[d < away] = j
+                    away = np.minimum(d, away)
+                yield b.assign(cell=cell)
+
+        dealt = known.mapInPandas(deal, "id long, v array<double>, plain boolean, cell long")
+    else:
+        dealt = known.withColumn("cell", F.lit(0).cast("long"))
+    rows = saved(dealt.withColumn("row", F.monotonically_increasing_id()), "vectors")
+
+    sizes = {r.cell: r.n for r in rows.filter("plain").groupBy("cell").agg(F.count("*").alias("n")).collect()}
+    parts = [max(1, -(-sizes.get(c, 0) // tree_rows)) for c in range(cells)]
+    first = [sum(parts[:c]) for c in range(cells)]
+
+    def of_cell(numbers: list[int]):
+        return F.get(F.array(*[F.lit(x).cast("long") for x in numbers]), F.col("cell").cast("int"))
+
+    placed = rows.filter("plain").select("row", "id", "v", (of_cell(first) + F.pmod(F.xxhash64("row"), of_cell(parts))).alias("tree"))
 
     def grow(group: pd.DataFrame) -> pd.DataFrame:
-        ids, vectors = group["id"].to_numpy(), stacked(group["v"])
-        points = raised(vectors.astype(float), top)
-        root = build(points, np.arange(len(ids)), page)
+        ids, vectors = group["id"].to_numpy(), stacked(group["v"].tolist(), dims)
+        top = float((vectors**2).sum(axis=1).max())
+        root = build(raised(vectors, top), np.arange(len(ids)), page)
         order = packed(root)
         tree = pickle.dumps((root, vectors[order], ids[order]), protocol=5)
-        return pd.DataFrame({"tree": [group["tree"].iloc[0]], "pages": [tree]})
-
-    dealt = whole.withColumn("tree", F.pmod(F.xxhash64("id", "v"), F.lit(trees)).cast("int"))
-    index = saved(dealt.groupBy("tree").applyInPandas(grow, "tree int, pages binary"), "m-trees")
-    asked = whole.filter(F.col("id") % every == 0)
-    blocks = max(1, -(-asked.count() // block))
-    asked = asked.select(F.pmod(F.xxhash64("id", "v", F.lit("q")), F.lit(blocks)).cast("int").alias("block"), F.struct("id", "v").alias("q"))
-    asked = asked.groupBy("block").agg(F.collect_list("q").alias("qs"))  # about ``block`` queries each
-    asked = asked.select("block", "qs", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-
-    def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for qs, pages in zip(b["qs"], b["pages"], strict=True):
-                tree, vectors, ids = pickle.loads(bytes(pages))
-                vectors = vectors.astype(exact)
-                rows = []
-                for q in qs:
-                    query = stacked(pd.Series([q["v"]]))[0].astype(exact)
-                    rows += [(q["id"], i, int(s)) for s, i in search(tree, vectors, ids, query, q["id"], top, k, -(1 << 62))]
-                if rows:
-                    yield pd.DataFrame(rows, columns=["query_id", "id", "score"])
-
-    # One row a (block, tree): few rows with long cells, so each is its own task.
-    met = asked.join(index, "tree").repartition(blocks * trees, "block", "tree").select("qs", "pages")
-    found = met.mapInPandas(answer, "query_id long, id long, score long").distinct()
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id"))
-    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+        return pd.DataFrame({"tree": group["tree"].iloc[:1], "pages": [tree], "centre": [root.centre], "radius": [root.radius], "top": [top]})
+
+    index = saved(placed.groupBy("tree").applyInPandas(grow, "tree long, pages binary, centre array<double>, radius double, top double"), "m-trees")
+    tops = index.select("tree", "pages", "top")
+
+    def answer(asking: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        if len(asking) and len(held):
+            top = float(held["top"].iloc[0])
+            tree, vectors, ids = pickle.loads(bytes(held["pages"].iloc[0]))
+            queries = stacked(asking["v"].tolist(), dims)
+            if max(top, float((queries**2).sum(axis=1).max())) > EXACT:
+                vectors, queries = vectors.astype(np.int64), queries.astype(np.int64)
+            for row, own, floor, q in zip(asking["row"], asking["id"], asking["floor"], queries, strict=True):
+                found += [(row, own, i, int(s)) for s, i in search(tree, vectors, ids, q, own, top, k, floor)]
+        return pd.DataFrame(found, columns=["row", "query_id", "id", "score"])
+
+    def met(asking: DataFrame) -> DataFrame:
+        """Answers of the trees of ``asking`` (tree, row, id, v, floor), a saved table; a tree that many ask is read once for each ``block`` of them."""
+        groups = asking.groupBy("tree").agg(F.ceil(F.count("*") / block).alias("groups"))
+        queries = asking.join(groups, "tree").withColumn("group", F.pmod(F.xxhash64("row", F.lit("q")), F.col("groups"))).drop("groups")
+        pages = tops.join(groups, "tree").select("tree", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("group"), "pages", "top")
+        return queries.groupBy("tree", "group").cogroup(pages.groupBy("tree", "group")).applyInPandas(answer, "row long, query_id long, id long, score long")
+
+    asked = placed.filter(F.col("id") % every == 0)
+    near = saved(met(saved(asked.withColumn("floor", F.lit(LEAST)), "queries")), "nearest")
+    bars = near.groupBy("row").agg(F.when(F.count("*") >= k, F.min("score")).alias("floor"))
+    barred = saved(asked.withColumnRenamed("tree", "home").join(bars, "row", "left").withColumn("floor", F.coalesce("floor", F.lit(LEAST))), "queries")
+    found = [near]
+    for start in range(0, sum(parts), CENTRES) if sum(parts) > 1 else ():
+        some = index.filter(F.col("tree").between(start, start + CENTRES - 1)).select("tree", "centre", "radius", "top").collect()
+        centres = spark.sparkContext.broadcast([(r.tree, np.array(r.centre), r.radius, r.top) for r in some])
+
+        def reach(batches: Iterator[pd.DataFrame], centres=centres) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                queries = np.column_stack([stacked(b["v"].tolist(), dims), np.zeros(len(b))])
+                length, home, floor = (queries**2).sum(axis=1), b["home"].to_numpy(), b["floor"].to_numpy(float)
+                for tree, centre, radius, top in centres.value:
+                    worth = (home != tree) & (most(apart(queries, centre) - radius, length, top) >= floor - 1e-7 * np.abs(floor))
+                    if worth.any():
+                        yield b.loc[worth, ["row", "id", "v", "floor"]].assign(tree=tree)
+
+        asking = saved(barred.mapInPandas(reach, "row long, id long, v array<double>, floor long, tree long"), "queries")
+        found.append(saved(met(asking), "further"))
+        centres.unpersist()
+    if facts.others:
+        found += long_pairs(rows, every, k, block)
+    every_one = found[0]
+    for f in found[1:]:
+        every_one = every_one.unionByName(f)
+    order = Window.partitionBy("row").orderBy(F.desc("score"), F.asc("id"))
+    ranked = every_one.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.col("id").cast(kind).alias(id_col), "score")
