@@ -1,6 +1,8 @@
 import math
 import random
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tabwright.llm import mixing
@@ -73,6 +75,66 @@ def test_mixed_thins_out_what_is_in_surplus(spark, docs_of):
     assert len(clean - kept) <= 0.02 * len(clean) and len(kept - clean) < 0.2 * (len(rows) - len(clean))
 
 
+def blended(n, seed):
+    """Texts of 5 to 4,000 words of one shared vocabulary; toxic ones have some rude words among them, junk has marks."""
+    rng = random.Random(seed)
+    common, rude = [f"w{i}x{i % 97}" for i in range(3000)], [f"rude{c}" for c in "abcdefgh"]
+    rows, labels = [], []
+    for i in range(n):
+        d = rng.choices(["clean", "toxic", "junk"], [0.76, 0.11, 0.13])[0]
+        words = [rng.choice(common) for _ in range(int(5 * 800 ** rng.random()))]
+        if d == "toxic":
+            words = [rng.choice(rude) if rng.random() < 0.03 else w for w in words] + [rng.choice(rude)]
+        rows.append((i, " ".join(w + ("***" if d == "junk" else "") for w in words)))
+        if rng.random() < 0.5:
+            labels.append((i, int(d != "junk"), int(d == "toxic")))
+    return rows, labels, {i: (d_, len(t.split())) for (i, t), d_ in zip(rows, ["junk" if "***" in t else "toxic" if "rude" in t else "clean" for _, t in rows], strict=True)}
+
+
+def test_clean_documents_stay_at_any_length_and_size(spark, docs_of):
+    for n in (500, 4000):
+        rows, labels, kinds = blended(n, n)
+        kept = {r.doc_id for r in mixing.mixed(docs_of(rows), mixing.label_domains(spark.createDataFrame(labels, LABELS)), {"clean": 0.94, "junk": 0.02, "toxic": 0.04}).collect()}
+        for low, high in ((0, 100), (100, 1000), (1000, 5000)):
+            clean = {i for i, (d, size) in kinds.items() if d == "clean" and low <= size < high}
+            assert len(clean & kept) >= 0.95 * len(clean)
+        assert sum(kinds[i][0] == "junk" for i in kept) <= 0.5 * sum(d == "junk" for d, _ in kinds.values())
+
+
+def test_rates_against_an_independent_solver(spark):
+    """With rates between 0 and 1 the totals come as near to unreachable targets as a long plain projected gradient in numpy brings them."""
+    rng = np.random.default_rng(6)
+    n, p = rng.integers(1, 500, 300).astype(float), rng.dirichlet([0.3, 0.3, 0.3], 300)
+    targets = np.array([0.5, 0.01, 0.01]) * n.sum()
+    df = spark.createDataFrame([(i, int(a), b.tolist()) for i, (a, b) in enumerate(zip(n, p, strict=True))], "id long, n_tokens long, p array<double>")
+    with pytest.warns(UserWarning, match="miss their targets"):
+        steps = mixing.fit_rates(df, targets.tolist(), most=1.0, rounds=200)
+    got = np.array([r.r for r in df.select("id", mixing.rate_of(F.col("p"), steps, 1.0).alias("r")).orderBy("id").collect()])
+    assert got.min() >= 0 and got.max() <= 1
+    gram = (n[:, None, None] * p[:, :, None] * p[:, None, :]).sum(axis=0)
+    rate = np.ones(300)
+    for _ in range(20_000):
+        rate = np.clip(rate - p @ ((rate * n) @ p - targets) / np.trace(gram), 0, 1)
+    best = np.square((rate * n) @ p - targets).sum()
+    assert np.square((got * n) @ p - targets).sum() <= 1.05 * best + 1e-9
+
+
+def test_posteriors_against_plain_python(spark, docs_of):
+    """Levels of evidence and shares of a fitted model, followed in plain Python."""
+    rows, labels, _ = blended(600, 2)
+    docs = docs_of(rows)
+    model = mixing.fit_model(docs, mixing.label_domains(spark.createDataFrame(labels, LABELS)), ["clean", "junk", "toxic"])
+    got = docs.select("doc_id", mixing.signs(F.col("text"), mixing.words(F.col("text"))).alias("s"), mixing.membership(F.col("text"), model).alias("m")).collect()
+    assert any(w for table in model.weights for w in table)
+    for r in got:
+        known = [h for h in r.s if model.signs[h % mixing.BUCKETS] == h]
+        evidence = [sum(round(t[h % mixing.BUCKETS], 4) for h in known) for t in model.weights]
+        order = sorted(evidence, reverse=True)
+        ahead = order[0] - max(order[1], 0.0)
+        level = 0 if ahead <= 0 else 1 + evidence.index(order[0]) * 4 + sum(ahead > x for x in mixing.LEVELS)
+        assert [round(x, 12) for x in r.m.p] == [round(x, 12) for x in model.shares[level]]
+
+
 def test_corner_cases(spark, docs_of):
     rows, labels = corpus(100)
     rows += [(900, None), (901, ""), (902, "..."), (None, "calm1a calm2b"), (3, rows[3][1]), (903, "calm3c " * 20_000)]
@@ -85,6 +147,9 @@ def test_corner_cases(spark, docs_of):
     nothing = mixing.label_domains(table).limit(0)
     assert len(mixing.rates(df, nothing, {"clean": 0.5, "toxic": 0.5}).collect()) == len(rows)
     assert mixing.rates(df.limit(0), nothing, {"clean": 0.5, "toxic": 0.5}).collect() == []
+    assert mixing.mixed(df, nothing, {"clean": 0.5, "toxic": 0.5}).count() == len(rows)
+    clash = docs_of(rows, ", membership string, __id string, __text string")
+    assert mixing.mixed(clash, mixing.label_domains(table), {"clean": 0.8, "junk": 0.1, "toxic": 0.1}).columns == clash.columns
     assert mixing.mixed(df.limit(0), nothing, {"clean": 0.5, "toxic": 0.5}).collect() == []
 
 
