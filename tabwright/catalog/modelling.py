@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import hash_unit, rounded
@@ -40,6 +41,41 @@ def d18f(spark, sf):
     return X.fit_families(table(spark, sf, "orders"), ["o_totalprice"])
 
 
+STUDENTS = ", ".join(f"({nu})" for nu in (1.0, *X.T_DEGREES))
+
+
+@query(
+    "d18_family_order",
+    f"""WITH RECURSIVE e AS (SELECT CAST(o_totalprice AS DOUBLE) AS x FROM orders WHERE o_totalprice IS NOT NULL),
+    s AS (SELECT count(*) AS n, avg(x) AS m, var_pop(x) AS v, min(x) AS lo, max(x) AS hi, avg(x * x) AS xx, avg(ln(x)) AS ml, var_pop(ln(x)) AS vl, median(x) AS med,
+                 quantile_cont(x, 0.75) - quantile_cont(x, 0.25) AS iqr FROM e),
+    weibull(i, k) AS (SELECT 0, 1.0::DOUBLE UNION ALL
+        SELECT i + 1, k + greatest(least((1 / k - a1 / a0 + lm) / (1 / (k * k) + a2 / a0 - (a1 / a0) ** 2), k), -k / 2)
+        FROM (SELECT i, k, any_value(ml - ln(hi)) AS lm, avg((x / hi) ** k) AS a0, avg((x / hi) ** k * ln(x / hi)) AS a1, avg((x / hi) ** k * ln(x / hi) ** 2) AS a2
+              FROM weibull, e, s WHERE i < 30 GROUP BY i, k)),
+    student(i, nu, mu, s2) AS (SELECT 0, nu::DOUBLE, med, (iqr / 2) ** 2 FROM s, (VALUES {STUDENTS}) t(nu) UNION ALL
+        SELECT i + 1, nu, wx / w, (wxx - 2 * (wx / w) * wx + (wx / w) ** 2 * w) / n
+        FROM (SELECT i, nu, count(*) AS n, sum(f) AS w, sum(f * z) AS wx, sum(f * z * z) AS wxx
+              FROM (SELECT i, nu, x AS z, (nu + 1) / (nu + (x - mu) ** 2 / s2) AS f FROM student, e WHERE i < 150) GROUP BY i, nu)),
+    tails AS (SELECT nu, any_value(n) * (lgamma((nu + 1) / 2) - lgamma(nu / 2) - 0.5 * ln(nu * pi() * any_value(s2))) - (nu + 1) / 2 * sum(ln(1 + (x - mu) ** 2 / (nu * s2))) AS ll
+              FROM student, e, s WHERE i = 150 GROUP BY nu),
+    scored(family, k, ll) AS (
+        SELECT 'norm', 2, -n / 2 * (ln(2 * pi() * v) + 1) FROM s UNION ALL
+        SELECT 'lognorm', 3, -n * ml - n / 2 * (ln(2 * pi() * vl) + 1) FROM s UNION ALL
+        SELECT 'expon', 2, -n * ln(m - lo) - n FROM s UNION ALL
+        SELECT 'pareto', 3, n * -ln(ml - ln(lo)) + n * ln(lo) / (ml - ln(lo)) - (1 / (ml - ln(lo)) + 1) * n * ml FROM s UNION ALL
+        SELECT 'rayleigh', 2, n * ml - n * ln(xx / 2) - n FROM s UNION ALL
+        SELECT 'weibull_min', 3, any_value(n) * (ln(k) - ln(avg((x / hi) ** k)) - k * ln(any_value(hi)) + (k - 1) * any_value(ml) - 1) FROM weibull, e, s WHERE i = 30 GROUP BY k UNION ALL
+        SELECT 'cauchy', 2, ll FROM tails WHERE nu = 1 UNION ALL
+        SELECT 't', 3, max(ll) FROM tails WHERE nu > 1)
+    SELECT 'o_totalprice' AS feature, family, round(2 * k - 2 * ll, 2) AS aic, CAST(row_number() OVER (ORDER BY 2 * k - 2 * ll) AS INTEGER) AS place FROM scored""",
+)
+def d18o(spark, sf):
+    fits = X.fit_families(table(spark, sf, "orders"), ["o_totalprice"], [f for f in X.FAMILIES if f not in ("gamma", *X.UNIT)])
+    place = F.row_number().over(Window.partitionBy("feature").orderBy("aic"))
+    return fits.select("feature", "family", F.round("aic", 2).alias("aic"), place.alias("place"))
+
+
 @query(
     "d19_anderson_darling",
     """WITH e AS (SELECT value AS v FROM events), m AS (SELECT avg(v) AS m, count(*) AS n FROM e),

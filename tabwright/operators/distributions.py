@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ordering, special
-from ..functions.columns import as_numbers, observed
+from ..functions.columns import as_numbers, melt, observed
 from ..session import cut_lineage
 from .profile import cross_products
 
@@ -88,19 +89,146 @@ def _newton_beta(m: float, v: float, ml: float, mr: float) -> tuple[float, float
     return a, b
 
 
-def _fit_column(df: DataFrame, families: Sequence[str]) -> list[tuple[str, list[float], float]]:
-    """(family, parameters, log likelihood) of column ``x``, from a handful of aggregates."""
-    x = F.col("x")
+# Points of the sketch from which the iterated families start; their estimates come from all rows.
+START_POINTS = 1000
+MODES = 20
+MAX_ROUNDS = 40
+SMALLEST_VARIANCE = 1e-12
+
+
+@dataclass
+class _Student:
+    """Location and squared scale of a t family of ``nu`` degrees on the way to its greatest likelihood."""
+
+    nu: float
+    mu: float
+    s2: float
+    loglik: float = -math.inf
+    safe: tuple[float, float] | None = None
+    before: tuple[float, float] | None = None
+    done: bool = False
+
+    def constant(self) -> float:
+        return math.lgamma((self.nu + 1) / 2) - math.lgamma(self.nu / 2) - 0.5 * math.log(self.nu * math.pi * self.s2)
+
+    def step(self, n: float, s: Sequence[float]) -> None:
+        """A Newton step in (mu, ln s2), or the weighted means where the curvature or the likelihood speaks against it.
+
+        ``s``: sums of ln(1 + u), q, r q, u q, u q^2 and r q^2, with r the gap to mu, u = r^2 / (nu s2), q = 1 / (1 + u).
+        """
+        tail, q, rq, uq, uqq, rqq = s
+        loglik = n * self.constant() - (self.nu + 1) / 2 * tail
+        if self.before and self.safe and loglik < self.loglik - 1e-10 * n:
+            (self.mu, self.s2), self.before = self.safe, None
+            return
+        a = (self.nu + 1) / (self.nu * self.s2)
+        g = np.array([a * rq, -n / 2 + (self.nu + 1) / 2 * uq])
+        h = np.array([[a * (2 * uqq - q), -a * rqq], [-a * rqq, -(self.nu + 1) / 2 * uqq]])
+        self.loglik, self.safe = loglik, (self.mu + rq / q, max((self.nu + 1) * self.s2 * uq / n, SMALLEST_VARIANCE))
+        if h[0, 0] < 0 and np.linalg.det(h) > 0:
+            move = -np.linalg.solve(h, g)
+            gain = float(g @ move) / 2
+            self.before = (self.mu, self.s2)
+            self.mu, self.s2 = self.mu + float(move[0]), max(self.s2 * math.exp(min(max(float(move[1]), -2.0), 2.0)), SMALLEST_VARIANCE)
+            self.done = gain <= 1e-10 * n
+            self.loglik += gain if self.done else 0.0
+        else:
+            self.before = None
+            self.mu, self.s2 = self.safe
+        self.done = self.done or self.s2 <= SMALLEST_VARIANCE
+
+
+@dataclass
+class _Weibull:
+    """Shape, scale in units of the largest value, and likelihood, on the way to its maximum."""
+
+    k: float
+    scale: float = 1.0
+    loglik: float = -math.inf
+    done: bool = False
+
+    def step(self, n: float, hi: float, ml: float, s: Sequence[float]) -> None:
+        """A Newton step of the profile likelihood, which is concave; ``s``: means of y^k, y^k ln y and y^k ln^2 y, with y = x / hi."""
+        a1, a2 = s[1] / s[0], s[2] / s[0]
+        spread = max(a2 - a1 * a1, 0.0)
+        slope, bend = 1 / self.k - a1 + ml - math.log(hi), 1 / self.k**2 + spread
+        move = min(max(slope / bend, -0.75 * self.k), 3 * self.k)
+        gain = slope * move - bend * move * move / 2
+        self.loglik = n * (math.log(self.k) - math.log(s[0]) - self.k * math.log(hi) + (self.k - 1) * ml - 1 + gain)
+        log_mean = math.log(s[0]) + a1 * move + spread * move * move / 2
+        self.k += move
+        self.scale, self.done = math.exp(log_mean / self.k), abs(gain) <= 1e-12
+
+
+def _start_student(x: np.ndarray, nu: float) -> _Student:
+    low, mu, high = np.quantile(x, [0.25, 0.5, 0.75])
+    s2 = max(((high - low) / 2) ** 2, SMALLEST_VARIANCE)
+    for _ in range(100):
+        w = (nu + 1) / (nu + (x - mu) ** 2 / s2)
+        mu = float((w * x).sum() / w.sum())
+        s2 = max(float((w * (x - mu) ** 2).mean()), SMALLEST_VARIANCE)
+    return _Student(nu, float(mu), s2)
+
+
+def _start_weibull(x: np.ndarray) -> _Weibull:
+    hi, logs = float(x.max()), np.log(x)
+    out = _Weibull(math.pi / math.sqrt(6) / max(float(logs.std()), 1e-9))
+    for _ in range(100):
+        y = np.exp(out.k * (logs - math.log(hi)))
+        out.step(len(x), hi, float(logs.mean()), [float((y * (logs - math.log(hi)) ** j).mean()) for j in range(3)])
+        if out.done:
+            break
+    return _Weibull(out.k)
+
+
+def _base_sums(df: DataFrame, cols: Sequence[str]) -> dict:
+    """Sufficient statistics and a sketch of every column, from one scan."""
+    x = F.col("value")
     pos, inside = F.when(x > 0, x), F.when((x > 0) & (x < 1), x)
-    s = df.agg(
-        F.count(x).alias("n"), F.avg(x).alias("m"), F.var_pop(x).alias("v"), F.min(x).alias("lo"), F.max(x).alias("hi"), F.sum(x * x).alias("xx"),
-        F.avg(F.ln(pos)).alias("ml"), F.var_pop(F.ln(pos)).alias("vl"), F.avg(F.ln(1 - inside)).alias("mr"),
-    ).first()
+    points = F.percentile_approx(x, [(i + 0.5) / START_POINTS for i in range(START_POINTS)])
+    sums = {
+        "n": F.count(x), "m": F.avg(x), "v": F.var_pop(x), "lo": F.min(x), "hi": F.max(x), "xx": F.sum(x * x),
+        "ml": F.avg(F.ln(pos)), "vl": F.var_pop(F.ln(pos)), "mr": F.avg(F.ln(1 - inside)), "points": points,
+    }
+    return {r["feature"]: r for r in melt(df, cols).groupBy("feature").agg(*[c.alias(name) for name, c in sums.items()]).collect()}
+
+
+def _round_sums(df: DataFrame, base: dict, students: dict[str, list[_Student]], weibulls: dict[str, _Weibull], modes: Sequence[str]) -> dict:
+    """All sums of a round for all columns, from one scan; the parameters, a row a column, are broadcast."""
+    spark = df.sparkSession
+    cols = sorted({*students, *weibulls, *modes})
+    width = max([len(s) for s in students.values()], default=0)
+    rows = []
+    for c in cols:
+        mine = students.get(c, [])
+        pad = [None] * (width - len(mine))
+        k = weibulls[c].k if c in weibulls else None
+        rows.append((c, float(base[c]["lo"]), float(base[c]["hi"]), k, c in modes, [s.nu for s in mine] + pad, [s.mu for s in mine] + pad, [s.s2 for s in mine] + pad))
+    table = spark.createDataFrame(rows, "feature string, lo double, hi double, k double, modes boolean, nu array<double>, mu array<double>, s2 array<double>")
+    x, y = F.col("value"), F.col("value") / F.col("hi")
+    sums = []
+    for i in range(width):
+        r = x - F.col("mu")[i]
+        u = r * r / (F.col("nu")[i] * F.col("s2")[i])
+        q = 1 / (1 + u)
+        sums += [F.sum(e).alias(f"t{i}_{j}") for j, e in enumerate((F.log1p(u), q, r * q, u * q, u * q * q, r * q * q))]
+    if weibulls:
+        power = F.pow(F.when(F.col("k").isNotNull() & (y > 0), y), F.col("k"))
+        sums += [F.avg(power * f).alias(f"w{j}") for j, f in enumerate((F.lit(1.0), F.ln(y), F.ln(y) * F.ln(y)))]
+    if modes:
+        span = F.col("hi") - F.col("lo")
+        for i in range(1, MODES):
+            left = F.lit(i / MODES)
+            at = F.col("lo") + span * left
+            pdf = F.when(x <= at, 2 * (x - F.col("lo") + span * 1e-9) / (span * span * left)).otherwise(2 * (F.col("hi") - x + span * 1e-9) / (span * span * (1 - left)))
+            sums.append(F.sum(F.ln(F.when(F.col("modes"), pdf))).alias(f"m{i}"))
+    return {r["feature"]: r for r in melt(df, cols).join(F.broadcast(table), "feature").groupBy("feature").agg(*sums).collect()}
+
+
+def _closed_forms(ok: Sequence[str], s) -> list[tuple[str, list[float], float]]:
+    """The families whose greatest likelihood follows from the sufficient statistics."""
     n, m, v, lo, hi = s["n"], s["m"], s["v"], s["lo"], s["hi"]
     out: list[tuple[str, list[float], float]] = []
-    if not n or not v:
-        return out
-    ok = [f for f in families if not (f in POSITIVE and lo <= 0) and not (f in UNIT and (lo < 0 or hi > 1))]
     if "norm" in ok:
         out.append(("norm", [m, math.sqrt(v)], -n / 2 * (math.log(2 * math.pi * v) + 1)))
     if "lognorm" in ok and s["vl"]:
@@ -111,8 +239,7 @@ def _fit_column(df: DataFrame, families: Sequence[str]) -> list[tuple[str, list[
         out.append(("gamma", [k, th], (k - 1) * n * s["ml"] - n * m / th - n * k * math.log(th) - n * math.lgamma(k)))
     if "beta" in ok and lo > 0 and hi < 1:
         a, b = _newton_beta(m, v, s["ml"], s["mr"])
-        ll = n * ((a - 1) * s["ml"] + (b - 1) * s["mr"] - math.lgamma(a) - math.lgamma(b) + math.lgamma(a + b))
-        out.append(("beta", [a, b], ll))
+        out.append(("beta", [a, b], n * ((a - 1) * s["ml"] + (b - 1) * s["mr"] - math.lgamma(a) - math.lgamma(b) + math.lgamma(a + b))))
     if "expon" in ok and m > lo:
         out.append(("expon", [lo, m - lo], -n * math.log(m - lo) - n))
     if "pareto" in ok and s["ml"] > math.log(lo):
@@ -121,49 +248,55 @@ def _fit_column(df: DataFrame, families: Sequence[str]) -> list[tuple[str, list[
     if "rayleigh" in ok:
         s2 = s["xx"] / (2 * n)
         out.append(("rayleigh", [math.sqrt(s2)], n * s["ml"] - n * math.log(s2) - n))
-    if "weibull_min" in ok:
-        grid = list(np.geomspace(0.1, 20, 16))
-        for _ in range(4):
-            row = df.agg(*[F.avg(F.pow(pos / hi, F.lit(float(k)))) for k in grid]).first()
-            lls = [n * (math.log(k) - math.log(max(r, 1e-300)) - k * math.log(hi) + (k - 1) * s["ml"] - 1) for k, r in zip(grid, row)]
-            i = int(np.argmax(lls))
-            best = (grid[i], hi * max(row[i], 1e-300) ** (1 / grid[i]), lls[i])
-            grid = list(np.linspace(grid[max(i - 1, 0)], grid[min(i + 1, len(grid) - 1)], 16))
-        out.append(("weibull_min", [float(best[0]), float(best[1])], float(best[2])))
-    nus = ([1.0] if "cauchy" in ok else []) + (list(T_DEGREES) if "t" in ok else [])
-    if nus:
-        quart = ordering.quantiles(df, "x", [0.25, 0.5, 0.75]).first()["q"]
-        start = max((quart[2] - quart[0]) / 2, 1e-9)
-        state = {nu: (quart[1], start**2) for nu in nus}
-        for _ in range(12):
-            aggs = []
-            for nu, (mu, s2) in state.items():
-                w = (nu + 1) / (nu + (x - mu) * (x - mu) / s2)
-                aggs += [F.sum(w), F.sum(w * x), F.sum(w * x * x)]
-            row = df.agg(*aggs).first()
-            for i, nu in enumerate(list(state)):
-                w, wx, wxx = row[3 * i : 3 * i + 3]
-                mu = wx / w
-                state[nu] = (mu, max((wxx - 2 * mu * wx + mu * mu * w) / n, 1e-12))
-        row = df.agg(*[F.sum(F.log1p((x - mu) * (x - mu) / (nu * s2))) for nu, (mu, s2) in state.items()]).first()
-        scored = {}
-        for (nu, (mu, s2)), tail in zip(state.items(), row):
-            const = math.lgamma((nu + 1) / 2) - math.lgamma(nu / 2) - 0.5 * math.log(nu * math.pi * s2)
-            scored[nu] = n * const - (nu + 1) / 2 * tail
-        if "cauchy" in ok:
-            out.append(("cauchy", [state[1.0][0], math.sqrt(state[1.0][1])], scored[1.0]))
-        if "t" in ok:
-            nu = max(T_DEGREES, key=lambda d: scored[d])
-            out.append(("t", [nu, state[nu][0], math.sqrt(state[nu][1])], scored[nu]))
-    if "triang" in ok and hi > lo:
-        span = hi - lo
-        eps = span * 1e-9
-        modes = [lo + span * i / 20 for i in range(1, 20)]
-        pdf = lambda c: F.when(x <= c, 2 * (x - lo + eps) / (span * (c - lo))).otherwise(2 * (hi - x + eps) / (span * (hi - c)))
-        row = df.agg(*[F.sum(F.ln(pdf(c))) for c in modes]).first()
-        i = int(np.argmax(row))
-        out.append(("triang", [lo, modes[i], hi], float(row[i])))
-    return [(f, [float(q) for q in p], float(ll)) for f, p, ll in out if math.isfinite(ll)]
+    return out
+
+
+def _fit_columns(df: DataFrame, cols: Sequence[str], families: Sequence[str], min_rows: int) -> dict[str, list[tuple[str, list[float], float]]]:
+    """(family, parameters, log likelihood) by column.
+
+    One scan gives the sufficient statistics of all columns, and a sketch whose
+    points start the t and Weibull families close to their maximum. Each further
+    scan is one Newton round over all columns and families at once (two or three
+    as a rule); the first of them also has the likelihoods of the triangles.
+    """
+    base = {c: s for c, s in _base_sums(df, cols).items() if s["n"] >= max(min_rows, 1) and s["v"]}
+    ok = {c: [f for f in families if not (f in POSITIVE and s["lo"] <= 0) and not (f in UNIT and (s["lo"] < 0 or s["hi"] > 1))] for c, s in base.items()}
+    students, weibulls = {}, {}
+    for c, s in base.items():
+        points = np.array(s["points"], dtype=float)
+        if "cauchy" in ok[c] or "t" in ok[c]:
+            students[c] = [_start_student(points, nu) for nu in ([1.0] if "cauchy" in ok[c] else []) + (list(T_DEGREES) if "t" in ok[c] else [])]
+        if "weibull_min" in ok[c]:
+            weibulls[c] = _start_weibull(points)
+    modes, triangles = [c for c in base if "triang" in ok[c]], {}
+    for _ in range(MAX_ROUNDS):
+        open_students = {c: left for c, all_of in students.items() if (left := [s for s in all_of if not s.done])}
+        open_weibulls = {c: w for c, w in weibulls.items() if not w.done}
+        if not (open_students or open_weibulls or modes):
+            break
+        for c, r in _round_sums(df, base, open_students, open_weibulls, modes).items():
+            for i, student in enumerate(open_students.get(c, [])):
+                student.step(base[c]["n"], [r[f"t{i}_{j}"] for j in range(6)])
+            if c in open_weibulls:
+                open_weibulls[c].step(base[c]["n"], base[c]["hi"], base[c]["ml"], [r[f"w{j}"] for j in range(3)])
+            if c in modes:
+                triangles[c] = [r[f"m{i}"] for i in range(1, MODES)]
+        modes = []
+    out = {}
+    for c, s in base.items():
+        found = _closed_forms(ok[c], s)
+        if c in weibulls:
+            found.append(("weibull_min", [weibulls[c].k, s["hi"] * weibulls[c].scale], weibulls[c].loglik))
+        t = [s for s in students.get(c, []) if s.nu > 1]
+        found += [("cauchy", [s.mu, math.sqrt(s.s2)], s.loglik) for s in students.get(c, []) if s.nu == 1]
+        if t:
+            best = max(t, key=lambda s: s.loglik)
+            found.append(("t", [best.nu, best.mu, math.sqrt(best.s2)], best.loglik))
+        if c in triangles:
+            i = int(np.argmax(triangles[c]))
+            found.append(("triang", [s["lo"], s["lo"] + (s["hi"] - s["lo"]) * (i + 1) / MODES, s["hi"]], triangles[c][i]))
+        out[c] = [(f, [float(q) for q in p], float(ll)) for f, p, ll in found if math.isfinite(ll)]
+    return out
 
 
 PARAMETERS = {"norm": 2, "lognorm": 3, "gamma": 3, "beta": 4, "weibull_min": 3, "expon": 2, "pareto": 3, "t": 3, "cauchy": 2, "rayleigh": 2, "triang": 3}
@@ -171,11 +304,8 @@ PARAMETERS = {"norm": 2, "lognorm": 3, "gamma": 3, "beta": 4, "weibull_min": 3,
 
 def fit_families(df: DataFrame, cols: Sequence[str], families: Sequence[str] = FAMILIES, min_rows: int = 50) -> DataFrame:
     """``(feature, family, parameters, loglik, aic)`` of every admissible family; AIC = 2k - 2LL."""
-    rows = []
-    for c in cols:
-        data = df.select(observed(df, c).alias("x")).dropna()
-        if data.limit(min_rows).count() >= min_rows:
-            rows += [(c, f, p, ll, 2.0 * PARAMETERS[f] - 2 * ll) for f, p, ll in _fit_column(data, families)]
+    found = _fit_columns(df, cols, families, min_rows)
+    rows = [(c, f, p, ll, 2.0 * PARAMETERS[f] - 2 * ll) for c in cols for f, p, ll in found.get(c, [])]
     return df.sparkSession.createDataFrame(rows, "feature string, family string, parameters array<double>, loglik double, aic double")
 
 

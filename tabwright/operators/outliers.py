@@ -12,7 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import ordering, special
+from ..functions import gram, ordering, special
 from ..functions.columns import agg_long, as_numbers, melt, observed
 from ..session import cut_lineage
 from . import neighbors
@@ -148,35 +148,101 @@ def mahalanobis(df: DataFrame, cols: Sequence[str], ci: float = MULTI_CI) -> Dat
     return full.withColumn("md2", _quadratic(z, inv)).withColumn("is_outlier", F.col("md2") > limit)
 
 
-def robust_mahalanobis(df: DataFrame, cols: Sequence[str], ci: float = MULTI_CI, max_steps: int = 30) -> DataFrame:
-    """``md2`` under a minimum-determinant covariance found by concentration steps.
+def _gaps(x: np.ndarray, loc: np.ndarray, inverse: np.ndarray) -> np.ndarray:
+    z = x - loc
+    return ((z @ inverse) * z).sum(axis=1)
 
-    Each step takes the half of the rows that is nearest under the current
-    estimate (an exact distance quantile) and re-estimates from it, until the
-    determinant stops falling; then consistency correction and one reweighting.
+
+def _random_starts(rows: DataFrame, n: int, p: int, starts: int, seed: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Mean and covariance of ``starts`` groups of p + 1 different rows, those of the smallest hashes: the same rows on any cluster."""
+    wanted = starts * (p + 1)
+    key = F.xxhash64(F.lit(seed), "x")
+    share = min(1.0, 64 * wanted / max(n, 1))
+    while True:
+        low = rows.filter(F.pmod(key, F.lit(1 << 40)) < int(share * (1 << 40))) if share < 1 else rows
+        found = [r.x for r in low.select("x").distinct().orderBy(key, "x").limit(wanted).collect()]
+        if len(found) == wanted or share >= 1:
+            break
+        share = min(1.0, 16 * share)
+    groups = [np.array(found[i : i + p + 1]) for i in range(0, len(found) - p, p + 1)]
+    return [(g.mean(axis=0), np.cov(g, rowvar=False, bias=True).reshape(p, p)) for g in groups]
+
+
+def _concentrate(rows: DataFrame, estimates: Sequence[tuple[np.ndarray, np.ndarray]], share: float) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """For every estimate: mean, covariance and its log determinant of the ``share`` of the rows nearest to it; all estimates together."""
+    p = len(estimates[0][0])
+    fixed = [(loc, np.linalg.pinv(cov)) for loc, cov in estimates]
+
+    @F.pandas_udf("array<double>")
+    def gaps(x: pd.Series) -> pd.Series:
+        m = np.stack(x.to_numpy())
+        return pd.Series(list(np.column_stack([_gaps(m, *f) for f in fixed])))
+
+    far = rows.select(F.posexplode(gaps("x")).alias("start", "d"))
+    cut = {r["start"]: r["q"][0] for r in ordering.quantiles(far, "d", [share], ["start"], ["start"]).collect()}
+
+    def contribute(x: np.ndarray):
+        for i, f in enumerate(fixed):
+            near = x[_gaps(x, *f) <= cut[i]]
+            near = np.column_stack([np.ones(len(near)), near])
+            yield (i, 0), near.T @ near
+
+    sums = gram.summed_blocks(rows, p, contribute)
+    out = []
+    for i in range(len(fixed)):
+        s = sums[(i, 0)]
+        mean = s[0, 1:] / s[0, 0]
+        cov = s[1:, 1:] / s[0, 0] - np.outer(mean, mean)
+        sign, size = np.linalg.slogdet(cov)
+        out.append((mean, cov, float(size) if sign > 0 else -np.inf))
+    return out
+
+
+def minimum_determinant(df: DataFrame, cols: Sequence[str], starts: int = 10, keep: int = 3, max_steps: int = 30, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and covariance of the half of the complete rows whose covariance has the smallest determinant found.
+
+    Starts are the medians with quartile spreads, and ``starts`` groups of p + 1
+    rows. All take two concentration steps, the ``keep`` best go on until their
+    determinant stops falling. A step of all starts is one exact distance
+    quantile a start and one blocked product over all rows.
+    """
+    names, p = list(cols), len(cols)
+    work = cut_lineage(as_numbers(df.dropna(subset=names), names))
+    n = work.count()
+    quartiles = {r["feature"]: r["q"] for r in feature_quantiles(work, names, [0.25, 0.5, 0.75]).collect()}
+    middle = np.array([quartiles[c][1] for c in names])
+    spread = np.array([max((quartiles[c][2] - quartiles[c][0]) / 1.349, 1e-6) for c in names])
+    rows = work.select(F.array(*[(F.col(f"`{c}`") - float(a)) / float(b) for c, a, b in zip(names, middle, spread)]).alias("x"))
+    share = ((n + p + 1) // 2 - 1) / max(n - 1, 1)
+    now = [(loc, cov, np.inf) for loc, cov in [(np.zeros(p), np.eye(p)), *_random_starts(rows, n, p, starts, seed)]]
+    for _ in range(2):
+        now = _concentrate(rows, [e[:2] for e in now], share)
+    going = sorted(now, key=lambda e: e[2])[:keep]
+    best = going[0]
+    for _ in range(max_steps):
+        after = _concentrate(rows, [e[:2] for e in going], share)
+        best = min([best, *after], key=lambda e: e[2])
+        going = [b for a, b in zip(going, after) if b[2] < a[2] - 1e-9]
+        if not going:
+            break
+    return middle + spread * best[0], best[1] * np.outer(spread, spread)
+
+
+def robust_mahalanobis(df: DataFrame, cols: Sequence[str], ci: float = MULTI_CI, max_steps: int = 30, starts: int = 10, seed: int = 0) -> DataFrame:
+    """``md2`` under the minimum-determinant covariance, after consistency correction and one reweighting.
+
+    Where half of the rows lie in one plane that covariance has no inverse, and the one of all rows is taken.
     """
     names = list(cols)
     p = len(names)
     full = df.dropna(subset=names)
     work = cut_lineage(as_numbers(full, names))
-    n = work.count()
-    med = {r["feature"]: r["q"] for r in feature_quantiles(work, names, [0.25, 0.5, 0.75]).collect()}
-    loc = np.array([med[c][1] for c in names])
-    cov = np.diag([max(((med[c][2] - med[c][0]) / 1.349) ** 2, 1e-12) for c in names])
-    h = (n + p + 1) // 2
     shift = lambda m: [F.col(f"`{c}`") - float(v) for c, v in zip(names, m)]
-    best = np.inf
-    for _ in range(max_steps):
-        d = work.withColumn("__d", _quadratic(shift(loc), np.linalg.pinv(cov)))
-        cut = ordering.quantiles(d, "__d", [(h - 1) / max(n - 1, 1)]).first()["q"][0]
-        mean, centred, m = raw_moments(d.filter(F.col("__d") <= cut), names)
-        new = centred / m
-        det = np.linalg.slogdet(new)[1]
-        if det >= best - 1e-9:
-            break
-        best, loc, cov = det, mean, new
+    loc, cov = minimum_determinant(work, names, starts=starts, max_steps=max_steps, seed=seed)
     d = work.withColumn("__d", _quadratic(shift(loc), np.linalg.pinv(cov)))
     middle = ordering.quantiles(d, "__d", [0.5]).first()["q"][0]
+    if np.linalg.matrix_rank(cov, hermitian=True) < p or not middle:
+        return mahalanobis(full, names, ci)
     factor = middle / special.chi2_ppf(0.5, p)
     limit = special.chi2_ppf(ci, p)
     mean, centred, m = raw_moments(d.filter(F.col("__d") / factor < limit), names)
