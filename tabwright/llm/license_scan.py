@@ -1,10 +1,10 @@
-"""Licence notices found by the Dice coefficient over word bigrams."""
+"""Licence notices found by the Dice coefficient over word bigrams: lines, whole texts and runs of words inside them."""
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from .common import let
@@ -48,7 +48,73 @@ def sizes(n: int, least: float) -> range:
     return range(max(1, math.ceil(least / (2 - least) * n - 1e-9)), math.floor((2 - least) / least * n + 1e-9) + 1)
 
 
+def pairs_in_order(tokens: Column) -> Column:
+    """All word bigrams in the order of the text, repeats included."""
+    return let(tokens, lambda w: F.when(F.size(w) > 1, F.transform(F.sequence(F.lit(1), F.size(w) - 1), lambda i: F.concat_ws(" ", F.get(w, i - 1), F.get(w, i)))).otherwise(F.array().cast("array<string>")))
+
+
+def patterns(spark: SparkSession, templates: dict[str, list[str]]) -> list[Row]:
+    """(``license``, ``template_no``, ``pattern``) of every template; one of one word or none is refused."""
+    notices = spark.createDataFrame([(name, i, t) for name, texts in templates.items() for i, t in enumerate(texts)], "license string, template_no long, wording string")
+    notices = notices.select("license", "template_no", bigrams(words(F.col("wording"))).alias("pattern")).collect()
+    if any(not r.pattern for r in notices):
+        raise ValueError("a template needs two words at least")
+    return notices
+
+
 def scan(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``scan_units`` and ``scan_runs`` together; ``line_no`` is null for runs, ``first_word`` and ``n_words`` for units."""
+    units = scan_units(docs, templates, least, id_col, text_col)
+    units = units.select(id_col, "line_no", F.lit(None).cast("int").alias("first_word"), F.lit(None).cast("int").alias("n_words"), "license", "template_no", "dice")
+    runs = scan_runs(docs, templates, least, id_col, text_col)
+    return units.unionAll(runs.select(id_col, F.lit(None).cast("long").alias("line_no"), "first_word", "n_words", "license", "template_no", "dice"))
+
+
+def scan_runs(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows (id, ``first_word`` from 1, ``n_words``, ``license``, ``template_no``, ``dice``): the best run of words of a text for every template that it reaches.
+
+    Words run on over line ends, so notices are found that are wrapped over lines or stand inside a paragraph. A run reaches from
+    the start of a stretch of template bigrams to the end of one, and has no more words than a text of the largest admissible
+    bigram count: cutting other words off the ends of a run, or adding template bigrams to them, never lowers its Dice, so no run
+    of such words does better unless bigrams repeat in it. Ties go to the earlier, then the shorter run.
+
+    Pruning is by size alone. A run of Dice ``least`` lacks so few of a template's bigrams that it holds at least one of any
+    group of one more; the longest bigrams of the template are that group, and a text without them never meets the template. Runs with
+    fewer hits than the smallest admissible size are left out before they are compared. Texts are not shuffled and no two of them meet.
+    Null and empty texts give no row; repeated rows are scanned each.
+    """
+    table = []
+    for r in patterns(docs.sparkSession, templates):
+        admissible = sizes(len(r.pattern), least)
+        marks = sorted(r.pattern, key=lambda b: (-len(b), b))[: len(r.pattern) - admissible[0] + 1]
+        table.append((r.license, r.template_no, r.pattern, marks, admissible[0], admissible[-1]))
+    strings = lambda values: F.array(*[F.lit(v) for v in values])
+    known = F.array(*[F.struct(*[e.alias(n) for n, e in zip(("license", "template_no", "pattern", "marks", "fewest", "most"), (F.lit(a), F.lit(b).cast("long"), strings(c), strings(d), F.lit(e), F.lit(f)))]) for a, b, c, d, e, f in table])
+    every_mark = strings(sorted({m for r in table for m in r[3]}))
+    met = let(
+        pairs_in_order(words(F.col("__text"))),
+        lambda b: F.when(F.arrays_overlap(b, every_mark), F.transform(F.filter(known, lambda t: F.arrays_overlap(b, t["marks"])), lambda t: F.struct(t.alias("t"), b.alias("b")))),
+    )
+    found = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).select("__id", F.explode(met).alias("m")).select("__id", "m.t", "m.b")
+    upto = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    found = found.withColumn("hits", F.filter(upto(F.size("b")), lambda i: F.array_contains(F.col("t.pattern"), F.get("b", i))))
+    hit = lambda k: F.get("hits", k)
+    found = found.withColumn("starts", F.filter(upto(F.size("hits")), lambda k: (k == 0) | (hit(k - 1) < hit(k) - 1)))
+    found = found.withColumn("ends", F.filter(upto(F.size("hits")), lambda k: (k == F.size("hits") - 1) | (hit(k + 1) > hit(k) + 1)))
+
+    def runs_of(start: Column, j: Column) -> Column:
+        fits = lambda end: (hit(end) - hit(start) + 1 <= F.col("t.most")) & (end - start + 1 >= F.col("t.fewest"))
+        near = F.slice("ends", j + 1, F.col("t.most"))
+        return F.transform(F.filter(near, fits), lambda end: F.struct(hit(start).alias("first"), (hit(end) - hit(start) + 1).alias("length")))
+
+    found = found.withColumn("runs", F.flatten(F.transform("starts", runs_of))).filter(F.size("runs") > 0)
+    shared = lambda w: 2.0 * F.size(F.array_intersect(w, F.col("t.pattern"))) / (F.size(F.array_distinct(w)) + F.size("t.pattern"))
+    valued = F.transform("runs", lambda r: F.struct((-let(F.slice("b", r["first"] + 1, r["length"]), shared)).alias("minus"), r["first"].alias("first"), r["length"].alias("length")))
+    found = found.select("__id", "t", F.array_min(valued).alias("best")).filter(F.col("best.minus") <= -least)
+    return found.select(F.col("__id").alias(id_col), (F.col("best.first") + 1).alias("first_word"), (F.col("best.length") + 1).alias("n_words"), "t.license", "t.template_no", (-F.col("best.minus")).alias("dice"))
+
+
+def scan_units(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (id, ``line_no``, ``license``, ``template_no``, ``dice``) of every text unit that reaches ``least`` with a template.
 
     Units are all lines of the whole text (from 1) and, for texts of several lines, the whole text (line 0). A unit meets only
@@ -57,10 +123,7 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, least: fl
     Null and empty texts have no units with bigrams and give no row; repeated rows are scanned each; a template of one word or none is refused.
     """
     spark = docs.sparkSession
-    notices = spark.createDataFrame([(name, i, t) for name, texts in templates.items() for i, t in enumerate(texts)], "license string, template_no long, wording string")
-    notices = notices.select("license", "template_no", bigrams(words(F.col("wording"))).alias("pattern")).collect()
-    if any(not r.pattern for r in notices):
-        raise ValueError("a template needs two words at least")
+    notices = patterns(spark, templates)
     by_size = [(n, r.license, r.template_no, r.pattern) for r in notices for n in sizes(len(r.pattern), least)]
     table = spark.createDataFrame(by_size, "n int, license string, template_no long, pattern array<string>")
     fewest, most = min(r[0] for r in by_size), max(r[0] for r in by_size)

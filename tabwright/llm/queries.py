@@ -127,10 +127,22 @@ patterns AS (SELECT license, template_no, {_BIGRAMS} AS pattern FROM (SELECT *,
 units AS (SELECT doc_id, unnest(CASE WHEN len(ls) > 1 THEN list_transform(range(0, len(ls) + 1), lambda i: {{'n': i, 't': CASE WHEN i = 0 THEN text ELSE ls[i] END}})
                                 ELSE [{{'n': CAST(1 AS BIGINT), 't': text}}] END) AS u
           FROM (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL)),
-worded AS (SELECT doc_id, line_no, {_BIGRAMS} AS b FROM (SELECT doc_id, u.n AS line_no, string_split({_NORMAL.format("u.t")}, ' ') AS w FROM units))
-SELECT doc_id, line_no, license, template_no, 2.0::DOUBLE * len(list_intersect(b, pattern)) / (len(b) + len(pattern)) AS dice
+worded AS (SELECT doc_id, line_no, {_BIGRAMS} AS b FROM (SELECT doc_id, u.n AS line_no, string_split({_NORMAL.format("u.t")}, ' ') AS w FROM units)),
+whole AS (SELECT row_number() OVER () AS r, doc_id, {_BIGRAMS.replace("list_distinct", "")} AS b FROM (SELECT doc_id, string_split({_NORMAL.format("text")}, ' ') AS w FROM documents WHERE text IS NOT NULL)),
+placed AS (SELECT r, unnest(b) AS g, unnest(range(1, len(b) + 1)) AS i FROM whole),
+hits AS (SELECT r, license, template_no, i, row_number() OVER (PARTITION BY r, license, template_no ORDER BY i) AS k FROM placed JOIN (SELECT license, template_no, unnest(pattern) AS g FROM patterns) USING (g)),
+stretches AS (SELECT r, license, template_no, min(i) AS a, max(i) AS z, min(k) AS ka, max(k) AS kz FROM hits GROUP BY r, license, template_no, i - k),
+runs AS (SELECT s.r, s.license, s.template_no, s.a, e.z FROM stretches s JOIN stretches e ON s.r = e.r AND s.license = e.license AND s.template_no = e.template_no AND s.a <= e.z
+         JOIN patterns p ON p.license = s.license AND p.template_no = s.template_no
+         WHERE e.z - s.a + 1 <= floor(1.5 * len(pattern) + 1e-9) AND e.kz - s.ka + 1 >= greatest(1, ceil(len(pattern) / 1.5 - 1e-9))),
+valued AS (SELECT doc_id, r, license, template_no, a, z - a + 2 AS n, 2.0::DOUBLE * len(list_intersect(b[a:z], pattern)) / (len(list_distinct(b[a:z])) + len(pattern)) AS dice
+           FROM runs JOIN whole USING (r) JOIN patterns USING (license, template_no))
+SELECT doc_id, line_no, CAST(NULL AS INTEGER) AS first_word, CAST(NULL AS INTEGER) AS n_words, license, template_no, 2.0::DOUBLE * len(list_intersect(b, pattern)) / (len(b) + len(pattern)) AS dice
 FROM worded JOIN patterns ON list_has_any(b, pattern)
-WHERE 2.0::DOUBLE * len(list_intersect(b, pattern)) / (len(b) + len(pattern)) >= 0.8""",
+WHERE 2.0::DOUBLE * len(list_intersect(b, pattern)) / (len(b) + len(pattern)) >= 0.8
+UNION ALL
+SELECT doc_id, NULL, CAST(a AS INTEGER), CAST(n AS INTEGER), license, template_no, dice FROM valued WHERE dice >= 0.8
+QUALIFY row_number() OVER (PARTITION BY r, license, template_no ORDER BY dice DESC, a, n) = 1""",
     "op7_decontaminate": f"""
 WITH d AS ({_SHINGLES.format(key="doc_id", table="documents")}), b AS ({_SHINGLES.format(key="item_id", table="benchmark")}),
 n AS (SELECT item_id, count(*) AS n_shingles FROM b GROUP BY 1)
