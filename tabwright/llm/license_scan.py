@@ -32,6 +32,9 @@ TEMPLATES = {
     ],
 }
 
+#: From this many letters on a word of a template is taken to be rare enough to look for alone.
+LONGER_WORD = 5
+
 
 def words(text: Column) -> Column:
     """Runs of a-z and 0-9 after lower-casing; null has none."""
@@ -88,30 +91,38 @@ def scan_runs(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, leas
         admissible = sizes(len(r.pattern), least)
         marks = sorted(r.pattern, key=lambda b: (-len(b), b))[: len(r.pattern) - admissible[0] + 1]
         table.append((r.license, r.template_no, r.pattern, marks, admissible[0], admissible[-1]))
-    strings = lambda values: F.array(*[F.lit(v) for v in values])
+    strings = lambda values: F.array(*[F.lit(v) for v in values]).cast("array<string>")
     known = F.array(*[F.struct(*[e.alias(n) for n, e in zip(("license", "template_no", "pattern", "marks", "fewest", "most"), (F.lit(a), F.lit(b).cast("long"), strings(c), strings(d), F.lit(e), F.lit(f)))]) for a, b, c, d, e, f in table])
     every_mark = strings(sorted({m for r in table for m in r[3]}))
-    met = let(
-        pairs_in_order(words(F.col("__text"))),
-        lambda b: F.when(F.arrays_overlap(b, every_mark), F.transform(F.filter(known, lambda t: F.arrays_overlap(b, t["marks"])), lambda t: F.struct(t.alias("t"), b.alias("b")))),
-    )
-    found = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).select("__id", F.explode(met).alias("m")).select("__id", "m.t", "m.b")
     upto = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    found = found.withColumn("hits", F.filter(upto(F.size("b")), lambda i: F.array_contains(F.col("t.pattern"), F.get("b", i))))
-    hit = lambda k: F.get("hits", k)
-    found = found.withColumn("starts", F.filter(upto(F.size("hits")), lambda k: (k == 0) | (hit(k - 1) < hit(k) - 1)))
-    found = found.withColumn("ends", F.filter(upto(F.size("hits")), lambda k: (k == F.size("hits") - 1) | (hit(k + 1) > hit(k) + 1)))
-
-    def runs_of(start: Column, j: Column) -> Column:
-        fits = lambda end: (hit(end) - hit(start) + 1 <= F.col("t.most")) & (end - start + 1 >= F.col("t.fewest"))
-        near = F.slice("ends", j + 1, F.col("t.most"))
-        return F.transform(F.filter(near, fits), lambda end: F.struct(hit(start).alias("first"), (hit(end) - hit(start) + 1).alias("length")))
-
-    found = found.withColumn("runs", F.flatten(F.transform("starts", runs_of))).filter(F.size("runs") > 0)
-    shared = lambda w: 2.0 * F.size(F.array_intersect(w, F.col("t.pattern"))) / (F.size(F.array_distinct(w)) + F.size("t.pattern"))
-    valued = F.transform("runs", lambda r: F.struct((-let(F.slice("b", r["first"] + 1, r["length"]), shared)).alias("minus"), r["first"].alias("first"), r["length"].alias("length")))
-    found = found.select("__id", "t", F.array_min(valued).alias("best")).filter(F.col("best.minus") <= -least)
-    return found.select(F.col("__id").alias(id_col), (F.col("best.first") + 1).alias("first_word"), (F.col("best.length") + 1).alias("n_words"), "t.license", "t.template_no", (-F.col("best.minus")).alias("dice"))
+
+    def runs(t: Column, hits: Column, starts: Column, ends: Column) -> Column:
+        """Runs (first bigram, number of bigrams) that size admits; starts and ends of stretches are indices of hits."""
+        length = lambda start, end: F.get(hits, end) - F.get(hits, start) + 1
+        of = lambda start, j: F.transform(F.filter(F.slice(ends, j + 1, t["most"]), lambda end: (length(start, end) <= t["most"]) & (end - start + 1 >= t["fewest"])), lambda end: F.struct(F.get(hits, start).alias("first"), length(start, end).alias("length")))
+        return F.flatten(F.transform(starts, of))
+
+    def best(b: Column, t: Column) -> Column:
+        """(-Dice, first bigram, number of bigrams) of the best run; null without one."""
+        hits = F.filter(upto(F.size(b)), lambda i: F.array_contains(t["pattern"], F.get(b, i)))
+        starts = lambda h: F.filter(upto(F.size(h)), lambda k: (k == 0) | (F.get(h, k - 1) < F.get(h, k) - 1))
+        ends = lambda h: F.filter(upto(F.size(h)), lambda k: (k == F.size(h) - 1) | (F.get(h, k + 1) > F.get(h, k) + 1))
+        dice = lambda w: 2.0 * F.size(F.array_intersect(w, t["pattern"])) / (F.size(F.array_distinct(w)) + F.size(t["pattern"]))
+        valued = lambda r: F.struct((-let(F.slice(b, r["first"] + 1, r["length"]), dice)).alias("minus"), r["first"].alias("first"), r["length"].alias("length"))
+        return let(hits, lambda h: let(starts(h), lambda s: let(ends(h), lambda e: F.array_min(F.transform(runs(t, h, s, e), valued)))))
+
+    # One generator from text to rows: all that is named in it is computed once, and no filter can move into it.
+    valued = lambda b: F.transform(F.filter(known, lambda t: F.arrays_overlap(b, t["marks"])), lambda t: F.struct(t["license"].alias("license"), t["template_no"].alias("template_no"), best(b, t).alias("best")))
+    reached = let(pairs_in_order(words(F.col("__text"))), lambda b: F.when(F.arrays_overlap(b, every_mark), F.filter(valued(b), lambda m: m["best"]["minus"] <= -least)))
+    # A mark with a longer word is looked for by that word, the others as they stand, so that a text without any need not be cut into words.
+    marks = {m: max(m.split(), key=lambda w: (len(w), w)) for r in table for m in r[3]}
+    parts = {w for w in marks.values() if len(w) >= LONGER_WORD}
+    parts = strings(sorted(w for w in parts if not any(v != w and v in w for v in parts)))
+    short = "|".join(sorted("[^a-z0-9]+".join(m.split()) for m, w in marks.items() if len(w) < LONGER_WORD))
+    hopeful = let(F.lower("__text"), lambda x: F.exists(parts, lambda w: F.contains(x, w)) | (F.rlike(x, F.lit(short)) if short else F.lit(False)))
+    found = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).filter(hopeful).select("__id", F.explode(reached).alias("m"))
+    best_run = F.col("m.best")
+    return found.select(F.col("__id").alias(id_col), (best_run["first"] + 1).alias("first_word"), (best_run["length"] + 1).alias("n_words"), "m.license", "m.template_no", (-best_run["minus"]).alias("dice"))
 
 
 def scan_units(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -106,6 +106,11 @@ def test_both_kinds_of_rows_and_the_sql(spark, docs_of):
     assert {r.line_no is None for r in got.filter("doc_id = 2").collect()} == {True}
 
 
+def test_templates_of_short_words_only(spark, docs_of):
+    got = license_scan.scan_runs(docs_of([(1, "x of\nit - as is, y"), (2, "of it"), (3, None)]), {"short": ["of it as is"]}).collect()
+    assert [(r.doc_id, r.first_word, r.n_words, r.dice) for r in got] == [(1, 2, 4, 1.0)]
+
+
 def test_empty_and_bad_template(spark, docs_of):
     assert license_scan.scan(docs_of([])).collect() == []
     with pytest.raises(ValueError):
