@@ -132,7 +132,21 @@ def f12d(spark, sf):
     return O.treat(e, O.fit_fences(e, COLS), cap=False).select("event_id")
 
 
-@query("f13_flag_new")
+def _new_sql():
+    """Rows of two fifths judged by fences of the other three, which are capped first."""
+    parts, votes = [], []
+    for c in COLS:
+        whole, capped = f"(SELECT * FROM {EV} WHERE event_id % 5 < 3)", f"t_{c}"
+        parts.append(f"{capped} AS (SELECT least(greatest({c}, lo), hi) AS {c} FROM {whole}, (SELECT quantile_cont({c}, 0.01) AS lo, quantile_cont({c}, 0.99) AS hi FROM {whole}))")
+        parts.append(f"s_{c} AS {stats(c).replace(EV, capped)}")
+        total = " + ".join(f"CAST({s} AS INTEGER)" for s in conds(c).values())
+        votes.append(f"v_{c} AS (SELECT event_id, {total} AS n FROM {EV}, s_{c} WHERE event_id % 5 >= 3)")
+    added = " + ".join(f"v_{c}.n" for c in COLS)
+    joined = f"v_{COLS[0]} " + " ".join(f"JOIN v_{c} USING (event_id)" for c in COLS[1:])
+    return f"WITH {', '.join(parts + votes)} SELECT event_id, {added} AS total_votes, {added} >= 3 AS is_outlier FROM {joined}"
+
+
+@query("f13_flag_new", _new_sql())
 def f13(spark, sf):
     e = events(spark, sf)
     known, new = e.filter("event_id % 5 < 3"), e.filter("event_id % 5 >= 3")
