@@ -71,10 +71,21 @@ def p34(spark, sf):
     return rounded(D.divergences(*sides(spark, sf), ["l_extendedprice", "l_quantity"]))
 
 
-@query("p4_first_tenth")
+_AGED = "(SELECT *, row_number() OVER (ORDER BY ts NULLS FIRST, event_id) AS place, count(*) OVER () AS total FROM events)"
+_TENTH = {REF: f"(SELECT * FROM {_AGED} WHERE place <= floor(total * 0.1))", NEW: f"(SELECT * FROM {_AGED} WHERE place > floor(total * 0.1))"}
+
+
+def _div_of(c, sides_sql):
+    sql = _div(c)
+    for old, new in sides_sql.items():
+        sql = sql.replace(old, new)
+    return sql
+
+
+@query("p4_first_tenth", _div_of("value", _TENTH))
 def p4(spark, sf):
     head, rest = D.head_and_rest(table(spark, sf, "events"), "ts", "event_id")
-    return D.divergences(head, rest, ["value"])
+    return rounded(D.divergences(head, rest, ["value"]))
 
 
 CHI = f"""(WITH t AS (SELECT s, v, count(*)::DOUBLE AS n FROM (SELECT 'r' AS s, l_returnflag AS v FROM {REF} UNION ALL SELECT 'n', l_returnflag FROM {NEW}) GROUP BY 1, 2),
