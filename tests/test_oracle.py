@@ -1,4 +1,4 @@
-"""Every registered query against its SQL twin, or for rows where there is none."""
+"""Every registered query that has an SQL twin against it."""
 
 import duckdb
 import pytest
