@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import special
-from ..functions.ordering import number_array
 from ..functions.columns import agg_long, as_numbers, numeric_cols, observed
 from .profile import feature_quantiles
 
@@ -85,32 +85,60 @@ def yeo_johnson(x: Column, lam: float) -> Column:
     return F.when(x >= 0, up).otherwise(F.when(x < 0, down))
 
 
+def _profiles(x: np.ndarray, lams: np.ndarray, kind: str) -> tuple[float, np.ndarray]:
+    """Sum of the log Jacobian factors of known values, and their transforms, a row for each candidate lambda."""
+
+    def raised(logs: np.ndarray, powers: np.ndarray) -> np.ndarray:
+        flat = powers == 0
+        return np.where(flat[:, None], logs, (np.exp(np.outer(powers, logs)) - 1) / np.where(flat, 1.0, powers)[:, None])
+
+    with np.errstate(all="ignore"):
+        if kind == "boxcox":
+            logs = np.log(x[x > 0])
+            return float(logs.sum()), raised(logs, lams)
+        up, down = np.log1p(x[x >= 0]), np.log1p(-x[x < 0])
+        return float(up.sum() - down.sum()), np.hstack([raised(up, lams), -raised(down, 2 - lams)])
+
+
 def _likelihoods(df: DataFrame, jobs: Mapping[str, Sequence[float]], kind: str) -> dict[str, list[float]]:
-    """Profile log likelihood of every candidate lambda of every column, one aggregate."""
-    x, lam = F.col("x"), F.col("lam")
-    if kind == "boxcox":
-        good = F.when(x > 0, x)
-        jac, y = F.ln(good), F.when(lam == 0, F.ln(good)).otherwise((F.pow(good, lam) - 1) / F.when(lam != 0, lam))
-    else:
-        jac = F.signum(x) * F.log1p(F.abs(x))
-        up = F.when(lam == 0, F.log1p(x)).otherwise((F.pow(x + 1, lam) - 1) / F.when(lam != 0, lam))
-        down = F.when(lam == 2, -F.log1p(-x)).otherwise(-(F.pow(1 - x, 2 - lam) - 1) / F.when(lam != 2, 2 - lam))
-        y = F.when(x >= 0, up).otherwise(down)
-    # One narrow row per candidate keeps the generated code small; counts per
-    # distinct candidate are combined before the shuffle.
-    cells = [
-        F.struct(F.lit(c).alias("feature"), observed(df, c).alias("x"), F.array(*[F.lit(float(v)) for v in grid]).alias("grid")) for c, grid in jobs.items()
-    ]
-    rows = df.select(F.inline(F.array(*cells))).filter(x.isNotNull()).select("feature", "x", F.posexplode("grid").alias("k", "lam"))
-    sums = rows.groupBy("feature", "k").agg(F.count(x).alias("n"), F.sum(jac).alias("j"), F.var_pop(y).alias("v")).collect()
-    out = {c: [-math.inf] * len(grid) for c, grid in jobs.items()}
-    for r in sums:
-        v, at = r["v"], jobs[r["feature"]][r["k"]]
-        if v and v > 0 and math.isfinite(v):
-            out[r["feature"]][r["k"]] = (at - 1) * (r["j"] or 0.0) - r["n"] / 2 * math.log(v)
+    """Profile log likelihood of every candidate lambda of every column, one scan.
+
+    A task raises whole batches for all candidates together and hands on counts, means and squared gaps, a row for each column.
+    """
+    grids = [np.array(grid, float) for grid in jobs.values()]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = [[0, 0.0, (0, np.zeros(len(g)), np.zeros(len(g)))] for g in grids]
+        for b in batches:
+            for at, lams, c in zip(total, grids, b.columns, strict=True):
+                x = b[c].dropna().to_numpy(float)
+                jac, y = _profiles(x, lams, kind)
+                at[0], at[1] = at[0] + len(x), at[1] + jac
+                if y.shape[1]:
+                    with np.errstate(all="ignore"):
+                        mean = y.mean(axis=1)
+                        at[2] = _merged(at[2], (y.shape[1], mean, ((y - mean[:, None]) ** 2).sum(axis=1)))
+        yield pd.DataFrame([(i, n, j, m[0], m[1], m[2]) for i, (n, j, m) in enumerate(total)], columns=["i", "n", "j", "used", "mean", "gap"])
+
+    parts = df.select(*[observed(df, c).alias(f"x{i}") for i, c in enumerate(jobs)]).mapInPandas(run, "i int, n long, j double, used long, mean array<double>, gap array<double>").collect()
+    out = {}
+    for i, (c, grid) in enumerate(jobs.items()):
+        mine = [r for r in parts if r["i"] == i]
+        n, jac = sum(r["n"] for r in mine), sum(r["j"] for r in mine)
+        used, _, gap = reduce(_merged, [(r["used"], np.array(r["mean"], float), np.array(r["gap"], float)) for r in mine if r["used"]], (0, 0.0, np.zeros(len(grid))))
+        v = gap / max(used, 1)
+        out[c] = [float((at - 1) * jac - n / 2 * math.log(u)) if u > 0 and math.isfinite(u) else -math.inf for at, u in zip(grid, v, strict=True)]
     return out
 
 
+def _merged(a: tuple, b: tuple) -> tuple:
+    """Count, means and squared gaps of two parts together."""
+    if not a[0]:
+        return b
+    n, apart = a[0] + b[0], b[1] - a[1]
+    return n, a[1] + apart * (b[0] / n), a[2] + b[2] + apart * apart * (a[0] * b[0] / n)
+
+
 def best_lambda(df: DataFrame, cols: Sequence[str], kind: str = "boxcox", grid: Sequence[float] | None = None) -> dict[str, float]:
     """Maximum-likelihood lambda per column: shrinking grids, one pass each, then a parabola.
 
@@ -148,22 +176,22 @@ def landmarks(df: DataFrame, cols: Sequence[str], count: int = LANDMARKS) -> dic
     return {r["feature"]: list(r["q"]) for r in feature_quantiles(df, cols, list(np.linspace(0, 1, k))).collect()}
 
 
-def _rank_map(x: Column, marks: Sequence[float]) -> Column:
-    """Position of x among the landmarks as a share in [0, 1]; ties take the middle."""
-    k = len(marks)
-    bits = k.bit_length()
-    arr = number_array(list(marks) + [math.inf] * (2**bits - 1 - k))
-    steps = F.array(*[F.lit(2**i) for i in reversed(range(bits))])
-    find = lambda ok: F.aggregate(steps, F.lit(0), lambda at, s: F.when(ok(F.get(arr, at + s - 1)), at + s).otherwise(at))
-    def place(at: Column) -> Column:
-        lo, hi = at["lo"], at["hi"]
-        left, right = F.get(arr, lo - 1), F.get(arr, lo)
-        return F.when(lo < hi, (lo + hi - 1) / 2).otherwise(lo - 1 + F.try_divide(x - left, right - left))
+def _rank_map(x: Column, marks: Sequence[float], normal: bool = False) -> Column:
+    """Position of x among the landmarks as a share in [0, 1], ties in the middle, or its normal quantile; both searches go over whole batches."""
+    m = np.array(marks, float)
 
-    # The positions are bound once by transform; a plain reference would repeat both searches.
-    ends = F.struct(find(lambda m: m < x).alias("lo"), find(lambda m: m <= x).alias("hi"))
-    inside = F.get(F.transform(F.array(ends), place), F.lit(0))
-    return F.when(x <= F.lit(float(marks[0])), 0.0).when(x >= F.lit(float(marks[-1])), 1.0).otherwise(inside / (k - 1))
+    @F.pandas_udf("double")
+    def place(values: pd.Series) -> pd.Series:
+        v = values.to_numpy(float)
+        lo, hi = np.searchsorted(m, v, "left"), np.searchsorted(m, v, "right")
+        left, right = m[np.maximum(lo - 1, 0)], m[np.minimum(lo, len(m) - 1)]
+        with np.errstate(all="ignore"):
+            inside = np.where(lo < hi, (lo + hi - 1) / 2, lo - 1 + (v - left) / (right - left)) / (len(m) - 1)
+        u = np.where(np.isnan(v), np.nan, np.where(v <= m[0], 0.0, np.where(v >= m[-1], 1.0, inside)))
+        # As with least and greatest of columns, a missing value takes the lower limit.
+        return pd.Series(special.norm_ppf_array(np.fmin(np.fmax(u, 1e-7), 1 - 1e-7)) if normal else u)
+
+    return place(x)
 
 
 def quantile_transform(df: DataFrame, cols: Sequence[str], output: str = "normal", marks: Mapping[str, Sequence[float]] | None = None) -> DataFrame:
@@ -171,10 +199,7 @@ def quantile_transform(df: DataFrame, cols: Sequence[str], output: str = "normal
     fitted = dict(marks) if marks else landmarks(df, cols)
     out = {}
     for c in cols:
-        u = F.when(observed(df, c).isNotNull(), _rank_map(observed(df, c), fitted[c]))
-        if output == "normal":
-            u = special.norm_ppf_col(F.least(F.greatest(u, F.lit(1e-7)), F.lit(1 - 1e-7)))
-        out[c] = u
+        out[c] = _rank_map(observed(df, c), fitted[c], output == "normal")
     return df.withColumns(out)
 
 
@@ -183,8 +208,9 @@ def shape_scores(df: DataFrame, jobs: Mapping[str, Mapping[str, Column]]) -> Dat
 
     p is the Jarque-Bera p value from the same moments; a constant scores p 1, skew 0.
     """
-    cells = [F.struct(F.lit(c).alias("feature"), F.lit(m).alias("method"), e.alias("e")) for c, ms in jobs.items() for m, e in ms.items()]
-    rows = df.select(F.inline(F.array(*cells)))
+    made = [(c, m, e) for c, ms in jobs.items() for m, e in ms.items()]
+    cells = [F.struct(F.lit(c).alias("feature"), F.lit(m).alias("method"), F.col(f"e{i}").alias("e")) for i, (c, m, _) in enumerate(made)]
+    rows = df.select(*[e.alias(f"e{i}") for i, (_, _, e) in enumerate(made)]).select(F.inline(F.array(*cells)))
     out = rows.groupBy("feature", "method").agg(F.count("e").cast("double").alias("n"), F.skewness("e").alias("s"), F.kurtosis("e").alias("k"))
     ok = F.col("s").isNotNull() & ~F.isnan("s")
     p = F.exp(-F.col("n") / 12 * (F.col("s") * F.col("s") + F.col("k") * F.col("k") / 4))
@@ -230,6 +256,11 @@ def extra_choice(df: DataFrame, cols: Sequence[str], alpha: float = ALPHA_SIMPLE
 
     A column that already looks normal keeps ``none``.
     """
+    return _extra_choice(df, cols, alpha, max_skew)[0]
+
+
+def _extra_choice(df: DataFrame, cols: Sequence[str], alpha: float = ALPHA_SIMPLE, max_skew: float = SKEW_SIMPLE) -> tuple[DataFrame, dict[str, list[float]]]:
+    """The choice and the landmarks that the quantile transform was judged with."""
     names = list(cols)
     ok = {r["feature"]: r["boxcox_ok"] for r in validity(df, names).collect()}
     positive = [c for c in names if ok[c]]
@@ -242,14 +273,13 @@ def extra_choice(df: DataFrame, cols: Sequence[str], alpha: float = ALPHA_SIMPLE
         jobs[c] = {"none": x, "yeo": yeo_johnson(x, lam_y[c])}
         if c in lam_b:
             jobs[c]["boxcox"] = boxcox(x, lam_b[c])
-        u = F.when(x.isNotNull(), _rank_map(x, marks[c]))
-        jobs[c]["quantile"] = special.norm_ppf_col(F.least(F.greatest(u, F.lit(1e-7)), F.lit(1 - 1e-7)))
+        jobs[c]["quantile"] = _rank_map(x, marks[c], True)
     s = shape_scores(df, jobs)
     fine = (F.col("method") == "none") & (F.col("p") > alpha) & (F.col("skew") < max_skew)
     rank = F.struct(fine.cast("int").alias("a"), F.col("p").alias("b"), (-F.col("skew")).alias("c"))
     best = s.groupBy("feature").agg(F.max_by(F.struct("method", "p", "skew"), rank).alias("r")).select("feature", "r.*")
     lam = lambda d: F.create_map(*[F.lit(x) for kv in d.items() for x in kv])[F.col("feature")] if d else F.lit(None).cast("double")
-    return best.select("feature", "method", F.when(F.col("method") == "boxcox", lam(lam_b)).when(F.col("method") == "yeo", lam(lam_y)).alias("lambda"), "p", "skew")
+    return best.select("feature", "method", F.when(F.col("method") == "boxcox", lam(lam_b)).when(F.col("method") == "yeo", lam(lam_y)).alias("lambda"), "p", "skew"), marks
 
 
 def mode_switch(df: DataFrame, cols: Sequence[str], cells: int = CELL_SWITCH) -> str:
@@ -281,9 +311,9 @@ def fit_plan(df: DataFrame, cols: Sequence[str] | None = None, mode: str = "enha
     if mode == "enhanced":
         pre |= {r["feature"]: r["method"] for r in best_pre(df, names).collect()}
     staged = as_numbers(df, names).select(*[PRE[pre[c]](F.col(f"`{c}`")).alias(c) for c in names])
-    extra = {r["feature"]: r for r in extra_choice(staged, names).collect()}
-    quant = [c for c in names if extra[c]["method"] == "quantile"]
-    marks = landmarks(staged, quant) if quant else {}
+    choice, marks = _extra_choice(staged, names)
+    extra = {r["feature"]: r for r in choice.collect()}
+    marks = {c: marks[c] for c in names if extra[c]["method"] == "quantile"}
     scaler = "standard" if mode == "enhanced" else global_scaler(df, names).first()["scaler"]
     shaped = staged.select(*[_extra(F.col(f"`{c}`"), extra[c]["method"], extra[c]["lambda"], marks.get(c)).alias(c) for c in names])
     par = {r["feature"]: r for r in scaler_parameters(shaped, names, scaler).collect()}
@@ -301,8 +331,7 @@ def _extra(x: Column, method: str, lam: float | None, marks: Sequence[float] | N
     if method == "yeo":
         return yeo_johnson(x, lam)
     if method == "quantile":
-        u = F.when(x.isNotNull(), _rank_map(x, marks))
-        return special.norm_ppf_col(F.least(F.greatest(u, F.lit(1e-7)), F.lit(1 - 1e-7)))
+        return _rank_map(x, marks, True)
     return x
 
 
