@@ -1,8 +1,8 @@
 """Training preparation: split, then impute, scale, treat and encode with plans fitted on the training part.
 
 Each fit is a few aggregates over the training rows and ends in a small plan
-table; applying the plans is a projection, so train, val and test stay lazy
-frames over one source. Plans are written once and can be reloaded for scoring.
+table. The split, the filled and the scaled training rows and the prepared parts
+are each computed once and read by all later steps. Plans are written once and can be reloaded for scoring.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import numeric_cols, text_cols
 from ..operators import encode, impute, outliers, scale, splits
+from ..session import cut_lineage
 
 PARTS = ("train", "val", "test")
 
@@ -53,15 +54,15 @@ class Preparation:
 
 def prepare(df: DataFrame, key: str, target: str, numeric: Sequence[str] | None = None, seed: int = 42) -> tuple[dict[str, DataFrame], Preparation]:
     """The three prepared parts and the fitted plans."""
-    marked = splits.stratified_split(df, key, target, seed=seed)
+    marked = cut_lineage(splits.stratified_split(df, key, target, seed=seed))
     parts = {p: marked.filter(F.col("split") == p).drop("split") for p in PARTS}
     train = parts["train"]
     features = [c for c in df.columns if c not in (key, target)]
     plan = impute.fit_plan(train.select(key, *features), key, seed=seed)
-    filled = impute.apply_plan(train, plan, key, train, seed)
+    filled = cut_lineage(impute.apply_plan(train, plan, key, train, seed))
     nums = [c for c in (numeric or numeric_cols(filled, [key, target])) if c in filled.columns]
     scaling = scale.fit_plan(filled, nums)
-    scaled = scale.apply_plan(filled, scaling)
+    scaled = cut_lineage(scale.apply_plan(filled, scaling))
     fences = outliers.fit_fences(scaled, nums)
     cats = text_cols(filled, [target])
     hot = {}
@@ -69,4 +70,4 @@ def prepare(df: DataFrame, key: str, target: str, numeric: Sequence[str] | None
         routes = encode.route_encoders(filled, cats).collect()
         hot = {r["feature"]: encode.levels_of(filled, r["feature"]) for r in routes if r["linear"] == "onehot"}
     fitted = Preparation(key, plan, scaling, fences, hot, train)
-    return {p: fitted.apply(frame, winsorize=p == "train") for p, frame in parts.items()}, fitted
+    return {p: cut_lineage(fitted.apply(frame, winsorize=p == "train")) for p, frame in parts.items()}, fitted
