@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -194,35 +194,46 @@ def _base_sums(df: DataFrame, cols: Sequence[str]) -> dict:
 
 
 def _round_sums(df: DataFrame, base: dict, students: dict[str, list[_Student]], weibulls: dict[str, _Weibull], modes: Sequence[str]) -> dict:
-    """All sums of a round for all columns, from one scan; the parameters, a row a column, are broadcast."""
-    spark = df.sparkSession
+    """All sums of a round for all columns, from one scan: a task sums whole batches and hands on a row for each column."""
     cols = sorted({*students, *weibulls, *modes})
-    width = max([len(s) for s in students.values()], default=0)
-    rows = []
-    for c in cols:
-        mine = students.get(c, [])
-        pad = [None] * (width - len(mine))
-        k = weibulls[c].k if c in weibulls else None
-        rows.append((c, float(base[c]["lo"]), float(base[c]["hi"]), k, c in modes, [s.nu for s in mine] + pad, [s.mu for s in mine] + pad, [s.s2 for s in mine] + pad))
-    table = spark.createDataFrame(rows, "feature string, lo double, hi double, k double, modes boolean, nu array<double>, mu array<double>, s2 array<double>")
-    x, y = F.col("value"), F.col("value") / F.col("hi")
-    sums = []
-    for i in range(width):
-        r = x - F.col("mu")[i]
-        u = r * r / (F.col("nu")[i] * F.col("s2")[i])
-        q = 1 / (1 + u)
-        sums += [F.sum(e).alias(f"t{i}_{j}") for j, e in enumerate((F.log1p(u), q, r * q, u * q, u * q * q, r * q * q))]
-    if weibulls:
-        power = F.pow(F.when(F.col("k").isNotNull() & (y > 0), y), F.col("k"))
-        sums += [F.avg(power * f).alias(f"w{j}") for j, f in enumerate((F.lit(1.0), F.ln(y), F.ln(y) * F.ln(y)))]
-    if modes:
-        span = F.col("hi") - F.col("lo")
-        for i in range(1, MODES):
-            left = F.lit(i / MODES)
-            at = F.col("lo") + span * left
-            pdf = F.when(x <= at, 2 * (x - F.col("lo") + span * 1e-9) / (span * span * left)).otherwise(2 * (F.col("hi") - x + span * 1e-9) / (span * span * (1 - left)))
-            sums.append(F.sum(F.ln(F.when(F.col("modes"), pdf))).alias(f"m{i}"))
-    return {r["feature"]: r for r in melt(df, cols).join(F.broadcast(table), "feature").groupBy("feature").agg(*sums).collect()}
+    ends = {c: (float(base[c]["lo"]), float(base[c]["hi"])) for c in cols}
+    fixed = {c: [(s.nu, s.mu, s.s2) for s in students.get(c, [])] for c in cols}
+    shape = {c: weibulls[c].k for c in cols if c in weibulls}
+
+    def sums(c: str, x: np.ndarray) -> list[float]:
+        lo, hi = ends[c]
+        span, out = hi - lo, []
+        for nu, mu, s2 in fixed[c]:
+            r = x - mu
+            u = r * r / (nu * s2)
+            q = 1 / (1 + u)
+            out += [float(e.sum()) for e in (np.log1p(u), q, r * q, u * q, u * q * q, r * q * q)]
+        if c in shape:
+            y = x[x / hi > 0] / hi
+            power, logs = np.power(y, shape[c]), np.log(y)
+            out += [float(len(y)), *(float(e.sum()) for e in (power, power * logs, power * logs * logs))]
+        if c in modes:
+            for i in range(1, MODES):
+                left = i / MODES
+                up = 2 * (x - lo + span * 1e-9) / (span * span * left)
+                out.append(float(np.log(np.where(x <= lo + span * left, up, 2 * (hi - x + span * 1e-9) / (span * span * (1 - left)))).sum()))
+        return out
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total: list = [0.0] * len(cols)
+        for b in batches:
+            with np.errstate(all="ignore"):
+                total = [t + np.array(sums(c, b[n].dropna().to_numpy(float))) for t, c, n in zip(total, cols, b.columns, strict=True)]
+        yield pd.DataFrame({"i": range(len(cols)), "s": [np.atleast_1d(t) for t in total], "seen": [np.ndim(t) > 0 for t in total]})
+
+    parts = df.select(*[observed(df, c).alias(f"x{i}") for i, c in enumerate(cols)]).mapInPandas(run, "i int, s array<double>, seen boolean").filter("seen").collect()
+    out = {}
+    for i, c in enumerate(cols):
+        s = np.sum([p["s"] for p in parts if p["i"] == i], axis=0).tolist()
+        names = [f"t{k}_{j}" for k in range(len(fixed[c])) for j in range(6)] + ["n", "w0", "w1", "w2"] * (c in shape) + [f"m{k}" for k in range(1, MODES)] * (c in modes)
+        out[c] = dict(zip(names, s, strict=True))
+        out[c] |= {f"w{j}": out[c][f"w{j}"] / out[c]["n"] for j in range(3)} if c in shape else {}
+    return out
 
 
 def _closed_forms(ok: Sequence[str], s) -> list[tuple[str, list[float], float]]:
