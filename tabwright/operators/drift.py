@@ -50,7 +50,10 @@ def _cdf_steps(long: DataFrame, value: str, side: str, keys: Sequence[str]) -> D
 
 def ks_two_sample(long: DataFrame, value: str, side: str, keys: Sequence[str]) -> DataFrame:
     """``(keys, statistic, p_value, drift)`` with the asymptotic p value."""
-    steps = _cdf_steps(long, value, side, keys)
+    return _ks(_cdf_steps(long, value, side, keys), keys)
+
+
+def _ks(steps: DataFrame, keys: Sequence[str]) -> DataFrame:
     out = steps.groupBy(*keys).agg(F.max(F.abs(F.col("f") - F.col("g"))).alias("statistic"), F.max("n").alias("n"), F.max("m").alias("m"))
     p = special.on_results(special.ks_two_sample_p)("statistic", "n", "m")
     return out.withColumn("p_value", p).select(*keys, "statistic", "p_value", (F.col("p_value") < KS_ALPHA).alias("drift"))
@@ -62,7 +65,10 @@ def wasserstein(long: DataFrame, value: str, side: str, keys: Sequence[str]) ->
     Inside an ordered bucket the next value is a lead; the gap between buckets is
     closed from the bucket borders, so no global sort is needed.
     """
-    steps = cut_lineage(_cdf_steps(long, value, side, keys))
+    return _area(cut_lineage(_cdf_steps(long, value, side, keys)), value, keys)
+
+
+def _area(steps: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
     cut = ordering.with_bucket(steps, value, keys)
     w = Window.partitionBy(*keys, "__bucket").orderBy(value)
     gap = F.abs(F.col("f") - F.col("g"))
@@ -118,9 +124,9 @@ def psi(ref: DataFrame, new: DataFrame, cols: Sequence[str], bins: int = PSI_BIN
 
 def divergences(ref: DataFrame, new: DataFrame, cols: Sequence[str], bins: int = 20) -> DataFrame:
     """``(feature, jsd, psi, kl)`` of equal-width density histograms, each over its own range, plus 1e-9."""
-    one = lambda df, s: df.select(F.lit(s).alias("side"), *[F.col(f"`{c}`") for c in cols])
-    both = one(ref, 0).unionByName(one(new, 1))
-    h = histogram(both, cols, bins, ["side"])
+    # A side alone has a handful of ranges, which are broadcast; keyed by side its rows would meet them in one task for each column.
+    one = lambda df, s: histogram(df, cols, bins).withColumn("side", F.lit(s))
+    h = cut_lineage(one(ref, 0).unionByName(one(new, 1)))
     total = h.groupBy("side", "feature").agg(F.sum("n").alias("all"))
     dens = h.join(F.broadcast(total), ["side", "feature"]).select(
         "side", "feature", "bin", F.try_divide(F.col("n") / F.col("all"), (F.col("hi") - F.col("lo")) / bins).alias("d")
@@ -176,9 +182,8 @@ def drift_report(ref: DataFrame, new: DataFrame, numeric: Sequence[str] | None =
     parts = []
     null = lambda name: F.lit(None).cast("double").alias(name)
     if nums:
-        long = sided(ref, new, nums)
-        ks = ks_two_sample(long, "value", "side", ["feature"])
-        out = ks.join(psi(ref, new, nums), "feature").join(wasserstein(long, "value", "side", ["feature"]), "feature")
+        steps = cut_lineage(_cdf_steps(sided(ref, new, nums), "value", "side", ["feature"]))
+        out = _ks(steps, ["feature"]).join(psi(ref, new, nums), "feature").join(_area(steps, "value", ["feature"]), "feature")
         hit = F.col("drift") | (F.col("psi") >= PSI_LIMIT) | (F.col("wasserstein") >= WASSERSTEIN_LIMIT)
         parts.append(
             out.select("feature", F.lit("numeric").alias("kind"), F.col("statistic").alias("ks"), F.col("p_value").alias("ks_p"), "psi", "wasserstein", null("chi2"), null("chi2_p"), hit.alias("drift"))
