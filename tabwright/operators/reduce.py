@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator
@@ -22,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.columns import as_numbers, hash_unit
+from ..functions.columns import as_numbers, evenly, hash_unit
 from ..functions.ordering import number_array
 from ..session import cut_lineage
 from . import models
@@ -237,14 +239,17 @@ def borda(scores: DataFrame) -> DataFrame:
     return scores.withColumn("points", points).groupBy("technique").agg(F.sum("points").cast("long").alias("points")).orderBy(F.desc("points"), "technique")
 
 
-def kmeans_elbow(df: DataFrame, cols: Sequence[str], ks: Sequence[int] = tuple(range(2, 11)), seed: int = 42) -> DataFrame:
-    """``(k, cost, silhouette)`` on standardized complete rows."""
-    vec = VectorAssembler(inputCols=list(cols), outputCol="__raw").transform(as_numbers(df, cols).dropna())
+def kmeans_elbow(df: DataFrame, cols: Sequence[str], ks: Sequence[int] = tuple(range(2, 11)), seed: int = 42, parallelism: int = 4) -> DataFrame:
+    """``(k, cost, silhouette)`` on standardized complete rows; ``parallelism`` values of k run at a time."""
+    vec = VectorAssembler(inputCols=list(cols), outputCol="__raw").transform(evenly(as_numbers(df, cols).dropna()))
     ready = StandardScaler(inputCol="__raw", outputCol="features", withMean=True).fit(vec).transform(vec).select("features").cache()
-    rows = []
-    for k in ks:
+
+    def judged(k: int) -> tuple[int, float, float]:
         model = KMeans(k=k, seed=seed).fit(ready)
-        rows.append((k, float(model.summary.trainingCost), float(ClusteringEvaluator().evaluate(model.transform(ready)))))
+        return k, float(model.summary.trainingCost), float(ClusteringEvaluator().evaluate(model.transform(ready)))
+
+    with ThreadPool(parallelism) as pool:
+        rows = pool.map(inheritable_thread_target(df.sparkSession)(judged), list(ks), chunksize=1)
     ready.unpersist()
     return df.sparkSession.createDataFrame(rows, "k int, cost double, silhouette double")
 
