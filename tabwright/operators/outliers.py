@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import gram, ordering, special
-from ..functions.columns import agg_long, as_numbers, melt, observed
+from ..functions.columns import agg_long, as_numbers, evenly, melt, observed
 from ..session import cut_lineage
 from . import neighbors
 from .hypothesis import linear_fit, residual
@@ -207,7 +207,7 @@ def minimum_determinant(df: DataFrame, cols: Sequence[str], starts: int = 10, ke
     quantile a start and one blocked product over all rows.
     """
     names, p = list(cols), len(cols)
-    work = cut_lineage(as_numbers(df.dropna(subset=names), names))
+    work = cut_lineage(evenly(as_numbers(df.dropna(subset=names), names)))
     n = work.count()
     quartiles = {r["feature"]: r["q"] for r in feature_quantiles(work, names, [0.25, 0.5, 0.75]).collect()}
     middle = np.array([quartiles[c][1] for c in names])
@@ -236,7 +236,7 @@ def robust_mahalanobis(df: DataFrame, cols: Sequence[str], ci: float = MULTI_CI,
     names = list(cols)
     p = len(names)
     full = df.dropna(subset=names)
-    work = cut_lineage(as_numbers(full, names))
+    work = cut_lineage(evenly(as_numbers(full, names)))
     shift = lambda m: [F.col(f"`{c}`") - float(v) for c, v in zip(names, m)]
     loc, cov = minimum_determinant(work, names, starts=starts, max_steps=max_steps, seed=seed)
     d = work.withColumn("__d", _quadratic(shift(loc), np.linalg.pinv(cov)))
