@@ -88,51 +88,51 @@ def _levels(codes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, int]]:
         low, high, step = np.bitwise_and.reduceat(low, at), np.bitwise_or.reduceat(high, at), step * FAN
 
 
-def components(codes: np.ndarray, radius: int) -> np.ndarray:
-    """Component number of each code (distinct, uint64) under links of ``radius`` or fewer differing bits.
+def index_links(codes: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """All links of ``radius`` or fewer differing bits between codes (uint64), in blocks (members, queries, which query is near which member) of positions.
 
     The codes, in Gray order, are leaves of a tree whose nodes hold the bits that their codes share. A search goes down with all
     codes at once: a child adds the differences in the bits that its parent left open, and codes with more than ``radius`` are dropped with the whole group below.
     """
+    if len(codes) <= 2 * LEAF:
+        everyone = np.arange(len(codes))
+        yield everyone, everyone, np.bitwise_count(codes[:, None] ^ codes[None, :]) <= radius
+        return
     order = np.argsort(gray_rank(codes), kind="stable")
     codes = codes[order]
-    root = np.arange(len(codes))
+    levels = _levels(codes)
+    top = len(levels) - 1
+    stack = [(top, i, np.arange(len(codes)), np.zeros(len(codes), np.int16), np.uint64(0)) for i in range(len(levels[top][0]))]
+    while stack:
+        level, i, queries, apart, known = stack.pop()
+        pattern, mask, step = levels[level]
+        apart = apart + np.bitwise_count((codes[queries] ^ pattern[i]) & (mask[i] & ~known))
+        stays = apart <= radius
+        queries, apart = queries[stays], apart[stays]
+        if not len(queries):
+            continue
+        if level:
+            stack += [(level - 1, k, queries, apart, mask[i]) for k in range(i * FAN, min((i + 1) * FAN, len(levels[level - 1][0])))]
+        else:
+            members = np.arange(i * step, min((i + 1) * step, len(codes)))
+            open_bits = ~mask[i]
+            for at in range(0, len(queries), 4096):
+                q = queries[at : at + 4096]
+                near = apart[at : at + 4096, None] + np.bitwise_count((codes[q][:, None] ^ codes[members][None, :]) & open_bits) <= radius
+                some = near.any(axis=0)
+                yield order[members[some]], order[q], near[:, some]
+
 
-    def link(members: np.ndarray, queries: np.ndarray, near: np.ndarray) -> None:
+def components(codes: np.ndarray, radius: int) -> np.ndarray:
+    """Component number of each code (distinct, uint64) under links of ``radius`` or fewer differing bits."""
+    root = np.arange(len(codes))
+    for members, queries, near in index_links(codes, radius):
         for j, m in enumerate(members):
             labels = np.unique(root[queries[near[:, j]]])
             if len(labels) > 1 or labels[0] != root[m]:
                 labels = np.union1d(labels, root[m : m + 1])
                 root[np.isin(root, labels)] = labels[0]
-
-    if len(codes) <= 2 * LEAF:
-        everyone = np.arange(len(codes))
-        link(everyone, everyone, np.bitwise_count(codes[:, None] ^ codes[None, :]) <= radius)
-    else:
-        levels = _levels(codes)
-        top = len(levels) - 1
-        stack = [(top, i, np.arange(len(codes)), np.zeros(len(codes), np.int16), np.uint64(0)) for i in range(len(levels[top][0]))]
-        while stack:
-            level, i, queries, apart, known = stack.pop()
-            pattern, mask, step = levels[level]
-            apart = apart + np.bitwise_count((codes[queries] ^ pattern[i]) & (mask[i] & ~known))
-            stays = apart <= radius
-            queries, apart = queries[stays], apart[stays]
-            if not len(queries):
-                continue
-            if level:
-                stack += [(level - 1, k, queries, apart, mask[i]) for k in range(i * FAN, min((i + 1) * FAN, len(levels[level - 1][0])))]
-            else:
-                members = np.arange(i * step, min((i + 1) * step, len(codes)))
-                open_bits = ~mask[i]
-                for at in range(0, len(queries), 4096):
-                    q = queries[at : at + 4096]
-                    near = apart[at : at + 4096, None] + np.bitwise_count((codes[q][:, None] ^ codes[members][None, :]) & open_bits) <= radius
-                    some = near.any(axis=0)
-                    link(members[some], q, near[:, some])
-    out = np.empty(len(codes), np.int64)
-    out[order] = root
-    return out
+    return root
 
 
 def chains(codes: np.ndarray, nodes: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -189,24 +189,28 @@ def links(nodes: DataFrame, radius: int = 3, unit: int = 4096) -> DataFrame:
 def spread(edges: DataFrame) -> DataFrame:
     """Rows (``node``, ``root``): the smallest node that each node of ``edges`` (``a``, ``b``) reaches.
 
-    Each round joins the links, whose nodes have few links each, with the labels of both ends, hooks every label to the smallest one beside it
-    and follows the hooks; labels only fall, and the rounds end when both ends of every link agree. Each round's labels are
-    written to the shared folder.
+    The links, whose nodes have few links each, are joined once with the first labels of both ends; from there on they are links between labels, of which each
+    round keeps those of different labels, once. A round hooks every label to the smallest one beside it and follows the hooks; labels only fall, and the rounds end
+    when no links are left. Each round's labels are written to the shared folder.
     """
     edges = saved(edges, "links")
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = saved(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")), "labels")
+    left = labels.select(F.col("node").alias("a"), F.col("root").alias("ra"))
+    right = labels.select(F.col("node").alias("b"), F.col("root").alias("rb"))
+    ends = edges.join(left, "a").join(right, "b").select("ra", "rb")
     while True:
-        left = labels.select(F.col("node").alias("a"), F.col("root").alias("ra"))
-        right = labels.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-        ends = edges.join(left, "a").join(right, "b").filter("ra != rb")
-        hooks = saved(ends.groupBy(F.greatest("ra", "rb").alias("root")).agg(F.min(F.least("ra", "rb")).alias("to")), "hooks")
-        if hooks.isEmpty():
+        ends = saved(ends.filter("ra != rb").select(F.least("ra", "rb").alias("ra"), F.greatest("ra", "rb").alias("rb")).distinct(), "ends")
+        if ends.isEmpty():
             return labels
+        hooks = saved(ends.groupBy(F.col("rb").alias("root")).agg(F.min("ra").alias("to")), "hooks")
         for _ in range(2):
             onward = hooks.select(F.col("root").alias("to"), F.col("to").alias("__on"))
             hooks = hooks.join(onward, "to", "left").select("root", F.coalesce("__on", "to").alias("to"))
+        hooks = saved(hooks, "hooked")
         labels = saved(labels.join(hooks, "root", "left").select("node", F.coalesce("to", "root").alias("root")), "labels")
+        for end in ("ra", "rb"):
+            ends = ends.join(hooks.withColumnsRenamed({"root": end, "to": "__to"}), end, "left").withColumn(end, F.coalesce("__to", end)).drop("__to")
 
 
 def grouped(prints: DataFrame, key: str, radius: int) -> DataFrame:
@@ -234,74 +238,75 @@ def near_duplicates(docs: DataFrame, radius: int = 3, id_col: str = "doc_id", te
     return prints.join(named, "fps").select(F.col("__id").alias(id_col), F.lower(F.lpad(F.hex(F.get("fps", 0)), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def similar(sets: list[np.ndarray], least: float) -> np.ndarray:
+def similar(sets: list[np.ndarray], least: float, fps: np.ndarray | None = None, radius: int = 0) -> np.ndarray:
     """Component number of each set (of distinct hashes) under links of Jaccard ``least`` or more.
 
-    A search over the links: each set reached is compared with all that are not reached yet, so a group of near copies costs about one pass over it.
+    With ``fps`` (a row of fingerprints, uint64, for each set) only sets link of which the index finds a fingerprint within ``radius`` bits; without, any two. Each
+    link is compared on the whole sets, once, unless its ends hold together already, so a group of near copies costs about one pass over it.
     """
     sizes = np.array([len(x) for x in sets], np.int64)
     ids = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_inverse=True)[1]
-    starts = np.concatenate([[0], np.cumsum(sizes)])
+    starts = np.cumsum(sizes) - sizes
     mark = np.zeros(len(ids) + 1, bool)
-    label = np.full(len(sets), -1)
-    left = np.argsort(sizes, kind="stable")
-    held, first = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def compact() -> None:
-        nonlocal held, first
-        held = np.concatenate([np.zeros(0, np.int64), *(ids[starts[i] : starts[i + 1]] for i in left)])
-        first = np.concatenate([[0], np.cumsum(sizes[left])])
-
-    compact()
-    for seed in np.argsort(sizes, kind="stable"):
-        if label[seed] >= 0:
-            continue
-        label[seed], queue = seed, [seed]
-        while queue:
-            i = queue.pop()
-            lo = np.searchsorted(sizes[left], np.ceil(least * sizes[i] - 1e-9))
-            hi = np.searchsorted(sizes[left], np.floor(sizes[i] / least + 1e-9), side="right")
-            some = left[lo:hi]
-            own = ids[starts[i] : starts[i + 1]]
-            mark[own] = True
-            running = np.concatenate([[0], np.cumsum(mark[held[first[lo] : first[hi]]])])
-            cuts = first[lo : hi + 1] - first[lo]
-            both = running[cuts[1:]] - running[cuts[:-1]]
-            mark[own] = False
-            near = some[(both >= least * (sizes[some] + sizes[i] - both) - 1e-9) & (label[some] < 0)]
-            label[near] = seed
-            queue += near.tolist()
-            if 2 * (label[left] < 0).sum() <= len(left):
-                left = left[label[left] < 0]
-                compact()
+    label = np.arange(len(sets))
+
+    def near_ones(m: int, some: np.ndarray) -> np.ndarray:
+        own = ids[starts[m] : starts[m] + sizes[m]]
+        ends = np.cumsum(sizes[some])
+        mark[own] = True
+        running = np.concatenate([[0], np.cumsum(mark[ids[np.arange(ends[-1]) + np.repeat(starts[some] - ends + sizes[some], sizes[some])]])])
+        mark[own] = False
+        both = running[ends] - running[ends - sizes[some]]
+        return some[both >= least * (sizes[some] + sizes[m] - both) - 1e-9]
+
+    def linked() -> Iterator[tuple[int, np.ndarray]]:
+        if fps is None:
+            yield from ((m, np.arange(m + 1, len(sets))) for m in range(len(sets)))
+            return
+        for k in range(fps.shape[1]):
+            for members, queries, near in index_links(np.ascontiguousarray(fps[:, k]), radius):
+                near = near & (queries[:, None] > members[None, :]) & (label[queries][:, None] != label[members][None, :])
+                for j in np.flatnonzero(near.any(axis=0)):
+                    m, some = members[j], queries[near[:, j]]
+                    yield m, some[(np.bitwise_count(fps[some, :k] ^ fps[m, :k]) > radius).all(axis=1)]  # else compared already
+
+    for m, some in linked():
+        some = some[(label[some] != label[m]) & (np.minimum(sizes[some], sizes[m]) >= least * np.maximum(sizes[some], sizes[m]) - 1e-9)]
+        if len(some) and len(some := near_ones(m, some)):
+            labels = np.union1d(label[some], label[m : m + 1])
+            label[np.isin(label, labels)] = labels[0]
     return label
 
 
-def verified(members: DataFrame, least: float, unit: int = 1 << 21) -> DataFrame:
+def verified(members: DataFrame, least: float, unit: int = 1 << 21, radius: int | None = None) -> DataFrame:
     """Links (``a``, ``b``) of Jaccard ``least`` or more that hold together the components of (``node``, ``family``, ``shingles``) inside each family.
 
-    All pairs of a family are compared on their whole shingle sets. A family of more than ``unit`` shingles is dealt into parts at random and each pair of
+    With ``radius`` the links are those of the index on ``fps``: two nodes with a fingerprint of both within ``radius`` bits, each compared on the whole shingle
+    sets; without, all pairs of a family. A family of more than ``unit`` shingles or 4,096 nodes is dealt into parts at random and each pair of
     parts is one search, so that a task holds about 2 x ``unit`` shingles however large the family is.
     """
-    large = members.groupBy("family").agg(F.sum(F.size("shingles")).alias("n")).filter(F.col("n") > unit).select("family", F.ceil(F.col("n") / unit).alias("parts"))
+    weight = F.size("shingles") + F.lit(unit / 4096)
+    large = members.groupBy("family").agg(F.sum(weight).alias("n")).filter(F.col("n") > unit).select("family", F.ceil(F.col("n") / unit).alias("parts"))
     part = F.pmod(F.xxhash64("node", F.lit("part")), F.col("parts"))
     pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda other: F.least(part, other) * F.col("parts") + F.greatest(part, other))
     units = members.join(large, "family", "left")
-    units = units.select("family", F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(-1).cast("long"))).otherwise(pairs)).alias("pair"), "node", "shingles")
+    fps = F.array().cast("array<long>") if radius is None else F.col("fps")
+    units = units.select("family", F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(-1).cast("long"))).otherwise(pairs)).alias("pair"), "node", fps.alias("fps"), "shingles")
 
-    def chained(rows: list[tuple[int, np.ndarray]]) -> list[tuple[int, int]]:
-        label = similar([np.asarray(x, np.int64).view(np.uint64) for _, x in rows], least)
+    def chained(rows: list[tuple[int, np.ndarray, np.ndarray]]) -> list[tuple[int, int]]:
+        prints = None if radius is None else np.array([p for _, p, _ in rows], np.int64).view(np.uint64)
+        label = similar([np.asarray(x, np.int64).view(np.uint64) for _, _, x in rows], least, prints, radius or 0)
         return [(rows[i][0], rows[k][0]) for i, k in enumerate(label) if i != k]
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, rows = None, []
         for b in batches:
             out = []
-            for family, pair, node, shingles in zip(b.family, b.pair, b.node, b.shingles, strict=True):
+            for family, pair, node, prints, shingles in zip(b.family, b.pair, b.node, b.fps, b.shingles, strict=True):
                 if at != (family, pair):
                     out += chained(rows) if len(rows) > 1 else []
                     at, rows = (family, pair), []
-                rows.append((node, shingles))
+                rows.append((node, prints, shingles))
             yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
         if len(rows) > 1:
             yield pd.DataFrame(chained(rows), columns=["a", "b"], dtype="int64")
@@ -310,12 +315,12 @@ def verified(members: DataFrame, least: float, unit: int = 1 << 21) -> DataFrame
     return dealt.mapInPandas(search, "a long, b long").distinct()
 
 
-def deduplicated(docs: DataFrame, radius: int = 7, prints: int = 4, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", least: float = 0.8, width: int = 5) -> DataFrame:
+def deduplicated(docs: DataFrame, radius: int = 7, prints: int = 8, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", least: float = 0.8, width: int = 5) -> DataFrame:
     """``docs`` with one row of each component: that of the smallest id, and of several such rows one; a component without any id keeps a row too.
 
-    Texts link if the Jaccard similarity of their distinct ``width``-word shingles is ``least`` or more; links carry over. Fingerprints only say where to look: texts
-    that reach each other by ``radius`` or fewer differing bits in any of ``prints`` fingerprints are a family, and inside a family every pair is compared
-    exactly, one text standing for all of its shingle set. Null and empty texts are one group.
+    Texts link if any of their ``prints`` fingerprints differ in ``radius`` or fewer bits, as the index finds, and the Jaccard similarity of their distinct
+    ``width``-word shingles is ``least`` or more; links carry over. Every link of the index is checked exactly, one text standing for all of its shingle set; texts that
+    reach each other by unchecked links are a family, by which the checks are dealt out. Null and empty texts are one group.
     """
     small_batches(docs.sparkSession)
     text = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
@@ -329,16 +334,16 @@ def deduplicated(docs: DataFrame, radius: int = 7, prints: int = 4, shingle: int
 
     def shingled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"node": b["node"], "family": b["family"], "shingles": [np.unique(shingle_hashes(b"" if t is None else bytes(t), width)).view(np.int64) for t in b["__text"]]})
+            yield pd.DataFrame({"node": b["node"], "family": b["family"], "fps": b["fps"], "shingles": [np.unique(shingle_hashes(b"" if t is None else bytes(t), width)).view(np.int64) for t in b["__text"]]})
 
     flat = f"none boolean, id {dict(docs.dtypes)[id_col]}, t long"
     found = keyed.select("__key.*", "__text").mapInPandas(hashed, f"{flat}, node long, fps array<long>")
     nodes = saved(found.groupBy("node").agg(F.min(F.struct("none", "id", "t")).alias("least"), F.min("fps").alias("fps")), "nodes")
     families = spread(links(nodes.select("node", "fps"), radius)).select("node", F.col("root").alias("family"))
-    wanted = saved(nodes.join(families, "node").select("node", "family", F.col("least.none").alias("none"), F.col("least.id").alias("__i"), F.col("least.t").alias("t")), "families")
+    wanted = saved(nodes.join(families, "node").select("node", "family", "fps", F.col("least.none").alias("none"), F.col("least.id").alias("__i"), F.col("least.t").alias("t")), "families")
     same = keyed.select("__key.*", "__text").join(wanted.withColumnsRenamed({"none": "__n", "t": "__t"}), (F.col("t") == F.col("__t")) & F.col("id").eqNullSafe(F.col("__i")))
-    members = saved(same.dropDuplicates(["node"]).select("node", "family", "__text").mapInPandas(shingled, "node long, family long, shingles array<long>"), "shingles")
-    roots = spread(verified(members, least))
+    members = saved(same.dropDuplicates(["node"]).select("node", "family", "fps", "__text").mapInPandas(shingled, "node long, family long, fps array<long>, shingles array<long>"), "shingles")
+    roots = spread(verified(members, least, radius=radius))
     labelled = saved(nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "labelled")
     h, first_id, first_text = (free_name(docs, x) for x in ("h_", "id_", "t_"))
     kept = labelled.groupBy("root").agg(F.min("least").alias("first")).select(F.col("first.id").alias(first_id), F.col("first.t").alias(first_text))

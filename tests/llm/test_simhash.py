@@ -150,3 +150,106 @@ def test_verified_links_against_all_pairs(spark):
         label = {r.node: r.root for r in simhash.spread(simhash.verified(df, 0.8, unit)).collect()}
         got = [label.get(i, i) for i in range(len(sets))]
         assert len(set(zip(got, root, strict=True))) == len(set(root)) == len(set(got))
+
+
+def edited(rng, base, word, most):
+    """``base`` with up to ``most`` words changed, a run of words replaced or words added at its end."""
+    out = list(base)
+    kind = rng.randrange(3)
+    n = rng.randint(1, most)
+    if kind == 0:
+        for at in rng.sample(range(len(out)), n):
+            out[at] = word()
+    elif kind == 1:
+        at = rng.randrange(len(out) - n)
+        out[at : at + n] = [word() for _ in range(n)]
+    else:
+        out += [word() for _ in range(2 * n)]
+    return out
+
+
+def test_links_of_the_index_are_checked_one_by_one(spark, docs_of):
+    """Components of exactly the pairs that have both a fingerprint within the radius and similar shingles, in groups whose texts reach each other by other links."""
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 9)))
+    texts = []
+    for _ in range(12):
+        group = [[word() for _ in range(rng.randint(60, 120))]]
+        group += [edited(rng, rng.choice(group), word, 3) for _ in range(11)]
+        texts += group
+    rows = [(i, " ".join(w)) for i, w in enumerate(texts)]
+    sets = [{tuple(w[j : j + 5]) for j in range(len(w) - 4)} for w in texts]
+    prints = [simhash.fingerprint(t.encode(), 3, 2) for _, t in rows]
+    near = lambda i, j: (np.bitwise_count(prints[i] ^ prints[j]) <= 5).any()
+    alike = lambda i, j: len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+
+    def grouped(linked):
+        root = list(range(len(rows)))
+        for i in range(len(rows)):
+            for j in range(i):
+                if root[i] != root[j] and linked(i, j):
+                    low, high = sorted((root[i], root[j]))
+                    root = [low if r == high else r for r in root]
+        return root
+
+    family = grouped(near)
+    want = set(grouped(lambda i, j: near(i, j) and alike(i, j)))
+    assert want != set(grouped(lambda i, j: family[i] == family[j] and alike(i, j)))
+    assert {r.doc_id for r in simhash.deduplicated(docs_of(rows), radius=5, prints=2).collect()} == want
+
+
+def test_checked_links_against_brute_force():
+    """Links of several fingerprints on many sets, so that the index is a tree of levels; copies of a fingerprint have different sets."""
+    rng = np.random.default_rng(14)
+    bases = [rng.choice(1 << 40, 60, replace=False) for _ in range(30)]
+    centres = rng.integers(0, 1 << 63, (30, 3), dtype=np.uint64)
+    sets, fps = [], []
+    for i in range(600):
+        g = int(rng.integers(30))
+        sets.append(np.unique(np.concatenate([bases[g][rng.integers(0, 9) :], rng.choice(1 << 40, rng.integers(0, 9))])).astype(np.uint64))
+        fps.append([int(c) ^ sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 5), replace=False)) for c in centres[g]])
+    fps = np.array(fps, np.uint64)
+    held = [set(x.tolist()) for x in sets]
+    want = np.arange(len(sets))
+    for i in range(len(sets)):
+        for j in range(i):
+            if (np.bitwise_count(fps[i] ^ fps[j]) <= 3).any() and len(held[i] & held[j]) >= 0.8 * len(held[i] | held[j]):
+                want[want == want[j]] = want[i]
+    got = simhash.similar(sets, 0.8, fps, 3)
+    assert 30 < len(set(got.tolist())) == len(set(want.tolist())) == len(set(zip(got.tolist(), want.tolist(), strict=True)))
+
+
+def test_pairs_of_little_over_the_least_similarity_are_found(spark, docs_of):
+    rng = random.Random(15)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 9)))
+    rows = []
+    while len(rows) < 400:
+        base = [word() for _ in range(rng.randint(45, 150))]
+        other = edited(rng, base, word, 8)
+        a, b = ({tuple(w[j : j + 5]) for j in range(len(w) - 4)} for w in (base, other))
+        if 0.8 <= len(a & b) / len(a | b) <= 0.9:
+            rows += [(len(rows), " ".join(base)), (len(rows) + 1, " ".join(other))]
+    kept = {r.doc_id for r in simhash.deduplicated(docs_of(rows)).collect()}
+    assert {i for i in range(0, 400, 2)} <= kept and len(kept) <= 200 + 4
+
+
+def test_labels_of_random_links(spark, monkeypatch):
+    """Smallest node of each component, self links and links both ways; the links themselves are written once, later rounds hold fewer."""
+    rng = random.Random(16)
+    edges = [(i, rng.randrange(i)) for i in range(1, 300)] + [(1000 + i, 1000 + rng.randrange(2000)) for i in range(1500)] + [(5, 5), (9000, 9001), (9001, 9000)]
+    root = {}
+
+    def find(x):
+        root.setdefault(x, x)
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    sizes, real = [], simhash.saved
+    monkeypatch.setattr(simhash, "saved", lambda df, name: (out := real(df, name), sizes.append(out.count()) if name == "ends" else None)[0])
+    got = {r.node: r.root for r in simhash.spread(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: find(x) for x in root}
+    assert sizes and sizes[0] < len(edges) and sizes[-1] == 0 and all(b < a for a, b in zip(sizes, sizes[1:]))
