@@ -24,6 +24,25 @@ def test_vectors_of_one_large_partition(spark):
     assert out.rdd.getNumPartitions() > 1 and out.count() == 300_000
 
 
+def test_residual_blend_fits_on_rows_dealt_out(spark, monkeypatch):
+    """The forest keeps its rows by partition, so no partition of them may grow with the file."""
+    sizes, made = [], models.estimator
+    monkeypatch.setattr(models, "evenly", lambda df: evenly(df, 100))
+
+    class Fitted:
+        def __init__(self, model):
+            self.model = model
+
+        def fit(self, df):
+            sizes.append(df.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect())
+            return self.model.fit(df)
+
+    monkeypatch.setattr(models, "estimator", lambda *a: Fitted(made(*a)))
+    out = models.residual_blend(sample(spark, 1000).coalesce(1), ["a", "b"], "c", "id", (0, 5)).collect()
+    assert len(out) == 1000 and all(0 <= r.prediction <= 5 for r in out)
+    assert len(sizes) == 1 and sum(sizes[0]) == 1000 and max(sizes[0]) <= 100
+
+
 def test_elbow_and_covariance_deal_their_rows_out(spark, monkeypatch):
     seen = []
     for module in (reduce, outliers):
