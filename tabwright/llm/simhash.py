@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +15,10 @@ from .common import free_name, saved, small_batches
 
 LEAF, FAN = 32, 8
 ROWS = 255
+#: Slots in which shingles are counted to tell common ones from rare ones, sent in pieces.
+SLOT_BITS, PIECE = 18, 1 << 12
+#: Texts that share a shingle, up to which their pairs are listed; more are searched in blocks.
+FEW = 64
 
 
 def remixed(hashes: np.ndarray, k: int) -> np.ndarray:
@@ -238,8 +243,8 @@ def near_duplicates(docs: DataFrame, radius: int = 3, id_col: str = "doc_id", te
     return prints.join(named, "fps").select(F.col("__id").alias(id_col), F.lower(F.lpad(F.hex(F.get("fps", 0)), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def similar(sets: list[np.ndarray], least: float, fps: np.ndarray | None = None, radius: int = 0) -> np.ndarray:
-    """Component number of each set (of distinct hashes) under links of Jaccard ``least`` or more.
+def similar(sets: list[np.ndarray], least: float, fps: np.ndarray | None = None, radius: int = 0, known: np.ndarray | None = None) -> np.ndarray:
+    """Component number of each set (of distinct hashes) under links of Jaccard ``least`` or more; sets of one number in ``known`` hold together from the start.
 
     With ``fps`` (a row of fingerprints, uint64, for each set) only sets link of which the index finds a fingerprint within ``radius`` bits; without, any two. Each
     link is compared on the whole sets, once, unless its ends hold together already, so a group of near copies costs about one pass over it.
@@ -249,6 +254,9 @@ def similar(sets: list[np.ndarray], least: float, fps: np.ndarray | None = None,
     starts = np.cumsum(sizes) - sizes
     mark = np.zeros(len(ids) + 1, bool)
     label = np.arange(len(sets))
+    if known is not None:
+        _, first, at = np.unique(known, return_index=True, return_inverse=True)
+        label = first[at]
 
     def near_ones(m: int, some: np.ndarray) -> np.ndarray:
         own = ids[starts[m] : starts[m] + sizes[m]]
@@ -282,7 +290,7 @@ def verified(members: DataFrame, least: float, unit: int = 1 << 21, radius: int
     """Links (``a``, ``b``) of Jaccard ``least`` or more that hold together the components of (``node``, ``family``, ``shingles``) inside each family.
 
     With ``radius`` the links are those of the index on ``fps``: two nodes with a fingerprint of both within ``radius`` bits, each compared on the whole shingle
-    sets; without, all pairs of a family. A family of more than ``unit`` shingles or 4,096 nodes is dealt into parts at random and each pair of
+    sets; without, all pairs of a family. Nodes of one ``label``, if there is that column, hold together already. A family of more than ``unit`` shingles or 4,096 nodes is dealt into parts at random and each pair of
     parts is one search, so that a task holds about 2 x ``unit`` shingles however large the family is.
     """
     weight = F.size("shingles") + F.lit(unit / 4096)
@@ -291,22 +299,22 @@ def verified(members: DataFrame, least: float, unit: int = 1 << 21, radius: int
     pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda other: F.least(part, other) * F.col("parts") + F.greatest(part, other))
     units = members.join(large, "family", "left")
     fps = F.array().cast("array<long>") if radius is None else F.col("fps")
-    units = units.select("family", F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(-1).cast("long"))).otherwise(pairs)).alias("pair"), "node", fps.alias("fps"), "shingles")
+    units = units.select("family", F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(-1).cast("long"))).otherwise(pairs)).alias("pair"), "node", fps.alias("fps"), "shingles", F.col("label" if "label" in members.columns else "node").alias("label"))
 
-    def chained(rows: list[tuple[int, np.ndarray, np.ndarray]]) -> list[tuple[int, int]]:
-        prints = None if radius is None else np.array([p for _, p, _ in rows], np.int64).view(np.uint64)
-        label = similar([np.asarray(x, np.int64).view(np.uint64) for _, _, x in rows], least, prints, radius or 0)
+    def chained(rows: list[tuple[int, np.ndarray, np.ndarray, int]]) -> list[tuple[int, int]]:
+        prints = None if radius is None else np.array([p for _, p, _, _ in rows], np.int64).view(np.uint64)
+        label = similar([np.asarray(x, np.int64).view(np.uint64) for _, _, x, _ in rows], least, prints, radius or 0, np.array([k for _, _, _, k in rows]))
         return [(rows[i][0], rows[k][0]) for i, k in enumerate(label) if i != k]
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, rows = None, []
         for b in batches:
             out = []
-            for family, pair, node, prints, shingles in zip(b.family, b.pair, b.node, b.fps, b.shingles, strict=True):
+            for family, pair, node, prints, shingles, known in zip(b.family, b.pair, b.node, b.fps, b.shingles, b.label, strict=True):
                 if at != (family, pair):
                     out += chained(rows) if len(rows) > 1 else []
                     at, rows = (family, pair), []
-                rows.append((node, prints, shingles))
+                rows.append((node, prints, shingles, known))
             yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
         if len(rows) > 1:
             yield pd.DataFrame(chained(rows), columns=["a", "b"], dtype="int64")
@@ -315,35 +323,115 @@ def verified(members: DataFrame, least: float, unit: int = 1 << 21, radius: int
     return dealt.mapInPandas(search, "a long, b long").distinct()
 
 
-def deduplicated(docs: DataFrame, radius: int = 7, prints: int = 8, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", least: float = 0.8, width: int = 5) -> DataFrame:
+def shingle_set(text: bytes | None, width: int) -> np.ndarray:
+    """The distinct hashes of the runs of ``width`` words."""
+    return np.unique(shingle_hashes(b"" if text is None else bytes(text), width))
+
+
+def set_id(hashes: np.ndarray) -> int:
+    """The node of a shingle set."""
+    return int(np.uint64(xxh64_intdigest(hashes.tobytes(), 42)).view(np.int64))
+
+
+def rarest(hashes: np.ndarray, counts: np.ndarray, least: float) -> np.ndarray:
+    """The n - ceil(``least`` n) + 1 of n hashes that come first by the count of their slot: of two sets of Jaccard ``least`` or more both have one of them in common."""
+    order = np.lexsort((hashes, counts[hashes >> np.uint64(64 - SLOT_BITS)]))
+    return hashes[order[: len(hashes) - math.ceil(least * len(hashes) - 1e-9) + 1]]
+
+
+def slot_counts(pieces: DataFrame) -> np.ndarray:
+    """The sums of the tasks' counts of shingles by slot, from rows (``piece``, ``counts``); as many numbers whatever the input."""
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total: dict[int, np.ndarray] = {}
+        for b in batches:
+            for piece, counts in zip(b.piece, b.counts, strict=True):
+                total[piece] = total.get(piece, 0) + np.asarray(counts, np.int64)
+        yield pd.DataFrame({"piece": list(total), "counts": list(total.values())})
+
+    out = np.zeros(1 << SLOT_BITS, np.int64)
+    for r in pieces.repartition("piece").mapInPandas(add, "piece int, counts array<long>").collect():
+        out[r.piece * PIECE : (r.piece + 1) * PIECE] = r.counts
+    return out
+
+
+def missed_links(placed: DataFrame, roots: DataFrame, sets_of, least: float) -> DataFrame:
+    """Links (``a``, ``b``) of Jaccard ``least`` or more between nodes of different ``root``, enough to hold together what belongs together.
+
+    ``placed`` has (``node``, ``n``, ``first``): a set's size and the shingles of ``rarest``, of which two such sets share one. Where a shingle is shared by up to ``FEW`` sets their pairs are listed, without
+    those that sizes or places rule out, and each is counted once on the whole sets, which ``sets_of`` gives for nodes; a shingle of more is a family, all pairs of
+    which are searched in blocks.
+    """
+    rows = placed.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("label"), "n", F.posexplode("first").alias("at", "token"))
+    shared = rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("held")).filter("low != high").select("token", "held")
+    runs = saved(rows.join(saved(shared, "shared"), "token"), "runs")
+    few, many = runs.filter(F.col("held") <= FEW), runs.filter(F.col("held") > FEW)
+    a, b = (few.select("token", *[F.col(c).alias(f"{c}_{end}") for c in ("node", "label", "n", "at")]) for end in "ab")
+    # The first shingle that both have has no more in common behind it than the shorter rest.
+    rest = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+    able = (F.col("label_a") < F.col("label_b")) & (rest >= least / (1 + least) * (F.col("n_a") + F.col("n_b")) - 1e-6)
+    pairs = saved(a.join(b, "token").filter(able).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "pairs")
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(many.select("node")).distinct()
+    sets = saved(sets_of(wanted), "sets")
+    end = lambda name: sets.select(F.col("node").alias(name), F.col("shingles").alias(f"of_{name}"))
+    both = F.size(F.array_intersect("of_a", "of_b"))
+    counted = pairs.join(end("a"), "a").join(end("b"), "b").select("a", "b", both.alias("both"), (F.size("of_a") + F.size("of_b")).alias("n"))
+    hold = counted.filter(F.col("both") >= least * (F.col("n") - F.col("both")) - 1e-9).select("a", "b")
+    return hold.unionByName(verified(many.select("node", "label", F.col("token").alias("family")).join(sets, "node"), least)).distinct()
+
+
+def deduplicated(docs: DataFrame, radius: int = 7, prints: int = 8, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", least: float = 0.8, width: int = 5, whole: bool = False) -> DataFrame:
     """``docs`` with one row of each component: that of the smallest id, and of several such rows one; a component without any id keeps a row too.
 
     Texts link if any of their ``prints`` fingerprints differ in ``radius`` or fewer bits, as the index finds, and the Jaccard similarity of their distinct
     ``width``-word shingles is ``least`` or more; links carry over. Every link of the index is checked exactly, one text standing for all of its shingle set; texts that
-    reach each other by unchecked links are a family, by which the checks are dealt out. Null and empty texts are one group.
+    reach each other by unchecked links are a family, by which the checks are dealt out. With ``whole`` all texts of that similarity link: those whose
+    fingerprints are further apart are found by their rarest shingles, between the components so far. Null and empty texts are one group.
     """
     small_batches(docs.sparkSession)
     text = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     keyed = docs.select(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), text.alias("t")).alias("__key"), F.col(text_col).cast("binary").alias("__text"))
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = np.zeros(1 << SLOT_BITS, np.int32)
         for b in batches:
-            texts = [b"" if t is None else bytes(t) for t in b["__text"]]
-            nodes = [xxh64_intdigest(np.unique(shingle_hashes(t, width)).tobytes(), 42) for t in texts]
-            yield pd.DataFrame({"none": b["none"], "id": b["id"], "t": b["t"], "node": np.array(nodes, np.uint64).view(np.int64), "fps": [fingerprint(t, shingle, prints).view(np.int64) for t in texts]})
+            sets = [shingle_set(t, width) for t in b["__text"]]
+            if whole:
+                np.add.at(counts, np.concatenate(sets) >> np.uint64(64 - SLOT_BITS), 1)
+            yield pd.DataFrame({"none": b["none"], "id": b["id"], "t": b["t"], "node": [set_id(x) for x in sets], "fps": [fingerprint(b"" if t is None else bytes(t), shingle, prints).view(np.int64) for t in b["__text"]], "piece": None, "counts": None})
+        if counts.any():
+            yield pd.DataFrame({"none": None, "id": None, "t": None, "node": None, "fps": None, "piece": range(len(counts) // PIECE), "counts": list(counts.reshape(-1, PIECE))})
 
     def shingled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"node": b["node"], "family": b["family"], "fps": b["fps"], "shingles": [np.unique(shingle_hashes(b"" if t is None else bytes(t), width)).view(np.int64) for t in b["__text"]]})
+            yield b.drop(columns="__text").assign(shingles=[shingle_set(t, width).view(np.int64) for t in b["__text"]])
+
+    def with_shingles(wanted: DataFrame, schema: str) -> DataFrame:
+        """``wanted`` (``node``, more, of ``schema``) with the ``shingles`` of the text that stands for each node."""
+        given = wanted.join(nodes.select("node", F.col("least.none").alias("__n"), F.col("least.id").alias("__i"), F.col("least.t").alias("__t")), "node")
+        same = keyed.select("__key.*", "__text").join(given, (F.col("t") == F.col("__t")) & F.col("id").eqNullSafe(F.col("__i")))
+        return same.dropDuplicates(["node"]).select(*wanted.columns, "__text").mapInPandas(shingled, f"{schema}, shingles array<long>")
 
     flat = f"none boolean, id {dict(docs.dtypes)[id_col]}, t long"
-    found = keyed.select("__key.*", "__text").mapInPandas(hashed, f"{flat}, node long, fps array<long>")
-    nodes = saved(found.groupBy("node").agg(F.min(F.struct("none", "id", "t")).alias("least"), F.min("fps").alias("fps")), "nodes")
+    found = saved(keyed.select("__key.*", "__text").mapInPandas(hashed, f"{flat}, node long, fps array<long>, piece int, counts array<int>"), "hashed")
+    nodes = saved(found.filter("node is not null").groupBy("node").agg(F.min(F.struct("none", "id", "t")).alias("least"), F.min("fps").alias("fps")), "nodes")
     families = spread(links(nodes.select("node", "fps"), radius)).select("node", F.col("root").alias("family"))
-    wanted = saved(nodes.join(families, "node").select("node", "family", "fps", F.col("least.none").alias("none"), F.col("least.id").alias("__i"), F.col("least.t").alias("t")), "families")
-    same = keyed.select("__key.*", "__text").join(wanted.withColumnsRenamed({"none": "__n", "t": "__t"}), (F.col("t") == F.col("__t")) & F.col("id").eqNullSafe(F.col("__i")))
-    members = saved(same.dropDuplicates(["node"]).select("node", "family", "fps", "__text").mapInPandas(shingled, "node long, family long, fps array<long>, shingles array<long>"), "shingles")
-    roots = spread(verified(members, least, radius=radius))
+    members = saved(with_shingles(nodes.select("node", "fps").join(families, "node").select("node", "family", "fps"), "node long, family long, fps array<long>"), "shingles")
+    linked = verified(members, least, radius=radius)
+    roots = spread(linked)
+    if whole:
+        counts = slot_counts(found.filter("piece is not null").select("piece", "counts"))
+
+        def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                sets = [shingle_set(t, width) for t in b["__text"]]
+                yield pd.DataFrame({"node": [set_id(x) for x in sets], "n": [len(x) for x in sets], "first": [rarest(x, counts, least).view(np.int64) for x in sets]})
+
+        placed = saved(keyed.select("__text").mapInPandas(place, "node long, n int, first array<long>").dropDuplicates(["node"]), "placed")
+        more = saved(missed_links(placed, roots, lambda wanted: with_shingles(wanted, "node long"), least), "missed")
+        if not more.isEmpty():
+            chains = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+            roots = spread(chains.unionByName(more))
     labelled = saved(nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "labelled")
     h, first_id, first_text = (free_name(docs, x) for x in ("h_", "id_", "t_"))
     kept = labelled.groupBy("root").agg(F.min("least").alias("first")).select(F.col("first.id").alias(first_id), F.col("first.t").alias(first_text))

@@ -3,6 +3,7 @@ import random
 import numpy as np
 from xxhash import xxh64_intdigest
 
+import corpus_pipeline
 from tabwright.llm import simhash
 
 
@@ -253,3 +254,63 @@ def test_labels_of_random_links(spark, monkeypatch):
     got = {r.node: r.root for r in simhash.spread(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for x in root}
     assert sizes and sizes[0] < len(edges) and sizes[-1] == 0 and all(b < a for a, b in zip(sizes, sizes[1:]))
+
+
+def exact_groups(sets, least=0.8):
+    """Smallest position that each set reaches by links of Jaccard ``least`` or more, by comparing all pairs."""
+    root = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if root[i] != root[j] and len(a & sets[j]) >= least * len(a | sets[j]) - 1e-9:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    return root
+
+
+def test_whole_finds_every_similar_pair(spark, docs_of, monkeypatch):
+    """With one fingerprint that must be equal the index misses most pairs; ``whole`` finds all of them, in lists or in blocks, and no other. A line that many texts share links none."""
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 9)))
+    line, texts = [word() for _ in range(12)], [["one"], ["one", "two"], ["two", "one"], [], list("abcde"), list("abcdef"), list("abcdefghi"), list("abcdefghij")]
+    for g in range(60):
+        base = ([*line] if g % 2 else []) + [word() for _ in range(rng.randint(8, 120))]
+        texts += [base, edited(rng, base, word, 3), edited(rng, base, word, 3)]
+    group = [[word() for _ in range(100)]]
+    texts += group + [edited(rng, group[0], word, 4) for _ in range(40)]
+    rng.shuffle(texts)
+    rows = [(i, " ".join(w)) for i, w in enumerate(texts)]
+    sets = [{tuple(w[j : j + 5]) for j in range(max(len(w) - 4, min(len(w), 1)))} for w in texts]
+    want = set(exact_groups(sets))
+    few = {r.doc_id for r in simhash.deduplicated(docs_of(rows), radius=0, prints=1).collect()}
+    assert len(few) > len(want) + 50
+    for some in (3, 64):
+        monkeypatch.setattr(simhash, "FEW", some)
+        assert {r.doc_id for r in simhash.deduplicated(docs_of(rows), radius=0, prints=1, whole=True).collect()} == want
+
+
+def test_pipeline_stage_misses_no_pair_of_little_over_the_least_similarity(spark, docs_of):
+    rng = random.Random(15)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 9)))
+    texts = []
+    while len(texts) < 700:
+        base = [word() for _ in range(rng.randint(20, 60))]
+        other = edited(rng, base, word, 3)
+        a, b = ({tuple(w[j : j + 5]) for j in range(len(w) - 4)} for w in (base, other))
+        if 0.8 <= len(a & b) / len(a | b) <= 0.85:
+            texts += [base, other]
+    docs = docs_of([(i, " ".join(w)) for i, w in enumerate(texts)])
+    assert {r.doc_id for r in corpus_pipeline.dedup_stage(spark, docs, "").collect()} == set(range(0, 700, 2))
+
+
+def test_rarest_shingles_of_similar_sets_meet():
+    rng = np.random.default_rng(22)
+    counts = rng.integers(0, 5, 1 << simhash.SLOT_BITS)
+    met = 0
+    for _ in range(3000):
+        a = rng.choice(1 << 62, rng.integers(1, 60), replace=False).astype(np.uint64) << np.uint64(2)
+        b = np.unique(np.concatenate([a[rng.integers(0, 9) :], rng.choice(1 << 62, rng.integers(0, 9)).astype(np.uint64)]))
+        a = np.unique(a)
+        if len(np.intersect1d(a, b)) >= 0.8 * len(np.union1d(a, b)):
+            met += 1
+            assert len(np.intersect1d(simhash.rarest(a, counts, 0.8), simhash.rarest(b, counts, 0.8)))
+    assert met > 300
