@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -42,6 +43,19 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
         spark.conf.set(name, rows)
 
 
+@contextmanager
+def larger_batches(spark: SparkSession, rows: int = 10000) -> Iterator[None]:
+    """Hand rows of a few numbers to Python in batches of at least ``rows`` rows in what is run inside; then the setting is as before."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if 0 < int(before) < rows:
+        spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def free_name(df: DataFrame, wish: str) -> str:
     """``wish``, with underscores before it until no column of ``df`` has that name."""
     taken = {c.lower() for c in df.columns}

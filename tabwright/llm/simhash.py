@@ -9,26 +9,32 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
+from xxhash import xxh64_digest, xxh64_intdigest
 
-from .common import free_name, saved, small_batches
+from .common import free_name, larger_batches, saved, small_batches
 
-LEAF, FAN = 32, 8
+LEAF, FAN = 128, 8
 ROWS = 255
+LANES = np.uint64(0x0101010101010101)
 #: Slots in which shingles are counted to tell common ones from rare ones, sent in pieces.
 SLOT_BITS, PIECE = 18, 1 << 12
 #: Texts that share a shingle, up to which their pairs are listed; more are searched in blocks.
 FEW = 64
+#: Rows that a task of the search takes on at a time.
+TAKEN = 1 << 15
 
 
-def remixed(hashes: np.ndarray, k: int) -> np.ndarray:
+def remixed(hashes: np.ndarray, k: int | np.ndarray) -> np.ndarray:
     """The ``k``-th further hash of each hash, by a bit mixer; number 0 is the hash itself."""
-    if not k:
+    if isinstance(k, int) and not k:
         return hashes
-    h = hashes + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64))
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+    h = hashes + np.asarray(k, np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(30)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(27)
+    h *= np.uint64(0x94D049BB133111EB)
+    h ^= h >> np.uint64(31)
+    return h
 
 
 def shingle_hashes(text: bytes, shingle: int, seed: int = 42) -> np.ndarray:
@@ -36,27 +42,42 @@ def shingle_hashes(text: bytes, shingle: int, seed: int = 42) -> np.ndarray:
     words = text.lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    joined = b" ".join(words)
     if len(words) <= shingle:
-        return np.array([xxh64_intdigest(joined, seed)], np.uint64)
-    ends = (np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1).tolist()
-    starts = [0, *(e + 1 for e in ends[:-shingle])]
-    return np.array([xxh64_intdigest(joined[s:e], seed) for s, e in zip(starts, ends[shingle - 1 :], strict=True)], np.uint64)
+        return np.array([xxh64_intdigest(b" ".join(words), seed)], np.uint64)
+    runs = map(b" ".join, zip(*[words[i:] for i in range(shingle)], strict=False))
+    return np.frombuffer(b"".join([xxh64_digest(r, seed) for r in runs]), ">u8").astype(np.uint64)
+
+
+def wider(hashes: np.ndarray, shingle: int, width: int) -> np.ndarray:
+    """The distinct hashes of a text's runs of ``width`` words (of the whole text if it has no more words), mixed from its ``hashes`` of the runs of ``shingle`` <= ``width`` words that cover each."""
+    if len(hashes) <= width - shingle + 1:
+        return np.array([xxh64_intdigest(hashes.tobytes(), 42)] if len(hashes) else [], np.uint64)
+    runs = len(hashes) - (width - shingle)
+    total = np.zeros(runs, np.uint64)
+    for i, at in enumerate(sorted({*range(0, width - shingle, shingle), width - shingle})):
+        total += hashes[at : at + runs] * np.uint64((2 * i + 1) * 0x9E3779B97F4A7C15 % (1 << 64))
+    return np.unique(remixed(total, 1))
 
 
 def fingerprint(text: bytes, shingle: int = 3, prints: int = 1, seed: int = 42) -> np.ndarray:
     """``prints`` numbers of 64 bits: bit b is set if over half of the text's shingle hashes have it; zero without words."""
-    hashes = shingle_hashes(text, shingle, seed)
+    return majorities(shingle_hashes(text, shingle, seed), prints)
+
+
+def majorities(hashes: np.ndarray, prints: int) -> np.ndarray:
+    """The fingerprints of a text's shingle hashes."""
     if not len(hashes):
         return np.zeros(prints, np.uint64)
-    out = np.empty(prints, np.uint64)
-    for k in range(prints):
-        ones = np.zeros(64, np.int64)
-        for at in range(0, len(hashes), ROWS):  # as many rows as a byte can count
-            piece = remixed(hashes[at : at + ROWS], k)
-            ones += np.unpackbits(piece.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint8)
-        out[k] = np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0]
-    return out
+    total = np.zeros((prints, 64), np.int64)
+    for at in range(0, len(hashes), ROWS * 16):
+        piece = hashes[at : at + ROWS * 16]
+        rows = np.zeros((prints, -(-len(piece) // ROWS) * ROWS), np.uint64)
+        rows[0, : len(piece)] = piece
+        rows[1:, : len(piece)] = remixed(piece, np.arange(1, prints, dtype=np.uint64)[:, None])
+        bits = (rows.reshape(prints, 1, -1, ROWS) >> np.arange(8, dtype=np.uint64)[:, None, None]) & LANES
+        lanes = bits.sum(axis=3).view(np.uint8)  # bit b of each byte, counted in that byte: as many rows as it can count
+        total += lanes.reshape(prints, 8, -1, 8).sum(axis=2, dtype=np.int64).transpose(0, 2, 1).reshape(prints, 64)
+    return np.packbits(2 * total > len(hashes), axis=1, bitorder="little").view(np.uint64)[:, 0]
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, prints: int = 1) -> DataFrame:
@@ -79,38 +100,48 @@ def gray_rank(codes: np.ndarray) -> np.ndarray:
     return rank
 
 
-def _levels(codes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, int]]:
-    """For each level from the leaves up: pattern and mask of the bits that all codes of a node share, and codes a node."""
+def _levels(codes: np.ndarray, sizes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]]:
+    """For each level from the leaves up: pattern and mask of the bits that all codes of a node share, its smallest and largest size, and codes a node."""
     levels, step = [], LEAF
-    low = np.bitwise_and.reduceat(codes, np.arange(0, len(codes), LEAF))
-    high = np.bitwise_or.reduceat(codes, np.arange(0, len(codes), LEAF))
+    at = np.arange(0, len(codes), LEAF)
+    low, high, small, large = np.bitwise_and.reduceat(codes, at), np.bitwise_or.reduceat(codes, at), np.minimum.reduceat(sizes, at), np.maximum.reduceat(sizes, at)
     while True:
         mask = ~(low ^ high)
-        levels.append((low & mask, mask, step))
+        levels.append((low & mask, mask, small, large, step))
         if len(low) <= FAN:
             return levels
         at = np.arange(0, len(low), FAN)
         low, high, step = np.bitwise_and.reduceat(low, at), np.bitwise_or.reduceat(high, at), step * FAN
+        small, large = np.minimum.reduceat(small, at), np.maximum.reduceat(large, at)
 
 
-def index_links(codes: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def index_links(codes: np.ndarray, radius: int, sizes: np.ndarray | None = None, least: float = 0.0) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """All links of ``radius`` or fewer differing bits between codes (uint64), in blocks (members, queries, which query is near which member) of positions.
 
     The codes, in Gray order, are leaves of a tree whose nodes hold the bits that their codes share. A search goes down with all
     codes at once: a child adds the differences in the bits that its parent left open, and codes with more than ``radius`` are dropped with the whole group below.
+    With ``sizes`` only codes link of which the smaller size is ``least`` of the larger or more: the order is by classes of such sizes first, nodes hold the range of theirs,
+    and queries of a larger or a far smaller size are dropped, so each link is given once, with the larger size as the member.
     """
     if len(codes) <= 2 * LEAF:
         everyone = np.arange(len(codes))
-        yield everyone, everyone, np.bitwise_count(codes[:, None] ^ codes[None, :]) <= radius
+        near = np.bitwise_count(codes[:, None] ^ codes[None, :]) <= radius
+        yield everyone, everyone, near if sizes is None else near & (np.minimum(sizes[:, None], sizes[None, :]) >= least * np.maximum(sizes[:, None], sizes[None, :]) - 1e-9)
         return
+    held = np.zeros(len(codes)) if sizes is None else sizes
     order = np.argsort(gray_rank(codes), kind="stable")
-    codes = codes[order]
-    levels = _levels(codes)
+    if sizes is not None:
+        order = order[np.argsort(np.floor(np.log(np.maximum(held[order], 1)) / -np.log(least)), kind="stable")]
+    codes, held = codes[order], held[order]
+    levels = _levels(codes, held)
     top = len(levels) - 1
     stack = [(top, i, np.arange(len(codes)), np.zeros(len(codes), np.int16), np.uint64(0)) for i in range(len(levels[top][0]))]
     while stack:
         level, i, queries, apart, known = stack.pop()
-        pattern, mask, step = levels[level]
+        pattern, mask, small, large, step = levels[level]
+        if sizes is not None:
+            fits = (held[queries] <= large[i]) & (held[queries] >= least * small[i] - 1e-9)
+            queries, apart = queries[fits], apart[fits]
         apart = apart + np.bitwise_count((codes[queries] ^ pattern[i]) & (mask[i] & ~known))
         stays = apart <= radius
         queries, apart = queries[stays], apart[stays]
@@ -124,34 +155,47 @@ def index_links(codes: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np
             for at in range(0, len(queries), 4096):
                 q = queries[at : at + 4096]
                 near = apart[at : at + 4096, None] + np.bitwise_count((codes[q][:, None] ^ codes[members][None, :]) & open_bits) <= radius
+                if sizes is not None:
+                    hit, to = np.nonzero(near)
+                    wrong = (held[q[hit]] > held[members[to]]) | (held[q[hit]] < least * held[members[to]] - 1e-9)
+                    near[hit[wrong], to[wrong]] = False
                 some = near.any(axis=0)
                 yield order[members[some]], order[q], near[:, some]
 
 
-def components(codes: np.ndarray, radius: int) -> np.ndarray:
-    """Component number of each code (distinct, uint64) under links of ``radius`` or fewer differing bits."""
+def components(codes: np.ndarray, radius: int, sizes: np.ndarray | None = None, least: float = 0.0) -> np.ndarray:
+    """Component number of each code (distinct, uint64; not so with ``sizes``) under links of ``radius`` or fewer differing bits, and of sizes that differ by a factor of ``least`` at most."""
     root = np.arange(len(codes))
-    for members, queries, near in index_links(codes, radius):
-        for j, m in enumerate(members):
-            labels = np.unique(root[queries[near[:, j]]])
-            if len(labels) > 1 or labels[0] != root[m]:
-                labels = np.union1d(labels, root[m : m + 1])
-                root[np.isin(root, labels)] = labels[0]
+    for members, queries, near in index_links(codes, radius, sizes, least):
+        at, to = np.nonzero(near)
+        a, b = root[queries[at]], root[members[to]]
+        while (apart := a != b).any():
+            a, b = a[apart], b[apart]
+            hook = np.arange(len(codes))
+            np.minimum.at(hook, np.maximum(a, b), np.minimum(a, b))
+            while (after := hook[hook]).tobytes() != hook.tobytes():
+                hook = after
+            root, a, b = hook[root], hook[a], hook[b]
     return root
 
 
-def chains(codes: np.ndarray, nodes: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+def chains(codes: np.ndarray, nodes: np.ndarray, radius: int, sizes: np.ndarray | None = None, least: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
     """Links that hold each component together: every node to the next of its component, so that no node has more than two."""
-    distinct, at = np.unique(codes, return_inverse=True)
-    label = components(distinct, radius)[at]
+    if sizes is None:
+        distinct, at = np.unique(codes, return_inverse=True)
+        label = components(distinct, radius)[at]
+    else:
+        label = components(codes, radius, sizes, least)
     order = np.lexsort((nodes, label))
     same = (label[order][1:] == label[order][:-1]) & (nodes[order][1:] != nodes[order][:-1])
     return nodes[order][:-1][same], nodes[order][1:][same]
 
 
-def links(nodes: DataFrame, radius: int = 3, unit: int = 4096) -> DataFrame:
+def links(nodes: DataFrame, radius: int = 3, unit: int = 4096, least: float | None = None) -> DataFrame:
     """Links (``a``, ``b``) that connect the components of (``node``, ``fps``): nodes link if a fingerprint of both is within ``radius`` bits.
 
+    With ``least`` only nodes link of which the smaller ``n`` is that share of the larger or more.
+
     Two fingerprints within ``radius`` agree in one of ``radius + 1`` blocks of bits, so each goes once to the run of each of its blocks'
     values; a run, whose fingerprints share that block, is searched by the index of ``components``. A run of
     more than ``unit`` is dealt into p parts at random and each pair of parts is one search, so a run that holds a large share of all rows becomes many tasks of at most
@@ -159,36 +203,45 @@ def links(nodes: DataFrame, radius: int = 3, unit: int = 4096) -> DataFrame:
     """
     width = 64 // (radius + 1)
     spans = [(i, 64 if i == radius else width * (i + 1), width * i) for i in range(radius + 1)]
-    each = nodes.select("node", F.posexplode("fps").alias("print", "fp"))
+    sizes = nodes["n"].cast("int") if least is not None else F.lit(0)
+    each = nodes.select("node", sizes.alias("n"), F.posexplode("fps").alias("print", "fp"))
     keys = F.array(*[F.struct((F.col("print") * 64 + i).alias("block"), F.shiftrightunsigned(F.shiftleft("fp", 64 - hi), 64 - hi + lo).alias("value")) for i, hi, lo in spans])
-    runs = each.select("node", "fp", F.explode(keys).alias("k")).select("node", "fp", "k.block", "k.value")
-    large = runs.groupBy("block", "value").agg(F.count("*").alias("n")).filter(F.col("n") > unit).select("block", "value", F.ceil(F.col("n") / unit).alias("parts"))
+    runs = each.select("node", "n", "fp", F.explode(keys).alias("k")).select("node", "n", "fp", "k.block", "k.value")
+    large = runs.groupBy("block", "value").agg(F.count("*").alias("rows")).filter(F.col("rows") > unit).select("block", "value", F.ceil(F.col("rows") / unit).alias("parts"))
     runs = runs.join(large, ["block", "value"], "left")
     part = F.pmod(F.xxhash64("node"), F.col("parts"))
     pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda other: F.least(part, other) * F.col("parts") + F.greatest(part, other))
-    units = runs.select("node", "fp", "block", "value", F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(-1).cast("long"))).otherwise(pairs)).alias("pair"))
+    units = runs.select("node", "n", "fp", "block", "value", F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(-1).cast("long"))).otherwise(pairs)).alias("pair"))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
+        taken, rows = [], 0
         for b in batches:
-            b = b if rest is None else pd.concat([rest, b], ignore_index=True)
-            keys = b[["block", "value", "pair"]].to_numpy()
-            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+            taken, rows = [*taken, b], rows + len(b)
+            if rows < TAKEN:
+                continue
+            b = pd.concat(taken, ignore_index=True)
+            cuts = changes(b)
             last = cuts[-1] if len(cuts) else 0
             yield found(b[:last], cuts[:-1])
-            rest = b[last:]
-        if rest is not None and len(rest):
-            yield found(rest, np.array([], int))
+            taken, rows = [b[last:]], 0  # a run's rest is looked at again when as much has come
+        if taken:
+            b = pd.concat(taken, ignore_index=True)
+            yield found(b, changes(b))
+
+    def changes(b: pd.DataFrame) -> np.ndarray:
+        return np.flatnonzero(np.logical_or.reduce([b[c].to_numpy()[1:] != b[c].to_numpy()[:-1] for c in ("block", "value", "pair")])) + 1
 
     def found(b: pd.DataFrame, cuts: np.ndarray) -> pd.DataFrame:
-        fp, node = b.fp.to_numpy(), b.node.to_numpy()
+        fp, node, n = b.fp.to_numpy(), b.node.to_numpy(), b.n.to_numpy()
         edges = np.concatenate([[0], cuts, [len(fp)]]).astype(int)
         many = np.flatnonzero(np.diff(edges) > 1)
-        got = [chains(np.ascontiguousarray(fp[edges[i] : edges[i + 1]]).view(np.uint64), node[edges[i] : edges[i + 1]], radius) for i in many]
+        of = lambda x, i: np.ascontiguousarray(x[edges[i] : edges[i + 1]])
+        got = [chains(of(fp, i).view(np.uint64), of(node, i), radius, *((of(n, i), least) if least is not None else ())) for i in many]
         return pd.DataFrame({"a": np.concatenate([np.zeros(0, np.int64), *(g[0] for g in got)]), "b": np.concatenate([np.zeros(0, np.int64), *(g[1] for g in got)])})
 
     dealt = units.repartition("block", "value", "pair").sortWithinPartitions("block", "value", "pair")
-    return dealt.mapInPandas(search, "a long, b long").distinct()
+    with larger_batches(nodes.sparkSession):
+        return saved(dealt.mapInPandas(search, "a long, b long").distinct(), "found")
 
 
 def spread(edges: DataFrame) -> DataFrame:
@@ -323,9 +376,8 @@ def verified(members: DataFrame, least: float, unit: int = 1 << 21, radius: int
     return dealt.mapInPandas(search, "a long, b long").distinct()
 
 
-def shingle_set(text: bytes | None, width: int) -> np.ndarray:
-    """The distinct hashes of the runs of ``width`` words."""
-    return np.unique(shingle_hashes(b"" if text is None else bytes(text), width))
+def shingle_set(text: bytes | None, shingle: int, width: int) -> np.ndarray:
+    return wider(shingle_hashes(b"" if text is None else bytes(text), shingle), shingle, width)
 
 
 def set_id(hashes: np.ndarray) -> int:
@@ -389,22 +441,24 @@ def deduplicated(docs: DataFrame, radius: int = 7, prints: int = 8, shingle: int
     fingerprints are further apart are found by their rarest shingles, between the components so far. Null and empty texts are one group.
     """
     small_batches(docs.sparkSession)
+    narrow = min(shingle, width)
     text = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     keyed = docs.select(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), text.alias("t")).alias("__key"), F.col(text_col).cast("binary").alias("__text"))
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.zeros(1 << SLOT_BITS, np.int32)
         for b in batches:
-            sets = [shingle_set(t, width) for t in b["__text"]]
+            hashes = [shingle_hashes(b"" if t is None else bytes(t), narrow) for t in b["__text"]]
+            sets = [wider(x, narrow, width) for x in hashes]
             if whole:
                 np.add.at(counts, np.concatenate(sets) >> np.uint64(64 - SLOT_BITS), 1)
-            yield pd.DataFrame({"none": b["none"], "id": b["id"], "t": b["t"], "node": [set_id(x) for x in sets], "fps": [fingerprint(b"" if t is None else bytes(t), shingle, prints).view(np.int64) for t in b["__text"]], "piece": None, "counts": None})
+            yield pd.DataFrame({"none": b["none"], "id": b["id"], "t": b["t"], "node": [set_id(x) for x in sets], "n": [len(x) for x in sets], "fps": [majorities(x, prints).view(np.int64) for x in (hashes if narrow == shingle else [shingle_hashes(b"" if t is None else bytes(t), shingle) for t in b["__text"]])], "piece": None, "counts": None})
         if counts.any():
-            yield pd.DataFrame({"none": None, "id": None, "t": None, "node": None, "fps": None, "piece": range(len(counts) // PIECE), "counts": list(counts.reshape(-1, PIECE))})
+            yield pd.DataFrame({"none": None, "id": None, "t": None, "node": None, "n": None, "fps": None, "piece": range(len(counts) // PIECE), "counts": list(counts.reshape(-1, PIECE))})
 
     def shingled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield b.drop(columns="__text").assign(shingles=[shingle_set(t, width).view(np.int64) for t in b["__text"]])
+            yield b.drop(columns="__text").assign(shingles=[shingle_set(t, narrow, width).view(np.int64) for t in b["__text"]])
 
     def with_shingles(wanted: DataFrame, schema: str) -> DataFrame:
         """``wanted`` (``node``, more, of ``schema``) with the ``shingles`` of the text that stands for each node."""
@@ -413,9 +467,9 @@ def deduplicated(docs: DataFrame, radius: int = 7, prints: int = 8, shingle: int
         return same.dropDuplicates(["node"]).select(*wanted.columns, "__text").mapInPandas(shingled, f"{schema}, shingles array<long>")
 
     flat = f"none boolean, id {dict(docs.dtypes)[id_col]}, t long"
-    found = saved(keyed.select("__key.*", "__text").mapInPandas(hashed, f"{flat}, node long, fps array<long>, piece int, counts array<int>"), "hashed")
-    nodes = saved(found.filter("node is not null").groupBy("node").agg(F.min(F.struct("none", "id", "t")).alias("least"), F.min("fps").alias("fps")), "nodes")
-    families = spread(links(nodes.select("node", "fps"), radius)).select("node", F.col("root").alias("family"))
+    found = saved(keyed.select("__key.*", "__text").mapInPandas(hashed, f"{flat}, node long, n int, fps array<long>, piece int, counts array<int>"), "hashed")
+    nodes = saved(found.filter("node is not null").groupBy("node").agg(F.min(F.struct("none", "id", "t")).alias("least"), F.any_value("n").alias("n"), F.min("fps").alias("fps")), "nodes")
+    families = spread(links(nodes.select("node", "n", "fps"), radius, least=least)).select("node", F.col("root").alias("family"))
     members = saved(with_shingles(nodes.select("node", "fps").join(families, "node").select("node", "family", "fps"), "node long, family long, fps array<long>"), "shingles")
     linked = verified(members, least, radius=radius)
     roots = spread(linked)
@@ -424,7 +478,7 @@ def deduplicated(docs: DataFrame, radius: int = 7, prints: int = 8, shingle: int
 
         def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
-                sets = [shingle_set(t, width) for t in b["__text"]]
+                sets = [shingle_set(t, narrow, width) for t in b["__text"]]
                 yield pd.DataFrame({"node": [set_id(x) for x in sets], "n": [len(x) for x in sets], "first": [rarest(x, counts, least).view(np.int64) for x in sets]})
 
         placed = saved(keyed.select("__text").mapInPandas(place, "node long, n int, first array<long>").dropDuplicates(["node"]), "placed")
