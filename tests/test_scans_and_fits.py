@@ -1,6 +1,7 @@
 """Fits that read their rows often: rows dealt out evenly, nothing fitted or counted twice, no work repeated through lineage."""
 
 import numpy as np
+import pytest
 
 from tabwright.functions.columns import evenly
 from tabwright.operators import distributions, drift, models, outliers, reduce, select
@@ -97,3 +98,18 @@ def test_round_sums_leave_a_row_a_column(spark):
     u, y = (x - 5) ** 2 / 12, x / x.max()
     assert np.isclose(got["t0_0"], np.log1p(u).sum()) and np.isclose(got["t0_5"], ((x - 5) / (1 + u) ** 2).sum())
     assert np.isclose(got["w1"], (y**1.5 * np.log(y)).mean()) and len([k for k in got if k.startswith("m")]) == distributions.MODES - 1
+
+
+def test_distance_quantiles_are_exact_and_no_row_is_repeated_a_start(spark, monkeypatch):
+    """The cuts of all starts come from counts by leading bits, in four passes of bounded results; rows are not exploded by start."""
+    rng = np.random.default_rng(31)
+    x = np.concatenate([rng.normal(size=(3000, 2)), np.round(rng.normal(size=(500, 2))), rng.normal(size=(7, 2)) * 1e200])
+    rows = spark.createDataFrame([(r.tolist(),) for r in x], "x array<double>")
+    of = lambda m: [m[:, 0], m[:, 1] ** 2, np.abs(m).sum(axis=1)]
+    for share in (0.5, 0.3133):
+        np.testing.assert_allclose(outliers._cuts(rows, 2, of, share), [np.quantile(d, share) for d in of(x)], rtol=1e-13)
+    monkeypatch.setattr(outliers.ordering, "quantiles", lambda *a, **k: pytest.fail("quantiles of repeated rows"))
+    mean, cov, size = outliers._concentrate(rows, [(np.zeros(2), np.eye(2))], 0.5)[0]
+    near = x[(x**2).sum(axis=1) <= np.quantile((x**2).sum(axis=1), 0.5)]
+    np.testing.assert_allclose(mean, near.mean(axis=0), atol=1e-12)
+    np.testing.assert_allclose(cov, np.cov(near, rowvar=False, bias=True), atol=1e-12)
